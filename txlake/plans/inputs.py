@@ -132,21 +132,19 @@ def revenue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions with an arrival time: each is delayed by ``k`` half minutes,
-    so arrival order differs from event order. ``channel`` numbers the topic
-    partitions 0 to 3."""
+    """Transactions with an arrival time: each is delayed by ``k`` minutes, so
+    arrival order differs from event order. Users are spread over four topic
+    partitions."""
     tx = transactions(spark, folder)
-    channels = {"APP": 0, "WEB": 1, "ATM": 2, "POS": 3}
-    return tx.withColumn("arrival", micros(F.col("ts")) + F.col("k").cast("bigint") * 30_000_000).withColumn(
-        "topic_partition", mapping(channels, F.col("channel"))
+    late_by = F.col("k").cast("bigint") * 60_000_000
+    return tx.withColumn("arrival", micros(F.col("ts")) + late_by).withColumn(
+        "topic_partition", F.pmod("user_id", F.lit(4)).cast("int")
     )
 
 
 ARRIVALS_SQL = TX_SQL + """,
 arrivals AS (
-  SELECT *, epoch_us(ts) + CAST(k AS BIGINT) * 30000000 AS arrival,
-    CASE channel WHEN 'APP' THEN 0 WHEN 'WEB' THEN 1 WHEN 'ATM' THEN 2 ELSE 3 END AS topic_partition
-  FROM tx
+  SELECT *, epoch_us(ts) + CAST(k AS BIGINT) * 60000000 AS arrival, user_id % 4 AS topic_partition FROM tx
 )"""
 
 

@@ -9,8 +9,26 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "STRING": T.StringType(),
+    "BINARY": T.BinaryType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "MERCHANT": T.StructType([T.StructField(n, T.StringType()) for n in ("id", "name", "category")]),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """``name TYPE [NOT NULL], ...`` as a schema; needs no running session."""
+    fields = []
+    for column in columns.split(","):
+        name, kind, *rest = column.split()
+        fields.append(T.StructField(name, _TYPES[kind], rest != ["NOT", "NULL"]))
+    return T.StructType(fields)
 
 
 # Raw records ---------------------------------------------------------------
@@ -28,7 +46,7 @@ RAW_EVENT = _schema(
 
 API_PAYMENT = _schema(
     "event_id STRING, event_type STRING, user_id STRING, amount STRING, currency STRING, "
-    "merchant STRUCT<id: STRING, name: STRING, category: STRING>, channel STRING, "
+    "merchant MERCHANT, channel STRING, "
     "status STRING, is_suspicious STRING, timestamp STRING, source STRING"
 )
 

@@ -54,11 +54,16 @@ def settlement_csv(
     return reader.csv(folder).withColumn("filename", F.col("_metadata.file_name"))
 
 
-def api_payments(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """One row per element of the ``data`` array of landed API responses."""
+def api_payments(
+    spark: SparkSession, path: str, streaming: bool = False, one_per_file: bool = False
+) -> DataFrame:
+    """One row per element of the ``data`` array of landed API responses.
+
+    Responses are JSON lines, or one document per file (``one_per_file``).
+    """
     reader = (spark.readStream if streaming else spark.read).schema(schemas.API_ENVELOPE)
     return (
-        reader.option("multiLine", "true")
+        reader.option("multiLine", one_per_file)
         .json(path)
         .select("fetched_at", F.explode("data").alias("event"))
         .select("event.*", "fetched_at")

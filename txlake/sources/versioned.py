@@ -38,6 +38,8 @@ class Version:
     # partition folder (empty for an unpartitioned table) -> commit folders
     folders: dict[str, list[str]]
     metrics: dict[str, int] = field(default_factory=dict)
+    # commit folder -> number of partition folders it was written with
+    sizes: dict[str, int] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(
@@ -49,6 +51,7 @@ class Version:
                 "partition_by": self.partition_by,
                 "folders": self.folders,
                 "metrics": self.metrics,
+                "sizes": self.sizes,
             }
         )
 
@@ -126,12 +129,18 @@ class VersionedTable:
         return self._frame(self._load(version))
 
     def _frame(self, v: Version, only: set[str] | None = None) -> DataFrame:
-        paths = [
-            f"{self._data}/{commit}/{part}".rstrip("/")
-            for part, commits in v.folders.items()
-            if only is None or part in only
-            for commit in commits
-        ]
+        by_commit: dict[str, list[str]] = {}
+        for part, commits in v.folders.items():
+            if only is None or part in only:
+                for commit in commits:
+                    by_commit.setdefault(commit, []).append(part)
+        paths = []
+        for commit, parts in by_commit.items():
+            # A commit that is live as a whole is named once, not folder by folder.
+            if len(parts) == v.sizes.get(commit):
+                paths.append(f"{self._data}/{commit}")
+            else:
+                paths.extend(f"{self._data}/{commit}/{part}" for part in parts)
         if not paths:
             return self.spark.createDataFrame([], v.schema)
         read_schema = T.StructType(list(v.schema) + [T.StructField("commit", T.StringType())])
@@ -157,13 +166,23 @@ class VersionedTable:
             writer = writer.partitionBy(*partition_by)
         target = f"{self._data}/{commit}"
         writer.parquet(target)
-        return commit, fs.folders(self.spark, target, len(partition_by)), int(seen.get["rows"])
+        return commit, fs.folders(self.spark, target, len(partition_by)), self._observed(seen, target)
+
+    def _observed(self, seen: Observation, target: str) -> int:
+        try:
+            return int(seen.get["rows"])
+        except Exception:  # noqa: BLE001
+            # A plan found empty at run time reports no metrics; the footers tell.
+            written = self.spark.read.schema("dummy INT").parquet(target)
+            return written.count()
 
     def _commit(self, v: Version) -> int:
         fs.create_text(self.spark, f"{self._log}/{v.version:012d}.json", v.to_json())
         return v.version
 
-    def _next(self, base: Version | None, operation: str, schema, partition_by, folders, metrics):
+    def _next(self, base: Version | None, operation, schema, partition_by, folders, metrics, sizes=None):
+        used = {c for commits in folders.values() for c in commits}
+        known = (base.sizes if base else {}) | (sizes or {})
         return Version(
             version=0 if base is None else base.version + 1,
             timestamp_ms=int(time.time() * 1000),
@@ -172,6 +191,7 @@ class VersionedTable:
             partition_by=partition_by,
             folders=folders,
             metrics=metrics,
+            sizes={c: n for c, n in known.items() if c in used},
         )
 
     def overwrite(
@@ -187,7 +207,9 @@ class VersionedTable:
         commit, names, rows = self._write(df, parts, spread)
         folders = {n: [commit] for n in names}
         return self._commit(
-            self._next(base, operation, _nullable(df.schema), parts, folders, {"rows_written": rows})
+            self._next(
+                base, operation, _nullable(df.schema), parts, folders, {"rows_written": rows}, {commit: len(names)}
+            )
         )
 
     def append(self, df: DataFrame, partition_by: list[str] | None = None, merge_schema: bool = False) -> int:
@@ -201,7 +223,9 @@ class VersionedTable:
         for name in names:
             folders.setdefault(name, []).append(commit)
         return self._commit(
-            self._next(base, "APPEND", schema, base.partition_by, folders, {"rows_written": rows})
+            self._next(
+                base, "APPEND", schema, base.partition_by, folders, {"rows_written": rows}, {commit: len(names)}
+            )
         )
 
     def overwrite_partitions(self, df: DataFrame, partition_by: list[str], operation="OVERWRITE PARTITIONS") -> int:
@@ -214,7 +238,9 @@ class VersionedTable:
         folders.update({n: [commit] for n in names})
         metrics = {"rows_written": rows, "partitions_replaced": len(names)}
         return self._commit(
-            self._next(base, operation, base.schema, base.partition_by, folders, metrics)
+            self._next(
+                base, operation, base.schema, base.partition_by, folders, metrics, {commit: len(names)}
+            )
         )
 
     def replace_where(self, df: DataFrame, keep: Column, touched: Column, operation: str) -> int:
@@ -246,7 +272,9 @@ class VersionedTable:
             folders[name] = folders.get(name, []) + [commit]
         metrics = {"rows_written": rows, "partitions_replaced": len(only)}
         return self._commit(
-            self._next(base, operation, base.schema, base.partition_by, folders, metrics)
+            self._next(
+                base, operation, base.schema, base.partition_by, folders, metrics, {commit: len(names)}
+            )
         )
 
     @staticmethod
@@ -344,7 +372,13 @@ class VersionedTable:
         old, now = self._load(version), self._load()
         return self._commit(
             self._next(
-                now, "RESTORE", old.schema, old.partition_by, old.folders, {"restored_version": version}
+                now,
+                "RESTORE",
+                old.schema,
+                old.partition_by,
+                old.folders,
+                {"restored_version": version},
+                old.sizes,
             )
         )
 
