@@ -1 +1,175 @@
+"""Streaming queries over the given tables, run until all input is read.
 
+Each one gives what its batch counterpart gives, as far as the watermark has
+closed the windows.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from txlake.operators import cdc, fraud
+from txlake.plans.inputs import TX_SQL, as_transactions, order_changes
+from txlake.plans.medallion import Lake
+from txlake.plans.queries_batch import (
+    ALERTS_SQL,
+    EVENT_RULES,
+    IN_WINDOW_TYPES,
+    SESSION_GAP,
+    WINDOW_TYPES,
+    sessions_sql,
+    windows_sql,
+)
+from txlake.plans.queries_tables import CDC_STATE_SQL
+from txlake.plans.registry import query
+from txlake.session import scratch
+from txlake.sources.files import table, table_stream
+from txlake.sources.versioned import VersionedTable
+from txlake.streaming import fraud as fraud_stream
+from txlake.streaming import sinks, windows
+from txlake.streaming.cdc import ApplyChanges
+from txlake.streaming.late import LateSplit
+from txlake.streaming.serving import ServingViews
+
+
+def _transactions(spark, folder):
+    return windows.watermarked(as_transactions(table_stream(spark, folder, "events")), "ts")
+
+
+def _to_table(spark, df, name):
+    """Run a stream into files and read them back."""
+    out = scratch(spark, name)
+    sinks.drain(sinks.to_files(df, f"{out}/data", f"{out}/checkpoint"))
+    return spark.read.schema(df.schema).parquet(f"{out}/data")
+
+
+
+@query(
+    "stream_tumbling",
+    f"""WITH {TX_SQL}, w AS ({windows_sql('tx', 300, 300)}) SELECT * FROM w WHERE window_end <= (SELECT MAX(ts) - INTERVAL 15 SECOND FROM tx WHERE {IN_WINDOW_TYPES})""",
+)
+def stream_tumbling(spark, folder):
+    rows = _transactions(spark, folder)
+    rows = windows.valid_events(rows, WINDOW_TYPES, F.col("tx_type")).withColumnRenamed("tx_type", "event_type")
+    return _to_table(spark, windows.windowed(rows, "ts", ["event_type"], 300, "amount"), "tumbling")
+
+
+@query(
+    "stream_sliding",
+    f"""WITH {TX_SQL}, w AS ({windows_sql('tx', 300, 60)}) SELECT * FROM w WHERE window_end <= (SELECT MAX(ts) - INTERVAL 15 SECOND FROM tx WHERE {IN_WINDOW_TYPES})""",
+)
+def stream_sliding(spark, folder):
+    rows = _transactions(spark, folder)
+    rows = windows.valid_events(rows, WINDOW_TYPES, F.col("tx_type")).withColumnRenamed("tx_type", "event_type")
+    return _to_table(spark, windows.windowed(rows, "ts", ["event_type"], 300, "amount", 60), "sliding")
+
+
+@query(
+    "stream_session",
+    f"""WITH {TX_SQL}, s AS ({sessions_sql('tx', SESSION_GAP)})
+SELECT user_id, session_start AS window_start, session_end AS window_end, tx_count, total_amount FROM s
+WHERE session_end <= (SELECT MAX(ts) - INTERVAL 15 SECOND FROM tx)""",
+)
+def stream_session(spark, folder):
+    found = windows.sessions(_transactions(spark, folder), "ts", "user_id", SESSION_GAP, "amount")
+    return _to_table(spark, found, "session")
+
+
+@query("stream_fraud", f"WITH {TX_SQL}, {ALERTS_SQL} SELECT * FROM alerts")
+def stream_fraud(spark, folder):
+    rows = _transactions(spark, folder)
+    return _to_table(spark, fraud_stream.user_alerts(rows, EVENT_RULES), "fraud")
+
+
+@query(
+    "stream_record_rules",
+    f"""WITH {TX_SQL} SELECT tx_id, user_id, amount, currency FROM tx
+WHERE is_suspicious OR amount > CASE currency WHEN 'KRW' THEN 150 WHEN 'USD' THEN 100 ELSE 80 END OR (tx_type = 'WITHDRAWAL'
+  AND channel = 'ATM' AND amount > 0.5 * CASE currency WHEN 'KRW' THEN 150 WHEN 'USD' THEN 100 ELSE 80 END)""",
+)
+def stream_record_rules(spark, folder):
+    rules = fraud.RecordRules(thresholds={"KRW": 150.0, "USD": 100.0, "JPY": 80.0})
+    found = fraud.record_alerts(_transactions(spark, folder), rules)
+    return _to_table(spark, found.select("tx_id", "user_id", "amount", "currency"), "records")
+
+
+@query(
+    "stream_distinct",
+    f"""WITH {TX_SQL} SELECT user_id, COUNT(*) AS events FROM (SELECT DISTINCT user_id, event_id FROM tx) GROUP BY user_id""",
+)
+def stream_distinct(spark, folder):
+    rows = windows.distinct_events(_transactions(spark, folder).select("user_id", "event_id", "ts"), ["event_id"])
+    found = _to_table(spark, rows, "distinct")
+    return found.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+
+
+SLICES = 8
+
+
+def _sliced_events(spark, folder, name):
+    """All events rewritten in an order that is not event order: slice n holds the
+    events whose property k falls into the n-th eighth."""
+    path = scratch(spark, name)
+    rows = as_transactions(table(spark, folder, "events")).select("event_id", "user_id", "tx_type", "amount", "ts", "k")
+    rows.withColumn("slice", F.floor(F.col("k") * SLICES / 100).cast("int")).write.partitionBy("slice").parquet(path)
+    return spark.read.parquet(path)
+
+
+SLICED_SQL = f"""{TX_SQL}, sliced AS (SELECT *, k * {SLICES} // 100 AS slice FROM tx),
+newest AS (SELECT slice, MAX(ts) AS top FROM sliced GROUP BY slice),
+marked AS (SELECT s.*, (SELECT MAX(top) FROM newest n WHERE n.slice < s.slice) - INTERVAL 15 SECOND AS passed FROM sliced s)"""
+
+
+@query(
+    "stream_late_split",
+    f"""WITH {SLICED_SQL} SELECT event_id, amount, ts, 'tumbling' AS late_for FROM marked WHERE time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND <= passed
+UNION ALL SELECT event_id, amount, ts, 'sliding' FROM marked WHERE time_bucket(INTERVAL 60 SECOND, ts) + INTERVAL 300 SECOND <= passed""",
+)
+def stream_late_split(spark, folder):
+    """One slice per micro-batch: rows of later slices are late for windows that
+    earlier slices have closed."""
+    rows = _sliced_events(spark, folder, "slices")
+    split = LateSplit(scratch(spark, "late"), "ts", None, 300, 60)
+    for n in range(SLICES):
+        split(rows.filter(F.col("slice") == n).drop("slice"), n)
+    return spark.read.parquet(split.dead_letters).select("event_id", "amount", "ts", "late_for")
+
+
+def _serving(spark, folder, view):
+    lake = Lake(spark, scratch(spark, "serving"))
+    rows = _transactions(spark, folder)
+    alerts = fraud_stream.user_alerts(rows, EVENT_RULES)
+    handler = ServingViews(lake, f"{lake.root}/alerts")
+    sinks.drain(sinks.to_batches(alerts, handler, f"{lake.root}/checkpoint", every=None))
+    return lake.table(f"serving/{view}").read()
+
+
+@query(
+    "stream_serving_count",
+    f"WITH {TX_SQL}, {ALERTS_SQL} SELECT user_id, COUNT(*) AS alert_count FROM alerts GROUP BY user_id",
+)
+def stream_serving_count(spark, folder):
+    return _serving(spark, folder, "count")
+
+
+@query(
+    "stream_serving_recent",
+    f"WITH {TX_SQL}, {ALERTS_SQL} SELECT * FROM alerts ORDER BY detected_at DESC, alert_id DESC LIMIT 100",
+)
+def stream_serving_recent(spark, folder):
+    return _serving(spark, folder, "recent")
+
+
+@query("stream_cdc", CDC_STATE_SQL)
+def stream_cdc(spark, folder):
+    """Change records landed as files and applied by a stream."""
+    path = scratch(spark, "changes")
+    cdc.unwrap(order_changes(spark, folder)).write.parquet(path)
+    feed = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    target = VersionedTable(spark, scratch(spark, "stream-cdc"))
+    at = F.lit(dt.datetime(2024, 1, 1))
+    handler = ApplyChanges(target, ["settlement_id"], ["__source_ts_ms", "__op"], at)
+    sinks.drain(sinks.to_batches(feed, handler, scratch(spark, "cdc-checkpoint"), every=None))
+    return target.read().select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")
