@@ -8,15 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BITS = 8
+BITS = 6
 
 
 def _bucket(c: Column, bounds: list) -> Column:
-    """How many of the ascending bounds lie at or below the value."""
-    if not bounds:
-        return F.lit(0)
-    steps = F.array(*[F.lit(b) for b in bounds])
-    return F.coalesce(F.size(F.filter(steps, lambda b: b <= c)), F.lit(0))
+    """How many of the ascending bounds lie at or below the value, found by halving."""
+
+    def pick(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(c < bounds[middle], pick(low, middle)).otherwise(pick(middle + 1, high))
+
+    return F.when(c.isNull(), 0).otherwise(pick(0, len(bounds)))
 
 
 def z_value(df: DataFrame, columns: list[str]) -> Column:

@@ -83,6 +83,15 @@ def stream_fraud(spark, folder):
     return _to_table(spark, fraud_stream.user_alerts(rows, EVENT_RULES), "fraud")
 
 
+@query("stream_fraud_batches", f"WITH {TX_SQL}, {ALERTS_SQL} SELECT * FROM alerts")
+def stream_fraud_batches(spark, folder):
+    out = scratch(spark, "alert-batches")
+    handler = fraud_stream.AlertBatches(out, EVENT_RULES)
+    rows = _transactions(spark, folder)
+    sinks.drain(sinks.to_batches(rows, handler, f"{out}/checkpoint", every=None))
+    return spark.read.parquet(handler.alerts).drop("batch")
+
+
 @query(
     "stream_record_rules",
     f"""WITH {TX_SQL} SELECT tx_id, user_id, amount, currency FROM tx
@@ -138,9 +147,13 @@ def stream_late_split(spark, folder):
 
 
 def _serving(spark, folder, view):
+    """Alerts written by one stream feed the views of a second one."""
     lake = Lake(spark, scratch(spark, "serving"))
+    judge = fraud_stream.AlertBatches(f"{lake.root}/judged", EVENT_RULES)
     rows = _transactions(spark, folder)
-    alerts = fraud_stream.user_alerts(rows, EVENT_RULES)
+    sinks.drain(sinks.to_batches(rows, judge, f"{lake.root}/checkpoint-judge", every=None))
+    schema = spark.read.parquet(f"{judge.alerts}/batch=0").schema
+    alerts = spark.readStream.schema(schema).parquet(f"{judge.alerts}/batch=*")
     handler = ServingViews(lake, f"{lake.root}/alerts")
     sinks.drain(sinks.to_batches(alerts, handler, f"{lake.root}/checkpoint", every=None))
     return lake.table(f"serving/{view}").read()

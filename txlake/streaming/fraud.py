@@ -4,6 +4,9 @@ State is keyed by user and time block instead of user alone: rows near the end o
 a block are sent to the next block too, as context. A very busy user then spreads
 over several keys, and a block's state can go once the watermark has left it.
 Rules and alert records are column expressions on the result of the processor.
+
+``AlertBatches`` gives the same alerts from a batch handler without any Python in
+the tasks; it suits high volume and catching up, the processor low latency.
 """
 
 from __future__ import annotations
@@ -12,14 +15,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from txlake.functions.money import money
 from txlake.functions.times import micros
+from txlake.operators import trailing
 from txlake.operators.fraud import AlertRules, explode_alerts
+from txlake.operators.lateness import Lateness
+from txlake.streaming.sinks import write_batch
 
 SECOND = 1_000_000
 EVENT = T.StructType(
@@ -37,79 +43,57 @@ TOTALS_SCHEMA = (
 class TrailingTotals(StatefulProcessor):
     """Keeps the events of the last ``span`` seconds of one (user, block) key."""
 
-    def __init__(self, span: int):
-        self.span = span * SECOND
+    def __init__(self, span: int, width: int):
+        self.span, self.width = span * SECOND, width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.recent = handle.getListState("recent", EVENT)
-        timer = T.StructType([T.StructField("at_ms", T.LongType())])
-        self.timer = handle.getValueState("timer", timer)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat([r[["at", "id", "cents", "home"]] for r in rows])
-        known = pd.DataFrame(list(self.recent.get()), columns=["at", "id", "cents"])
-        known["home"] = False
-        new["fresh"], known["fresh"] = True, False
-        events = pd.concat([known, new]).astype({"at": "int64", "id": "int64", "cents": "int64"})
-        events = events.sort_values(["at", "id"], kind="stable")
-
-        at = events["at"].to_numpy()
-        running = np.concatenate([[0], np.cumsum(events["cents"].to_numpy())])
+        known = list(self.recent.get())
+        if not known:
+            # One clean-up timer per key, two spans after the block has ended.
+            self.handle.registerTimer(((key[1] + 1) * self.width + 2 * self.span) // 1000)
+        new = [r[["at", "id", "cents", "home"]].to_numpy(dtype="int64") for r in rows]
+        old = np.array([(*e, -1) for e in known], dtype="int64").reshape(-1, 4)
+        events = np.concatenate([old, *new])
+        events = events[np.lexsort((events[:, 1], events[:, 0]))]
+
+        at, home = events[:, 0], events[:, 3]
+        running = np.concatenate([[0], np.cumsum(events[:, 2])])
         here = np.arange(1, len(events) + 1)
         oldest = np.searchsorted(at, at - self.span, side="left")
-        events["trailing_count"] = here - oldest
-        events["trailing_cents"] = running[here] - running[oldest]
 
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
         # Rows behind the watermark no longer arrive, so older context is not needed.
-        self._remember(events[["at", "id", "cents"]][at >= watermark - self.span])
-        self._arm(int(at[-1]), watermark)
-
-        out = events[(events["fresh"] & events["home"]).to_numpy()]
-        yield pd.DataFrame(
-            {
-                "user_id": np.full(len(out), key[0], dtype="int64"),
-                "id": out["id"],
-                "at": out["at"],
-                "cents": out["cents"],
-                "trailing_count": out["trailing_count"],
-                "trailing_cents": out["trailing_cents"],
-            }
-        )
+        needed = at >= timerValues.getCurrentWatermarkInMs() * 1000 - self.span
+        kept = events[needed, :3].tolist()
+        if kept:
+            self.recent.put([tuple(e) for e in kept])
+        elif known:
+            self.recent.clear()
+
+        out = home == 1
+        if out.any():
+            yield pd.DataFrame(
+                {
+                    "user_id": np.full(out.sum(), key[0], dtype="int64"),
+                    "id": events[out, 1],
+                    "at": at[out],
+                    "cents": events[out, 2],
+                    "trailing_count": (here - oldest)[out],
+                    "trailing_cents": (running[here] - running[oldest])[out],
+                }
+            )
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expired = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        self.timer.clear()
-        left = [e for e in self.recent.get() if e[0] >= expired - self.span]
-        if left:
-            self.recent.put(left)
-            self._arm(max(e[0] for e in left), expired)
-        else:
-            self.recent.clear()
+        # The watermark has left the block: none of its rows can arrive any more.
+        self.recent.clear()
         return iter([])
 
     def close(self) -> None:
         pass
 
-    def _remember(self, events: pd.DataFrame) -> None:
-        if len(events):
-            self.recent.put([tuple(int(v) for v in row) for row in events.to_numpy()])
-        else:
-            self.recent.clear()
-
-    def _arm(self, newest: int, watermark: int) -> None:
-        """One clean-up timer per key, two spans after the newest event; it only
-        moves when the new time is more than one span later."""
-        due = max((newest + 2 * self.span) // 1000, watermark // 1000 + 1)
-        armed = self.timer.get() if self.timer.exists() else None
-        if armed is not None:
-            if due - armed[0] <= self.span // 1000:
-                return
-            self.handle.deleteTimer(armed[0])
-        self.handle.registerTimer(due)
-        self.timer.update((due,))
-
 
 def trailing_totals(
     df: DataFrame, key: str, ts: str, row_id: str, amount: str, span: int, block: int | None = None
@@ -130,9 +114,9 @@ def trailing_totals(
         F.col(row_id).cast("bigint").alias("id"),
         cents.alias("cents"),
     )
-    placed = placed.withColumn("home", F.col("block") == F.floor(F.col("at") / width))
+    placed = placed.withColumn("home", (F.col("block") == F.floor(F.col("at") / width)).cast("int"))
     return placed.groupBy("user_id", "block").transformWithStateInPandas(
-        TrailingTotals(span), TOTALS_SCHEMA, "Append", "EventTime"
+        TrailingTotals(span, width), TOTALS_SCHEMA, "Append", "EventTime"
     )
 
 
@@ -154,3 +138,49 @@ def user_alerts(
         (F.col("trailing_cents").cast("decimal(20,0)") / 100).cast("double").alias("trailing_total"),
     )
     return explode_alerts(rows, rules, "user_id", "ts", "event_id", "amount")
+
+
+class AlertBatches:
+    """Batch handler: alerts of each micro-batch, from built-in operators only.
+
+    The rows of the last span seconds before the watermark are written at the end
+    of each batch and read as context by the next one. All folders carry the batch
+    number, so a replayed batch reads and writes the same ones.
+    """
+
+    def __init__(self, path: str, rules: AlertRules = AlertRules(), disorder: Lateness = Lateness()):
+        self.path, self.rules, self.delay = path.rstrip("/"), rules, disorder.disorder
+
+    @property
+    def alerts(self) -> str:
+        return f"{self.path}/alerts"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.filter(F.col("user_id").isNotNull()).select("user_id", "ts", "event_id", "amount")
+        context = spark.createDataFrame([], rows.schema)
+        newest = None
+        if batch_id > 0:
+            context = spark.read.schema(rows.schema).parquet(f"{self.path}/context/batch={batch_id - 1}")
+            mark = spark.read.schema("newest BIGINT").json(f"{self.path}/marks/batch={batch_id - 1}")
+            newest = mark.first()[0]
+        at = micros(F.col("ts"))
+        if newest is not None:
+            # Rows behind the watermark have lost their context and are not judged.
+            rows = rows.filter(at >= newest - self.delay * SECOND)
+        both = context.withColumn("_fresh", F.lit(False)).unionByName(rows.withColumn("_fresh", F.lit(True)))
+        totals = trailing.trailing_totals(
+            both, "user_id", "ts", "event_id", "amount", self.rules.span_seconds, self.rules.block_seconds
+        )
+        found = explode_alerts(totals.filter("_fresh"), self.rules, "user_id", "ts", "event_id", "amount")
+        write_batch(found, self.alerts, batch_id)
+
+        top = rows.agg(F.max(at)).first()[0]
+        newest = max((v for v in (newest, top) if v is not None), default=None)
+        spark.createDataFrame([(newest,)], "newest BIGINT").write.mode("overwrite").json(
+            f"{self.path}/marks/batch={batch_id}"
+        )
+        keep: Column = F.lit(True)
+        if newest is not None:
+            keep = at >= newest - (self.delay + self.rules.span_seconds) * SECOND
+        write_batch(both.drop("_fresh").filter(keep), f"{self.path}/context", batch_id)
