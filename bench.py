@@ -42,7 +42,7 @@ HEADLINE = [
     "compact_zorder",
     "medallion_gold",
     "stream_tumbling",
-    "stream_fraud",
+    "stream_fraud_batches",
 ]
 
 

@@ -62,3 +62,8 @@ def micros(c: Column) -> Column:
 
 def seconds(n: int) -> Column:
     return F.expr(f"INTERVAL {int(n)} SECONDS")
+
+
+def floor_to(at: Column, width: int) -> Column:
+    """Start of the ``width``-wide slot a whole number falls into."""
+    return at - F.pmod(at, F.lit(width).cast("bigint"))

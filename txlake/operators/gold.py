@@ -54,7 +54,7 @@ def month_filter(column: Column, first: dt.date, following: dt.date) -> Column:
 def customer_month_stats(tx: DataFrame) -> DataFrame:
     """Per user and month: counts by type, totals, first and last day."""
     kind = F.col("tx_type")
-    return tx.groupBy("user_id", month_key(F.col("tx_date")).alias("stats_month")).agg(
+    stats = tx.groupBy("user_id", F.trunc("tx_date", "MM").alias("_month")).agg(
         F.count(F.lit(1)).alias("total_tx_count"),
         exact_sum("amount").alias("total_amount"),
         exact_avg("amount").alias("avg_amount"),
@@ -65,6 +65,8 @@ def customer_month_stats(tx: DataFrame) -> DataFrame:
         F.min("tx_date").alias("first_tx_date"),
         F.max("tx_date").alias("last_tx_date"),
     )
+    # Text only after grouping: days group as numbers.
+    return stats.select("user_id", month_key(F.col("_month")).alias("stats_month"), *stats.columns[2:])
 
 
 def fee_settlement(tx: DataFrame, fees: FeeRates = FeeRates(), by: tuple[str, ...] = ()) -> DataFrame:

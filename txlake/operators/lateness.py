@@ -15,12 +15,14 @@ on the rows. Every row is then compared with the closing moment of its window.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from txlake.functions.times import micros, seconds
+from txlake.functions.times import floor_to, micros, seconds
 from txlake.operators.windows import RESULT_COLUMNS, measures
 
 SECOND = 1_000_000
@@ -40,7 +42,7 @@ class Lateness:
 
 def _grid_end(at: Column, slide: int) -> Column:
     """End, in seconds, of the first window (on a grid of ``slide``) that ends after ``at``."""
-    return (F.floor(at / (slide * SECOND)) + 1) * slide
+    return (floor_to(at, slide * SECOND) / SECOND).cast("bigint") + slide
 
 
 def closing_moments(
@@ -54,7 +56,7 @@ def closing_moments(
     """
     at = micros(F.col(ts))
     # Largest grid point that a row with this event time closes.
-    closes = F.floor((at - delay * SECOND) / (slide * SECOND)) * slide
+    closes = _grid_end(at - delay * SECOND, slide) - slide
     rows = df.select(
         F.col(partition).cast("int").alias("_p"),
         F.col(arrival).alias("_arrival"),
@@ -98,24 +100,28 @@ def mark_late(
     arrival: str,
     partition: str,
     partitions: int,
-    width: int,
-    slide: int | None = None,
+    paths: dict[str, tuple[int, int]],
     rule: Lateness = Lateness(),
 ) -> DataFrame:
-    """Adds ``is_late``: every window of the row was closed when it arrived.
+    """Adds ``late_for``: the window paths, out of ``paths`` (name -> width and
+    slide), for which every window of the row was closed when it arrived.
 
-    ``arrival`` is a number that grows with arrival time (an offset or time).
+    ``arrival`` is a number that grows with arrival time (an offset or time). The
+    closing moments are found once, on a grid that all window ends lie on.
     """
-    slide = slide or width
-    # The last window a row belongs to starts at its own grid point.
-    last_end = _grid_end(micros(F.col(ts)), slide) - slide + width
-    moments = closing_moments(df, ts, arrival, partition, partitions, width, slide, rule.closing_delay)
-    return (
-        df.withColumn("window_end_s", last_end)
-        .join(moments, "window_end_s", "left")
-        .withColumn("is_late", F.coalesce(F.col("closed_at") < F.col(arrival), F.lit(False)))
-        .drop("closed_at", "window_end_s")
-    )
+    grid = reduce(gcd, [n for pair in paths.values() for n in pair])
+    widest = max(width for width, _ in paths.values())
+    moments = closing_moments(df, ts, arrival, partition, partitions, widest, grid, rule.closing_delay)
+    at, out, late = micros(F.col(ts)), df, []
+    for name, (width, slide) in paths.items():
+        # The last window a row belongs to starts at its own grid point.
+        last_end = _grid_end(at, slide) - slide + width
+        closed = moments.select(F.col("window_end_s").alias("_end"), F.col("closed_at").alias("_closed"))
+        out = out.withColumn("_end", last_end).join(closed, "_end", "left")
+        out = out.withColumn(f"_late_{name}", F.coalesce(F.col("_closed") < F.col(arrival), F.lit(False)))
+        out = out.drop("_end", "_closed")
+        late.append(F.when(F.col(f"_late_{name}"), F.lit(name)))
+    return out.withColumn("late_for", F.array_compact(F.array(*late))).drop(*[f"_late_{n}" for n in paths])
 
 
 def windows_without_late(
@@ -156,11 +162,7 @@ def windows_without_late(
     )
 
 
-def dead_letters(marked: dict[str, DataFrame]) -> DataFrame:
-    """Late rows of several window paths as one relation; a row that is late for
-    two paths appears twice, with the path as its reason."""
-    out = None
-    for path, df in marked.items():
-        late = df.filter("is_late").drop("is_late").withColumn("late_for", F.lit(path))
-        out = late if out is None else out.unionByName(late)
-    return out
+def dead_letters(marked: DataFrame) -> DataFrame:
+    """Late rows of all window paths as one relation; a row that is late for two
+    paths appears twice, with the path as its reason."""
+    return marked.withColumn("late_for", F.explode("late_for"))

@@ -190,15 +190,23 @@ def evaluate(
         ]
         return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
-    flags = F.col("warning_violations")
-    return (
-        out.withColumn("critical_violations", ids("critical"))
-        .withColumn("warning_violations", ids("warning"))
-        .withColumn("is_quarantined", F.size("critical_violations") > 0)
-        .withColumn("is_anomaly", F.size(flags) > 0)
-        .withColumn("quality_flags", F.when(F.size(flags) > 0, F.array_join(flags, ",")))
-        .drop(*[f"_v_{r['id']}" for r in rules])
-    )
+    def any_of(severity: str) -> Column:
+        found = F.lit(False)
+        for r in rules:
+            if r["severity"] == severity:
+                found = found | F.col(f"_v_{r['id']}")
+        return found
+
+    odd = any_of("warning")
+    return out.withColumns(
+        {
+            "critical_violations": ids("critical"),
+            "warning_violations": ids("warning"),
+            "is_quarantined": any_of("critical"),
+            "is_anomaly": odd,
+            "quality_flags": F.when(odd, F.array_join(ids("warning"), ",")),
+        }
+    ).drop(*[f"_v_{r['id']}" for r in rules])
 
 
 def clean_rows(evaluated: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,23 +135,32 @@ def fan_in(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def validation_errors(schema: T.StructType = schemas.STANDARD_EVENT) -> Column:
-    """Array of what is wrong with a row of text values, empty for a good row."""
-    checks = []
+def _violations(schema: T.StructType) -> dict[str, Column]:
+    """Name of each possible defect and the condition under which a row has it."""
+    found = {}
     for f in schema:
         text = F.col(f.name)
         if not f.nullable:
-            checks.append(F.when(text.isNull(), F.lit(f"missing:{f.name}")))
+            found[f"missing:{f.name}"] = text.isNull()
         if not isinstance(f.dataType, T.StringType):
-            bad = text.isNotNull() & text.try_cast(f.dataType).isNull()
-            checks.append(F.when(bad, F.lit(f"type:{f.name}")))
-    return F.array_compact(F.array(*checks))
+            found[f"type:{f.name}"] = text.isNotNull() & text.try_cast(f.dataType).isNull()
+    return found
+
+
+def validation_errors(schema: T.StructType = schemas.STANDARD_EVENT) -> Column:
+    """Array of what is wrong with a row of text values, empty for a good row."""
+    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in _violations(schema).items()]))
 
 
 def validate(df: DataFrame, schema: T.StructType = schemas.STANDARD_EVENT) -> DataFrame:
-    """Adds ``validation_errors`` and ``validation_status``; row count unchanged."""
+    """Adds ``validation_errors`` and ``validation_status``; row count unchanged.
+
+    The status is a plain boolean expression, so a filter on it does not build the
+    array of reasons.
+    """
+    bad = reduce(lambda a, b: a | b, _violations(schema).values())
     return df.withColumn("validation_errors", validation_errors(schema)).withColumn(
-        "validation_status", F.when(F.size("validation_errors") == 0, "valid").otherwise("invalid")
+        "validation_status", F.when(bad, "invalid").otherwise("valid")
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from txlake.functions.money import money
-from txlake.functions.times import micros
+from txlake.functions.times import floor_to, micros
 
 SECOND = 1_000_000
 
@@ -38,28 +38,24 @@ def trailing_totals(
     width = (block or 10 * span) * SECOND
     if width < span * SECOND:
         raise ValueError("a block must not be shorter than the trailing span")
-    at = micros(F.col(ts))
-    home = F.floor(F.col("_at") / width)
-    is_context = F.col("_block") != home
-    near_end = F.col("_at") >= (home + 1) * width - span * SECOND
-    blocks = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
-    value = money(F.coalesce(F.col(amount), F.lit(0.0)))
+    home = floor_to(F.col("_at"), width)
+    near_end = F.col("_at") >= home + (width - span * SECOND)
+    blocks = F.when(near_end, F.array(home, home + width)).otherwise(F.array(home))
+    cents = (money(F.coalesce(F.col(amount), F.lit(0.0))) * 100).cast("bigint")
 
     placed = (
-        df.withColumn("_at", at).withColumn("_value", value).withColumn("_block", F.explode(blocks))
+        df.withColumns({"_at": micros(F.col(ts)), "_cents": cents})
+        .withColumn("_block", F.explode(blocks))
     )
-    in_order = Window.partitionBy(key, "_block").orderBy("_at", row_id)
-    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    expired = (
-        Window.partitionBy(key, "_block")
-        .orderBy("_at")
-        .rangeBetween(Window.unboundedPreceding, -(span * SECOND) - 1)
+    in_block = Window.partitionBy(key, "_block")
+    so_far = in_block.orderBy("_at", row_id).rowsBetween(Window.unboundedPreceding, 0)
+    expired = in_block.orderBy("_at").rangeBetween(
+        Window.unboundedPreceding, -(span * SECOND) - 1
     )
     count = F.count(F.lit(1)).over(so_far) - F.count(F.lit(1)).over(expired)
-    total = F.sum("_value").over(so_far) - F.coalesce(F.sum("_value").over(expired), F.lit(0))
+    total = F.sum("_cents").over(so_far) - F.coalesce(F.sum("_cents").over(expired), F.lit(0))
     return (
-        placed.withColumn("trailing_count", count)
-        .withColumn("trailing_total", total.cast("double"))
-        .filter(~is_context)
-        .drop("_at", "_value", "_block")
+        placed.withColumns({"trailing_count": count, "trailing_total": total / 100})
+        .filter(F.col("_block") == home)
+        .drop("_at", "_cents", "_block")
     )

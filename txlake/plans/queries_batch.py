@@ -346,11 +346,8 @@ SELECT event_id, tx_type, user_id, amount, ts, 'sliding' FROM marked
 WHERE time_bucket(INTERVAL 60 SECOND, ts) + INTERVAL 300 SECOND <= passed""",
 )
 def late_split_dlq(spark, folder):
-    rows = arrivals(spark, folder)
-    marked = {
-        "tumbling": lateness.mark_late(rows, "ts", "arrival", "topic_partition", 4, 300),
-        "sliding": lateness.mark_late(rows, "ts", "arrival", "topic_partition", 4, 300, 60),
-    }
+    paths = {"tumbling": (300, 300), "sliding": (300, 60)}
+    marked = lateness.mark_late(arrivals(spark, folder), "ts", "arrival", "topic_partition", 4, paths)
     late = lateness.dead_letters(marked)
     return late.select("event_id", "tx_type", "user_id", "amount", "ts", "late_for")
 

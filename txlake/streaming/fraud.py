@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from txlake.functions.money import money
-from txlake.functions.times import micros
+from txlake.functions.times import floor_to, micros
 from txlake.operators import trailing
 from txlake.operators.fraud import AlertRules, explode_alerts
 from txlake.operators.lateness import Lateness
@@ -54,7 +54,7 @@ class TrailingTotals(StatefulProcessor):
         known = list(self.recent.get())
         if not known:
             # One clean-up timer per key, two spans after the block has ended.
-            self.handle.registerTimer(((key[1] + 1) * self.width + 2 * self.span) // 1000)
+            self.handle.registerTimer((key[1] + self.width + 2 * self.span) // 1000)
         new = [r[["at", "id", "cents", "home"]].to_numpy(dtype="int64") for r in rows]
         old = np.array([(*e, -1) for e in known], dtype="int64").reshape(-1, 4)
         events = np.concatenate([old, *new])
@@ -102,9 +102,9 @@ def trailing_totals(
     watermark on ``ts``."""
     width = (block or 10 * span) * SECOND
     at = micros(F.col(ts))
-    home = F.floor(at / width)
-    near_end = at >= (home + 1) * width - span * SECOND
-    blocks = F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home))
+    home = floor_to(at, width)
+    near_end = at >= home + (width - span * SECOND)
+    blocks = F.when(near_end, F.array(home, home + width)).otherwise(F.array(home))
     cents = (money(F.coalesce(F.col(amount), F.lit(0.0))) * 100).cast("bigint")
     placed = df.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("user_id"),
@@ -114,7 +114,7 @@ def trailing_totals(
         F.col(row_id).cast("bigint").alias("id"),
         cents.alias("cents"),
     )
-    placed = placed.withColumn("home", (F.col("block") == F.floor(F.col("at") / width)).cast("int"))
+    placed = placed.withColumn("home", (F.col("block") == floor_to(F.col("at"), width)).cast("int"))
     return placed.groupBy("user_id", "block").transformWithStateInPandas(
         TrailingTotals(span, width), TOTALS_SCHEMA, "Append", "EventTime"
     )
