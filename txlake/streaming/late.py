@@ -20,7 +20,12 @@ SECOND = 1_000_000
 
 
 class LateSplit:
-    """Batch handler that writes ``on_time``, ``dead_letters`` and the ledger."""
+    """Batch handler that writes ``on_time``, ``dead_letters`` and the ledger.
+
+    On-time rows carry ``late_for`` too: a row may be late for the tumbling path
+    and still have open sliding windows, so each path takes the rows that do not
+    name it.
+    """
 
     def __init__(
         self,
@@ -62,13 +67,13 @@ class LateSplit:
             last_end = (_grid_end(at, slide) - slide + width) * SECOND
             return F.coalesce(last_end <= F.lit(passed), F.lit(False))
 
-        tumbling = is_late(self.width, self.width)
-        letters = batch.filter(tumbling).withColumn("late_for", F.lit("tumbling"))
+        paths = {"tumbling": (self.width, self.width)}
         if self.slide:
-            sliding = batch.filter(is_late(self.width, self.slide))
-            letters = letters.unionByName(sliding.withColumn("late_for", F.lit("sliding")))
-        write_batch(letters, self.dead_letters, batch_id)
-        write_batch(batch.filter(~tumbling), self.on_time, batch_id)
+            paths["sliding"] = (self.width, self.slide)
+        late = [F.when(is_late(*pair), F.lit(name)) for name, pair in paths.items()]
+        marked = batch.withColumn("late_for", F.array_compact(F.array(*late)))
+        write_batch(marked.withColumn("late_for", F.explode("late_for")), self.dead_letters, batch_id)
+        write_batch(marked.filter(F.size("late_for") < len(paths)), self.on_time, batch_id)
 
         seen = batch.groupBy(part.cast("string").alias("part")).agg(F.max(at).alias("newest"))
         now = before.unionByName(seen).groupBy("part").agg(F.max("newest").alias("newest"))
