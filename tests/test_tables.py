@@ -226,20 +226,26 @@ def test_streamed_changes_and_replay(spark, root):
     )
     rows = decode_changes(feed, schemas.CDC_ROW)
     assert rows.count() == 4
-    target = VersionedTable(spark, f"{root}/state")
-    handler = ApplyChanges(target, ["settlement_id"], ["__source_ts_ms", "_offset"], F.lit(dt.datetime(2024, 1, 1)))
-    handler(rows.filter("_offset < 2"), 0)
-    handler(rows.filter("_offset >= 2"), 1)
-    handler(rows.filter("_offset < 2"), 0)  # replays are ignored
-    handler(rows.filter("_offset >= 2"), 1)
-    got = {(r.settlement_id, r.status, r["__deleted"]) for r in target.read().collect()}
-    assert got == {(1, "DONE", "false"), (2, "PENDING", "true")}
-    assert target.latest_version() == 1
-
-
-def test_serving_views_replay(spark, root):
-    lake = Lake(spark, root)
-    handler = ServingViews(lake, f"{root}/alerts", recent=3)
+    for fold_every in (50, 1):
+        target = VersionedTable(spark, f"{root}/state{fold_every}")
+        order = ["__source_ts_ms", "_offset"]
+        handler = ApplyChanges(target, ["settlement_id"], order, F.lit(dt.datetime(2024, 1, 1)), fold_every=fold_every)
+        handler(rows.filter("_offset < 2"), 0)
+        assert {(r.settlement_id, r.status) for r in handler.state().collect()} == {(1, "PENDING"), (2, "PENDING")}
+        handler(rows.filter("_offset >= 2"), 1)
+        handler(rows.filter("_offset >= 2"), 1)  # a replay changes nothing
+        got = {(r.settlement_id, r.status, r["__deleted"]) for r in handler.state().collect()}
+        assert got == {(1, "DONE", "false"), (2, "PENDING", "true")}
+        assert handler.view.folded() == (1 if fold_every == 1 else -1)
+        if fold_every == 1:
+            assert handler.view.clean() == 2 and handler.state().count() == 2
+            assert set(handler.state().columns) >= {"__deleted", "_cdc_ingested_at"}
+            assert not {"_batch", "_applied_at"} & set(handler.state().columns)
+
+
+@pytest.mark.parametrize("fold_every", [50, 2])
+def test_serving_views_replay(spark, root, fold_every):
+    handler = ServingViews(Lake(spark, root), recent=3, fold_every=fold_every)
 
     def batch(*rows):
         return spark.createDataFrame(list(rows), "alert_id STRING, user_id BIGINT, detected_at STRING")
@@ -248,10 +254,9 @@ def test_serving_views_replay(spark, root):
     two = batch(("a3", 1, "2024-01-01T00:00:03Z"), ("a4", 1, "2024-01-01T00:00:04Z"))
     for b, n in [(one, 0), (two, 1), (two, 1)]:
         handler(b, n)
-    view = {n: lake.table(f"serving/{n}").read() for n in ["latest", "recent", "count"]}
-    assert {r.alert_id for r in view["latest"].collect()} == {"a2", "a4"}
-    assert {r.alert_id for r in view["recent"].collect()} == {"a2", "a3", "a4"}
-    assert {(r.user_id, r.alert_count) for r in view["count"].collect()} == {(1, 3), (2, 1)}
+    assert {r.alert_id for r in handler.latest.read().collect()} == {"a2", "a4"}
+    assert {r.alert_id for r in handler.recent.read().collect()} == {"a2", "a3", "a4"}
+    assert {(r.user_id, r.alert_count) for r in handler.count.read().collect()} == {(1, 3), (2, 1)}
 
 
 def test_scratch_is_below_the_shared_root(spark):

@@ -35,12 +35,15 @@ def split(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return changes.filter(~is_delete()), changes.filter(is_delete())
 
 
-def net_changes(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def net_changes(
+    changes: DataFrame, keys: list[str], order: list[str], of_last: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per key: the last image in ``order`` and whether the key ends deleted.
 
     A delete often carries no more than the key, so the image comes from the last
-    row that is not a delete and only falls back to the delete's own image.
-    Aggregation combines per task, so a key with very many changes stays cheap.
+    row that is not a delete and only falls back to the delete's own image; the
+    ``of_last`` columns always come from the last change. Aggregation combines per
+    task, so a key with very many changes stays cheap.
     """
     columns = [c for c in changes.columns if c not in keys]
     at = F.struct(*order)
@@ -53,7 +56,11 @@ def net_changes(changes: DataFrame, keys: list[str], order: list[str]) -> DataFr
     ends_deleted = F.coalesce(F.col("_last.__deleted") == "true", F.lit(False))
     return out.select(
         *keys,
-        *[F.coalesce(F.col("_image"), F.col("_last"))[c].alias(c) for c in columns if c != "__deleted"],
+        *[
+            (F.col("_last") if c in of_last else F.coalesce("_image", "_last"))[c].alias(c)
+            for c in columns
+            if c != "__deleted"
+        ],
         F.when(ends_deleted, "true").otherwise("false").alias("__deleted"),
         F.col("_image").isNotNull().alias("_has_image"),
     )
@@ -66,15 +73,17 @@ def apply_changes(
     order: list[str],
     applied_at: Column,
     hard_delete: bool = False,
+    extras: tuple[str, ...] = (),
 ) -> DataFrame:
     """State of a table after a batch of changes, with last-change-wins.
 
     Soft delete keeps the row, sets ``__deleted`` and the apply time. A delete of
     a key that was never seen changes nothing. ``order`` must tell the changes
-    of one key apart, for instance by source time and offset.
+    of one key apart, for instance by source time and offset. ``extras`` are
+    columns of the changes that do not belong to the table.
     """
-    net = net_changes(changes, keys, order).withColumn("_cdc_ingested_at", applied_at)
-    columns = [c for c in net.columns if c != "_has_image"]
+    net = net_changes(changes, keys, order, extras).withColumn("_cdc_ingested_at", applied_at)
+    columns = [c for c in net.columns if c not in ("_has_image", *extras)]
     deleted = F.col("__deleted") == "true"
     if current is None:
         fresh = net.filter(F.col("_has_image")).select(*columns)

@@ -67,10 +67,13 @@ def topic_to_bronze(topic: DataFrame, first: dt.date, until: dt.date, now: Colum
 
 
 def load_bronze(lake: Lake, rows: DataFrame, first: dt.date, until: dt.date, keys: list[str]) -> int:
-    """Insert-only merge: rows that are there already stay as they are."""
+    """Insert-only merge: rows that are there already stay as they are.
+
+    A topic position occurs once in a read, so the input needs no de-duplication.
+    """
     day = F.col("ingest_date")
     touched = (day >= F.lit(first)) & (day < F.lit(until))
-    return lake.table("bronze").insert_new(rows, keys, ["ingest_date"], touched)
+    return lake.table("bronze").insert_new(rows, keys, ["ingest_date"], touched, distinct=True)
 
 
 def parse_silver(bronze: DataFrame, default_currency: str) -> DataFrame:
@@ -88,7 +91,7 @@ def parse_silver(bronze: DataFrame, default_currency: str) -> DataFrame:
         "event.status",
         times.event_time(F.col("event.timestamp")).alias("event_timestamp"),
         F.col("event.source").alias("source_system"),
-        *[c for c in schemas.BRONZE.names if c not in ("kafka_key", "ingest_timestamp")],
+        *[c for c in schemas.BRONZE.names if c != "ingest_timestamp"],
     ).withColumns(
         {
             "tx_date": F.to_date("event_timestamp"),
@@ -107,7 +110,7 @@ def build_silver(lake: Lake, first: dt.date, until: dt.date, settings: Settings)
         parsed,
         settings.rules,
         settings.as_of,
-        ["kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_value"],
+        ["kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_key"],
     )
     staged = lake.table("staging/checked")
     staged.overwrite(checked, ["is_quarantined"])

@@ -154,9 +154,9 @@ def _serving(spark, folder, view):
     sinks.drain(sinks.to_batches(rows, judge, f"{lake.root}/checkpoint-judge", every=None))
     schema = spark.read.parquet(f"{judge.alerts}/batch=0").schema
     alerts = spark.readStream.schema(schema).parquet(f"{judge.alerts}/batch=*")
-    handler = ServingViews(lake, f"{lake.root}/alerts")
+    handler = ServingViews(lake)
     sinks.drain(sinks.to_batches(alerts, handler, f"{lake.root}/checkpoint", every=None))
-    return lake.table(f"serving/{view}").read()
+    return getattr(handler, view).read()
 
 
 @query(
@@ -167,6 +167,15 @@ def stream_serving_count(spark, folder):
     return _serving(spark, folder, "count")
 
 
+@query(
+    "stream_serving_latest",
+    f"""WITH {TX_SQL}, {ALERTS_SQL} SELECT * FROM alerts
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY detected_at DESC, alert_id DESC) = 1""",
+)
+def stream_serving_latest(spark, folder):
+    return _serving(spark, folder, "latest")
+
+
 @query(
     "stream_serving_recent",
     f"WITH {TX_SQL}, {ALERTS_SQL} SELECT * FROM alerts ORDER BY detected_at DESC, alert_id DESC LIMIT 100",
@@ -185,4 +194,4 @@ def stream_cdc(spark, folder):
     at = F.lit(dt.datetime(2024, 1, 1))
     handler = ApplyChanges(target, ["settlement_id"], ["__source_ts_ms", "__op"], at)
     sinks.drain(sinks.to_batches(feed, handler, scratch(spark, "cdc-checkpoint"), every=None))
-    return target.read().select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")
+    return handler.state().select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")

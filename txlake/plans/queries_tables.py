@@ -511,7 +511,7 @@ def jsonl_bronze(spark, folder):
     bronze = VersionedTable(spark, scratch(spark, "bronze"))
     for _ in range(2):
         rows = files.json_lines_bronze(spark, path, "events.ingested", dt.date(2024, 1, 1), _at())
-        bronze.insert_new(rows, files.FILE_BRONZE_KEYS, ["ingest_date"])
+        bronze.insert_new(rows, files.FILE_BRONZE_KEYS, ["ingest_date"], distinct=True)
     kind = F.get_json_object("kafka_value", "$.event_type").alias("event_type")
     return bronze.read().groupBy(kind).agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("kafka_offset").alias("distinct_offsets")

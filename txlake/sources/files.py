@@ -73,19 +73,19 @@ def api_payments(
 def json_lines_bronze(
     spark: SparkSession, path: str, topic: str, ingest_date: dt.date | str, ingest_time: Column
 ) -> DataFrame:
-    """JSON lines dressed as bronze rows, with offsets that survive a re-run.
+    """JSON lines dressed as bronze rows, with an identity that survives a re-run.
 
-    Offset = hash of (file name, line, number of the copy among equal lines of
-    that file). Two different lines may share a hash in a very large load, so
-    merges of file-based bronze rows use ``FILE_BRONZE_KEYS``, which include the
-    line itself.
+    A line is identified by its file, its text and its number among the equal
+    lines of that file: ``kafka_key`` holds file and number, ``kafka_offset`` a
+    hash of all three. Hashes may collide in a very large load, so merges of
+    file-based bronze rows use ``FILE_BRONZE_KEYS``.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     counted = lines.groupBy("file", "value").agg(F.count(F.lit(1)).alias("copies"))
     numbered = _number_copies(counted, ["file", "value"])
     day = F.lit(str(ingest_date)).cast("date")
     return numbered.select(
-        F.lit(None).cast("string").alias("kafka_key"),
+        F.concat_ws("#", "file", "copy").alias("kafka_key"),
         F.col("value").alias("kafka_value"),
         F.lit(topic).alias("kafka_topic"),
         F.lit(0).alias("kafka_partition"),
@@ -96,7 +96,7 @@ def json_lines_bronze(
     )
 
 
-FILE_BRONZE_KEYS = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_value"]
+FILE_BRONZE_KEYS = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_key", "kafka_value"]
 
 COPIES_PER_TASK_ROW = 10_000
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -102,10 +103,11 @@ class VersionedTable:
 
     def version_at(self, timestamp_ms: int) -> int:
         """Newest version committed at or before a point in time."""
-        found = [v for v in self._versions() if self._load(v).timestamp_ms <= timestamp_ms]
-        if not found:
+        versions = self._versions()
+        newer = bisect_right(versions, timestamp_ms, key=lambda v: self._load(v).timestamp_ms)
+        if newer == 0:
             raise ValueError(f"{self.path} has no version as of {timestamp_ms}")
-        return found[-1]
+        return versions[newer - 1]
 
     def history(self, limit: int | None = None) -> DataFrame:
         """One row per version, newest first."""
@@ -200,16 +202,16 @@ class VersionedTable:
         partition_by: list[str] | None = None,
         operation: str = "OVERWRITE",
         spread: bool = True,
+        metrics: dict[str, int] | None = None,
     ) -> int:
-        """Replace everything, schema included."""
+        """Replace everything, schema included. ``metrics`` are noted with the version."""
         base = self._load() if self.exists() else None
         parts = partition_by if partition_by is not None else (base.partition_by if base else [])
         commit, names, rows = self._write(df, parts, spread)
         folders = {n: [commit] for n in names}
+        noted = {"rows_written": rows} | (metrics or {})
         return self._commit(
-            self._next(
-                base, operation, _nullable(df.schema), parts, folders, {"rows_written": rows}, {commit: len(names)}
-            )
+            self._next(base, operation, _nullable(df.schema), parts, folders, noted, {commit: len(names)})
         )
 
     def append(self, df: DataFrame, partition_by: list[str] | None = None, merge_schema: bool = False) -> int:
@@ -302,18 +304,18 @@ class VersionedTable:
         keys: list[str],
         partition_by: list[str] | None = None,
         touched: Column | None = None,
+        distinct: bool = False,
     ) -> int:
         """Insert-only merge: rows whose key is not there yet. ``touched`` is a
-        predicate on partition columns that holds for every possible match."""
+        predicate on partition columns that holds for every possible match;
+        ``distinct`` says that no key occurs twice in ``df``, which saves a shuffle."""
+        if not distinct:
+            df = df.dropDuplicates(keys)
         if not self.exists():
-            return self.overwrite(df.dropDuplicates(keys), partition_by, operation="CREATE")
+            return self.overwrite(df, partition_by, operation="CREATE")
         base = self._load()
         target = self._frame(base, self._matching(base, touched)).select(*keys)
-        fresh = (
-            df.dropDuplicates(keys)
-            .alias("s")
-            .join(target.alias("t"), null_safe_equal("s", "t", keys), "left_anti")
-        )
+        fresh = df.alias("s").join(target.alias("t"), null_safe_equal("s", "t", keys), "left_anti")
         return self.append(fresh)
 
     def upsert(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from txlake.operators.cdc import apply_changes
 from txlake.sources.files import decode_json
 from txlake.sources.versioned import VersionedTable
-from txlake.streaming.sinks import batch_applied, batch_name
+from txlake.streaming.sinks import MergedView
 
 
 def decode_changes(topic: DataFrame, schema) -> DataFrame:
@@ -21,7 +21,11 @@ def decode_changes(topic: DataFrame, schema) -> DataFrame:
 
 
 class ApplyChanges:
-    """Batch handler: last change wins, deletes become flags (or go, on request)."""
+    """Batch handler: last change wins, deletes become flags (or go, on request).
+
+    A batch only writes its own changes; ``state`` applies the changes since the
+    last fold to the folded table. Later batches win over earlier ones.
+    """
 
     def __init__(
         self,
@@ -30,14 +34,20 @@ class ApplyChanges:
         order: list[str],
         applied_at: Column | None = None,
         hard_delete: bool = False,
+        fold_every: int = 50,
     ):
-        self.table, self.keys, self.order = table, keys, order
-        self.applied_at, self.hard_delete = applied_at, hard_delete
+        self.applied_at = applied_at
+
+        def combine(base: DataFrame | None, changes: DataFrame) -> DataFrame:
+            rows = changes.withColumn("_batch", F.col("batch").cast("bigint")).drop("batch")
+            order_all, extras = ["_batch", *order], ("_batch", "_applied_at")
+            return apply_changes(base, rows, keys, order_all, F.col("_applied_at"), hard_delete, extras)
+
+        self.view = MergedView(table, combine, fold_every)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_applied(self.table, batch_id) or batch.isEmpty():
-            return
-        current = self.table.read() if self.table.exists() else None
         at = F.current_timestamp() if self.applied_at is None else self.applied_at
-        state = apply_changes(current, batch, self.keys, self.order, at, self.hard_delete)
-        self.table.overwrite(state, operation=batch_name(batch_id))
+        self.view.add(batch.withColumn("_applied_at", at), batch_id)
+
+    def state(self) -> DataFrame:
+        return self.view.read()

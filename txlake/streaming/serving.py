@@ -7,39 +7,33 @@ from pyspark.sql import functions as F
 
 from txlake.operators import latest
 from txlake.plans.medallion import Lake
-from txlake.streaming.sinks import batch_applied, batch_name, write_batch
+from txlake.streaming.sinks import MergedView, write_batch
 
 
 class ServingViews:
-    """Batch handler: alert table plus latest per user, count per user, newest 100.
+    """Batch handler: alert table plus latest per user, count per user, newest 100."""
 
-    Every view remembers the last batch it took in, so a replay changes nothing.
-    """
+    def __init__(self, lake: Lake, recent: int = 100, fold_every: int = 50):
+        self.alerts = f"{lake.root}/alerts"
+        self.limit = recent
 
-    def __init__(self, lake: Lake, alerts_path: str, recent: int = 100):
-        self.lake, self.alerts_path, self.recent = lake, alerts_path, recent
+        def view(name, combine) -> MergedView:
+            return MergedView(lake.table(f"serving/{name}"), combine, fold_every)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, self.alerts_path, batch_id)
-        alerts = batch.sparkSession.read.schema(batch.schema).parquet(
-            f"{self.alerts_path}/batch={batch_id}"
-        )
-
-        def refreshed(name: str, combine) -> None:
-            view = self.lake.table(f"serving/{name}")
-            if batch_applied(view, batch_id):
-                return
-            old = view.read() if view.exists() else None
-            view.overwrite(combine(old), [], operation=batch_name(batch_id))
+        def together(base: DataFrame | None, parts: DataFrame) -> DataFrame:
+            parts = parts.drop("batch")
+            return parts if base is None else base.unionByName(parts)
 
-        def with_old(old, new):
-            return new if old is None else old.unionByName(new)
+        def added(base, parts):
+            return together(base, parts).groupBy("user_id").agg(F.sum("alert_count").alias("alert_count"))
 
-        refreshed("latest", lambda old: latest.latest_alert_per_user(with_old(old, alerts)))
-        refreshed("recent", lambda old: latest.most_recent(with_old(old, alerts), self.recent))
+        self.latest = view("latest", lambda b, p: latest.latest_alert_per_user(together(b, p)))
+        self.recent = view("recent", lambda b, p: latest.most_recent(together(b, p), recent))
+        self.count = view("count", added)
 
-        def added(old):
-            counts = with_old(old, latest.alert_count_per_user(alerts))
-            return counts.groupBy("user_id").agg(F.sum("alert_count").alias("alert_count"))
-
-        refreshed("count", added)
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, self.alerts, batch_id)
+        alerts = batch.sparkSession.read.schema(batch.schema).parquet(f"{self.alerts}/batch={batch_id}")
+        self.latest.add(latest.latest_alert_per_user(alerts), batch_id)
+        self.recent.add(latest.most_recent(alerts, self.limit), batch_id)
+        self.count.add(latest.alert_count_per_user(alerts), batch_id)

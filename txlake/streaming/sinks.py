@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from txlake.sources import fs
 from txlake.sources.versioned import VersionedTable
 
 
@@ -60,13 +61,57 @@ def drain(*queries: StreamingQuery, timeout: int = 3600) -> None:
             raise TimeoutError(f"stream {q.id} did not end within {timeout} s")
 
 
-def batch_applied(table: VersionedTable, batch_id: int) -> bool:
-    """Was this micro-batch committed to the table before (a replay)?"""
-    if not table.exists():
-        return False
-    operation = table._load().operation
-    return operation.startswith("BATCH ") and int(operation.split()[1]) >= batch_id
-
-
-def batch_name(batch_id: int) -> str:
-    return f"BATCH {batch_id}"
+class MergedView:
+    """A keyed view that a stream keeps up to date at the cost of its batches.
+
+    Each micro-batch adds one small folder (a replay overwrites it). Reading
+    combines the last folded version with the folders after it; every
+    ``fold_every`` batches the combination becomes the new version, so neither a
+    batch nor a read works through the whole history.
+    """
+
+    def __init__(
+        self,
+        table: VersionedTable,
+        combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+        fold_every: int = 50,
+    ):
+        self.table, self.combine, self.fold_every = table, combine, fold_every
+        self._parts = f"{table.path}/batches"
+
+    def add(self, part: DataFrame, batch_id: int) -> None:
+        if batch_id <= self.folded():
+            return
+        write_batch(part, self._parts, batch_id)
+        if (batch_id + 1) % self.fold_every == 0:
+            self.fold(batch_id)
+
+    def folded(self) -> int:
+        """Last batch that is part of the folded version, -1 before the first."""
+        return self.table._load().metrics["batch"] if self.table.exists() else -1
+
+    def pending(self) -> list[int]:
+        spark = self.table.spark
+        names = fs.folders(spark, self._parts, 1) if fs.exists(spark, self._parts) else []
+        return sorted(n for n in (int(name.split("=")[1]) for name in names) if n > self.folded())
+
+    def read(self) -> DataFrame:
+        base = self.table.read() if self.table.exists() else None
+        waiting = self.pending()
+        if not waiting:
+            if base is None:
+                raise FileNotFoundError(f"no batch has reached {self.table.path}")
+            return base
+        paths = [f"{self._parts}/batch={n}" for n in waiting]
+        return self.combine(base, self.table.spark.read.option("basePath", self._parts).parquet(*paths))
+
+    def fold(self, batch_id: int) -> None:
+        self.table.overwrite(self.read(), operation="FOLD", metrics={"batch": batch_id})
+
+    def clean(self) -> int:
+        """Delete batch folders that a folded version contains."""
+        spark, done = self.table.spark, self.folded()
+        old = [n for n in fs.folders(spark, self._parts, 1) if int(n.split("=")[1]) <= done]
+        for name in old:
+            fs.delete_folder(spark, f"{self._parts}/{name}")
+        return len(old)
