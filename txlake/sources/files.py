@@ -124,7 +124,9 @@ def decode_json(df: DataFrame, value: Column, schema: T.StructType, into: str =
     """Bytes or text -> typed struct; unknown properties are ignored.
 
     ``_corrupt`` holds the text of documents that do not fit the schema, so the
-    caller can route them; a null value (tombstone) gives a null struct.
+    caller can route them; a null value (tombstone) gives a null struct. Select
+    the fields of ``schema`` from the struct: it also carries the reject text, so
+    that a document is parsed once.
     """
     with_reject = T.StructType(list(schema) + [T.StructField("_corrupt_record", T.StringType())])
     parsed = F.from_json(
@@ -132,9 +134,4 @@ def decode_json(df: DataFrame, value: Column, schema: T.StructType, into: str =
         with_reject,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
-    return (
-        df.withColumn("_parsed", parsed)
-        .withColumn("_corrupt", F.col("_parsed._corrupt_record"))
-        .withColumn(into, F.when(value.isNotNull(), F.col("_parsed").dropFields("_corrupt_record")))
-        .drop("_parsed")
-    )
+    return df.withColumn(into, parsed).withColumn("_corrupt", F.col(f"{into}._corrupt_record"))

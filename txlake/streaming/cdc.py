@@ -16,7 +16,9 @@ def decode_changes(topic: DataFrame, schema) -> DataFrame:
     position stays as a tie-breaker between changes of the same source time."""
     rows = decode_json(topic.filter(F.col("value").isNotNull()), F.col("value"), schema)
     return rows.filter(F.col("_corrupt").isNull()).select(
-        "data.*", F.col("partition").alias("_partition"), F.col("offset").alias("_offset")
+        *[f"data.{name}" for name in schema.names],
+        F.col("partition").alias("_partition"),
+        F.col("offset").alias("_offset"),
     )
 
 
