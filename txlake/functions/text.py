@@ -38,3 +38,18 @@ def mapping(pairs: dict, key: Column, default=None) -> Column:
     entries = [F.lit(x) for pair in pairs.items() for x in pair]
     found = F.try_element_at(F.create_map(*entries), key)
     return found if default is None else F.coalesce(found, F.lit(default))
+
+
+def labels(conditions: dict[str, Column]) -> Column:
+    """Array of the labels whose condition holds, in the given order.
+
+    Built by joining and splitting text, which stays inside generated code;
+    removing nulls from an array does not.
+    """
+    if any("," in name for name in conditions):
+        raise ValueError("labels must not contain commas")
+    nothing = F.array().cast("array<string>")
+    if not conditions:
+        return nothing
+    joined = F.concat_ws(",", *[F.when(c, F.lit(n)) for n, c in conditions.items()])
+    return F.when(joined == "", nothing).otherwise(F.split(joined, ","))

@@ -51,7 +51,8 @@ def _alert(rule_id: str, text: Column, severity: str, amount: Column, count: Col
 
 
 def alert_structs(rules: AlertRules, amount: Column, count: Column, total: Column) -> Column:
-    """Array of the alerts a row raises; one row may raise several."""
+    """Array with one entry per rule, null where the rule does not hold; one row
+    may raise several alerts."""
     high = F.when(
         amount >= rules.high_amount,
         _alert("RULE-002", F.lit(rules.high_amount_text), "HIGH", amount, F.lit(1)),
@@ -64,7 +65,7 @@ def alert_structs(rules: AlertRules, amount: Column, count: Column, total: Colum
         total > rules.sum_amount,
         _alert("RULE-003", F.format_string(rules.sum_text, total), "MEDIUM", total, count),
     )
-    return F.array_compact(F.array(high, burst, summed))
+    return F.array(high, burst, summed)
 
 
 def alert_id(rule: Column, event_id: Column) -> Column:
@@ -79,12 +80,13 @@ def explode_alerts(
     value = F.coalesce(F.col(amount), F.lit(0.0))
     alerts = alert_structs(rules, value, F.col("trailing_count"), F.col("trailing_total"))
     event_id = F.col(row_id).cast("string")
-    return df.select(
+    found = df.select(
         F.col(key).alias("user_id"),
         event_id.alias("trigger_event_id"),
-        iso_seconds(F.col(ts)).alias("detected_at"),
+        F.col(ts).alias("_at"),
         F.explode(alerts).alias("a"),
-    ).select(
+    ).filter(F.col("a").isNotNull())
+    return found.select(
         alert_id(F.col("a.rule_id"), F.col("trigger_event_id")).alias("alert_id"),
         "a.rule_id",
         "a.rule_description",
@@ -93,7 +95,7 @@ def explode_alerts(
         "trigger_event_id",
         "a.trigger_amount",
         "a.event_count",
-        "detected_at",
+        iso_seconds(F.col("_at")).alias("detected_at"),
     )
 
 
@@ -124,29 +126,37 @@ def alert_text() -> Column:
     )
 
 
-def record_reasons(rules: RecordRules) -> Column:
-    """Reasons why one transaction looks suspicious; an unknown currency has no
+def record_conditions(rules: RecordRules) -> dict[str, Column]:
+    """Rule name -> condition on one transaction; an unknown currency has no
     threshold, so amount rules never hold for it."""
     limit = mapping(rules.thresholds, F.col("currency"))
-    flagged = F.when(F.col("is_suspicious"), F.lit(rules.flagged_text))
-    shown = F.format_number(F.col("amount"), 0)
-    high = F.when(
-        F.col("amount") > limit, F.format_string(rules.high_text, F.col("currency"), shown)
-    )
-    cash = F.when(
-        (F.upper("tx_type") == "WITHDRAWAL")
-        & (F.col("channel") == "ATM")
-        & (F.col("amount") > limit * rules.cash_share),
-        F.lit(rules.cash_text),
-    )
-    return F.array_compact(F.array(flagged, high, cash))
+    amount = F.col("amount")
+    cash = (F.upper("tx_type") == "WITHDRAWAL") & (F.col("channel") == "ATM")
+    found = {
+        "flagged": F.col("is_suspicious"),
+        "high": amount > limit,
+        "cash": cash & (amount > limit * rules.cash_share),
+    }
+    return {name: F.coalesce(c, F.lit(False)) for name, c in found.items()}
+
+
+def _is_suspicious(conditions: dict[str, Column]) -> Column:
+    return conditions["flagged"] | conditions["high"] | conditions["cash"]
 
 
 def record_alerts(df: DataFrame, rules: RecordRules = RecordRules()) -> DataFrame:
-    """Suspicious transactions with their reasons and a risk level."""
+    """Suspicious transactions with their reasons and a risk level. Texts are only
+    built for rows that a plain boolean filter has let through."""
+    holds = record_conditions(rules)
+    shown = F.format_number(F.col("amount"), 0)
+    reasons = F.array(
+        F.when(holds["flagged"], F.lit(rules.flagged_text)),
+        F.when(holds["high"], F.format_string(rules.high_text, F.col("currency"), shown)),
+        F.when(holds["cash"], F.lit(rules.cash_text)),
+    )
     return (
-        df.withColumn("reasons", record_reasons(rules))
-        .filter(F.size("reasons") > 0)
+        df.filter(_is_suspicious(holds))
+        .withColumn("reasons", F.array_compact(reasons))
         .select(
             "tx_id",
             "user_id",
@@ -160,7 +170,7 @@ def record_alerts(df: DataFrame, rules: RecordRules = RecordRules()) -> DataFram
 
 def record_rates(df: DataFrame, rules: RecordRules = RecordRules()) -> DataFrame:
     """Processed and suspicious counts with their ratio, one row."""
-    hits = F.count_if(F.size(record_reasons(rules)) > 0)
+    hits = F.count_if(_is_suspicious(record_conditions(rules)))
     n = F.count(F.lit(1))
     return df.agg(
         n.alias("processed"),

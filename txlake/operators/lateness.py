@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from txlake.functions.text import labels
 from txlake.functions.times import floor_to, micros, seconds
 from txlake.operators.windows import RESULT_COLUMNS, measures
 
@@ -112,7 +113,7 @@ def mark_late(
     grid = reduce(gcd, [n for pair in paths.values() for n in pair])
     widest = max(width for width, _ in paths.values())
     moments = closing_moments(df, ts, arrival, partition, partitions, widest, grid, rule.closing_delay)
-    at, out, late = micros(F.col(ts)), df, []
+    at, out = micros(F.col(ts)), df
     for name, (width, slide) in paths.items():
         # The last window a row belongs to starts at its own grid point.
         last_end = _grid_end(at, slide) - slide + width
@@ -120,8 +121,8 @@ def mark_late(
         out = out.withColumn("_end", last_end).join(closed, "_end", "left")
         out = out.withColumn(f"_late_{name}", F.coalesce(F.col("_closed") < F.col(arrival), F.lit(False)))
         out = out.drop("_end", "_closed")
-        late.append(F.when(F.col(f"_late_{name}"), F.lit(name)))
-    return out.withColumn("late_for", F.array_compact(F.array(*late))).drop(*[f"_late_{n}" for n in paths])
+    flags = {name: F.col(f"_late_{name}") for name in paths}
+    return out.withColumn("late_for", labels(flags)).drop(*[f"_late_{name}" for name in paths])
 
 
 def windows_without_late(

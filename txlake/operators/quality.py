@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txlake.functions.text import labels
+
 # The rules of the daily silver job.
 DEFAULT_RULES = [
     {
@@ -185,10 +187,7 @@ def evaluate(
         out = _mark_losers(out, r, latest_by, broken)
 
     def ids(severity: str) -> Column:
-        found = [
-            F.when(F.col(f"_v_{r['id']}"), F.lit(r["id"])) for r in rules if r["severity"] == severity
-        ]
-        return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        return labels({r["id"]: F.col(f"_v_{r['id']}") for r in rules if r["severity"] == severity})
 
     def any_of(severity: str) -> Column:
         found = F.lit(False)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from txlake import schemas
 from txlake.functions import times
+from txlake.functions.text import labels
 
 # Source column (or dotted path) -> standard column.
 API_FIELDS = {
@@ -149,7 +150,7 @@ def _violations(schema: T.StructType) -> dict[str, Column]:
 
 def validation_errors(schema: T.StructType = schemas.STANDARD_EVENT) -> Column:
     """Array of what is wrong with a row of text values, empty for a good row."""
-    return F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in _violations(schema).items()]))
+    return labels(_violations(schema))
 
 
 def validate(df: DataFrame, schema: T.StructType = schemas.STANDARD_EVENT) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txlake.functions.text import labels
 from txlake.functions.times import micros
 from txlake.operators.lateness import Lateness, _grid_end
 from txlake.streaming.sinks import write_batch
@@ -70,8 +71,8 @@ class LateSplit:
         paths = {"tumbling": (self.width, self.width)}
         if self.slide:
             paths["sliding"] = (self.width, self.slide)
-        late = [F.when(is_late(*pair), F.lit(name)) for name, pair in paths.items()]
-        marked = batch.withColumn("late_for", F.array_compact(F.array(*late)))
+        late = labels({name: is_late(*pair) for name, pair in paths.items()})
+        marked = batch.withColumn("late_for", late)
         write_batch(marked.withColumn("late_for", F.explode("late_for")), self.dead_letters, batch_id)
         write_batch(marked.filter(F.size("late_for") < len(paths)), self.on_time, batch_id)
 
