@@ -73,6 +73,17 @@ def test_merge_is_null_safe_and_repeatable(spark, root):
     assert (1, "x", -1) in {tuple(r) for r in t.read().collect()}
 
 
+def test_merge_rewrites_only_touched_partitions(spark, root):
+    t = VersionedTable(spark, f"{root}/t")
+    schema = "day STRING, id INT, v INT"
+    t.overwrite(spark.createDataFrame([("a", 1, 1), ("b", 2, 2), (None, 3, 3)], schema), ["day"])
+    t.upsert(spark.createDataFrame([("a", 1, 10), ("c", 9, 9), (None, 3, 30)], schema), ["day", "id"])
+    assert {tuple(r) for r in t.read().collect()} == {("a", 1, 10), ("b", 2, 2), (None, 3, 30), ("c", 9, 9)}
+    now, before = t._load(), t._load(0)
+    assert now.metrics["partitions_replaced"] == 2
+    assert now.folders["day=b"] == before.folders["day=b"] and now.folders["day=a"] != before.folders["day=a"]
+
+
 def test_second_writer_of_a_version_fails(spark, root):
     t = VersionedTable(spark, f"{root}/t")
     t.overwrite(spark.range(1).toDF("id"))

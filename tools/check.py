@@ -10,6 +10,16 @@ from txlake.plans import load_queries  # noqa: E402
 from txlake.session import build_session  # noqa: E402
 
 
+FAMILY = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def main() -> int:
     folder, wanted = sys.argv[1], sys.argv[2:]
     spark = build_session("check", f"local[{os.environ.get('BENCH_CPUS', '8')}]", 8)
@@ -21,7 +31,8 @@ def main() -> int:
             continue
         t0 = time.time()
         try:
-            names, got = oracle.spark_rows(q.run(spark, folder))
+            df = q.run(spark, folder)
+            names, got = oracle.spark_rows(df)
         except Exception as e:  # noqa: BLE001 - report and go on
             bad += 1
             print(f"ERROR {name}: {str(e)[:700]}", flush=True)
@@ -37,6 +48,13 @@ def main() -> int:
             print(f"SQLERR {name}: {str(e)[:700]}", flush=True)
             continue
         same = names == want_names and got == want
+        if os.environ.get("CHECK_TYPES"):
+            kinds = {f.name: FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) for f in df.schema}
+            cur = con.execute(q.sql)
+            other = {d[0]: str(d[1]) for d in cur.description}
+            diff = {c: (kinds[c], other.get(c)) for c in kinds if kinds[c] != other.get(c)}
+            if diff:
+                print("   types", diff, flush=True)
         bad += not same
         print(f"{'ok   ' if same else 'DIFF '} {name}: {len(got)}/{len(want)} rows {t1 - t0:.2f}s sql {time.time() - t1:.2f}s", flush=True)
         if not same:

@@ -172,9 +172,6 @@ def pipeline_kpis(summary: DataFrame, stats: DataFrame, day: dt.date) -> DataFra
     of_month = stats.filter(F.col("stats_month") == day.strftime("%Y-%m")).agg(
         F.count_distinct("user_id").alias("active_customers")
     )
-    # Two relations of exactly one row each, put side by side by a constant key.
-    return (
-        of_day.withColumn("_k", F.lit(1))
-        .join(of_month.withColumn("_k", F.lit(1)), "_k")
-        .select(F.lit(day).alias("kpi_date"), "total_transactions", "total_amount", "anomalies", "active_customers")
-    )
+    # Two rows with different columns become one.
+    both = of_day.unionByName(of_month, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("kpi_date", F.lit(day))

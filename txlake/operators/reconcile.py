@@ -98,19 +98,9 @@ def row_difference(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
 
 def version_summary(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Counts of two versions and of the rows between them, one row."""
-    counts = row_difference(old, new, keys).agg(
-        F.count_if(F.col("change") == "added").alias("added"),
-        F.count_if(F.col("change") == "removed").alias("removed"),
-        F.count_if(F.col("change") == "changed").alias("changed"),
-    )
-    sizes = (
-        old.select(F.lit(1).alias("_o"), F.lit(0).alias("_n"))
-        .unionByName(new.select(F.lit(0).alias("_o"), F.lit(1).alias("_n")))
-        .agg(
-            F.coalesce(F.sum("_o"), F.lit(0)).cast("bigint").alias("old_count"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("new_count"),
-        )
-    )
-    # Two relations of exactly one row each, put side by side by a constant key.
-    pair = counts.withColumn("_k", F.lit(1)).join(sizes.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return pair.withColumn("delta", F.col("new_count") - F.col("old_count"))
+    changes = row_difference(old, new, keys).select("change")
+    rows = changes.unionByName(old.select(F.lit("old").alias("change")))
+    rows = rows.unionByName(new.select(F.lit("new").alias("change")))
+    names = {"added": "added", "removed": "removed", "changed": "changed", "old": "old_count", "new": "new_count"}
+    counts = rows.agg(*[F.count_if(F.col("change") == k).alias(v) for k, v in names.items()])
+    return counts.withColumn("delta", F.col("new_count") - F.col("old_count"))

@@ -559,7 +559,7 @@ api AS (
     'shop' AS merchant_name, 'RETAIL' AS merchant_category, 'APP' AS channel, 'SUCCESS' AS status,
     CASE WHEN value > 150 THEN 'true' ELSE 'false' END AS is_suspicious, strftime(ts - INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS event_timestamp,
     '{LOADED_AT}' AS ingested_at, 'payment-api' AS data_source, '1.0' AS schema_version, NULL AS created_at, NULL AS fee_amount, NULL AS net_amount,
-    NULL AS tx_count, NULL AS batch_id, NULL AS customer_name, NULL AS customer_email, NULL AS customer_phone, NULL AS customer_grade,
+    NULL AS tx_count, NULL AS batch_id, NULL AS customer_name, NULL AS customer_email, CAST(NULL AS VARCHAR) AS customer_phone, NULL AS customer_grade,
     NULL AS is_active, 'payment-api' AS source_system
   FROM events
 ), files AS (
@@ -569,7 +569,7 @@ api AS (
     '{LOADED_AT}' AS ingested_at, 'settlement-csv' AS data_source, '1.0' AS schema_version, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS created_at,
     '0.00' AS fee_amount, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS net_amount,
     CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_orderpriority ELSE substr(o_orderpriority, 1, 1) END AS tx_count,
-    'B-' || strftime(o_orderdate, '%Y%m%d') AS batch_id, NULL AS customer_name, NULL AS customer_email, NULL AS customer_phone,
+    'B-' || strftime(o_orderdate, '%Y%m%d') AS batch_id, NULL AS customer_name, NULL AS customer_email, CAST(NULL AS VARCHAR) AS customer_phone,
     NULL AS customer_grade, NULL AS is_active, 'settlement-csv' AS source_system
   FROM orders
 ), people AS (
@@ -577,7 +577,7 @@ api AS (
     NULL AS currency, NULL AS merchant_id, NULL AS merchant_name, NULL AS merchant_category, 'DB_SYNC' AS channel, NULL AS status,
     'false' AS is_suspicious, '2024-01-02T03:04:05Z' AS event_timestamp, '{LOADED_AT}' AS ingested_at, 'customer-db' AS data_source,
     '1.0' AS schema_version, '2024-01-01 00:00:00' AS created_at, NULL AS fee_amount, NULL AS net_amount, NULL AS tx_count, NULL AS batch_id,
-    c_name AS customer_name, lower(c_name) || '@example.com' AS customer_email, NULL AS customer_phone, c_mktsegment AS customer_grade,
+    c_name AS customer_name, lower(c_name) || '@example.com' AS customer_email, CAST(NULL AS VARCHAR) AS customer_phone, c_mktsegment AS customer_grade,
     CASE WHEN c_acctbal > 0 THEN 'true' ELSE 'false' END AS is_active, 'customer-db' AS source_system
   FROM customer
 ), canon AS (SELECT * FROM api UNION ALL SELECT * FROM files UNION ALL SELECT * FROM people),
@@ -679,7 +679,7 @@ def core_fields_split(spark, folder):
     """SELECT event_id, strftime(ts - INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS from_offset,
   strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_naive_micros, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_naive_seconds,
   strftime(ts, '%Y-%m-%dT00:00:00Z') AS from_day, event_type AS unreadable,
-  strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS millis, strftime(ts, '%Y-%m') AS month_key, hour(ts) AS tx_hour FROM events""",
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS millis, strftime(ts, '%Y-%m') AS month_key, CAST(hour(ts) AS INTEGER) AS tx_hour FROM events""",
 )
 def timestamp_normalize(spark, folder):
     e = table(spark, folder, "events")
@@ -1045,3 +1045,35 @@ def lineage_trace(spark, folder):
     }
     found = lineage.trace(layers, [7, 11])
     return found.groupBy("layer", "record_id").agg(F.count("document").alias("occurrences"))
+
+
+@query(
+    "first_rows",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 20",
+)
+def first_rows(spark, folder):
+    """Sample of the first rows for a report."""
+    orders = table(spark, folder, "orders")
+    return orders.orderBy("o_orderdate", "o_orderkey").limit(20).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query(
+    "load_metadata",
+    """SELECT o_orderkey, 'mysql.shop' AS _source, 'jdbc_full_export' AS _migration_type, 'b-1' AS _batch_id,
+  TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at FROM orders""",
+)
+def load_metadata(spark, folder):
+    rows = table(spark, folder, "orders").select("o_orderkey")
+    at = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    return std.load_metadata(rows, "mysql.shop", "jdbc_full_export", "b-1", at)
+
+
+@query(
+    "keyed_messages",
+    """SELECT 'alerts.fraud' AS topic, CAST(o_custkey AS VARCHAR) AS key, '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_custkey":' || o_custkey || '}' AS value
+FROM orders""",
+)
+def keyed_messages(spark, folder):
+    rows = table(spark, folder, "orders")
+    rows = rows.select("o_orderkey", "o_orderstatus", "o_custkey")
+    return kafka.keyed_messages(rows, "alerts.fraud", F.col("o_custkey"))

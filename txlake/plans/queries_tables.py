@@ -149,7 +149,7 @@ def version_diff(spark, folder):
 
 @query(
     "version_summary",
-    f"""SELECT COUNT(*) FILTER (WHERE NOT ({BEFORE}) AND o_orderstatus <> 'O') AS added, 0 AS removed,
+    f"""SELECT COUNT(*) FILTER (WHERE NOT ({BEFORE}) AND o_orderstatus <> 'O') AS added, CAST(0 AS BIGINT) AS removed,
   COUNT(*) FILTER (WHERE {BEFORE} AND o_orderstatus <> 'O') AS changed, COUNT(*) FILTER (WHERE {BEFORE}) AS old_count,
   COUNT(*) FILTER (WHERE {BEFORE} OR o_orderstatus <> 'O') AS new_count,
   COUNT(*) FILTER (WHERE NOT ({BEFORE}) AND o_orderstatus <> 'O') AS delta FROM orders""",
@@ -161,7 +161,7 @@ def version_summary(spark, folder):
 
 @query(
     "table_history",
-    f"""SELECT 2 AS version, 'RESTORE' AS operation, NULL AS rows_written
+    f"""SELECT CAST(2 AS BIGINT) AS version, 'RESTORE' AS operation, CAST(NULL AS BIGINT) AS rows_written
 UNION ALL SELECT 1, 'MERGE', COUNT(*) FILTER (WHERE o_orderstatus <> 'O' OR {BEFORE}) FROM orders
 UNION ALL SELECT 0, 'CREATE', COUNT(*) FILTER (WHERE {BEFORE}) FROM orders""",
 )
@@ -292,7 +292,7 @@ def full_export(spark, folder):
 
 @query(
     "migration_verify",
-    """SELECT 'customer' AS table_name, COUNT(*) AS source_count, COUNT(*) AS target_count, 0 AS missing_keys, 0 AS extra_keys, 'PASS' AS verdict FROM customer
+    """SELECT 'customer' AS table_name, COUNT(*) AS source_count, COUNT(*) AS target_count, CAST(0 AS BIGINT) AS missing_keys, CAST(0 AS BIGINT) AS extra_keys, 'PASS' AS verdict FROM customer
 UNION ALL SELECT 'orders', COUNT(*), COUNT(*), 0, 0, 'PASS' FROM orders""",
 )
 def migration_verify(spark, folder):

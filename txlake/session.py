@@ -25,10 +25,21 @@ RUNTIME_CONF = {
 }
 
 
+# Adaptive execution merges small shuffle partitions but never splits all of them,
+# so on a cluster shuffles start with several partitions per core.
+PARTITIONS_PER_CORE = 4
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        wanted = PARTITIONS_PER_CORE * context.defaultParallelism
+        usual = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, usual)))
     return spark
 
 

@@ -75,3 +75,9 @@ def modified(spark: SparkSession, uri: str) -> int:
     """Modification time of a file or folder in milliseconds."""
     fs, path = _fs(spark, uri)
     return fs.getFileStatus(path).getModificationTime()
+
+
+def size(spark: SparkSession, uri: str) -> int:
+    """Bytes in all files below a folder."""
+    fs, path = _fs(spark, uri)
+    return fs.getContentSummary(path).getLength()

@@ -130,7 +130,7 @@ class VersionedTable:
             version = self.version_at(timestamp_ms)
         return self._frame(self._load(version))
 
-    def _frame(self, v: Version, only: set[str] | None = None) -> DataFrame:
+    def _paths(self, v: Version, only: set[str] | None = None) -> list[str]:
         by_commit: dict[str, list[str]] = {}
         for part, commits in v.folders.items():
             if only is None or part in only:
@@ -143,6 +143,10 @@ class VersionedTable:
                 paths.append(f"{self._data}/{commit}")
             else:
                 paths.extend(f"{self._data}/{commit}/{part}" for part in parts)
+        return paths
+
+    def _frame(self, v: Version, only: set[str] | None = None) -> DataFrame:
+        paths = self._paths(v, only)
         if not paths:
             return self.spark.createDataFrame([], v.schema)
         read_schema = T.StructType(list(v.schema) + [T.StructField("commit", T.StringType())])
@@ -253,19 +257,32 @@ class VersionedTable:
         kept = self._frame(base, only).filter(keep)
         return self._rewrite(base, only, kept.unionByName(self._aligned(df, base.schema)), operation)
 
-    def _matching(self, v: Version, predicate: Column | None) -> set[str]:
-        """Partition folders whose values satisfy a predicate; all without one."""
-        if predicate is None or not v.partition_by:
-            return set(v.folders)
+    def _listing(self, v: Version) -> DataFrame:
+        """One row per partition folder with its typed partition values."""
         types = {f.name: f.dataType for f in v.schema}
         listing = self.spark.createDataFrame([(n,) for n in v.folders], "folder STRING")
-        values = listing
         for i, name in enumerate(v.partition_by):
             raw = F.element_at(F.split("folder", "/"), i + 1)
             text = F.url_decode(F.regexp_replace(F.split(raw, "=", 2)[1], r"\+", "%2B"))
             text = F.nullif(text, F.lit("__HIVE_DEFAULT_PARTITION__"))
-            values = values.withColumn(name, text.cast(types[name]))
-        return {r.folder for r in values.filter(predicate).select("folder").collect()}
+            listing = listing.withColumn(name, text.cast(types[name]))
+        return listing
+
+    def _matching(self, v: Version, predicate: Column | None) -> set[str]:
+        """Partition folders whose values satisfy a predicate; all without one."""
+        if predicate is None or not v.partition_by:
+            return set(v.folders)
+        return {r.folder for r in self._listing(v).filter(predicate).select("folder").collect()}
+
+    def _touched(self, v: Version, df: DataFrame, keys: list[str], predicate: Column | None) -> set[str]:
+        """Partition folders that may hold a match of ``df``. Where the partition
+        columns belong to the key, these are the partitions that occur in ``df``."""
+        if predicate is not None or not v.partition_by or not set(v.partition_by) <= set(keys):
+            return self._matching(v, predicate)
+        named = df.select(*v.partition_by).distinct().alias("d")
+        same = null_safe_equal("l", "d", v.partition_by)
+        found = self._listing(v).alias("l").join(named, same, "left_semi")
+        return {r.folder for r in found.select("folder").collect()}
 
     def _rewrite(self, base: Version, only: set[str], df: DataFrame, operation: str) -> int:
         commit, names, rows = self._write(df, base.partition_by)
@@ -314,7 +331,7 @@ class VersionedTable:
         if not self.exists():
             return self.overwrite(df, partition_by, operation="CREATE")
         base = self._load()
-        target = self._frame(base, self._matching(base, touched)).select(*keys)
+        target = self._frame(base, self._touched(base, df, keys, touched)).select(*keys)
         fresh = df.alias("s").join(target.alias("t"), null_safe_equal("s", "t", keys), "left_anti")
         return self.append(fresh)
 
@@ -328,12 +345,13 @@ class VersionedTable:
         """Update-all / insert-all merge by copy-on-write.
 
         ``df`` must hold one row per key. Only partitions selected by ``touched``
-        are read and rewritten; without it the whole table is.
+        are read and rewritten. Without it these are the partitions that occur in
+        ``df``, if the partition columns belong to the key, and else all of them.
         """
         if not self.exists():
             return self.overwrite(df, partition_by, operation="CREATE")
         base = self._load()
-        only = self._matching(base, touched)
+        only = self._touched(base, df, keys, touched)
         source = self._aligned(df, base.schema)
         survivors = (
             self._frame(base, only)
@@ -384,7 +402,9 @@ class VersionedTable:
             )
         )
 
-    def compact(self, order_by: list[str] | None = None, files: int | None = None) -> int:
+    def compact(
+        self, order_by: list[str] | None = None, files: int | None = None, file_bytes: int = 256 << 20
+    ) -> int:
         """Rewrite into few, clustered files; content stays the same.
 
         With ``order_by`` rows are range-partitioned on a Z-order value of those
@@ -398,8 +418,10 @@ class VersionedTable:
             spread = F.xxhash64(*base.schema.names)
             ranged = df.withColumn("_z", z_value(df, order_by)).withColumn("_spread", spread)
             keys = [F.col(c) for c in base.partition_by] + [F.col("_z"), F.col("_spread")]
-            ranged = ranged.repartitionByRange(files, *keys) if files else ranged.repartitionByRange(*keys)
-            df = ranged.sortWithinPartitions(*keys).drop("_z", "_spread")
+            if files is None:
+                size = sum(fs.size(self.spark, p) for p in self._paths(base))
+                files = max(1, -(-size // file_bytes))
+            df = ranged.repartitionByRange(files, *keys).sortWithinPartitions(*keys).drop("_z", "_spread")
         elif not base.partition_by:
             df = df.hint("rebalance")
         return self.overwrite(df, base.partition_by, operation="OPTIMIZE", spread=not order_by)
