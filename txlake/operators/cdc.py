@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,22 +90,28 @@ def apply_changes(
     if current is None:
         fresh = net.filter(F.col("_has_image")).select(*columns)
         return fresh.filter(~deleted) if hard_delete else fresh
-    pair = None
-    for k in keys:
-        one = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
-        pair = one if pair is None else pair & one
-    joined = (
-        current.withColumn("_there", F.lit(True))
-        .alias("t")
-        .join(net.withColumn("_change", F.lit(True)).alias("s"), pair, "full_outer")
-    )
-    there, changed = F.col("t._there").isNotNull(), F.col("s._change").isNotNull()
+
+    # Known rows and new keys are handled apart, because a full outer join always
+    # shuffles both sides: here a small set of changes can be broadcast (adaptive
+    # execution decides by its size) and the table stays where it is.
+    def same_key(left: str, right: str) -> Column:
+        return reduce(
+            lambda a, b: a & b,
+            [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys],
+        )
+
+    marked = net.withColumn("_change", F.lit(True)).alias("s")
+    joined = current.alias("t").join(marked, same_key("t", "s"), "left")
+    changed = F.col("s._change").isNotNull()
     new_image = changed & F.col("s._has_image")
     flags = {"__deleted", "_cdc_ingested_at"}
-    merged = []
-    for c in columns:
-        from_change = changed if c in flags else new_image
-        merged.append(F.when(from_change, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    unknown_delete = ~there & ~F.coalesce(F.col("s._has_image"), F.lit(False))
-    out = joined.filter(~unknown_delete).select(*merged)
+    known = joined.select(
+        *[
+            F.when(changed if c in flags else new_image, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+            for c in columns
+        ]
+    )
+    seen = current.select(*keys).alias("t").join(net.select(*keys).alias("s"), same_key("t", "s"), "left_semi")
+    fresh = net.filter("_has_image").alias("s").join(seen.alias("k"), same_key("s", "k"), "left_anti")
+    out = known.unionByName(fresh.select(*columns))
     return out.filter(F.coalesce(F.col("__deleted") != "true", F.lit(True))) if hard_delete else out

@@ -162,7 +162,7 @@ def event_totals(tx: DataFrame, kind: str = "tx_type") -> DataFrame:
     )
 
 
-def pipeline_kpis(summary: DataFrame, stats: DataFrame, day: dt.date) -> DataFrame:
+def daily_kpis(summary: DataFrame, stats: DataFrame, day: dt.date) -> DataFrame:
     """Transactions, volume and anomalies of a day, active customers of its month."""
     of_day = summary.filter(F.col("summary_date") == F.lit(day)).agg(
         F.coalesce(F.sum("total_count"), F.lit(0)).cast("bigint").alias("total_transactions"),

@@ -41,7 +41,7 @@ class Lateness:
         return self.disorder + self.allowed
 
 
-def _grid_end(at: Column, slide: int) -> Column:
+def grid_end(at: Column, slide: int) -> Column:
     """End, in seconds, of the first window (on a grid of ``slide``) that ends after ``at``."""
     return (floor_to(at, slide * SECOND) / SECOND).cast("bigint") + slide
 
@@ -57,12 +57,12 @@ def closing_moments(
     """
     at = micros(F.col(ts))
     # Largest grid point that a row with this event time closes.
-    closes = _grid_end(at - delay * SECOND, slide) - slide
+    closes = grid_end(at - delay * SECOND, slide) - slide
     rows = df.select(
         F.col(partition).cast("int").alias("_p"),
         F.col(arrival).alias("_arrival"),
         closes.alias("_closes"),
-        _grid_end(at, slide).alias("_ends"),
+        grid_end(at, slide).alias("_ends"),
     )
     first = rows.groupBy("_p", F.col("_closes").alias("_end")).agg(F.min("_arrival").alias("_arrival"))
     # Every partition needs an entry for every window end.
@@ -116,7 +116,7 @@ def mark_late(
     at, out = micros(F.col(ts)), df
     for name, (width, slide) in paths.items():
         # The last window a row belongs to starts at its own grid point.
-        last_end = _grid_end(at, slide) - slide + width
+        last_end = grid_end(at, slide) - slide + width
         closed = moments.select(F.col("window_end_s").alias("_end"), F.col("closed_at").alias("_closed"))
         out = out.withColumn("_end", last_end).join(closed, "_end", "left")
         out = out.withColumn(f"_late_{name}", F.coalesce(F.col("_closed") < F.col(arrival), F.lit(False)))
@@ -140,7 +140,7 @@ def windows_without_late(
     """Final window totals: a row counts in those of its windows that were still
     open when it arrived."""
     slide = slide or width
-    first_end = _grid_end(micros(F.col(ts)), slide)
+    first_end = grid_end(micros(F.col(ts)), slide)
     ends = F.explode(F.sequence(first_end, first_end + (width - slide), F.lit(slide).cast("bigint")))
     moments = closing_moments(df, ts, arrival, partition, partitions, width, slide, rule.closing_delay)
     on_time = (

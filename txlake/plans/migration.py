@@ -28,7 +28,7 @@ def full_export(
         target = lake.table(f"migration/{name}")
         loaded = load_metadata(df, source, "jdbc_full_export", batch_id, at)
         target.overwrite(loaded, [], operation="FULL EXPORT")
-        written.append((name, target._load().metrics["rows_written"]))
+        written.append((name, target.metrics()["rows_written"]))
     written.append(("TOTAL", sum(n for _, n in written)))
     return lake.spark.createDataFrame(written, "table_name STRING, row_count BIGINT")
 
@@ -58,7 +58,7 @@ def incremental_append(
     if target.exists() and fresh.isEmpty():
         return 0
     target.append(load_metadata(fresh, source, "incremental_append", batch_id, at))
-    return target._load().metrics["rows_written"]
+    return target.metrics()["rows_written"]
 
 
 def last_modified_upsert(
@@ -77,7 +77,7 @@ def last_modified_upsert(
     if target.exists() and changed.isEmpty():
         return 0
     target.upsert(load_metadata(newest, source, "last_modified_upsert", batch_id, at), keys)
-    return target._load().metrics["rows_written"]
+    return target.metrics()["rows_written"]
 
 
 def verify(lake: Lake, sources: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:

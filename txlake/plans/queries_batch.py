@@ -204,16 +204,16 @@ def event_totals(spark, folder):
 
 
 @query(
-    "pipeline_kpis",
+    "daily_kpis",
     f"""WITH {TX_SQL} SELECT '2024-01-15' AS kpi_date,
   COUNT(*) FILTER (WHERE tx_date = DATE '2024-01-15') AS total_transactions,
   COALESCE(CAST(SUM(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE tx_date = DATE '2024-01-15') AS DOUBLE), 0.0) AS total_amount,
   COUNT(*) FILTER (WHERE tx_date = DATE '2024-01-15' AND is_anomaly) AS anomalies,
   COUNT(DISTINCT user_id) FILTER (WHERE strftime(tx_date, '%Y-%m') = '2024-01') AS active_customers FROM tx""",
 )
-def pipeline_kpis(spark, folder):
+def daily_kpis(spark, folder):
     tx = transactions(spark, folder)
-    return gold.pipeline_kpis(
+    return gold.daily_kpis(
         gold.daily_summary(tx), gold.customer_month_stats(tx), dt.date(2024, 1, 15)
     )
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txlake.operators.clustering import z_value
 from txlake.sources import fs
 
 HISTORY_SCHEMA = "version BIGINT, timestamp_ms BIGINT, operation STRING, metrics MAP<STRING, BIGINT>"
@@ -109,6 +110,10 @@ class VersionedTable:
             raise ValueError(f"{self.path} has no version as of {timestamp_ms}")
         return versions[newer - 1]
 
+    def metrics(self, version: int | None = None) -> dict[str, int]:
+        """What the writer of a version noted, for instance ``rows_written``."""
+        return self._load(version).metrics
+
     def history(self, limit: int | None = None) -> DataFrame:
         """One row per version, newest first."""
         rows = self.spark.createDataFrame(
@@ -413,8 +418,6 @@ class VersionedTable:
         base = self._load()
         df = self._frame(base)
         if order_by:
-            from txlake.operators.clustering import z_value
-
             spread = F.xxhash64(*base.schema.names)
             ranged = df.withColumn("_z", z_value(df, order_by)).withColumn("_spread", spread)
             keys = [F.col(c) for c in base.partition_by] + [F.col("_z"), F.col("_spread")]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from txlake.functions.text import labels
 from txlake.functions.times import micros
-from txlake.operators.lateness import Lateness, _grid_end
+from txlake.operators.lateness import Lateness, grid_end
 from txlake.streaming.sinks import write_batch
 
 SECOND = 1_000_000
@@ -65,7 +65,7 @@ class LateSplit:
         def is_late(width: int, slide: int):
             if passed is None:
                 return F.lit(False)
-            last_end = (_grid_end(at, slide) - slide + width) * SECOND
+            last_end = (grid_end(at, slide) - slide + width) * SECOND
             return F.coalesce(last_end <= F.lit(passed), F.lit(False))
 
         paths = {"tumbling": (self.width, self.width)}

@@ -88,7 +88,7 @@ class MergedView:
 
     def folded(self) -> int:
         """Last batch that is part of the folded version, -1 before the first."""
-        return self.table._load().metrics["batch"] if self.table.exists() else -1
+        return self.table.metrics()["batch"] if self.table.exists() else -1
 
     def pending(self) -> list[int]:
         spark = self.table.spark
