@@ -45,7 +45,8 @@ def settlement_csv(
     """Settlement files of a watched folder, all columns as text.
 
     As a stream every file is read once; with ``archive`` it is moved there
-    after its batch has been committed. The file name stays with each row.
+    after its batch has been committed. Files should be moved into the folder
+    when they are complete. The file name stays with each row.
     """
     reader = (spark.readStream if streaming else spark.read).schema(schemas.SETTLEMENT_CSV)
     reader = reader.option("header", "true").option("pathGlobFilter", pattern)

@@ -20,6 +20,7 @@ from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,7 +183,7 @@ class VersionedTable:
     def _observed(self, seen: Observation, target: str) -> int:
         try:
             return int(seen.get["rows"])
-        except Exception:  # noqa: BLE001
+        except Py4JJavaError:
             # A plan found empty at run time reports no metrics; the footers tell.
             written = self.spark.read.schema("dummy INT").parquet(target)
             return written.count()

@@ -25,7 +25,7 @@ from txlake.functions.times import floor_to, micros
 from txlake.operators import trailing
 from txlake.operators.fraud import AlertRules, explode_alerts
 from txlake.operators.lateness import Lateness
-from txlake.streaming.sinks import write_batch
+from txlake.streaming.sinks import previous_batch, write_batch
 
 SECOND = 1_000_000
 EVENT = T.StructType(
@@ -160,10 +160,12 @@ class AlertBatches:
         rows = batch.filter(F.col("user_id").isNotNull()).select("user_id", "ts", "event_id", "amount")
         context = spark.createDataFrame([], rows.schema)
         newest = None
-        if batch_id > 0:
-            context = spark.read.schema(rows.schema).parquet(f"{self.path}/context/batch={batch_id - 1}")
-            mark = spark.read.schema("newest BIGINT").json(f"{self.path}/marks/batch={batch_id - 1}")
-            newest = mark.first()[0]
+        # The context is written last, so its folder stands for a finished batch.
+        last = previous_batch(spark, f"{self.path}/context", batch_id)
+        if last:
+            context = spark.read.schema(rows.schema).parquet(last)
+            mark = last.replace("/context/", "/marks/")
+            newest = spark.read.schema("newest BIGINT").json(mark).first()[0]
         at = micros(F.col("ts"))
         if newest is not None:
             # Rows behind the watermark have lost their context and are not judged.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from txlake.functions.text import labels
 from txlake.functions.times import micros
 from txlake.operators.lateness import Lateness, grid_end
-from txlake.streaming.sinks import write_batch
+from txlake.streaming.sinks import previous_batch, write_batch
 
 SECOND = 1_000_000
 
@@ -52,8 +52,9 @@ class LateSplit:
         spark = batch.sparkSession
         part = F.col(self.partition) if self.partition else F.lit(0)
         ledger_schema = "part STRING, newest BIGINT"
-        if batch_id > 0:
-            before = spark.read.schema(ledger_schema).json(f"{self.path}/ledger/batch={batch_id - 1}")
+        last = previous_batch(spark, f"{self.path}/ledger", batch_id)
+        if last:
+            before = spark.read.schema(ledger_schema).json(last)
         else:
             before = spark.createDataFrame([], ledger_schema)
         # One value: the slowest topic partition seen so far.

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from txlake.sources import fs
@@ -52,6 +52,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def previous_batch(spark: SparkSession, path: str, batch_id: int) -> str | None:
+    """Folder of the newest batch before ``batch_id``, none for the first one."""
+    if not fs.exists(spark, path):
+        return None
+    known = [int(name.split("=")[1]) for name in fs.folders(spark, path, 1)]
+    earlier = [n for n in known if n < batch_id]
+    return f"{path}/batch={max(earlier)}" if earlier else None
+
+
 def drain(*queries: StreamingQuery, timeout: int = 3600) -> None:
     """Wait until queries over available input have ended; raise if one failed."""
     for q in queries:

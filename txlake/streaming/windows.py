@@ -45,7 +45,11 @@ def windowed(
 
 
 def sessions(df: DataFrame, ts: str, key: str, gap: int, amount: str) -> DataFrame:
-    """Sessions per key; rows without key or amount do not count."""
+    """Sessions per key; rows without key or amount do not count.
+
+    In append mode a session is emitted when its key has been silent for ``gap``
+    seconds, so the same query also reports inactivity.
+    """
     rows = df.filter(F.col(key).isNotNull() & F.col(amount).isNotNull())
     agg = rows.groupBy(key, F.session_window(ts, f"{gap} seconds").alias("_w")).agg(
         F.count(F.lit(1)).alias("tx_count"), exact_sum(amount).alias("total_amount")
