@@ -11,10 +11,12 @@ the tasks; it suits high volume and catching up, the processor low latency.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,6 +97,10 @@ class TrailingTotals(StatefulProcessor):
         pass
 
 
+# Ship the processor with the job: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def trailing_totals(
     df: DataFrame, key: str, ts: str, row_id: str, amount: str, span: int, block: int | None = None
 ) -> DataFrame:
