@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import chat, dedup, mixing, secrets, sharding
+from txlake.llm import chat, decontam, dedup, lm, mixing, near, quality, secrets, sharding, urls
 from txlake.llm.common import tune
 from txlake.plans.registry import Query, portable
 from txlake.session import prepare
@@ -67,6 +67,27 @@ def kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", (~decontam.clean(F.col("items"))).alias("contaminated"), F.col("items").alias("item_ids"), "similarity")
+
+
+@query("op5_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    scored = docs.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), quality.score(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
+@query("op6_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.language_scores(table(spark, folder, "documents"))
+
+
 @query(
     "op7_chat_formatting",
     r"""
@@ -108,6 +129,16 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return told.withColumns({"spans": text("spans"), "masked": text("masked"), "n_messages": F.col("n_messages").cast("long")})
 
 
+@query("op8_url_filter")
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(table(spark, folder, "pages"))
+
+
+@query("op9_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents")).drop("root", "a", "b")
+
+
 @query(
     "op10_source_mixing",
     r"""

@@ -21,14 +21,19 @@ LONG_HEX = r"[0-9a-f]{24,}"
 # Runs of these characters are judged by the models.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"[A-Za-z0-9+/_=-]{8,}"
+# Shorter than candidates, so that no unknown secret counts as ordinary.
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{8,19}(?![A-Za-z0-9+/_=-])"
 
 # Ordinary identifiers are counted on at most this many documents (by hash of the text);
 # the models have some 4500 numbers, for which that is ample.
 TRAINING_DOCUMENTS = 20_000
-SMOOTHING = 0.5
-# Log-likelihood ratio, in nats a character, from which a run counts as random.
-THRESHOLD = 0.75
+# Weight, in steps, of the plain frequency of characters beside the counted steps.
+SMOOTHING = 20.0
+# Log-likelihood ratio, in nats a character, from which a run counts as random. On the
+# test documents random strings lie at 4 and more, the longest words below -1.
+THRESHOLD = 3.0
+# A random run has so many different characters; rulers and fillers have fewer.
+DIFFERENT = 8
 
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
@@ -102,7 +107,7 @@ def train(docs: DataFrame, most: int = TRAINING_DOCUMENTS) -> list[float]:
 
     Samples of random strings are the secrets that the base patterns find in all
     documents, and digests of documents written as hexadecimal and base64 text. Samples
-    of ordinary identifiers are the runs of eight characters and more in at most ``most``
+    of ordinary identifiers are the runs of 8 to 19 characters in at most ``most``
     documents, without what the base patterns find. Only counts reach the driver, two
     for each of some 4500 steps.
     """
@@ -128,14 +133,17 @@ def train(docs: DataFrame, most: int = TRAINING_DOCUMENTS) -> list[float]:
     )
     steps = samples.select("random", F.explode(_transitions(F.regexp_replace("run", r"[^A-Za-z0-9+/_=-]", "_"))).alias("step"))
     counts = {(r["random"], r["step"]): r["n"] for r in steps.groupBy("random", "step").agg(F.count("*").alias("n")).collect()}
-    ratios = [0.0] * (width * width)
-    for a in range(width):
-        totals = [sum(counts.get((k, a * width + b), 0) for b in range(1, width)) for k in (0, 1)]
-        for b in range(1, width):
-            p = [
-                (counts.get((k, a * width + b), 0) + SMOOTHING) / (totals[k] + SMOOTHING * (width - 1)) for k in (0, 1)
-            ]
-            ratios[a * width + b] = math.log(p[1] / p[0])
+    def chances(label: int) -> list[list[float]]:
+        """Of each next character: counted steps, smoothed towards the character's own frequency."""
+        step = [[counts.get((label, a * width + b), 0) for b in range(width)] for a in range(width)]
+        plain = [sum(row[b] for row in step) + 0.5 for b in range(width)]
+        whole = sum(plain[1:])
+        return [
+            [(row[b] + SMOOTHING * plain[b] / whole) / (sum(row) + SMOOTHING) for b in range(width)] for row in step
+        ]
+
+    random, ordinary = chances(1), chances(0)
+    ratios = [math.log(random[a][b] / ordinary[a][b]) if b else 0.0 for a in range(width) for b in range(width)]
     return ratios
 
 
@@ -160,7 +168,7 @@ def _random_runs(text: Column, ratios: list[float], threshold: float) -> Column:
         lambda acc, p: F.struct(
             (acc["at"] + p["gap"] + p["size"]).alias("at"),
             F.when(
-                weigh(p["run"]) >= threshold,
+                (weigh(p["run"]) >= threshold) & (F.size(F.array_distinct(F.split(p["run"], ""))) >= DIFFERENT),
                 F.concat(
                     acc["s"],
                     F.array(
@@ -189,7 +197,7 @@ def find_secrets(
     leftmost without overlap within its kind. ``added`` (kind 3) has runs of twenty
     characters and more that lie outside of these and are likelier under the model of
     random strings than under that of ordinary identifiers, by ``threshold`` nats a
-    character or more. Places are characters (code points) from 0, ends exclusive; both
+    character or more, and have at least eight different characters. Places are characters (code points) from 0, ends exclusive; both
     arrays go by start, then kind. Null texts are empty and have none; repeated rows
     give repeated rows; an empty table gives no rows.
     """

@@ -14,7 +14,7 @@ SHARDS = 16
 # A coordinate is 24 bits of the metadata value and 38 bits of the group's hash, which
 # cuts through ties.
 VALUE_BITS, TIE_BITS = 24, 38
-STEP_BITS = 12
+STEP_BITS = 16
 
 # Groups above this part of a shard are dealt out in pieces, and a cut is exact enough
 # when no more than this part of a shard lies in its last bin.
@@ -39,62 +39,65 @@ def _pick(values: list, node):
     return F.element_at(F.array(*[F.lit(v) for v in values]), node + 1)
 
 
+def _crossings(points: DataFrame, keys: list[str], shift: int, goals) -> DataFrame:
+    """The first bin of each histogram at which its sum reaches the goal, with its bounds.
+
+    ``points`` has ``at``, a place below 2^(shift + STEP_BITS); bins are its upper bits.
+    """
+    bins = points.groupBy(*keys, F.shiftright("at", shift).alias("bin")).agg(F.sum("weight").alias("weight"))
+    whole, up_to = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("bin")
+    return (
+        bins.withColumn("sum", F.sum("weight").over(up_to))
+        .withColumn("all", F.sum("weight").over(whole))
+        .withColumn("lowest", F.min("bin").over(whole))
+        .withColumn("highest", F.max("bin").over(whole))
+        .filter(F.col("sum") >= goals)
+        .withColumn("rank", F.row_number().over(up_to))
+        .filter("rank = 1")
+    )
+
+
 def _cuts(points: DataFrame, wanted: dict[int, int], limit: float) -> dict[int, tuple[int, int]]:
     """For each open node its widest dimension and the coordinate where its weight divides.
 
     ``wanted`` has the number of leaves below each node; a node with n leaves divides at
-    the fraction (n // 2) / n of its weight. One job finds the widths; then histograms of
-    4096 bins narrow down on the weighted quantile, all nodes at once. What reaches the
-    driver is one row per node.
+    the fraction (n // 2) / n of its weight. Histograms of 65,536 bins, of all nodes and
+    dimensions at once, give the widths and the bin with the weighted quantile; where that
+    bin is still heavy, a histogram of the bin follows. What reaches the driver is one row
+    per node and dimension.
     """
-    here = points.filter(F.col("node").isin(list(wanted)))
-    spans = here.groupBy("node").agg(
-        F.sum("weight").alias("weight"),
-        *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS],
-    )
-    widest, goal = {}, {}
-    for r in spans.collect():
-        n = wanted[r["node"]]
-        widest[r["node"]] = max(range(len(DIMENSIONS)), key=lambda i: r[DIMENSIONS[i]])
-        goal[r["node"]] = r["weight"] * (n // 2) / n
-    low = {k: 0 for k in widest}
-    before = {k: 0.0 for k in widest}
-    open_, shift = dict(widest), VALUE_BITS + TIE_BITS
-    top = max(wanted) + 1
-    while open_ and shift > 0:
-        step = min(STEP_BITS, shift)
-        inside = F.lit(1 << shift)
-        lows = _pick([low.get(k, 0) for k in range(top)], F.col("node"))
-        bins = (
-            here.filter(F.col("node").isin(list(open_)))
-            .withColumn("at", coordinate(_pick([widest.get(k, 0) for k in range(top)], F.col("node"))) - lows)
-            .filter((F.col("at") >= 0) & (F.col("at") < inside))
-            .groupBy("node", F.shiftright("at", shift - step).alias("bin"))
-            .agg(F.sum("weight").alias("weight"))
-        )
-        up_to = Window.partitionBy("node").orderBy("bin")
-        first = Window.partitionBy("node").orderBy("bin")
-        goals = _pick([float(goal.get(k, 0.0) - before.get(k, 0.0)) for k in range(top)], F.col("node"))
-        found = (
-            bins.withColumn("sum", F.sum("weight").over(up_to))
-            .filter(F.col("sum") >= goals)
-            .withColumn("rank", F.row_number().over(first))
-            .filter("rank = 1")
-            .collect()
-        )
-        shift -= step
-        for r in found:
-            k, start = r["node"], r["sum"] - r["weight"]
+    node, top = F.col("node"), max(wanted) + 1
+    here = points.filter(node.isin(list(wanted)))
+    part = _pick([(wanted.get(k, 2) // 2) / wanted.get(k, 2) for k in range(top)], node)
+    shift = VALUE_BITS + TIE_BITS - STEP_BITS
+    each = here.withColumn("dim", F.explode(F.array(*[F.lit(d) for d in range(len(DIMENSIONS))])))
+    each = each.withColumn("at", coordinate(F.col("dim")))
+    widest, found = {}, {}
+    for r in _crossings(each, ["node", "dim"], shift, F.col("all") * part).collect():
+        k, width = r["node"], r["highest"] - r["lowest"]
+        if k not in widest or (width, -r["dim"]) > widest[k]:
+            widest[k], found[k] = (width, -r["dim"]), r
+    dims = {k: -d for k, (_, d) in widest.items()}
+    goal = {k: r["all"] * (wanted[k] // 2) / wanted[k] for k, r in found.items()}
+    low, before, open_ = dict.fromkeys(dims, 0), dict.fromkeys(dims, 0), set(dims)
+    while True:
+        for k, r in found.items():
             low[k] += r["bin"] << shift
-            before[k] += start
+            before[k] += r["sum"] - r["weight"]
             if r["weight"] <= limit or shift == 0:
                 # Cut on the nearer side of the bin.
                 if goal[k] - before[k] > r["weight"] / 2:
                     low[k] += 1 << shift
-                del open_[k]
-        for k in set(open_) - {r["node"] for r in found}:
-            del open_[k]  # rounding left nothing to divide
-    return {k: (widest[k], low[k]) for k in widest}
+                open_.discard(k)
+        open_ &= set(found)
+        if not open_ or shift == 0:
+            return {k: (dims[k], low[k]) for k in dims}
+        step, span = min(STEP_BITS, shift), 1 << shift
+        shift -= step
+        at = coordinate(_pick([dims.get(k, 0) for k in range(top)], node)) - _pick([low.get(k, 0) for k in range(top)], node)
+        inside = here.filter(node.isin(list(open_))).withColumn("at", at).filter(F.col("at").between(0, span - 1))
+        goals = _pick([float(goal.get(k, 0) - before.get(k, 0)) for k in range(top)], node)
+        found = {r["node"]: r for r in _crossings(inside, ["node"], shift, goals).collect()}
 
 
 def coordinate(dimension):
