@@ -103,7 +103,7 @@ def test_late_rows(spark, skewed, partitions):
     rows = skewed.withColumn("part", F.pmod("user_id", F.lit(partitions)).cast("int"))
     delay = F.pmod(F.xxhash64("event_id"), F.lit(900)) * 1_000_000
     rows = rows.withColumn("arrival", F.unix_micros(F.col("ts").cast("timestamp")) + delay)
-    marked = lateness.mark_late(rows, "ts", "arrival", "part", partitions, {"w": (300, 300), "s": (300, 60)})
+    marked = lateness.mark_late(rows, "ts", "arrival", "part", {"w": (300, 300), "s": (300, 60)})
     got = {r.event_id: set(r.late_for) for r in marked.collect()}
 
     data = sorted(rows.collect(), key=lambda r: r.arrival)

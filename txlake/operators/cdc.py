@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 META = ["__op", "__source_ts_ms", "__deleted", "__db", "__table"]
 
 
-def unwrap(envelopes: DataFrame, before="before", after="after", source="source", op="op") -> DataFrame:
+def unwrap(
+    envelopes: DataFrame, before="before", after="after", source="source", op="op", position: str | None = None
+) -> DataFrame:
     """Change envelope -> last row image plus ``__`` columns.
 
     A delete keeps its last image and gets ``__deleted = 'true'``. Tombstones
-    (no envelope at all) are dropped.
+    (no envelope at all) are dropped. ``position`` names the column with the place in
+    the feed, kept as ``__offset``: it orders changes of the same millisecond.
     """
     rows = envelopes.filter(F.col(op).isNotNull())
     rows = rows.withColumn("_image", F.coalesce(F.col(after), F.col(before)))
@@ -25,6 +28,7 @@ def unwrap(envelopes: DataFrame, before="before", after="after", source="source"
         F.when(F.col(op) == "d", "true").otherwise("false").alias("__deleted"),
         F.col(f"{source}.db").alias("__db"),
         F.col(f"{source}.table").alias("__table"),
+        *([] if position is None else [F.col(position).alias("__offset")]),
     )
 
 

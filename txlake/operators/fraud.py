@@ -15,17 +15,33 @@ from txlake.operators.trailing import trailing_totals
 
 @dataclass(frozen=True)
 class AlertRules:
-    """Thresholds and texts of the per-user rules (fixed values as defaults)."""
+    """Thresholds of the per-user rules (fixed values as defaults). Texts follow them."""
 
     span_seconds: int = 60
     high_amount: float = 5_000_000.0
     burst_count: int = 3
     sum_amount: float = 10_000_000.0
-    high_amount_text: str = "단건 500만원 초과 거래"
-    burst_text: str = "1분 내 %d건 연속 거래"
-    sum_text: str = "1분 내 거래 합계 %.0f원 초과"
     block_seconds: int | None = None
 
+    @property
+    def span_text(self) -> str:
+        minutes, rest = divmod(self.span_seconds, 60)
+        return f"{self.span_seconds}초" if rest else f"{minutes}분"
+
+    @property
+    def high_amount_text(self) -> str:
+        amount = self.high_amount
+        text = f"{amount / 10_000:,.0f}만원" if amount and amount % 10_000 == 0 else f"{amount:,.10g}원"
+        return f"단건 {text} 초과 거래"
+
+    @property
+    def burst_text(self) -> str:
+        return f"{self.span_text} 내 %d건 연속 거래"
+
+    @property
+    def sum_text(self) -> str:
+        return f"{self.span_text} 내 거래 합계 %.0f원 초과"
+
 
 @dataclass(frozen=True)
 class RecordRules:
@@ -70,7 +86,7 @@ def alert_structs(rules: AlertRules, amount: Column, count: Column, total: Colum
 
 def alert_id(rule: Column, event_id: Column) -> Column:
     """Same alert, same id, however often the job runs."""
-    return F.concat(F.lit("ALERT-"), F.sha2(F.concat_ws("|", rule, event_id), 256).substr(1, 16))
+    return F.concat(F.lit("ALERT-"), F.sha2(F.concat_ws("|", rule, event_id), 256))
 
 
 def explode_alerts(

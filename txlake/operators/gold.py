@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txlake.functions.money import count_where, exact_avg, exact_sum, money
+from txlake.functions.money import MONEY, PLACES, count_where, exact_avg, exact_sum, money
 from txlake.functions.text import mapping
 from txlake.functions.times import month_key
 
@@ -80,10 +80,11 @@ def fee_settlement(tx: DataFrame, fees: FeeRates = FeeRates(), by: tuple[str, ..
     summed = isinstance(tx.schema["amount"].dataType, T.DecimalType)
     amount = F.col("amount") if summed else money("amount")
     rows = F.sum("row_count") if "row_count" in tx.columns else F.count(F.lit(1))
-    zero = F.lit(0).cast("decimal(18,2)")
+    zero = F.lit(0).cast(MONEY)
 
     def total(kind: str) -> Column:
-        return F.sum(F.when(F.col("tx_type") == kind, amount).otherwise(zero))
+        total = F.sum(F.when(F.col("tx_type") == kind, amount).otherwise(zero))
+        return F.round(total, PLACES).cast("decimal(24,6)")
 
     sums = good.groupBy(*by, "merchant_id", "merchant_category").agg(
         total("PAYMENT").alias("_paid"),
@@ -91,7 +92,7 @@ def fee_settlement(tx: DataFrame, fees: FeeRates = FeeRates(), by: tuple[str, ..
         rows.alias("tx_count"),
     )
     rate = mapping(fees.rates, F.col("merchant_category"), fees.default).cast("decimal(6,4)")
-    net = F.col("_paid") - F.col("_refunded")
+    net = (F.col("_paid") - F.col("_refunded")).cast("decimal(24,6)")
     fee = F.round(net * F.col("_rate"), 0)
     return sums.withColumn("_rate", rate).select(
         *by,
@@ -146,9 +147,7 @@ def user_features(tx: DataFrame) -> DataFrame:
 def type_averages(tx: DataFrame, kind: str = "tx_type") -> DataFrame:
     return tx.groupBy(kind).agg(
         F.count(F.lit(1)).alias("tx_count"),
-        F.round(F.try_divide(F.sum(money("amount")), F.count("amount")), 2)
-        .cast("double")
-        .alias("avg_amount"),
+        F.round(exact_avg("amount"), 2).alias("avg_amount"),
     )
 
 

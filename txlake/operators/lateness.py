@@ -47,13 +47,13 @@ def grid_end(at: Column, slide: int) -> Column:
 
 
 def closing_moments(
-    df: DataFrame, ts: str, arrival: str, partition: str, partitions: int, width: int, slide: int, delay: int
+    df: DataFrame, ts: str, arrival: str, partition: str, width: int, slide: int, delay: int
 ) -> DataFrame:
     """(window_end_s, closed_at): arrival after which a window end is closed.
 
     One row per end of a window that holds a row. ``closed_at`` is null
     while at least one topic partition has not moved past the closing point.
-    Partitions (numbered from 0) without any row are idle and hold nothing up.
+    Topic partitions are those of the rows; one without any row holds nothing up.
     """
     at = micros(F.col(ts))
     # Largest grid point that a row with this event time closes.
@@ -73,8 +73,9 @@ def closing_moments(
         .select(F.explode(F.sequence("_ends", F.col("_ends") + (width - slide), step)).alias("_end"))
         .distinct()
     )
+    known = [r[0] for r in rows.select("_p").distinct().collect()]  # one per topic partition
     entries = ends.select(
-        F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))).alias("_p"),
+        F.explode(F.array(*[F.lit(p) for p in known]).cast("array<int>")).alias("_p"),
         "_end",
         F.lit(None).cast("bigint").alias("_arrival"),
         F.lit(True).alias("_wanted"),
@@ -100,7 +101,6 @@ def mark_late(
     ts: str,
     arrival: str,
     partition: str,
-    partitions: int,
     paths: dict[str, tuple[int, int]],
     rule: Lateness = Lateness(),
 ) -> DataFrame:
@@ -112,7 +112,7 @@ def mark_late(
     """
     grid = reduce(gcd, [n for pair in paths.values() for n in pair])
     widest = max(width for width, _ in paths.values())
-    moments = closing_moments(df, ts, arrival, partition, partitions, widest, grid, rule.closing_delay)
+    moments = closing_moments(df, ts, arrival, partition, widest, grid, rule.closing_delay)
     at, out = micros(F.col(ts)), df
     for name, (width, slide) in paths.items():
         # The last window a row belongs to starts at its own grid point.
@@ -130,7 +130,6 @@ def windows_without_late(
     ts: str,
     arrival: str,
     partition: str,
-    partitions: int,
     keys: list[str],
     width: int,
     amount: str,
@@ -142,7 +141,7 @@ def windows_without_late(
     slide = slide or width
     first_end = grid_end(micros(F.col(ts)), slide)
     ends = F.explode(F.sequence(first_end, first_end + (width - slide), F.lit(slide).cast("bigint")))
-    moments = closing_moments(df, ts, arrival, partition, partitions, width, slide, rule.closing_delay)
+    moments = closing_moments(df, ts, arrival, partition, width, slide, rule.closing_delay)
     on_time = (
         df.withColumn("window_end_s", ends)
         .join(moments, "window_end_s", "left")

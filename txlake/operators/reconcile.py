@@ -44,18 +44,21 @@ def checksum(df: DataFrame, columns: list[Column], method: str = "xxhash64") ->
     """Row count and sum of row hashes; independent of row order.
 
     ``md5`` gives values that other systems can reproduce from the same text
-    rendering: the first 15 hex digits of md5 over the values joined by ``|``.
+    rendering: both halves of md5 over the values, each with its length in front and
+    ``~`` for null, joined by ``|``, summed as numbers.
     """
-    if method == "md5":
-        text = F.array_join(F.array(*[c.cast("string") for c in columns]), "|", "\\N")
-        hashed = F.conv(F.substring(F.md5(text), 1, 15), 16, 10)
-    else:
-        hashed = F.xxhash64(*columns)
-    total = F.sum(hashed.cast("decimal(28,0)"))
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(total, F.lit(0)).cast("string").alias("checksum"),
-    )
+    count = F.count(F.lit(1)).alias("row_count")
+    total = lambda c: F.coalesce(F.sum(c.cast("decimal(28,0)")), F.lit(0)).cast("string")
+    if method != "md5":
+        return df.agg(count, total(F.xxhash64(*columns)).alias("checksum"))
+
+    def shown(c: Column) -> Column:
+        text = c.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+    hashed = df.select(F.md5(F.concat_ws("|", *[shown(c) for c in columns])).alias("_m"))
+    half = lambda start: F.conv(F.substring("_m", start, 16), 16, 10)
+    return hashed.agg(count, F.concat(total(half(1)), F.lit(":"), total(half(17))).alias("checksum"))
 
 
 def sample_difference(

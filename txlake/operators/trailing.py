@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from txlake.functions.money import money
+from txlake.functions.money import as_double, money
 from txlake.functions.times import floor_to, micros
 
 SECOND = 1_000_000
@@ -41,10 +41,10 @@ def trailing_totals(
     home = floor_to(F.col("_at"), width)
     near_end = F.col("_at") >= home + (width - span * SECOND)
     blocks = F.when(near_end, F.array(home, home + width)).otherwise(F.array(home))
-    cents = (money(F.coalesce(F.col(amount), F.lit(0.0))) * 100).cast("bigint")
+    value = F.coalesce(money(amount), F.lit(0))
 
     placed = (
-        df.withColumns({"_at": micros(F.col(ts)), "_cents": cents})
+        df.withColumns({"_at": micros(F.col(ts)), "_value": value})
         .withColumn("_block", F.explode(blocks))
     )
     in_block = Window.partitionBy(key, "_block")
@@ -53,9 +53,9 @@ def trailing_totals(
         Window.unboundedPreceding, -(span * SECOND) - 1
     )
     count = F.count(F.lit(1)).over(so_far) - F.count(F.lit(1)).over(expired)
-    total = F.sum("_cents").over(so_far) - F.coalesce(F.sum("_cents").over(expired), F.lit(0))
+    total = F.sum("_value").over(so_far) - F.coalesce(F.sum("_value").over(expired), F.lit(0))
     return (
-        placed.withColumns({"trailing_count": count, "trailing_total": total / 100})
+        placed.withColumns({"trailing_count": count, "trailing_total": as_double(total)})
         .filter(F.col("_block") == home)
-        .drop("_at", "_cents", "_block")
+        .drop("_at", "_value", "_block")
     )

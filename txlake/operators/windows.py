@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from txlake.functions.money import exact_sum, money
+from txlake.functions.money import as_double, exact_sum, money
 from txlake.functions.times import iso_millis, seconds
 
 
@@ -62,7 +62,7 @@ def sliding(df: DataFrame, ts: str, keys: list[str], width: int, slide: int, amo
     starts = F.sequence(
         F.col("_p.start") - seconds(width - slide), F.col("_p.start"), seconds(slide)
     )
-    total = F.sum("_sum").cast("double")
+    total = as_double(F.sum("_sum"))
     return (
         panes.withColumn("window_start", F.explode(starts))
         .groupBy(*keys, "window_start")
@@ -120,7 +120,7 @@ def sessions(
         F.min("_first").alias("session_start"),
         F.max("_last").alias("_end"),
         F.sum("_n").alias("tx_count"),
-        F.coalesce(F.sum("_sum"), F.lit(0)).cast("double").alias("total_amount"),
+        F.coalesce(as_double(F.sum("_sum")), F.lit(0.0)).alias("total_amount"),
     )
     last = [F.col("_end").alias("last_event")] if with_last else []
     return out.select(

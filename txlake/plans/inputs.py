@@ -153,7 +153,8 @@ def order_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Change records derived from all orders, with the envelope of a change feed.
 
     Every order is created; orders that reached state F or P are updated an hour
-    later; orders in state P are deleted two hours later.
+    later; orders in state P are deleted in the same millisecond as that, which only
+    the offset tells apart, and a tombstone follows.
     """
     orders = table(spark, folder, "orders")
     created = F.struct(
@@ -169,19 +170,25 @@ def order_changes(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "COMPLETED").otherwise("FAILED").alias("status"),
     )
 
-    def change(op, before, after, hours):
+    def change(step, op, before, after, hours):
         at = F.unix_millis((F.col("o_orderdate") + seconds(3600 * hours)).cast("timestamp"))
         origin = F.struct(F.lit("shop").alias("db"), F.lit("orders").alias("table"), at.alias("ts_ms"))
         return F.struct(
-            before.alias("before"), after.alias("after"), origin.alias("source"), F.lit(op).alias("op"), at.alias("ts_ms")
+            before.alias("before"),
+            after.alias("after"),
+            origin.alias("source"),
+            F.lit(op).cast("string").alias("op"),
+            at.alias("ts_ms"),
+            (F.col("o_orderkey") * 4 + step).alias("offset"),
         )
 
     nothing = F.when(F.lit(False), created)
     done, gone = F.col("o_orderstatus").isin("F", "P"), F.col("o_orderstatus") == "P"
     steps = F.array(
-        change("c", nothing, created, 0),
-        F.when(done, change("u", created, updated, 1)),
-        F.when(gone, change("d", updated, nothing, 2)),
+        change(0, "c", nothing, created, 0),
+        F.when(done, change(1, "u", created, updated, 1)),
+        F.when(gone, change(2, "d", updated, nothing, 1)),
+        F.when(gone, change(3, None, nothing, nothing, 1)),
     )
     return orders.select(F.inline(F.array_compact(steps)))
 
@@ -194,6 +201,6 @@ changes AS (
   SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN 'COMPLETED' ELSE 'FAILED' END,
     'u', epoch_ms(o_orderdate) + 3600000 FROM orders WHERE o_orderstatus IN ('F', 'P')
   UNION ALL
-  SELECT o_orderkey, o_custkey, o_totalprice, 'FAILED', 'd', epoch_ms(o_orderdate) + 7200000
+  SELECT o_orderkey, o_custkey, o_totalprice, 'FAILED', 'd', epoch_ms(o_orderdate) + 3600000
   FROM orders WHERE o_orderstatus = 'P'
 )"""

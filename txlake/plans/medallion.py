@@ -223,7 +223,7 @@ def run(
             rows.append((stage, first, until, "SUCCESS", round(time.time() - started, 3), None))
         except Exception as error:  # noqa: BLE001 - recorded, then raised
             failure = error
-            rows.append((stage, first, until, "FAILED", round(time.time() - started, 3), str(error)[:500]))
+            rows.append((stage, first, until, "FAILED", round(time.time() - started, 3), str(error)))
             break
     schema = "stage STRING, first_day DATE, until_day DATE, status STRING, seconds DOUBLE, error STRING"
     outcome = lake.spark.createDataFrame(rows, schema)

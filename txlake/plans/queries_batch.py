@@ -33,8 +33,8 @@ DAILY_SQL = """
 SELECT CAST(tx_date AS VARCHAR) AS summary_date, tx_type, COUNT(*) AS total_count,
   CAST(SUM(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS BIGINT) AS success_count,
   CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS failed_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(amount) AS avg_amount,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(amount) AS avg_amount,
   MIN(amount) AS min_amount, MAX(amount) AS max_amount,
   COUNT(DISTINCT user_id) AS unique_users,
   CAST(SUM(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count
@@ -48,8 +48,8 @@ def daily_summary(spark, folder):
 
 STATS_SQL = """
 SELECT user_id, strftime(tx_date, '%Y-%m') AS stats_month, COUNT(*) AS total_tx_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(amount) AS avg_amount,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(amount) AS avg_amount,
   COUNT(*) FILTER (WHERE tx_type = 'PAYMENT') AS payment_count,
   COUNT(*) FILTER (WHERE tx_type = 'REFUND') AS refund_count,
   COUNT(*) FILTER (WHERE tx_type = 'TRANSFER') AS transfer_count,
@@ -82,8 +82,8 @@ PART_FEES = gold.FeeRates(
 FEES_SQL = """
 sums AS (
   SELECT p_brand AS merchant_id, p_type AS merchant_category,
-    SUM(CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS paid,
-    SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS refunded,
+    ROUND(SUM(CASE WHEN l_returnflag <> 'R' THEN CAST(l_extendedprice AS DECIMAL(28,8)) ELSE 0 END), 6) AS paid,
+    ROUND(SUM(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(28,8)) ELSE 0 END), 6) AS refunded,
     COUNT(*) AS tx_count
   FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F' GROUP BY p_brand, p_type
 ), rated AS (
@@ -92,8 +92,8 @@ sums AS (
 ), fees AS (
   SELECT merchant_id, merchant_category, CAST(paid AS DOUBLE) AS total_payment_amount,
     CAST(refunded AS DOUBLE) AS total_refund_amount, CAST(net AS DOUBLE) AS net_amount,
-    CAST(rate AS DOUBLE) AS fee_rate, CAST(ROUND(CAST(net AS DECIMAL(24,2)) * CAST(rate AS DECIMAL(6,4)), 0) AS DOUBLE) AS fee_amount,
-    CAST(net - ROUND(CAST(net AS DECIMAL(24,2)) * CAST(rate AS DECIMAL(6,4)), 0) AS DOUBLE) AS settlement_amount, tx_count
+    CAST(rate AS DOUBLE) AS fee_rate, CAST(ROUND(CAST(net AS DECIMAL(24,6)) * CAST(rate AS DECIMAL(6,4)), 0) AS DOUBLE) AS fee_amount,
+    CAST(net - ROUND(CAST(net AS DECIMAL(24,6)) * CAST(rate AS DECIMAL(6,4)), 0) AS DOUBLE) AS settlement_amount, tx_count
   FROM rated
 )"""
 
@@ -116,7 +116,7 @@ def merchant_top10_net(spark, folder):
 
 @query(
     "fee_grand_total",
-    f"""WITH {FEES_SQL} SELECT CAST(SUM(CAST(fee_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_fee FROM fees""",
+    f"""WITH {FEES_SQL} SELECT CAST(ROUND(SUM(CAST(fee_amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_fee FROM fees""",
 )
 def fee_grand_total(spark, folder):
     fees = gold.fee_settlement(revenue(spark, folder), PART_FEES)
@@ -127,10 +127,10 @@ def fee_grand_total(spark, folder):
     "daily_fee_settlement",
     f"""WITH {TX_SQL}, sums AS (
   SELECT tx_date, merchant_id, merchant_category,
-    SUM(CASE WHEN tx_type = 'PAYMENT' THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS paid,
-    SUM(CASE WHEN tx_type = 'REFUND' THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS refunded, COUNT(*) AS tx_count
+    ROUND(SUM(CASE WHEN tx_type = 'PAYMENT' THEN CAST(amount AS DECIMAL(28,8)) ELSE 0 END), 6) AS paid,
+    ROUND(SUM(CASE WHEN tx_type = 'REFUND' THEN CAST(amount AS DECIMAL(28,8)) ELSE 0 END), 6) AS refunded, COUNT(*) AS tx_count
   FROM tx WHERE merchant_id IS NOT NULL AND status = 'SUCCESS' GROUP BY ALL
-), rated AS (SELECT *, CAST(paid - refunded AS DECIMAL(24,2)) AS net, CAST(CASE merchant_category WHEN 'F&B' THEN 0.015
+), rated AS (SELECT *, CAST(paid - refunded AS DECIMAL(24,6)) AS net, CAST(CASE merchant_category WHEN 'F&B' THEN 0.015
     WHEN 'RETAIL' THEN 0.018 WHEN 'ONLINE' THEN 0.022 WHEN 'TRAVEL' THEN 0.025 WHEN 'FINANCE' THEN 0.010
     WHEN 'HEALTH' THEN 0.012 ELSE 0.020 END AS DECIMAL(6,4)) AS rate FROM sums)
 SELECT CAST(tx_date AS VARCHAR) AS settlement_date, merchant_id, merchant_category,
@@ -146,7 +146,7 @@ def daily_fee_settlement(spark, folder):
 
 LEDGER_SQL = """
 SELECT currency, tx_type, COUNT(*) AS tx_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount FROM tx GROUP BY currency, tx_type"""
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount FROM tx GROUP BY currency, tx_type"""
 
 
 @query("settlement_ledger", f"WITH {TX_SQL} {LEDGER_SQL} ORDER BY currency, tx_type")
@@ -168,7 +168,7 @@ def settlement_ledger_text(spark, folder):
 @query(
     "user_features",
     f"""WITH {TX_SQL} SELECT user_id, COUNT(*) AS tx_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(amount) AS avg_amount FROM tx GROUP BY user_id""",
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(amount) AS avg_amount FROM tx GROUP BY user_id""",
 )
 def user_features(spark, folder):
     return gold.user_features(transactions(spark, folder))
@@ -177,7 +177,7 @@ def user_features(spark, folder):
 @query(
     "user_features_top5",
     f"""WITH {TX_SQL} SELECT user_id, COUNT(*) AS tx_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(amount) AS avg_amount FROM tx GROUP BY user_id
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(amount) AS avg_amount FROM tx GROUP BY user_id
 ORDER BY tx_count DESC, user_id LIMIT 5""",
 )
 def user_features_top5(spark, folder):
@@ -187,7 +187,7 @@ def user_features_top5(spark, folder):
 @query(
     "type_avg",
     f"""WITH {TX_SQL} SELECT tx_type, COUNT(*) AS tx_count,
-  CAST(ROUND(CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(amount), 2) AS DOUBLE) AS avg_amount FROM tx GROUP BY tx_type""",
+  CAST(ROUND(CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(amount), 2) AS DOUBLE) AS avg_amount FROM tx GROUP BY tx_type""",
 )
 def type_avg(spark, folder):
     return gold.type_averages(transactions(spark, folder))
@@ -207,7 +207,7 @@ def event_totals(spark, folder):
     "daily_kpis",
     f"""WITH {TX_SQL} SELECT '2024-01-15' AS kpi_date,
   COUNT(*) FILTER (WHERE tx_date = DATE '2024-01-15') AS total_transactions,
-  COALESCE(CAST(SUM(CAST(amount AS DECIMAL(18,2))) FILTER (WHERE tx_date = DATE '2024-01-15') AS DOUBLE), 0.0) AS total_amount,
+  COALESCE(CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))) FILTER (WHERE tx_date = DATE '2024-01-15'), 6) AS DOUBLE), 0.0) AS total_amount,
   COUNT(*) FILTER (WHERE tx_date = DATE '2024-01-15' AND is_anomaly) AS anomalies,
   COUNT(DISTINCT user_id) FILTER (WHERE strftime(tx_date, '%Y-%m') = '2024-01') AS active_customers FROM tx""",
 )
@@ -239,8 +239,8 @@ def windows_sql(source: str, width: int, slide: int) -> str:
     event_type, ts and amount."""
     return f"""
 SELECT event_type, window_start, window_start + INTERVAL {width} SECOND AS window_end, COUNT(*) AS transaction_count,
-  CAST(SUM(CAST(COALESCE(amount, 0) AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-  CAST(SUM(CAST(COALESCE(amount, 0) AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_amount,
+  CAST(ROUND(SUM(CAST(COALESCE(amount, 0) AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount,
+  CAST(ROUND(SUM(CAST(COALESCE(amount, 0) AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(*) AS avg_amount,
   MAX(COALESCE(amount, 0)) AS max_amount, MIN(COALESCE(amount, 0)) AS min_amount
 FROM (SELECT tx_type AS event_type, amount,
     time_bucket(INTERVAL {slide} SECOND, ts) - UNNEST(generate_series(0, {width - slide}, {slide})) * INTERVAL 1 SECOND AS window_start
@@ -283,7 +283,7 @@ SESSION_GAP = 6 * 3600
 def sessions_sql(source: str, gap: int) -> str:
     return f"""
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL {gap} SECOND AS session_end, COUNT(*) AS tx_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount, MAX(ts) AS last_event
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount, MAX(ts) AS last_event
 FROM (SELECT *, SUM(is_new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
   FROM (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts > lag(ts) OVER w + INTERVAL {gap} SECOND THEN 1 ELSE 0 END AS is_new
     FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)))
@@ -347,7 +347,7 @@ WHERE time_bucket(INTERVAL 60 SECOND, ts) + INTERVAL 300 SECOND <= passed""",
 )
 def late_split_dlq(spark, folder):
     paths = {"tumbling": (300, 300), "sliding": (300, 60)}
-    marked = lateness.mark_late(arrivals(spark, folder), "ts", "arrival", "topic_partition", 4, paths)
+    marked = lateness.mark_late(arrivals(spark, folder), "ts", "arrival", "topic_partition", paths)
     late = lateness.dead_letters(marked)
     return late.select("event_id", "tx_type", "user_id", "amount", "ts", "late_for")
 
@@ -357,8 +357,8 @@ def on_time_sql(width: int, slide: int) -> str:
 placed AS (SELECT *, time_bucket(INTERVAL {slide} SECOND, ts)
     - UNNEST(generate_series(0, {width - slide}, {slide})) * INTERVAL 1 SECOND AS window_start FROM marked)
 SELECT tx_type, window_start, window_start + INTERVAL {width} SECOND AS window_end, COUNT(*) AS transaction_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS avg_amount,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) / COUNT(*) AS avg_amount,
   MAX(amount) AS max_amount, MIN(amount) AS min_amount
 FROM placed WHERE passed IS NULL OR window_start + INTERVAL {width} SECOND > passed
 GROUP BY tx_type, window_start"""
@@ -367,14 +367,14 @@ GROUP BY tx_type, window_start"""
 @query("tumbling_without_late", on_time_sql(300, 300))
 def tumbling_without_late(spark, folder):
     return lateness.windows_without_late(
-        arrivals(spark, folder), "ts", "arrival", "topic_partition", 4, ["tx_type"], 300, "amount"
+        arrivals(spark, folder), "ts", "arrival", "topic_partition", ["tx_type"], 300, "amount"
     )
 
 
 @query("sliding_without_late", on_time_sql(300, 60))
 def sliding_without_late(spark, folder):
     return lateness.windows_without_late(
-        arrivals(spark, folder), "ts", "arrival", "topic_partition", 4, ["tx_type"], 300, "amount", 60
+        arrivals(spark, folder), "ts", "arrival", "topic_partition", ["tx_type"], 300, "amount", 60
     )
 
 
@@ -390,18 +390,18 @@ ALERTS_SQL = """
 totals AS (
   SELECT t.*, (SELECT COUNT(*) FROM tx p WHERE p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 21600 SECOND
       AND (p.ts < t.ts OR (p.ts = t.ts AND p.event_id <= t.event_id))) AS n,
-    (SELECT CAST(SUM(CAST(p.amount AS DECIMAL(18,2))) AS DOUBLE) FROM tx p WHERE p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 21600 SECOND
+    (SELECT CAST(ROUND(SUM(CAST(p.amount AS DECIMAL(28,8))), 6) AS DOUBLE) FROM tx p WHERE p.user_id = t.user_id AND p.ts >= t.ts - INTERVAL 21600 SECOND
       AND (p.ts < t.ts OR (p.ts = t.ts AND p.event_id <= t.event_id))) AS total
   FROM tx t
 ), raised AS (
-  SELECT *, 'RULE-002' AS rule_id, '단건 500만원 초과 거래' AS rule_description, 'HIGH' AS severity, amount AS trigger_amount, 1 AS event_count
+  SELECT *, 'RULE-002' AS rule_id, '단건 200원 초과 거래' AS rule_description, 'HIGH' AS severity, amount AS trigger_amount, 1 AS event_count
   FROM totals WHERE amount >= 200
   UNION ALL
-  SELECT *, 'RULE-001', '1분 내 ' || n || '건 연속 거래', 'HIGH', amount, n FROM totals WHERE n >= 3
+  SELECT *, 'RULE-001', '360분 내 ' || n || '건 연속 거래', 'HIGH', amount, n FROM totals WHERE n >= 3
   UNION ALL
-  SELECT *, 'RULE-003', '1분 내 거래 합계 ' || CAST(ROUND(total) AS BIGINT) || '원 초과', 'MEDIUM', total, n FROM totals WHERE total > 300
+  SELECT *, 'RULE-003', '360분 내 거래 합계 ' || CAST(ROUND(total) AS BIGINT) || '원 초과', 'MEDIUM', total, n FROM totals WHERE total > 300
 ), alerts AS (
-  SELECT 'ALERT-' || substr(sha256(rule_id || '|' || CAST(event_id AS VARCHAR)), 1, 16) AS alert_id, rule_id, rule_description, user_id, severity,
+  SELECT 'ALERT-' || sha256(rule_id || '|' || CAST(event_id AS VARCHAR)) AS alert_id, rule_id, rule_description, user_id, severity,
     CAST(event_id AS VARCHAR) AS trigger_event_id, trigger_amount, event_count, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS detected_at FROM raised
 )"""
 
@@ -1002,8 +1002,10 @@ def reconcile_verdict(spark, folder):
 @query(
     "reconcile_checksum",
     """SELECT 'orders' AS table_name, COUNT(*) AS row_count,
-  CAST(SUM(CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR) || '|' || o_orderstatus || '|' ||
-    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)), 1, 15)) AS BIGINT)) AS VARCHAR) AS checksum FROM orders""",
+  CAST(SUM(CAST(CAST(('0x' || substr(m, 1, 16)) AS UBIGINT) AS HUGEINT)) AS VARCHAR) || ':' ||
+  CAST(SUM(CAST(CAST(('0x' || substr(m, 17, 16)) AS UBIGINT) AS HUGEINT)) AS VARCHAR) AS checksum
+FROM (SELECT md5(concat_ws('|', length(k) || ':' || k, length(c) || ':' || c, length(o_orderstatus) || ':' || o_orderstatus, length(p) || ':' || p)) AS m
+  FROM (SELECT CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS p FROM orders))""",
 )
 def reconcile_checksum(spark, folder):
     cols = [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_totalprice").cast("decimal(18,2)")]

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from txlake.operators import cdc, fraud
+from txlake.operators.lateness import Lateness
 from txlake.plans.inputs import TX_SQL, as_transactions, order_changes
 from txlake.plans.medallion import Lake
 from txlake.plans.queries_batch import (
@@ -92,6 +93,49 @@ def stream_fraud_batches(spark, folder):
     return spark.read.parquet(handler.alerts).drop("batch")
 
 
+# How far events may lag behind and still be judged with their context.
+KEPT = Lateness(disorder=2 * 86_400, allowed=0)
+DISORDER_SQL = f"""{TX_SQL}, parted AS (
+  SELECT *, LEAST(3, (day(ts) - 1) // 8 + CASE WHEN k < 10 THEN 1 ELSE 0 END) AS part FROM tx
+), tops AS (SELECT part, MAX(ts) AS top FROM parted GROUP BY part), judged AS (
+  SELECT *, COALESCE(ts < (SELECT MAX(top) FROM tops WHERE tops.part < p.part) - INTERVAL {KEPT.disorder} SECOND, FALSE) AS late FROM parted p
+)"""
+
+
+def _judged_in_parts(spark, folder):
+    """Events that arrive in four parts, a tenth of them one part late; the stream starts
+    anew from its checkpoint for each part."""
+    out = scratch(spark, "parts")
+    rows = as_transactions(table(spark, folder, "events")).select("event_id", "user_id", "amount", "ts", "k")
+    part = F.floor((F.dayofmonth("ts") - 1) / 8) + F.when(F.col("k") < 10, 1).otherwise(0)
+    rows = rows.withColumn("part", F.least(part, F.lit(3)))
+    handler = fraud_stream.AlertBatches(f"{out}/judged", EVENT_RULES, KEPT)
+    for n in range(4):
+        rows.filter(F.col("part") == n).drop("part").write.mode("append").parquet(f"{out}/feed")
+        feed = spark.readStream.schema(rows.drop("part").schema).parquet(f"{out}/feed")
+        sinks.drain(sinks.to_batches(feed, handler, f"{out}/checkpoint", every=None))
+    return handler
+
+
+@query(
+    "stream_fraud_disorder",
+    f"""WITH {DISORDER_SQL}, ok AS (SELECT * FROM judged WHERE NOT late),
+{ALERTS_SQL.replace("FROM tx p WHERE", "FROM ok p WHERE p.part <= t.part AND").replace("FROM tx t", '''FROM ok t
+  UNION ALL SELECT *, 0, 0 FROM judged WHERE late''')} SELECT * FROM alerts""",
+)
+def stream_fraud_disorder(spark, folder):
+    """Late rows are judged by their amount; the others with what arrived before."""
+    return spark.read.parquet(_judged_in_parts(spark, folder).alerts).drop("batch")
+
+
+@query(
+    "stream_fraud_dead_letters",
+    f"""WITH {DISORDER_SQL} SELECT event_id, user_id, amount, ts FROM judged WHERE late""",
+)
+def stream_fraud_dead_letters(spark, folder):
+    return spark.read.parquet(_judged_in_parts(spark, folder).dead_letters).select("event_id", "user_id", "amount", "ts")
+
+
 @query(
     "stream_record_rules",
     f"""WITH {TX_SQL} SELECT tx_id, user_id, amount, currency FROM tx
@@ -188,10 +232,10 @@ def stream_serving_recent(spark, folder):
 def stream_cdc(spark, folder):
     """Change records landed as files and applied by a stream."""
     path = scratch(spark, "changes")
-    cdc.unwrap(order_changes(spark, folder)).write.parquet(path)
+    cdc.unwrap(order_changes(spark, folder), position="offset").write.parquet(path)
     feed = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     target = VersionedTable(spark, scratch(spark, "stream-cdc"))
     at = F.lit(dt.datetime(2024, 1, 1))
-    handler = ApplyChanges(target, ["settlement_id"], ["__source_ts_ms", "__op"], at)
+    handler = ApplyChanges(target, ["settlement_id"], ["__source_ts_ms", "__offset"], at)
     sinks.drain(sinks.to_batches(feed, handler, scratch(spark, "cdc-checkpoint"), every=None))
     return handler.state().select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")

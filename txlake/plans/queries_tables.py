@@ -52,7 +52,7 @@ def _fresh(spark, folder):
     )
 
 
-FRESH_PRICE = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS DOUBLE)"
+FRESH_PRICE = "CAST(CAST(o_totalprice AS DECIMAL(28,8)) + 1 AS DOUBLE)"
 
 
 def _table_with_early(spark, folder, name):
@@ -228,14 +228,14 @@ SELECT o_orderkey AS settlement_id, o_custkey AS merchant_id, o_totalprice AS to
 
 def _cdc_state(spark, folder, hard_delete=False):
     """Applies the feed in three batches: creates, updates, then deletes."""
-    changes = cdc.unwrap(order_changes(spark, folder))
-    order = ["__source_ts_ms", "__op"]
+    changes = cdc.unwrap(order_changes(spark, folder), position="offset")
+    order, extras = ["__source_ts_ms", "__offset"], ("__offset",)
     at = F.lit(dt.datetime(2024, 1, 1))
     target = VersionedTable(spark, scratch(spark, "cdc"))
     for op in ["c", "u", "d"]:
         current = target.read() if target.exists() else None
         batch = changes.filter(F.col("__op") == op)
-        target.overwrite(cdc.apply_changes(current, batch, ["settlement_id"], order, at, hard_delete))
+        target.overwrite(cdc.apply_changes(current, batch, ["settlement_id"], order, at, hard_delete, extras))
     return target.read()
 
 
@@ -248,9 +248,9 @@ def cdc_apply(spark, folder):
 
 @query("cdc_apply_one_batch", CDC_STATE_SQL)
 def cdc_apply_one_batch(spark, folder):
-    changes = cdc.unwrap(order_changes(spark, folder))
+    changes = cdc.unwrap(order_changes(spark, folder), position="offset")
     state = cdc.apply_changes(
-        None, changes, ["settlement_id"], ["__source_ts_ms", "__op"], F.lit(dt.datetime(2024, 1, 1))
+        None, changes, ["settlement_id"], ["__source_ts_ms", "__offset"], F.lit(dt.datetime(2024, 1, 1))
     )
     return state.select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")
 
@@ -397,7 +397,8 @@ def _lake(spark, folder, name):
     lake = medallion.Lake(spark, scratch(spark, name))
     topic = as_topic(transactions(spark, folder))
     settings = medallion.Settings(rules=LAKE_RULES, now=_at())
-    medallion.run(lake, topic, dt.date(2024, 1, 1), dt.date(2024, 2, 1), settings)
+    first, last = topic.agg(F.to_date(F.min("timestamp")), F.to_date(F.max("timestamp"))).first()
+    medallion.run(lake, topic, first, last + dt.timedelta(days=1), settings)
     return lake, topic, settings
 
 
@@ -414,7 +415,7 @@ def medallion_gold(spark, folder):
 @query(
     "backfill_idempotent",
     f"""WITH {SILVER_SQL} SELECT user_id, strftime(tx_date, '%Y-%m') AS stats_month, COUNT(*) AS total_tx_count,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount, COUNT(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+  CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))), 6) AS DOUBLE) AS total_amount, COUNT(*) FILTER (WHERE is_anomaly) AS anomaly_count,
   CAST(MIN(tx_date) AS VARCHAR) AS first_tx_date, CAST(MAX(tx_date) AS VARCHAR) AS last_tx_date FROM tx GROUP BY ALL""",
 )
 def backfill_idempotent(spark, folder):

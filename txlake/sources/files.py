@@ -105,20 +105,14 @@ COPIES_PER_TASK_ROW = 10_000
 def _number_copies(counted: DataFrame, keys: list[str]) -> DataFrame:
     """Turn ``copies`` = n into n rows numbered 0..n-1.
 
-    A line that makes up much of the input would unfold in one task, so large
-    counts are first cut into ranges, which are spread before they unfold.
+    A line that makes up much of the input would unfold in one task, so counts are
+    first cut into ranges, which are spread before they unfold.
     """
-    size = COPIES_PER_TASK_ROW
-
-    def unfold(ranges: DataFrame) -> DataFrame:
-        last = F.least(F.col("start") + (size - 1), F.col("copies") - 1)
-        return ranges.select(*keys, F.explode(F.sequence(F.col("start"), last)).alias("copy"))
-
-    start = F.lit(0).cast("bigint")
-    usual = counted.filter(F.col("copies") <= size).withColumn("start", start)
-    starts = F.sequence(start, F.col("copies") - 1, F.lit(size).cast("bigint"))
-    hot = counted.filter(F.col("copies") > size).withColumn("start", F.explode(starts))
-    return unfold(usual).unionByName(unfold(hot.repartition("start", *keys)))
+    size = F.lit(COPIES_PER_TASK_ROW).cast("bigint")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, size)
+    ranges = counted.withColumn("start", F.explode(starts)).repartition("start", *keys)
+    last = F.least(F.col("start") + size, F.col("copies")) - 1
+    return ranges.select(*keys, F.explode(F.sequence(F.col("start"), last)).alias("copy"))
 
 
 def decode_json(df: DataFrame, value: Column, schema: T.StructType, into: str = "data") -> DataFrame:

@@ -7,6 +7,8 @@ have been landed as files.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -20,6 +22,7 @@ def source_options(
     starting: str = "latest",
     ending: str | None = None,
     starting_timestamp_ms: int | None = None,
+    ending_timestamp_ms: int | None = None,
     fail_on_data_loss: bool = True,
     max_offsets_per_trigger: int | None = None,
 ) -> dict[str, str]:
@@ -32,7 +35,9 @@ def source_options(
         options["startingOffsets"] = starting
     else:
         options["startingTimestamp"] = str(starting_timestamp_ms)
-    if ending:
+    if ending_timestamp_ms is not None:
+        options["endingTimestamp"] = str(ending_timestamp_ms)
+    elif ending:
         options["endingOffsets"] = ending
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
@@ -45,6 +50,24 @@ def read_bounded(spark: SparkSession, servers: str, topics: list[str], **kw) ->
     return spark.read.format("kafka").options(**options).load()
 
 
+def day_range(first: dt.date, until: dt.date) -> dict[str, int]:
+    """Options of a bounded read of the days [first, until), in UTC."""
+    at = lambda day: int(dt.datetime(day.year, day.month, day.day, tzinfo=dt.UTC).timestamp() * 1000)
+    return {"starting_timestamp_ms": at(first), "ending_timestamp_ms": at(until)}
+
+
+def read_days(
+    spark: SparkSession, servers: str, topics: list[str], first: dt.date, until: dt.date | None = None, **kw
+) -> DataFrame:
+    """What arrived on the days [first, until), one day by default.
+
+    The broker finds the offsets, so a daily run reads a day and not the topic.
+    """
+    days = day_range(first, until or first + dt.timedelta(days=1))
+    # A day that nothing has followed yet ends at the latest offset.
+    return read_bounded(spark, servers, topics, **days, **kw)
+
+
 def read_unbounded(spark: SparkSession, servers: str, topics: list[str], **kw) -> DataFrame:
     """Continuous read. Progress lives in the query's checkpoint folder; to replay,
     start with a new one and ``starting="earliest"`` or ``starting_timestamp_ms``."""

@@ -22,23 +22,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from txlake.functions.money import money
 from txlake.functions.times import floor_to, micros
 from txlake.operators import trailing
 from txlake.operators.fraud import AlertRules, explode_alerts
 from txlake.operators.lateness import Lateness
-from txlake.streaming.sinks import previous_batch, write_batch
+from txlake.streaming.sinks import forget, previous_batch, write_batch
 
 SECOND = 1_000_000
 EVENT = T.StructType(
     [
         T.StructField("at", T.LongType()),
         T.StructField("id", T.LongType()),
-        T.StructField("cents", T.LongType()),
+        T.StructField("amount", T.DoubleType()),
     ]
 )
 TOTALS_SCHEMA = (
-    "user_id BIGINT, id BIGINT, at BIGINT, cents BIGINT, trailing_count BIGINT, trailing_cents BIGINT"
+    "user_id BIGINT, id BIGINT, at BIGINT, amount DOUBLE, trailing_count BIGINT, trailing_total DOUBLE"
 )
 
 
@@ -57,21 +56,24 @@ class TrailingTotals(StatefulProcessor):
         if not known:
             # One clean-up timer per key, two spans after the block has ended.
             self.handle.registerTimer((key[1] + self.width + 2 * self.span) // 1000)
-        new = [r[["at", "id", "cents", "home"]].to_numpy(dtype="int64") for r in rows]
-        old = np.array([(*e, -1) for e in known], dtype="int64").reshape(-1, 4)
-        events = np.concatenate([old, *new])
-        events = events[np.lexsort((events[:, 1], events[:, 0]))]
-
-        at, home = events[:, 0], events[:, 3]
-        running = np.concatenate([[0], np.cumsum(events[:, 2])])
+        names = ["at", "id", "amount", "home"]
+        old = pd.DataFrame([(*e, -1) for e in known], columns=names)
+        events = pd.concat([old, *(r[names] for r in rows)]) if known else pd.concat([r[names] for r in rows])
+        events = events.sort_values(["at", "id"], kind="stable")
+
+        at, home = events["at"].to_numpy("int64"), events["home"].to_numpy("int64")
+        amount = events["amount"].to_numpy("float64")
+        # Extended precision: a running sum of the block loses nothing that shows.
+        money = np.where(np.isfinite(amount), amount, 0.0).astype("longdouble")
+        running = np.concatenate([np.zeros(1, "longdouble"), np.cumsum(money)])
         here = np.arange(1, len(events) + 1)
         oldest = np.searchsorted(at, at - self.span, side="left")
+        totals = np.round((running[here] - running[oldest]).astype("float64"), 6)
 
         # Rows behind the watermark no longer arrive, so older context is not needed.
         needed = at >= timerValues.getCurrentWatermarkInMs() * 1000 - self.span
-        kept = events[needed, :3].tolist()
-        if kept:
-            self.recent.put([tuple(e) for e in kept])
+        if needed.any():
+            self.recent.put(list(events.loc[needed, names[:3]].itertuples(index=False, name=None)))
         elif known:
             self.recent.clear()
 
@@ -80,11 +82,11 @@ class TrailingTotals(StatefulProcessor):
             yield pd.DataFrame(
                 {
                     "user_id": np.full(out.sum(), key[0], dtype="int64"),
-                    "id": events[out, 1],
+                    "id": events["id"].to_numpy("int64")[out],
                     "at": at[out],
-                    "cents": events[out, 2],
+                    "amount": amount[out],
                     "trailing_count": (here - oldest)[out],
-                    "trailing_cents": (running[here] - running[oldest])[out],
+                    "trailing_total": totals[out],
                 }
             )
 
@@ -111,14 +113,13 @@ def trailing_totals(
     home = floor_to(at, width)
     near_end = at >= home + (width - span * SECOND)
     blocks = F.when(near_end, F.array(home, home + width)).otherwise(F.array(home))
-    cents = (money(F.coalesce(F.col(amount), F.lit(0.0))) * 100).cast("bigint")
     placed = df.filter(F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("user_id"),
         F.explode(blocks).alias("block"),
         F.col(ts),
         at.alias("at"),
         F.col(row_id).cast("bigint").alias("id"),
-        cents.alias("cents"),
+        F.coalesce(F.col(amount), F.lit(0.0)).alias("amount"),
     )
     placed = placed.withColumn("home", (F.col("block") == floor_to(F.col("at"), width)).cast("int"))
     return placed.groupBy("user_id", "block").transformWithStateInPandas(
@@ -134,61 +135,116 @@ def user_alerts(
     row_id: str = "event_id",
     amount: str = "amount",
 ) -> DataFrame:
+    """Alerts of all users. The amount of a single row needs no context, so every row is
+    judged by it, however late; the trailing rules see the rows within the watermark, and
+    ``DeadLetters`` keeps those behind it."""
     totals = trailing_totals(df, key, ts, row_id, amount, rules.span_seconds, rules.block_seconds)
     rows = totals.select(
         "user_id",
         F.col("id").alias("event_id"),
         F.timestamp_micros("at").alias("ts"),
-        (F.col("cents").cast("decimal(20,0)") / 100).cast("double").alias("amount"),
+        "amount",
         "trailing_count",
-        (F.col("trailing_cents").cast("decimal(20,0)") / 100).cast("double").alias("trailing_total"),
+        "trailing_total",
+    )
+    trailing_alerts = explode_alerts(rows, rules, "user_id", "ts", "event_id", "amount")
+    return trailing_alerts.filter(F.col("rule_id") != "RULE-002").unionByName(
+        alone(df.filter(F.col(key).isNotNull()), rules, key, ts, row_id, amount)
     )
-    return explode_alerts(rows, rules, "user_id", "ts", "event_id", "amount")
 
 
-class AlertBatches:
+def alone(df: DataFrame, rules: AlertRules, key: str, ts: str, row_id: str, amount: str) -> DataFrame:
+    """Alerts that rows raise without any context: those of the single amount."""
+    rows = df.withColumns({"trailing_count": F.lit(0).cast("bigint"), "trailing_total": F.lit(0.0)})
+    alerts = explode_alerts(rows, rules, key, ts, row_id, amount)
+    return alerts.filter(F.col("rule_id") == "RULE-002")
+
+
+class BehindNewest:
+    """The newest event time of each batch, and which rows lag behind that of earlier ones."""
+
+    def __init__(self, path: str, disorder: Lateness):
+        self.path, self.delay = path.rstrip("/"), disorder.disorder
+
+    @property
+    def dead_letters(self) -> str:
+        return f"{self.path}/dead_letters"
+
+    def newest_before(self, spark, batch_id: int) -> int | None:
+        last = previous_batch(spark, f"{self.path}/marks", batch_id)
+        return spark.read.schema("newest BIGINT").json(last).first()[0] if last else None
+
+    def is_late(self, newest: int | None) -> Column:
+        if newest is None:
+            return F.lit(False)
+        return F.coalesce(micros(F.col("ts")) < newest - self.delay * SECOND, F.lit(False))
+
+    def mark(self, rows: DataFrame, newest: int | None, batch_id: int) -> int | None:
+        """Write the newest event time so far; folders that no replay can need go."""
+        spark = rows.sparkSession
+        top = rows.agg(F.max(micros(F.col("ts")))).first()[0]
+        newest = max((v for v in (newest, top) if v is not None), default=None)
+        spark.createDataFrame([(newest,)], "newest BIGINT").write.mode("overwrite").json(
+            f"{self.path}/marks/batch={batch_id}"
+        )
+        forget(spark, f"{self.path}/marks", batch_id)
+        return newest
+
+
+class DeadLetters(BehindNewest):
+    """Batch handler that keeps the rows behind the watermark of a stateful query.
+
+    It runs on the same source; rows count as late as there, by the newest event time of
+    earlier batches less the delay.
+    """
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        newest = self.newest_before(batch.sparkSession, batch_id)
+        write_batch(batch.filter(self.is_late(newest)), self.dead_letters, batch_id)
+        self.mark(batch, newest, batch_id)
+
+
+class AlertBatches(BehindNewest):
     """Batch handler: alerts of each micro-batch, from built-in operators only.
 
-    The rows of the last span seconds before the watermark are written at the end
-    of each batch and read as context by the next one. All folders carry the batch
-    number, so a replayed batch reads and writes the same ones.
+    Rows are judged with the rows of the last span seconds as context. Context reaches
+    back ``disorder`` seconds behind the newest event: later rows than that are judged by
+    their amount alone, and written to ``dead_letters`` as well. All folders carry the
+    batch number, so a replayed batch reads and writes the same ones; the micro-batch is
+    read once, into a folder of its own.
     """
 
     def __init__(self, path: str, rules: AlertRules = AlertRules(), disorder: Lateness = Lateness()):
-        self.path, self.rules, self.delay = path.rstrip("/"), rules, disorder.disorder
+        super().__init__(path, disorder)
+        self.rules = rules
 
     @property
     def alerts(self) -> str:
         return f"{self.path}/alerts"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.filter(F.col("user_id").isNotNull()).select("user_id", "ts", "event_id", "amount")
-        context = spark.createDataFrame([], rows.schema)
-        newest = None
+        spark, names = batch.sparkSession, ("user_id", "ts", "event_id", "amount")
+        write_batch(batch.filter(F.col("user_id").isNotNull()).select(*names), f"{self.path}/arrived", batch_id)
+        rows = spark.read.parquet(f"{self.path}/arrived/batch={batch_id}")
+        newest = self.newest_before(spark, batch_id)
         # The context is written last, so its folder stands for a finished batch.
         last = previous_batch(spark, f"{self.path}/context", batch_id)
-        if last:
-            context = spark.read.schema(rows.schema).parquet(last)
-            mark = last.replace("/context/", "/marks/")
-            newest = spark.read.schema("newest BIGINT").json(mark).first()[0]
-        at = micros(F.col("ts"))
-        if newest is not None:
-            # Rows behind the watermark have lost their context and are not judged.
-            rows = rows.filter(at >= newest - self.delay * SECOND)
+        context = spark.read.schema(rows.schema).parquet(last) if last else spark.createDataFrame([], rows.schema)
+        late = rows.filter(self.is_late(newest))
+        rows = rows.filter(~self.is_late(newest))
         both = context.withColumn("_fresh", F.lit(False)).unionByName(rows.withColumn("_fresh", F.lit(True)))
         totals = trailing.trailing_totals(
             both, "user_id", "ts", "event_id", "amount", self.rules.span_seconds, self.rules.block_seconds
         )
         found = explode_alerts(totals.filter("_fresh"), self.rules, "user_id", "ts", "event_id", "amount")
+        found = found.unionByName(alone(late, self.rules, "user_id", "ts", "event_id", "amount"))
         write_batch(found, self.alerts, batch_id)
+        write_batch(late, self.dead_letters, batch_id)
 
-        top = rows.agg(F.max(at)).first()[0]
-        newest = max((v for v in (newest, top) if v is not None), default=None)
-        spark.createDataFrame([(newest,)], "newest BIGINT").write.mode("overwrite").json(
-            f"{self.path}/marks/batch={batch_id}"
-        )
+        newest = self.mark(rows, newest, batch_id)
         keep: Column = F.lit(True)
         if newest is not None:
-            keep = at >= newest - (self.delay + self.rules.span_seconds) * SECOND
+            keep = micros(F.col("ts")) >= newest - (self.delay + self.rules.span_seconds) * SECOND
         write_batch(both.drop("_fresh").filter(keep), f"{self.path}/context", batch_id)
+        forget(spark, f"{self.path}/context", batch_id)
+        forget(spark, f"{self.path}/arrived", batch_id)

@@ -61,9 +61,22 @@ def previous_batch(spark: SparkSession, path: str, batch_id: int) -> str | None:
     return f"{path}/batch={max(earlier)}" if earlier else None
 
 
-def drain(*queries: StreamingQuery, timeout: int = 3600) -> None:
-    """Wait until queries over available input have ended; raise if one failed."""
+def forget(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Delete the folders that a replay of this batch or a later one does not read."""
+    for name in fs.folders(spark, path, 1):
+        if int(name.split("=")[1]) < batch_id - 1:
+            fs.delete_folder(spark, f"{path}/{name}")
+
+
+def drain(*queries: StreamingQuery, timeout: int | None = None) -> None:
+    """Wait until queries over available input have ended; raise if one failed.
+
+    Without a limit in seconds it waits as long as a backlog takes.
+    """
     for q in queries:
+        if timeout is None:
+            q.awaitTermination()
+            continue
         ended = q.awaitTermination(timeout)
         if not ended:
             q.stop()
