@@ -169,21 +169,22 @@ def contamination(
     if len(searchers) == 1:
         found = docs.withColumn(result, searchers[0](F.col(text)))
         return found.withColumn(items, F.col(f"{result}.items")).withColumn(similarity, F.col(f"{result}.similarity")).drop(result)
+    one, two, *more = fresh(docs, "__a", "__b", "__items", "__best")
     a, b = row_identity(F.col(doc_id), F.col(text))
     hits = None
     for search in searchers:
-        part = docs.select(a.alias("__a"), b.alias("__b"), search(F.col(text)).alias("f")).filter(F.size("f.items") > 0)
+        part = docs.select(a.alias(one), b.alias(two), search(F.col(text)).alias("f")).filter(F.size("f.items") > 0)
         part = staged(part.distinct(), "benchmark_hits")
         hits = part if hits is None else hits.unionByName(part)
-    hits = hits.groupBy("__a", "__b").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("f.items")))).alias("__items"), F.max("f.similarity").alias("__best")
+    hits = hits.groupBy(one, two).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("f.items")))).alias(more[0]), F.max("f.similarity").alias(more[1])
     )
-    joined = docs.withColumn("__a", a).withColumn("__b", b).join(hits, ["__a", "__b"], "left")
+    joined = docs.withColumn(one, a).withColumn(two, b).join(hits, [one, two], "left")
     nothing = F.array().cast("array<bigint>")
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce("__items", nothing).alias(items),
-        F.coalesce("__best", F.lit(0.0)).alias(similarity),
+        F.coalesce(more[0], nothing).alias(items),
+        F.coalesce(more[1], F.lit(0.0)).alias(similarity),
     )
 
 

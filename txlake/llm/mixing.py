@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txlake.llm.common import staged, word_count
+from txlake.llm.common import fresh, staged, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_REPEATS = 3
@@ -109,10 +109,10 @@ def repeat_documents(
     named = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
     targets = source_targets(named, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rates = targets.select(F.col("source").alias("__of"), rate.alias("__rate"))
-    whole = F.floor("__rate")
-    copies = whole + F.when(coin(F.col(f"d.{doc_id}"), F.col(f"d.{text}"), seed) < F.col("__rate") - whole, 1).otherwise(0)
-    joined = docs.alias("d").join(rates, F.col(f"d.{source}").eqNullSafe(F.col("__of")))
-    return joined.withColumn(
-        "__copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))
-    ).select("d.*")
+    of, per, copy = fresh(docs, "__of", "__rate", "__copy")
+    rates = targets.select(F.col("source").alias(of), rate.alias(per))
+    whole = F.floor(per)
+    copies = whole + F.when(coin(F.col(doc_id), F.col(text), seed) < F.col(per) - whole, 1).otherwise(0)
+    joined = docs.join(rates, F.col(source).eqNullSafe(F.col(of)))
+    repeated = joined.withColumn(copy, F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -197,16 +197,16 @@ def with_shards(docs: DataFrame, count: int = SHARDS, doc_id: str = "doc_id", te
     Rows meet their place by id and text; rows equal in both are interchangeable and take
     the places in turn.
     """
-    shard, slot = fresh(docs, "shard", "slot")
+    shard, slot, *keys, turn = fresh(docs, "shard", "slot", "__a", "__b", "__c", "__turn")
     places = shards(docs, count, doc_id=doc_id, text=text, **names)
-    turn = Window.partitionBy("__a", "__b", "__c").orderBy(F.lit(0))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+
+    def keyed(df: DataFrame, key, mark, crc) -> DataFrame:
+        named = zip(keys, (F.xxhash64(key, mark), mark, crc), strict=True)
+        return df.withColumns({name: c for name, c in named}).withColumn(turn, nth)
+
     words = F.coalesce(F.col(text), F.lit(""))
-    mark = lambda i, m, c: (F.xxhash64(i, m), m, c)
-    a, b, c = mark(F.col(doc_id), F.xxhash64(words), F.crc32(words.cast("binary")))
-    left = docs.withColumn("__a", a).withColumn("__b", b).withColumn("__c", c).withColumn("__turn", F.row_number().over(turn))
-    a, b, c = mark(F.col("doc_id"), F.col("mark"), F.col("text_crc32"))
-    right = places.select(
-        a.alias("__a"), b.alias("__b"), c.alias("__c"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot")
-    ).withColumn("__turn", F.row_number().over(turn))
-    joined = left.join(right, ["__a", "__b", "__c", "__turn"])
-    return joined.select(*[F.col(f"`{x}`") for x in docs.columns], F.col("__shard").alias(shard), F.col("__slot").alias(slot))
+    left = keyed(docs, F.col(doc_id), F.xxhash64(words), F.crc32(words.cast("binary")))
+    right = keyed(places.withColumnsRenamed({"shard": shard, "slot": slot}), F.col("doc_id"), F.col("mark"), F.col("text_crc32"))
+    joined = left.join(right.select(*keys, turn, shard, slot), [*keys, turn])
+    return joined.select(*[F.col(f"`{x}`") for x in docs.columns], shard, slot)
