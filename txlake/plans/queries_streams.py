@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from txlake.functions.money import exact_sum
 from txlake.operators import cdc, fraud
 from txlake.operators.lateness import Lateness
 from txlake.plans.inputs import TX_SQL, as_transactions, order_changes
@@ -102,6 +103,14 @@ DISORDER_SQL = f"""{TX_SQL}, parted AS (
 )"""
 
 
+def _in_parts(spark, rows, part, count, handler, out):
+    """Part after part is added to a feed, and a stream works off what is new."""
+    for n in range(count):
+        rows.filter(F.col(part) == n).drop(part).write.mode("append").parquet(f"{out}/feed")
+        feed = spark.readStream.schema(rows.drop(part).schema).parquet(f"{out}/feed")
+        sinks.drain(sinks.to_batches(feed, handler, f"{out}/checkpoint", every=None))
+
+
 def _judged_in_parts(spark, folder):
     """Events that arrive in four parts, a tenth of them one part late; the stream starts
     anew from its checkpoint for each part."""
@@ -110,10 +119,7 @@ def _judged_in_parts(spark, folder):
     part = F.floor((F.dayofmonth("ts") - 1) / 8) + F.when(F.col("k") < 10, 1).otherwise(0)
     rows = rows.withColumn("part", F.least(part, F.lit(3)))
     handler = fraud_stream.AlertBatches(f"{out}/judged", EVENT_RULES, KEPT)
-    for n in range(4):
-        rows.filter(F.col("part") == n).drop("part").write.mode("append").parquet(f"{out}/feed")
-        feed = spark.readStream.schema(rows.drop("part").schema).parquet(f"{out}/feed")
-        sinks.drain(sinks.to_batches(feed, handler, f"{out}/checkpoint", every=None))
+    _in_parts(spark, rows, "part", 4, handler, out)
     return handler
 
 
@@ -183,13 +189,49 @@ UNION ALL SELECT event_id, amount, ts, 'sliding' FROM marked WHERE time_bucket(I
 def stream_late_split(spark, folder):
     """One slice per micro-batch: rows of later slices are late for windows that
     earlier slices have closed."""
-    rows = _sliced_events(spark, folder, "slices")
-    split = LateSplit(scratch(spark, "late"), "ts", None, 300, 60)
-    for n in range(SLICES):
-        split(rows.filter(F.col("slice") == n).drop("slice"), n)
+    split = _split(spark, folder)
     return spark.read.parquet(split.dead_letters).select("event_id", "amount", "ts", "late_for")
 
 
+def _split(spark, folder):
+    out = scratch(spark, "late")
+    split = LateSplit(f"{out}/split", "ts", None, 300, 60)
+    _in_parts(spark, _sliced_events(spark, folder, "slices"), "slice", SLICES, split, out)
+    return split
+
+
+@query(
+    "stream_windows_with_late",
+    f"""WITH {SLICED_SQL}, kept AS (
+  SELECT *, time_bucket(INTERVAL 300 SECOND, ts) AS start, COALESCE(time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND <= passed, FALSE) AS late FROM marked
+) SELECT tx_type AS event_type, start AS window_start, start + INTERVAL 300 SECOND AS window_end,
+  COUNT(*) FILTER (WHERE NOT late) AS transaction_count,
+  COALESCE(CAST(ROUND(SUM(CAST(amount AS DECIMAL(28,8))) FILTER (WHERE NOT late), 6) AS DOUBLE), 0.0) AS total_amount,
+  COUNT(*) FILTER (WHERE late) AS late_count FROM kept GROUP BY tx_type, start""",
+)
+def stream_windows_with_late(spark, folder):
+    """Windows of the rows on time beside the number of those that came too late: nothing
+    is lost between the two."""
+    split = _split(spark, folder)
+    kept = spark.read.parquet(split.on_time).filter(~F.array_contains("late_for", "tumbling"))
+    late = spark.read.parquet(split.dead_letters).filter("late_for = 'tumbling'")
+    both = kept.withColumn("late", F.lit(False)).drop("late_for").unionByName(late.withColumn("late", F.lit(True)).drop("late_for"))
+    window = F.window(F.col("ts").cast("timestamp"), "300 seconds").alias("w")
+    on_time = F.when(~F.col("late"), F.col("amount"))
+    return both.groupBy(F.col("tx_type").alias("event_type"), window).agg(
+        F.count_if(~F.col("late")).alias("transaction_count"),
+        F.coalesce(exact_sum(on_time), F.lit(0.0)).alias("total_amount"),
+        F.count_if("late").alias("late_count"),
+    ).select(
+        "event_type",
+        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        "transaction_count",
+        "total_amount",
+        "late_count",
+    )
+
+
 def _serving(spark, folder, view):
     """Alerts written by one stream feed the views of a second one."""
     lake = Lake(spark, scratch(spark, "serving"))

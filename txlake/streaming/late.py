@@ -4,18 +4,23 @@ Spark drops rows behind the watermark without a trace, so the split happens
 before the windows: each micro-batch is compared with the watermark that all
 earlier batches left behind. That watermark is written per batch (one row per
 topic partition, cumulative); a replayed batch reads the same row and gives the
-same split.
+same split. A topic partition that has sent nothing for ``idle`` seconds no longer
+holds the watermark back; the time of each batch is written before its work, so a
+replay sees the same idle partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlake.functions.text import labels
 from txlake.functions.times import micros
 from txlake.operators.lateness import Lateness, grid_end
-from txlake.streaming.sinks import previous_batch, write_batch
+from txlake.sources import fs
+from txlake.streaming.sinks import forget, previous_batch, write_batch
 
 SECOND = 1_000_000
 
@@ -36,9 +41,10 @@ class LateSplit:
         width: int,
         slide: int | None = None,
         rule: Lateness = Lateness(),
+        idle: int | None = 60,
     ):
         self.path, self.ts, self.partition = path.rstrip("/"), ts, partition
-        self.width, self.slide, self.rule = width, slide, rule
+        self.width, self.slide, self.rule, self.idle = width, slide, rule, idle
 
     @property
     def on_time(self) -> str:
@@ -48,17 +54,27 @@ class LateSplit:
     def dead_letters(self) -> str:
         return f"{self.path}/dead_letters"
 
+    def _clock(self, spark: SparkSession, batch_id: int) -> int:
+        """Time of the batch in seconds: that of its first run."""
+        path = f"{self.path}/clock/batch={batch_id}"
+        if not fs.exists(spark, f"{path}/_SUCCESS"):
+            now = spark.createDataFrame([(int(time.time()),)], "now BIGINT")
+            now.coalesce(1).write.mode("overwrite").json(path)
+        return spark.read.schema("now BIGINT").json(path).first()[0]
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        now = self._clock(spark, batch_id)
         part = F.col(self.partition) if self.partition else F.lit(0)
-        ledger_schema = "part STRING, newest BIGINT"
+        ledger_schema = "part STRING, newest BIGINT, seen_at BIGINT"
         last = previous_batch(spark, f"{self.path}/ledger", batch_id)
         if last:
             before = spark.read.schema(ledger_schema).json(last)
         else:
             before = spark.createDataFrame([], ledger_schema)
-        # One value: the slowest topic partition seen so far.
-        slowest = before.agg(F.min("newest")).first()[0]
+        # One value: the slowest topic partition that isn't idle, or else the fastest.
+        awake = F.lit(True) if self.idle is None else F.col("seen_at") >= now - self.idle
+        slowest = before.agg(F.coalesce(F.min(F.when(awake, F.col("newest"))), F.max("newest"))).first()[0]
         passed = None if slowest is None else slowest - self.rule.closing_delay * SECOND
 
         at = micros(F.col(self.ts))
@@ -73,10 +89,17 @@ class LateSplit:
         if self.slide:
             paths["sliding"] = (self.width, self.slide)
         late = labels({name: is_late(*pair) for name, pair in paths.items()})
-        marked = batch.withColumn("late_for", late)
+        # The micro-batch is read once; the rest works on what was written.
+        write_batch(batch.withColumn("late_for", late), f"{self.path}/marked", batch_id)
+        marked = spark.read.parquet(f"{self.path}/marked/batch={batch_id}")
         write_batch(marked.withColumn("late_for", F.explode("late_for")), self.dead_letters, batch_id)
         write_batch(marked.filter(F.size("late_for") < len(paths)), self.on_time, batch_id)
 
-        seen = batch.groupBy(part.cast("string").alias("part")).agg(F.max(at).alias("newest"))
-        now = before.unionByName(seen).groupBy("part").agg(F.max("newest").alias("newest"))
-        now.coalesce(1).write.mode("overwrite").json(f"{self.path}/ledger/batch={batch_id}")
+        seen = marked.groupBy(part.cast("string").alias("part")).agg(F.max(at).alias("newest"))
+        seen = seen.withColumn("seen_at", F.lit(now).cast("bigint"))
+        known = before.unionByName(seen).groupBy("part").agg(
+            F.max("newest").alias("newest"), F.max("seen_at").alias("seen_at")
+        )
+        known.coalesce(1).write.mode("overwrite").json(f"{self.path}/ledger/batch={batch_id}")
+        for name in ("marked", "clock", "ledger"):
+            forget(spark, f"{self.path}/{name}", batch_id)
