@@ -73,6 +73,17 @@ DEFAULT_RULES = [
     },
 ]
 
+# Beyond this a double no longer tells cents apart; NaN and infinity are beyond it too.
+MONEY_RULE = {
+    "id": "VLD-005",
+    "name": "금액 계산 가능 체크",
+    "type": "validity",
+    "severity": "critical",
+    "field": "amount",
+    "min_value": -1e15,
+    "max_value": 1e15,
+}
+
 # Rule fields that are called differently in the parsed rows.
 FIELD_ALIASES = {"timestamp": "event_timestamp"}
 

@@ -43,6 +43,10 @@ class Settings:
     as_of: dt.datetime | Column | None = None
     bronze_keys: list[str] = field(default_factory=lambda: list(BRONZE_KEYS))
 
+    def checks(self) -> list[dict]:
+        """The rules, and that amounts can be summed at all."""
+        return [*self.rules, quality.MONEY_RULE]
+
     def clock(self) -> Column:
         return F.current_timestamp() if self.now is None else self.now
 
@@ -108,7 +112,7 @@ def build_silver(lake: Lake, first: dt.date, until: dt.date, settings: Settings)
     parsed = parse_silver(lake.table("bronze").read().filter(of_run), settings.default_currency)
     checked = quality.evaluate(
         parsed,
-        settings.rules,
+        settings.checks(),
         settings.as_of,
         ["kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_key"],
     )
@@ -131,7 +135,7 @@ def build_silver(lake: Lake, first: dt.date, until: dt.date, settings: Settings)
 
     rejected = quality.quarantined_rows(rows).withColumn("quarantined_at", settings.clock())
     _replace(lake.table("quarantine"), rejected, ["ingest_date"], of_run)
-    report = quality.report(rows, settings.rules).withColumns(
+    report = quality.report(rows, settings.checks()).withColumns(
         {"first_day": F.lit(first), "until_day": F.lit(until), "generated_at": settings.clock()}
     )
     same_run = (F.col("first_day") == F.lit(first)) & (F.col("until_day") == F.lit(until))
