@@ -323,7 +323,8 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         triples, triple_counts = _arrays(grams.filter("size = 3").orderBy("gram").collect(), "gram", "c")
     model = _weigh(total, distinct, frequent, counts, pairs, pair_counts, triples, triple_counts)
 
-    dictionary = seen.select("block", "h").distinct().join(vocabulary, "h").select("block", "h", "c")
+    # A block counted in pieces has a word more than once, which does no harm.
+    dictionary = seen.select("block", "h").join(vocabulary, "h").select("block", "h", "c")
     result = T.StructType(
         [
             T.StructField("doc_id", blocked.schema["doc_id"].dataType),
