@@ -195,7 +195,7 @@ def test_contamination_finds_changed_passages(ready):
 
     rng = random.Random(5)
     make = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
-    items = [(k, " ".join(make(rng.randrange(6, 60)))) for k in range(60)]
+    items = [(k, " ".join(make(rng.randrange(6, 60)))) for k in range(24)]
     rows = []
     for k, t in items:
         for edits in range(4):
