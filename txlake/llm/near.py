@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlake.llm import words
-from txlake.llm.common import row_identity, staged
+from txlake.llm.common import fresh, row_identity, staged
 from txlake.llm.components import components
 
 # Similarity from which documents link, as a fraction.
@@ -20,6 +20,12 @@ NUMERATOR, DENOMINATOR = 75, 100
 # More of them mean more entries and fewer candidates.
 SHARED = 10
 
+# Rounds in which columns and sets drop out in turn.
+ROUNDS = 2
+
+# Rounds of pivots at most, before what is left open is compared pair by pair.
+STARS = 8
+
 SIGNATURE = T.StructType(
     [
         T.StructField("n", T.LongType()),
@@ -89,26 +95,91 @@ def _similar_size(a: str, b: str, numerator: int, denominator: int):
     return F.least(a, b) * denominator >= F.greatest(a, b) * numerator
 
 
-def _candidate_keys(signatures: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """(h, cid, n): the shingles by which sets can meet.
+def _shingles(size: int):
+    """Arrow function: the distinct shingles of a text."""
+    k = words.kernel(size)
+
+    def shingles(texts: pa.Array) -> pa.Array:
+        return pa.array([s.view("int64") for s in k.sets(texts)], pa.list_(pa.int64()))
+
+    return F.arrow_udf(shingles, T.ArrayType(T.LongType()))
 
-    The incidence of sets and shingles, taken by columns: shingles that only one set has
-    among its first ones drop out. A set with fewer shared ones than any linked partner
-    needs is out. Of s shared ones of which a partner needs k, the s - k + 1 rarest do.
+
+def _bound(n, numerator: int, denominator: int):
+    """Shingles that a set of n shares with any set it links with, at least."""
+    return F.ceil(n * F.lit(numerator) / F.lit(denominator))
+
+
+def _meeting(signatures: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(cid, n) of the sets that can have a link, as far as their first shingles tell.
+
+    The incidence of sets and shingles, taken by columns: a set counts the columns that it
+    doesn't have to itself. Copies of a set from several tasks count too often; that lets
+    more sets through, never fewer.
     """
     entries = signatures.select("cid", "n", F.explode("first").alias("h"))
-    counts = staged(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "shared_shingles")
-    shared = staged(entries.join(counts, "h").groupBy("cid", "n", "h").agg(F.min("df").alias("df")), "shared_entries")
-    of_set = Window.partitionBy("cid", "n")
-    # What the smallest possible partner shares at least.
-    smallest = F.ceil(F.col("n") * F.lit(numerator) / F.lit(denominator))
-    need = F.greatest(F.ceil(smallest / F.lit(SHARED)), F.lit(1))
-    ranked = (
-        shared.withColumn("rank", F.row_number().over(of_set.orderBy("df", "h")))
-        .withColumn("shared", F.count("*").over(of_set))
-        .filter(F.col("rank") <= F.col("shared") - need + 1)
+    counts = staged(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select("h"), "shared_columns")
+    # What the smallest possible partner shares at least of the first shingles.
+    need = F.greatest(F.ceil(_bound(F.col("n"), numerator, denominator) / F.lit(SHARED)), F.lit(1))
+    return entries.join(counts, "h").groupBy("cid", "n").agg(F.count("*").alias("s")).filter(F.col("s") >= need).select("cid", "n")
+
+
+def _candidate_keys(texts: DataFrame, numerator: int, denominator: int, size: int) -> DataFrame:
+    """(h, cid, n, fame): the columns by which sets can meet, given a text of each set.
+
+    Columns that only one set has drop out, then sets whose shared columns are fewer than
+    any link needs, and so on for a few rounds. Of s shared columns of which a link needs
+    o, the s - o + 1 rarest have one in common. ``fame`` is the mean number of sets in a
+    set's columns: the original of many near copies has the highest.
+    """
+    split = _shingles(size)
+    entries = texts.select("cid", split("text").alias("set")).select("cid", F.size("set").alias("n"), F.explode("set").alias("h"))
+    least = _bound(F.col("n"), numerator, denominator)
+    for _ in range(ROUNDS):
+        counts = staged(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "columns")
+        shared = entries.join(counts, "h")
+        of_set = Window.partitionBy("cid", "n")
+        left = shared.withColumn("s", F.count("*").over(of_set)).filter(F.col("s") >= least)
+        shared = staged(left, "entries")
+        entries = shared.drop("df", "s")
+    ranked = shared.withColumn("rank", F.row_number().over(of_set.orderBy("df", "h")))
+    ranked = ranked.withColumn("fame", F.sum("df").over(of_set) / F.col("s"))
+    return staged(ranked.filter(F.col("rank") <= F.col("s") - least + 1).select("h", "cid", "n", "fame"), "candidate_keys")
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The keys of columns whose sets are not all united."""
+    ends = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
+    return staged(placed.join(ends.filter("r0 < r1").select("h"), "h"), "open_columns")
+
+
+def _open_pairs(across: DataFrame) -> int:
+    """Pairs that meet in a column and are not united, counted once for each column."""
+    parts = across.groupBy("h", "root").agg(F.count("*").alias("k"))
+    each = parts.groupBy("h").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"))
+    return int(each.agg(F.coalesce(F.sum("pairs") / 2, F.lit(0))).first()[0])
+
+
+def _stars(across: DataFrame, turn: int, numerator: int, denominator: int) -> DataFrame:
+    """One pair (x, y) at most for each set: the set and a pivot it isn't united with.
+
+    In the first turn the pivot of a column is its most famous set, later on one by chance.
+    Of the pivots of its columns a set takes the most famous, then the one it meets most.
+    """
+    chance = F.xxhash64("cid", F.lit(turn)) / F.lit(float(1 << 63))
+    across = across.withColumn("weight", F.col("fame") + chance / 1000 if turn == 0 else chance)
+    pivots = across.groupBy("h").agg(
+        F.max("weight").alias("w"), *[F.max_by(c, "weight").alias(f"p_{c}") for c in ("cid", "n", "root")]
+    )
+    met = (
+        across.join(pivots, "h")
+        .filter((F.col("root") != F.col("p_root")) & _similar_size("n", "p_n", numerator, denominator))
+        .groupBy(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p_cid").alias("b"), F.col("p_n").alias("nb"))
+        .agg(F.count("*").alias("columns"), F.max("w").alias("w"))
     )
-    return staged(ranked.select("h", "cid", "n"), "candidate_keys")
+    order = [F.desc("w"), F.desc("columns")] if turn == 0 else [F.desc("columns"), F.desc("w")]
+    best = met.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(*order, "b"))).filter("rank = 1")
+    return _ordered(best, numerator, denominator)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int, size: int) -> DataFrame:
@@ -129,6 +200,13 @@ def _ordered(pairs: DataFrame, numerator: int, denominator: int) -> DataFrame:
     )
 
 
+def _all(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -146,11 +224,11 @@ def near_duplicates(
 
     Documents with equal sets are one class, and only classes are joined, as a sparse
     product of classes by shingles: sizes bound the overlap, so that few entries suffice
-    to find every pair (see ``_candidate_keys``). First each class meets the smallest and
-    the largest class of each of its columns; what links is united. Then classes of a
-    column that are not united yet meet each other. So a large group of near copies takes
-    a few pairs for each member, and no link between components is missed. Pairs are
-    checked on their texts.
+    to find every pair (see ``_meeting`` and ``_candidate_keys``). In turns, each class
+    meets a pivot of its columns, and what links is united. Then classes of a column that
+    are not united yet meet each other. So a large group of near copies takes a few pairs
+    for each member, and no link between components is missed. Pairs are checked on their
+    texts.
 
     ``a`` and ``b`` are the row's identity (see ``row_identity``); repeated rows share
     it. Null texts are empty; null ids never are a component's id unless all are null.
@@ -166,38 +244,42 @@ def near_duplicates(
         ),
         "signatures",
     )
-    keys = _candidate_keys(signatures, numerator, denominator)
-    wanted = keys.select("cid").distinct()
+    meeting = staged(_meeting(signatures, numerator, denominator).select("cid"), "meeting")
     # One row stands for its class: the one with the smallest identity.
-    reps = signatures.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("a").alias("a"), F.min_by("b", "a").alias("b"))
+    reps = signatures.join(meeting, "cid", "left_semi").groupBy("cid").agg(F.min("a").alias("a"), F.min_by("b", "a").alias("b"))
     reps = staged(reps, "representatives")
     texts = staged(docs.select("a", "b", "text").join(reps, ["a", "b"]).select("cid", "text"), "candidate_texts")
     if texts.count() > reps.count():  # repeated rows
         texts = staged(texts.dropDuplicates(["cid"]), "candidate_texts")
+    keys = _candidate_keys(texts, numerator, denominator, size)
+    texts = staged(texts.join(keys.select("cid").distinct(), "cid", "left_semi"), "texts_to_compare")
+
+    # Every class is a component of its own at first.
+    total = keys.count()
+    links, tried = [], []
+    across = _open(keys.withColumn("root", F.col("cid")))
+    for turn in range(STARS):
+        # As soon as there are no more open pairs than keys, they can be compared directly.
+        if _open_pairs(across) <= total:
+            break
+        tried.append(staged(_stars(across, turn, numerator, denominator), "star_pairs"))
+        links.append(staged(_verified(tried[-1], texts, numerator, denominator, size), "star_links"))
+        if links[-1].isEmpty():
+            continue
+        united = staged(components(_all(links)), "star_components").withColumnRenamed("node", "cid")
+        # Columns that are united stay so; only the open ones go on.
+        placed = across.drop("root").join(united, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+        across = _open(staged(placed, "placed_keys"))
 
-    ends = keys.groupBy("h").agg(
-        F.min("cid").alias("low"), F.max("cid").alias("high"), F.min_by("n", "cid").alias("n_low"), F.max_by("n", "cid").alias("n_high")
-    )
-    met = staged(keys.join(ends.filter("low < high"), "h"), "columns_with_ends")
-    star = met.select(F.col("cid").alias("a"), F.col("low").alias("b"), F.col("n").alias("na"), F.col("n_low").alias("nb"))
-    star = star.unionByName(
-        met.select(F.col("cid").alias("a"), F.col("high").alias("b"), F.col("n").alias("na"), F.col("n_high").alias("nb"))
-    )
-    tried = staged(_ordered(star, numerator, denominator), "star_pairs")
-    links = staged(_verified(tried, texts, numerator, denominator, size), "star_links")
-    united = staged(components(links), "star_components")
-
-    placed = keys.join(united.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    placed = staged(placed, "placed_keys")
-    open_ = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 < r1").select("h")
-    across = staged(placed.join(open_, "h"), "open_columns")
     left = across.select("h", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     right = across.select("h", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     fits = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _similar_size("na", "nb", numerator, denominator)
     cross = left.join(right, (left["h"] == right["h"]) & fits).select("a", "b", "na", "nb")
-    cross = staged(_ordered(cross, numerator, denominator).join(tried, ["x", "y"], "left_anti"), "cross_pairs")
-    more = staged(_verified(cross, texts, numerator, denominator, size), "cross_links")
-    roots = components(links.unionByName(more)).withColumnRenamed("node", "cid")
+    cross = _ordered(cross, numerator, denominator)
+    if tried:
+        cross = cross.join(_all(tried), ["x", "y"], "left_anti")
+    links.append(staged(_verified(staged(cross, "cross_pairs"), texts, numerator, denominator, size), "cross_links"))
+    roots = components(_all(links)).withColumnRenamed("node", "cid")
 
     members = staged(
         signatures.drop("first")
@@ -233,8 +315,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **n
     stay = first.select("a", "b", F.lit(True).alias("once")).unionByName(
         found.filter("n_shingles = 0").select("a", "b", F.lit(False).alias("once")).distinct()
     )
-    stay = staged(stay.select(F.col("a").alias("__a"), F.col("b").alias("__b"), F.col("once").alias("__once")), "staying")
+    one, two, once, turn = fresh(docs, "__a", "__b", "__once", "__turn")
+    stay = staged(stay.toDF(one, two, once), "staying")
     a, b = row_identity(F.col(doc_id), F.col(text))
-    joined = docs.withColumn("__a", a).withColumn("__b", b).join(stay, ["__a", "__b"])
-    turn = F.row_number().over(Window.partitionBy("__a", "__b").orderBy(F.lit(0)))
-    return joined.withColumn("__turn", turn).filter("not __once or __turn = 1").drop("__a", "__b", "__once", "__turn")
+    joined = docs.withColumn(one, a).withColumn(two, b).join(stay, [one, two])
+    numbered = joined.withColumn(turn, F.row_number().over(Window.partitionBy(one, two).orderBy(F.lit(0))))
+    return numbered.filter(~F.col(once) | (F.col(turn) == 1)).select(*[F.col(f"`{c}`") for c in docs.columns])
