@@ -281,6 +281,15 @@ def test_model_is_likelier_than_words_alone_on_held_out_texts(documents):
     assert out[0] > out[1]
 
 
+def test_rare_arcs_stay_however_many_tokens_there_are(ready):
+    # Below 1e-5 of the tokens, the bar that once left such pairs and triples out.
+    rows = [(i, f"alpha{i // 3} beta{i // 3} gamma{i // 3} " + "filler words " * 600) for i in range(300)]
+    got = {r["doc_id"]: r for r in lm.language_scores(ready.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 1e-5 * got[0]["train_tokens"] > 3
+    for (i, _), want in zip(rows, brute.backoff_scores(rows, 0.0), strict=True):
+        assert math.isclose(got[i]["score"], want, rel_tol=1e-9)
+
+
 # Chat
 
 

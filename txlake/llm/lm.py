@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,40 +17,23 @@ from txlake.llm.common import staged
 
 HELD_OUT_OF, HELD_OUT = 7, 2
 
-# N-grams of at least this part of all tokens become states and arcs; so there are at
-# most 1 / SHARE words, pairs and triples each, however large the corpus is.
-SHARE = 1e-5
+# Pairs and triples seen at least so often are arcs, and states if an arc starts there.
+LEAST = 2
 DISCOUNT = 0.5
 
 # Documents of a block: what one task scores with the block's own dictionary.
 BLOCK_ROWS = 4096
 
-COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in ("block", "h", "c")])
-GRAMS = T.StructType([T.StructField(n, T.LongType()) for n in ("size", "gram", "c")])
+# N-grams are counted, and blocks scored, in so many passes (a power of two) one after
+# another: the disk holds the shuffle of one pass.
+PASSES = 4
 
+# The key of an n-gram is that of its first words, xor that of its last ones turned by so
+# many bits; the key of a word is its number.
+TURNS = {2: 21, 3: 10}
 
-@dataclass(frozen=True)
-class Automaton:
-    """States are frequent words and pairs; each has arcs and, by failing, a lighter state.
-
-    ``words`` are the numbers of the frequent words, sorted. ``pairs`` and ``triples`` are
-    sorted keys of arcs with their log10 weights; ``fail1`` and ``fail2`` weigh the step
-    from a state of one or two words to the next shorter one (0 where there is no state).
-    """
-
-    total: int
-    distinct: int
-    words: np.ndarray
-    pairs: np.ndarray
-    pair_weights: np.ndarray
-    triples: np.ndarray
-    triple_weights: np.ndarray
-    fail1: np.ndarray
-    states2: np.ndarray
-    fail2: np.ndarray
-
-
-BITS = 20  # of a word's place in a key; three places fit into 60 bits
+GRAMS = T.StructType([T.StructField(n, T.LongType()) for n in ("size", "g", "a", "c")])
+KEYS = T.StructType([T.StructField(n, T.LongType()) for n in ("block", "g")])
 
 
 def _end(k) -> int:
@@ -78,77 +61,61 @@ def _tokens():
     return tokens
 
 
-def _count_words():
-    tokens = _tokens()
+def _keys():
+    """Function: the keys of the words, pairs and triples of some texts, and whether each
+    pair and triple lies within one text (a pair stands where its first word stands)."""
+    turns = dict(TURNS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(numbers, sizes):
         import numpy as np
 
-        def flush(block, parts):
-            numbers = np.concatenate([p for p, _ in parts])
-            learned = np.concatenate([l for _, l in parts])
-            h, where = np.unique(numbers, return_inverse=True)
-            c = np.bincount(where, weights=learned, minlength=len(h)).astype(np.int64)
-            for i in range(0, len(h), 50_000):
-                part = slice(i, i + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h[part]), block)), pa.array(h[part]), pa.array(c[part])], names=["block", "h", "c"]
-                )
+        def joined(first, last, size):
+            r = turns[size]
+            return first ^ ((last << np.uint64(r)) | (last >> np.uint64(64 - r)))
 
-        block, parts, held = None, [], 0
-        for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            learn = ~batch.column("held_out").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.diff(blocks)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
-                if a == b:
-                    continue
-                # A block that is long in words is counted in pieces.
-                if block is not None and (blocks[a] != block or held > 4_000_000):
-                    yield from flush(block, parts)
-                    parts, held = [], 0
-                block, row = blocks[a], a
-                for numbers, counts in tokens(batch.column("text").slice(a, b - a)):
-                    parts.append((numbers, np.repeat(learn[row : row + len(counts)], counts)))
-                    row, held = row + len(counts), held + len(numbers)
-        if parts:
-            yield from flush(block, parts)
+        one = numbers.view(np.uint64)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        two = joined(one[:-1], one[1:], 2)
+        three = joined(two[:-1], two[1:], 3)
+        inside = text[1:] == text[:-1]
+        return text, one, two, inside, three, inside[1:] & inside[:-1]
 
-    return count
+    return keys
 
 
-def _count_grams(frequent: np.ndarray):
-    """Pairs and triples of frequent words, counted for each task."""
-    tokens = _tokens()
+def _count_grams(turn: int):
+    """N-grams of one pass, counted for each task: size, key, key of the first words, count."""
+    tokens, keys, passes = _tokens(), _keys(), PASSES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        held, rows = {2: [], 3: []}, 0
+        held, rows = {1: [], 2: [], 3: []}, 0
 
         def flush():
             for size, parts in held.items():
-                keys, c = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int64),) * 2
+                if not parts:
+                    continue
+                g, a = (np.concatenate(x) for x in zip(*parts, strict=True))
                 parts.clear()
-                for i in range(0, len(keys), 50_000):
+                g, at, c = np.unique(g, return_index=True, return_counts=True)
+                a = a[at]
+                for i in range(0, len(g), 50_000):
                     part = slice(i, i + 50_000)
-                    n = len(keys[part])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, size)), pa.array(keys[part]), pa.array(c[part].astype(np.int64))], names=["size", "gram", "c"]
-                    )
+                    n = len(g[part])
+                    columns = [np.full(n, size), g[part].view(np.int64), a[part].view(np.int64), c[part].astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["size", "g", "a", "c"])
 
         for batch in batches:
-            for numbers, counts in tokens(batch.column("text")):
-                place = np.minimum(np.searchsorted(frequent, numbers), len(frequent) - 1)
-                known = frequent[place] == numbers
-                text = np.repeat(np.arange(len(counts)), counts)
-                two = known[:-1] & known[1:] & (text[:-1] == text[1:])
-                pair = (place[:-1] << BITS) | place[1:]
-                held[2].append(pair[two])
-                three = two[:-1] & two[1:]
-                held[3].append(((pair[:-1] << BITS) | place[2:])[three])
-                rows += len(numbers)
-                if rows > 4_000_000:
+            for numbers, sizes in tokens(batch.column("text")):
+                _, one, two, inside2, three, inside3 = keys(numbers, sizes)
+                for size, g, a, inside in ((1, one, one, None), (2, two, one[:-1], inside2), (3, three, two[:-1], inside3)):
+                    now = g % np.uint64(passes) == turn
+                    if inside is not None:
+                        now &= inside
+                    held[size].append((g[now], a[now]))
+                    rows += int(now.sum())
+                if rows > 6_000_000:
                     yield from flush()
                     rows = 0
         yield from flush()
@@ -156,92 +123,110 @@ def _count_grams(frequent: np.ndarray):
     return count
 
 
-def _look(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of wanted keys among sorted ones, and whether they are there."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return place, keys[place] == wanted
-
-
-def _weigh(total, distinct, frequent, counts, pairs, pair_counts, triples, triple_counts) -> Automaton:
-    """Arc weights by absolute discounting; failure weights share what the arcs leave."""
-    mask = (1 << BITS) - 1
-    n = len(frequent)
-    single = (counts + 1) / (total + distinct + 1.0)
-    first, second = pairs >> BITS, pairs & mask
-    p2 = (pair_counts - DISCOUNT) / counts[first]
-    left = 1 - np.bincount(first, p2, n)
-    below = 1 - np.bincount(first, single[second], n)
-    fail1 = np.where(np.bincount(first, minlength=n) > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(below, 1e-12)), 0.0)
-    # Probability after one word, by an arc or by failing: what triples build on.
-    state, w = triples >> BITS, triples & mask
-    u, v = state >> BITS, state & mask
-    at, has = _look(pairs, (v << BITS) | w)
-    lower = np.where(has, p2[at] if len(p2) else 0.0, 10.0 ** fail1[v] * single[w])
-    states2, of = np.unique(state, return_inverse=True)
-    at, _ = _look(pairs, states2)
-    p3 = (triple_counts - DISCOUNT) / (pair_counts[at][of] if len(states2) else 1)
-    left = 1 - np.bincount(of, p3, len(states2))
-    below = 1 - np.bincount(of, lower, len(states2))
-    fail2 = np.log10(np.maximum(left, 1e-12) / np.maximum(below, 1e-12))
-    return Automaton(total, distinct, frequent, pairs, np.log10(p2), triples, np.log10(p3), fail1, states2, fail2)
-
-
-def _scorer(model: Automaton):
-    """Cogrouped function: scores of a block's documents with the block's dictionary."""
-    tokens = _tokens()
-    look = _look_here()
-    frequent, pairs, pair_weights = model.words, model.pairs, model.pair_weights
-    triples, triple_weights, fail1 = model.triples, model.triple_weights, model.fail1
-    states2, fail2 = model.states2, model.fail2
-    total, distinct = model.total, model.distinct
+def _block_keys():
+    """The keys of each block's n-grams."""
+    tokens, keys = _tokens(), _keys()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def flush(block, parts):
+            for size in range(3):
+                g = np.unique(np.concatenate([p[size] for p in parts])).view(np.int64)
+                for i in range(0, len(g), 50_000):
+                    part = g[i : i + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part)], names=["block", "g"])
+
+        block, parts, held = None, [], 0
+        for batch in batches:
+            blocks = batch.column("block").to_numpy()
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+                if a == b:
+                    continue
+                # The keys of a block that is long in words are found in pieces.
+                if block is not None and (blocks[a] != block or held > 3_000_000):
+                    yield from flush(block, parts)
+                    parts, held = [], 0
+                block = blocks[a]
+                for numbers, sizes in tokens(batch.column("text").slice(a, b - a)):
+                    _, one, two, inside2, three, inside3 = keys(numbers, sizes)
+                    parts.append((one, two[inside2], three[inside3]))
+                    held += len(one)
+        if parts:
+            yield from flush(block, parts)
+
+    return find
+
+
+def _last(size: int) -> Column:
+    """The key of an n-gram's last words, from its own and that of its first words."""
+    x, r = F.col("g").bitwiseXOR(F.col("a")), TURNS[size]
+    return F.shiftrightunsigned(x, r).bitwiseOR(F.shiftleft(x, 64 - r))
+
+
+def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int) -> DataFrame:
+    """Rows (g, weight, fail) of all words, pairs and triples.
+
+    The weight of a word is its count, that of an arc its log10 probability by absolute
+    discounting. ``fail`` weighs the step from a state to the next shorter one: it shares
+    what the state's arcs leave (0 where there is no state).
+    """
+    level = words_.select("g", "c", ((F.col("c") + 1) / F.lit(total + distinct + 1.0)).alias("p"))
+    weight, out = F.col("c").cast("double"), []
+    rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
+    for size in TURNS:
+        first = level.select(F.col("g").alias("a"), F.col("c").alias("of"))
+        last = level.select(F.col("g").alias("b"), F.col("p").alias("lower"))
+        arcs = grams.filter(F.col("size") == size).withColumn("b", _last(size)).join(first, "a").join(last, "b")
+        arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs")
+        fails = arcs.groupBy(F.col("a").alias("g")).agg(F.log10(rest("p") / rest("lower")).alias("fail"))
+        found = level.join(fails, "g", "left").select("g", weight.alias("weight"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
+        out.append(found)
+        level, weight = arcs.select("g", "c", "p"), F.log10("p")
+    out.append(level.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
+    return staged(reduce(DataFrame.unionByName, out), "automaton")
+
+
+def _scorer(total: int, distinct: int):
+    """Cogrouped function: scores of a block's documents with the block's part of the automaton."""
+    tokens, keys = _tokens(), _keys()
 
     def score(docs: pa.Table, dictionary: pa.Table) -> pa.Table:
         import numpy as np
 
-        known = dictionary.column("h").to_numpy()
+        known = dictionary.column("g").to_numpy().view(np.uint64)
         order = np.argsort(known)
-        known, counts = known[order], dictionary.column("c").to_numpy()[order]
-        place, has = look(frequent, known)
-        ids = np.where(has, place, -1)
+        known = known[order]
+        weights, fails = (dictionary.column(n).to_numpy()[order] for n in ("weight", "fail"))
+
+        def look(wanted, inside, ahead):
+            """(found, weight, fail) for each token, of the n-gram that ends there."""
+            found, weight, fail = np.zeros(len(wanted) + ahead, bool), np.zeros(len(wanted) + ahead), np.zeros(len(wanted) + ahead)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+                has = (known[place] == wanted) & inside
+                found[ahead:] = has
+                weight[ahead:] = np.where(has, weights[place], 0.0)
+                fail[ahead:] = np.where(has, fails[place], 0.0)
+            return found, weight, fail
+
         n_tokens, n_known, base, full = [], [], [], []
         for numbers, sizes in tokens(docs.column("text")):
-            place, has = look(known, numbers)
-            c = np.where(has, counts[place], 0) if len(known) else np.zeros(len(numbers), np.int64)
-            word = np.where(has, ids[place], -1) if len(known) else np.full(len(numbers), -1)
-            single = np.log10((c + 1.0) / (total + distinct + 1.0))
-            text = np.repeat(np.arange(len(sizes)), sizes)
-            # The state before each token: its last two words, as far as they are frequent.
-            v = np.full(len(word), -1)
-            v[1:] = np.where(text[1:] == text[:-1], word[:-1], -1)
-            u = np.full(len(word), -1)
-            u[1:] = np.where((text[1:] == text[:-1]) & (v[1:] >= 0), v[:-1], -1)
-            at, in_state = look(states2, (u << BITS) | v)
-            in_state &= u >= 0
-            weight = np.zeros(len(word))
-            open_ = np.ones(len(word), bool)
+            text, one, two, inside2, three, inside3 = keys(numbers, sizes)
+            has1, count, fail1 = look(one, True, 0)
+            has2, weight2, fail2 = look(two, inside2, 1)
+            has3, weight3, _ = look(three, inside3, min(2, len(one)))
+            single = np.log10((count + 1.0) / (total + distinct + 1.0))
             # Follow the arc of the longest state; where there is none, fail to the next.
-            arc, has = look(triples, (((u << BITS) | v) << BITS) | word)
-            has &= in_state & (word >= 0)
-            if len(triples):
-                weight[has] = triple_weights[arc[has]]
-            open_ &= ~has
-            failing = open_ & in_state
-            if len(states2):
-                weight[failing] += fail2[at[failing]]
-            arc, has = look(pairs, (v << BITS) | word)
-            has &= open_ & (v >= 0) & (word >= 0)
-            if len(pairs):
-                weight[has] += pair_weights[arc[has]]
-            open_ &= ~has
-            failing = open_ & (v >= 0)
-            if len(fail1):
-                weight[failing] += fail1[v[failing]]
-            weight[open_] += single[open_]
+            after1, after2 = np.zeros(len(one)), np.zeros(len(one))
+            after1[1:] = np.where(inside2, fail1[:-1], 0.0)
+            after2[1:] = np.where(inside2, fail2[:-1], 0.0)
+            weight = np.where(has2, weight2, after1 + single)
+            weight = np.where(has3, weight3, after2 + weight)
             n = len(sizes)
             n_tokens.append(sizes)
-            n_known.append(np.bincount(text, c > 0, n).astype(np.int64))
+            n_known.append(np.bincount(text, has1, n).astype(np.int64))
             base.append(np.bincount(text, single, n))
             full.append(np.bincount(text, weight, n))
         join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
@@ -260,37 +245,23 @@ def _scorer(model: Automaton):
     return score
 
 
-def _look_here():
-    """``_look`` as a function that travels whole."""
-
-    def look(keys, wanted):
-        import numpy as np
-
-        if not len(keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return place, keys[place] == wanted
-
-    return look
-
-
-def _arrays(rows: list, *names: str) -> list[np.ndarray]:
-    return [np.array([r[n] for r in rows], np.int64) for n in names]
-
-
-def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = SHARE) -> DataFrame:
+def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = 0.0) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from documents with crc32(doc_id) mod 7 other than 2 (a null id is
     empty text). Tokens are words (A-Z lower-cased) and one end for each document.
     base_score sums log10((c + 1) / (N + V + 1)); score is the log10 probability under
-    the automaton: arcs for the words, pairs and triples that make up at least ``share``
-    of all tokens, weighed by absolute discounting, with failure arcs to shorter states
+    the automaton: arcs for all words and for the pairs and triples seen at least twice,
+    weighed by absolute discounting, with failure arcs to shorter states
     and the base distribution at the root. The state after a token is the longest state
     that ends there, so a text is traversed once.
 
-    Counts of all words are exact, over all documents. Each block of documents gets the
-    counts of its own words, so no task holds the vocabulary. Null and empty texts have
+    A caller may leave out pairs and triples that make up less than ``share`` of all
+    tokens; by default none is.
+
+    Counts are exact, over all documents, and the automaton is a table. Each block of
+    documents gets the rows of its own n-grams, so no task holds the vocabulary and the
+    driver holds totals only. Null and empty texts have
     one token, the end. Repeated rows are rows of their own; an empty table gives no rows.
     """
     blocked = staged(
@@ -302,29 +273,23 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         ),
         "blocks",
     )
-    seen = staged(blocked.select("block", "held_out", "text").mapInArrow(_count_words(), COUNTS), "block_words")
-    vocabulary = staged(seen.groupBy("h").agg(F.sum("c").alias("c")).filter("c > 0"), "vocabulary")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-
-    # At most 1 / share rows each.
-    least = max(1, math.ceil(share * total))
-    frequent, counts = _arrays(vocabulary.filter(F.col("c") >= least).orderBy("h").collect(), "h", "c")
-    pairs = pair_counts = triples = triple_counts = np.zeros(0, np.int64)
-    if len(frequent):
-        learned = blocked.filter(~F.col("held_out")).select("text")
-        grams = staged(
-            learned.mapInArrow(_count_grams(frequent), GRAMS)
-            .groupBy("size", "gram")
+    learned = blocked.filter(~F.col("held_out")).select("text")
+    passes = [
+        staged(
+            learned.mapInArrow(_count_grams(turn), GRAMS)
+            .groupBy("size", "g", "a")
             .agg(F.sum("c").alias("c"))
-            .filter(F.col("c") >= max(2, least)),
+            .filter((F.col("size") == 1) | (F.col("c") >= LEAST)),
             "grams",
         )
-        pairs, pair_counts = _arrays(grams.filter("size = 2").orderBy("gram").collect(), "gram", "c")
-        triples, triple_counts = _arrays(grams.filter("size = 3").orderBy("gram").collect(), "gram", "c")
-    model = _weigh(total, distinct, frequent, counts, pairs, pair_counts, triples, triple_counts)
+        for turn in range(PASSES)
+    ]
+    counted = reduce(DataFrame.unionByName, passes)
+    vocabulary = counted.filter("size = 1")
+    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    grams = counted.filter((F.col("size") > 1) & (F.col("c") >= math.ceil(share * total)))
+    automaton = _automaton(vocabulary, grams, total, distinct)
 
-    # A block counted in pieces has a word more than once, which does no harm.
-    dictionary = seen.select("block", "h").join(vocabulary, "h").select("block", "h", "c")
     result = T.StructType(
         [
             T.StructField("doc_id", blocked.schema["doc_id"].dataType),
@@ -333,4 +298,11 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             *[T.StructField(n, T.DoubleType()) for n in ("base_score", "score")],
         ]
     )
-    return blocked.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(model), result)
+    done = []
+    for turn in range(PASSES):
+        some = blocked.filter(F.pmod(F.xxhash64("block"), F.lit(PASSES)) == turn)
+        # Keys of a block found in pieces come more than once, which does no harm.
+        dictionary = some.select("block", "text").mapInArrow(_block_keys(), KEYS).join(automaton, "g").select("block", "g", "weight", "fail")
+        scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct), result)
+        done.append(staged(scored, "scores"))
+    return reduce(DataFrame.unionByName, done)
