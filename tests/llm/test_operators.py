@@ -377,6 +377,20 @@ def test_templates_tell_branches_by_their_labels(ready):
     assert {r["template"] for r in found if r["path"].startswith("/de/")} == {"/*/*"}
 
 
+def test_unlabelled_branches_do_not_take_the_purity_of_blocked_ones(ready):
+    rows = [(i, f"http://one.net/{('es', 'fr', 'en', 'de')[i % 4]}/item{i}") for i in range(200)]
+    rows += [(1000 + i, f"http://two.org/{('es', 'en')[i % 2]}/item{i}") for i in range(60)]
+    rows += [(2000 + i, f"http://three.com/{('en', 'de')[i % 2]}/item{i}") for i in range(80)]
+    rows += [(3000 + i, f"http://deep.org/{'/'.join('abcdefghijk')}/{'xy'[i % 2]}") for i in range(2)]
+    found = urls.judged(ready.createDataFrame(rows, "page_id long, url string")).collect()
+    check_urls(found, rows)
+    got = {(r["host"], r["path"].split("/")[1]): (r["verdict"], r["template"]) for r in found}
+    assert got["one.net", "es"] == ("block", "/es/*") and got["one.net", "fr"] == ("block", "/fr/*")
+    assert got["one.net", "en"][0] == got["one.net", "de"][0] == "allow"
+    assert got["two.org", "es"][0] == "block" and got["two.org", "en"][0] == "allow"
+    assert got["deep.org", "a"][1] == "/*" * 12
+
+
 # Near duplicates
 
 

@@ -18,15 +18,15 @@ RULES = (
 
 # A branch keeps its own name when it holds this part of its node's pages ...
 BRANCH_SHARE = 0.02
-# ... and its labels differ from those of its siblings by so many standard deviations.
+# ... and its rate of blocked pages differs from that of the rest by so many deviations.
 BRANCH_SIGMAS = 2.0
-# Weight, in labelled pages, that a node's parent has on its purity.
-PARENT_WEIGHT = 4.0
+# Weight, in labelled pages, that a prior has.
+PRIOR_WEIGHT = 4.0
 PRIOR = 0.5
 BLOCK_FROM = 0.5
-# Segments beyond this depth are one wildcard.
+# From this depth on a path that is alone in its node is a leaf at once.
 DEPTH = 8
-WILD, REST = "*", "**"
+WILD, END = "*", ""
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -49,69 +49,94 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _smoothed(blocked: Column, labelled: Column, parent: Column) -> Column:
-    return (blocked + F.lit(PARENT_WEIGHT) * parent) / (labelled + F.lit(PARENT_WEIGHT))
+def _smoothed(blocked: Column, labelled: Column, prior: Column) -> Column:
+    return (blocked + F.lit(PRIOR_WEIGHT) * prior) / (labelled + F.lit(PRIOR_WEIGHT))
+
+
+def _rate(blocked: Column, pages: Column) -> tuple[Column, Column]:
+    """Mean and variance of a share, one page of either kind added."""
+    mean = (blocked + 1) / (pages + 2)
+    return mean, mean * (1 - mean) / (pages + 3)
 
 
 def templates(paths: DataFrame) -> DataFrame:
     """The leaf of each (host, path) in its host's template tree: template and impurity.
 
     ``paths`` has host, path, pages, labelled and blocked counts. From the root of a host
-    down, the segments of a node's paths are its branches. Segments with digits are
-    variable, and become a wildcard at once. Of the others, a branch keeps its name if it
-    is common and its share of blocked labels differs from that of its siblings;
-    branches that are rare, unlabelled or statistically alike are merged into the
-    wildcard. A node's impurity is its share of blocked labels, smoothed towards its
-    parent's; a host's is smoothed towards that of all pages.
+    down, the segments of a node's paths, and the paths that end there, are its branches.
+    Segments with digits are variable, and become a wildcard at once. A branch's prior is
+    its node's, moved by the labels that the same segment has at that depth elsewhere, on
+    all hosts; the prior of a root is one half. Each unlabelled page counts as blocked by
+    its prior. A branch keeps its name if it is common, has labels here or elsewhere, and
+    its rate of blocked pages differs from that of the rest of its node; so a branch of
+    blocked pages keeps it beside unlabelled ones. The others are merged into the wildcard.
+    A node's impurity is the share of blocked pages among its own labels, smoothed towards
+    its prior: labels of branches with a name don't count for the rest.
     """
     sums = [F.sum(c).alias(f"n_{c}") for c in ("pages", "labelled", "blocked")]
-    total = paths.agg(*sums).first()
-    everywhere = ((total["n_blocked"] or 0) + PARENT_WEIGHT * PRIOR) / ((total["n_labelled"] or 0) + PARENT_WEIGHT)
     segments = F.filter(F.split(F.col("path"), "/"), lambda s: s != "")
-    hosts = paths.groupBy("host").agg(*sums).withColumn("impurity", _smoothed(F.col("n_blocked"), F.col("n_labelled"), F.lit(everywhere)))
-    level = paths.withColumn("segments", segments).join(
-        hosts.select("host", "impurity", F.col("n_pages"), F.col("n_labelled"), F.col("n_blocked")), "host"
+    # Segments that look like a wildcard are told from it.
+    named = lambda s: F.when(s == WILD, F.concat(F.lit("="), s)).otherwise(s)
+    level = staged(
+        paths.withColumn("segments", segments).withColumn("template", F.lit("")).withColumn("prior", F.lit(PRIOR)), "url_hosts"
     )
-    level = staged(level.withColumn("template", F.lit("")), "url_hosts")
-    deepest = level.agg(F.max(F.size("segments"))).first()[0] or 0
-    done = []
-    for depth in range(min(deepest, DEPTH + 1)):
+    elsewhere = staged(
+        level.filter("labelled > 0")
+        .select(F.posexplode("segments").alias("depth", "segment"), "labelled", "blocked")
+        .filter(~F.col("segment").rlike("[0-9]"))
+        .groupBy("depth", named(F.col("segment")).alias("branch"))
+        .agg(F.sum("labelled").alias("s_labelled"), F.sum("blocked").alias("s_blocked")),
+        "segment_labels",
+    )
+    done, depth = [], 0
+    while True:
         ends = F.size("segments") <= depth
-        done.append(level.filter(ends).select("host", "path", "template", "impurity"))
-        segment = F.element_at("segments", depth + 1)
-        variable = segment.rlike("[0-9]")
-        branch = F.lit(REST) if depth == DEPTH else F.when(variable, WILD).otherwise(segment)
-        # Segments that look like a wildcard are told from it.
-        branch = F.when(~variable & segment.isin(WILD, REST), F.concat(F.lit("="), segment)).otherwise(branch)
-        level = level.filter(~ends).withColumn("branch", branch)
-        # One row per branch, with the sums of its node.
+        segment = F.try_element_at("segments", F.lit(depth + 1))
+        branch = F.when(ends, F.lit(END)).when(segment.rlike("[0-9]"), F.lit(WILD)).otherwise(named(segment))
+        level = level.withColumn("ends", ends).withColumn("branch", branch)
         branches = level.groupBy("host", "template", "branch").agg(
-            *[F.sum(c).alias(f"b_{c}") for c in ("pages", "labelled", "blocked")],
-            *[F.max(c).alias(c) for c in ("n_pages", "n_labelled", "n_blocked")],
+            *[F.sum(c).alias(f"b_{c}") for c in ("pages", "labelled", "blocked")], F.max("prior").alias("node_prior")
         )
-        others = F.col("n_labelled") - F.col("b_labelled")
-        rate = F.try_divide("n_blocked", "n_labelled")
-        spread = F.sqrt(rate * (1 - rate) * (F.try_divide(F.lit(1), F.col("b_labelled")) + F.try_divide(F.lit(1), others)))
-        apart = F.abs(F.try_divide("b_blocked", "b_labelled") - F.try_divide(F.col("n_blocked") - F.col("b_blocked"), others))
+        here = elsewhere.filter(F.col("depth") == depth).drop("depth")
+        branches = branches.join(here, "branch", "left")
+        others = F.coalesce(F.col("s_labelled") - F.col("b_labelled"), F.lit(0))
+        others_blocked = F.coalesce(F.col("s_blocked") - F.col("b_blocked"), F.lit(0))
+        branches = branches.withColumn("b_prior", _smoothed(others_blocked, others, F.col("node_prior"))).withColumn("known", F.col("b_labelled") + others)
+        # Blocked pages to be expected, of the branch and of its whole node.
+        expected = F.col("b_blocked") + (F.col("b_pages") - F.col("b_labelled")) * F.col("b_prior")
+        branches = staged(branches.withColumn("expected", expected), "branches")
+        nodes = branches.groupBy("host", "template").agg(F.sum("b_pages").alias("n_pages"), F.sum("expected").alias("n_expected"))
+        rate, spread = _rate(F.col("expected"), F.col("b_pages"))
+        rest, rest_spread = _rate(F.col("n_expected") - F.col("expected"), F.col("n_pages") - F.col("b_pages"))
         own = (
-            (F.col("b_pages") >= F.lit(BRANCH_SHARE) * F.col("n_pages"))
-            & (F.col("b_labelled") > 0)
-            & (others > 0)
-            & (spread > 0)
-            & (apart >= F.lit(BRANCH_SIGMAS) * spread)
+            (F.col("branch") != WILD)
+            & (F.col("b_pages") >= F.lit(BRANCH_SHARE) * F.col("n_pages"))
+            & (F.col("known") > 0)
+            & (F.col("b_pages") < F.col("n_pages"))
+            & (F.abs(rate - rest) >= F.lit(BRANCH_SIGMAS) * F.sqrt(spread + rest_spread))
+        )
+        judged_ = branches.join(nodes, ["host", "template"]).select("host", "template", "branch", "b_prior", own.alias("own"))
+        level = level.drop("prior").join(judged_, ["host", "template", "branch"])
+        level = staged(level.withColumn("child", F.when(F.col("own"), F.col("branch")).otherwise(F.lit(WILD))), "url_branches")
+        nodes = level.groupBy("host", "template", "child").agg(
+            *sums, F.count("*").alias("n_paths"), (F.sum(F.col("b_prior") * F.col("pages")) / F.sum("pages")).alias("prior")
         )
-        named = staged(branches.withColumn("own", F.coalesce(own, F.lit(False))).select("host", "template", "branch", "own"), "branches")
-        level = level.drop("n_pages", "n_labelled", "n_blocked").join(named, ["host", "template", "branch"])
-        kept = F.col("branch").isin(WILD, REST) | F.col("own")
-        level = level.withColumn(
-            "template", F.concat("template", F.lit("/"), F.when(kept, F.col("branch")).otherwise(F.lit(WILD)))
-        ).drop("branch", "own")
-        nodes = level.groupBy("host", "template").agg(*sums, F.max("impurity").alias("parent"))
-        nodes = nodes.withColumn("own_impurity", _smoothed(F.col("n_blocked"), F.col("n_labelled"), F.col("parent"))).drop("parent")
+        nodes = nodes.withColumn("impurity", _smoothed(F.col("n_blocked"), F.col("n_labelled"), F.col("prior")))
+        nodes = nodes.select("host", "template", "child", "n_paths", "prior", "impurity")
         level = staged(
-            level.join(nodes, ["host", "template"]).withColumn("impurity", F.col("own_impurity")).drop("own_impurity"), "url_nodes"
+            level.drop("b_prior", "own", "branch").join(nodes, ["host", "template", "child"]), "url_nodes"
         )
-    done.append(level.select("host", "path", "template", "impurity"))
+        done.append(level.filter("ends").select("host", "path", "template", "impurity"))
+        level = level.filter("not ends").withColumn("template", F.concat("template", F.lit("/"), "child"))
+        depth += 1
+        if depth >= DEPTH:
+            alone = F.col("n_paths") == 1
+            wild = F.concat("template", F.repeat(F.lit(f"/{WILD}"), F.size("segments") - depth))
+            done.append(level.filter(alone).select("host", "path", wild.alias("template"), "impurity"))
+            level = level.filter(~alone)
+        level = level.drop("ends", "child", "n_paths", "impurity")
+        if level.isEmpty():
+            break
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -122,8 +147,8 @@ def judged(pages: DataFrame, page_id: str = "page_id", url: str = "url", rules=R
     """One row per page: page_id, host, path, rule, verdict, template and impurity.
 
     The longest rule that fits a page decides. Its verdicts label the template tree of
-    the page's host, which decides for the pages without a rule: a template whose
-    smoothed share of blocked labels is one half or more is rejected. Null urls and urls
+    the page's host, and the segments of all hosts; this decides for the pages without
+    a rule: a template whose smoothed share of blocked labels is one half or more is rejected. Null urls and urls
     without ``://`` have an empty host and path and share one template. Repeated rows are
     judged alike; without any rule that fits, impurities are the prior, one half, and
     pages are blocked. An empty table gives no rows.
