@@ -76,6 +76,21 @@ def test_markov_models_add_random_runs_only(ready, documents):
     assert added == {-1: [(6, 6 + len(token))], -2: [], -3: [], -4: []}
 
 
+def test_markov_models_find_short_and_lower_case_keys(ready, documents):
+    import random
+
+    rng = random.Random(3)
+    key = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    low, some = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [key(14, some) for _ in range(40)] + [key(20, low) for _ in range(40)]
+    words = ["internationally", "misunderstanding", "characteristics", "responsibilities"]
+    planted = ready.createDataFrame([(-1 - i, f"see {w} here") for i, w in enumerate(keys + words)], "doc_id long, text string")
+    found = secrets.find_secrets(documents.select("doc_id", "text").unionByName(planted)).filter("doc_id < 0")
+    added = {-1 - r["doc_id"]: len(r["added"]) for r in found.collect()}
+    assert sum(added[i] for i in range(40)) >= 36 and sum(added[i] for i in range(40, 80)) >= 36
+    assert not any(added[80 + i] for i in range(len(words)))
+
+
 # Exact duplicates
 
 
