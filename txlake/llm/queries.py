@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import chat, decontam, dedup, lm, mixing, near, quality, secrets, sharding, urls
+from txlake.llm import bpe, chat, decontam, dedup, lm, mixing, near, quality, resample, secrets, sharding, urls
 from txlake.llm.common import tune
 from txlake.plans.registry import Query, portable
 from txlake.session import prepare
@@ -178,3 +178,67 @@ def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 )
 def source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(table(spark, folder, "documents"))
+
+
+@query("op11_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.vocabulary()
+    # Every row gets ids and bytes again from them; the digests are taken from both.
+    coded = table(spark, folder, "documents").select("doc_id", bpe.token_ids(F.col("text"), ranks).alias("ids"))
+    return bpe.decode(coded, ranks, "ids").select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
+# CRC-32 of each distinct word in SQL: a table of 256 steps, then one step per byte.
+SQL_BUCKETS = r"""
+    crc_steps AS (
+        SELECT list(list_reduce(list_concat([b], range(8)),
+                    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS steps
+        FROM (SELECT unnest(range(256)) AS b)
+    ), dw AS (
+        SELECT doc_id, unnest(regexp_extract_all({lower}, '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')) AS word FROM documents
+    ), bw AS (
+        SELECT unnest(regexp_extract_all({lower}, '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')) AS word FROM benchmark
+    ), codes AS (
+        SELECT word, xor(list_reduce(
+                   list_concat([4294967295], list_transform(range(1, octet_length(encode(word)) + 1),
+                       lambda i: ('0x' || substr(hex(encode(word)), 2 * i - 1, 2))::BIGINT)),
+                   lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc_steps
+    )"""
+
+
+@query(
+    "op13_importance_resampling",
+    f"""
+    WITH {SQL_BUCKETS.format(lower=SQL_LOWER)},
+    f AS (SELECT doc_id, bucket, count(*) AS c FROM dw JOIN codes USING (word) GROUP BY ALL),
+    s AS (SELECT bucket, sum(c) AS s FROM f GROUP BY 1),
+    t AS (SELECT bucket, count(*) AS t FROM bw JOIN codes USING (word) GROUP BY 1),
+    g AS (
+        SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+                   / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM s FULL JOIN t USING (bucket)
+    ), w AS (
+        SELECT doc_id, sum(c)::BIGINT AS n_features, sum(c * gain)::BIGINT AS weight FROM f JOIN g USING (bucket) GROUP BY 1
+    ), x AS (
+        SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+        FROM documents LEFT JOIN w USING (doc_id)
+    ), y AS (
+        SELECT doc_id, n_features, weight,
+               weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score,
+               n_features >= 20 AS able
+        FROM x
+    ), r AS (
+        SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY able) AS n FROM y
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 10 * n // 100 THEN place END AS rank FROM r
+    """,
+)
+def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
