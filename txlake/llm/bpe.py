@@ -40,6 +40,9 @@ UNASSIGNED = [
 # Matches taken at a time: bounds what a very long text holds in a task.
 PIECES = 1 << 17
 
+# Pairs whose ranks a task remembers.
+PAIRS = 1 << 20
+
 # What a task remembers of pieces, in characters; then it starts anew.
 REMEMBERED = 1 << 25
 
@@ -54,19 +57,22 @@ def vocabulary(name: str = VOCABULARY) -> dict[bytes, int]:
 def kernel(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN) -> SimpleNamespace:
     """The functions that run inside tasks; they hold the vocabulary and nothing of the data."""
     tokens = {rank: token for token, rank in ranks.items()}
+    single = [ranks[bytes([b])] for b in range(256)]
     unassigned = UNASSIGNED
 
     def splitter():
         """Function from a text to lists of its matches, each at most ``PIECES`` long."""
-        import regex
+        import re
         from itertools import islice
 
+        import regex
+
         # Letters and numbers, without those that tiktoken's splitter doesn't know yet.
         newer = "".join(f"{chr(a)}-{chr(b)}" for a, b in unassigned)
         exact = pattern.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{newer}])")
         for kind in "LN":
             exact = exact.replace(rf" ?\p{{{kind}}}+", rf" ?(?:(?![{newer}])\p{{{kind}}})+")
-        usual, rare, any_newer = regex.compile(pattern), regex.compile(exact), regex.compile(f"[{newer}]")
+        usual, rare, any_newer = regex.compile(pattern), regex.compile(exact), re.compile(f"[{newer}]")
 
         def pieces(text: str) -> Iterator[list[str]]:
             found = usual if text.isascii() or not any_newer.search(text) else rare
@@ -79,34 +85,41 @@ def kernel(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN) ->
 
         return pieces
 
-    def replay(words: list[bytes]) -> list[list[int]]:
-        """The tokens of many words: every merge in rank order, wherever its pair stands."""
+    class Ranks(dict):
+        """The rank of what two neighbours make, found once per pair; ``none`` if it is no token."""
+
+        def __missing__(self, pair):
+            if len(self) >= PAIRS:
+                self.clear()
+            left, right = pair
+            rank = none if left < 0 or right < 0 else ranks.get(tokens[left] + tokens[right], none)
+            self[pair] = rank
+            return rank
+
+    gap, gone, none = -1, -2, 1 << 60
+    rank_of = Ranks()
+
+    def replay(words: list[bytes]) -> list[bytes]:
+        """The tokens of many words, 32 bits each: every merge in rank order, wherever its pair stands."""
+        import numpy as np
         from heapq import heapify, heappop, heappush
 
         # All words in one row, a gap after each; pairs never reach over a gap.
-        gap, gone = -1, -2
-        at, firsts = [gap], []
-        for w in words:
-            firsts.append(len(at))
-            at.extend(ranks[w[i : i + 1]] for i in range(len(w)))
-            at.append(gap)
+        row = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
+        gaps = np.cumsum([0, *(len(w) + 1 for w in words)])
+        codes = np.array(single, np.int64)[row]
+        codes[gaps] = gap
+        at = codes.tolist()
         before = list(range(-1, len(at) - 1))
         after = list(range(1, len(at) + 1))
-        known = {}
-
-        def rank_of(left, right):
-            if left < 0 or right < 0:
-                return None
-            pair = (left, right)
-            if pair not in known:
-                known[pair] = ranks.get(tokens[left] + tokens[right])
-            return known[pair]
-
-        places = {}
-        for i in range(1, len(at) - 1):
-            r = rank_of(at[i], at[i + 1])
-            if r is not None:
-                places.setdefault(r, []).append(i)
+
+        # The index from pairs, by the rank of what they make, to their places.
+        pairs, which = np.unique((codes[:-1] + 1) << 32 | (codes[1:] + 1), return_inverse=True)
+        first = np.array([rank_of[(p >> 32) - 1, (p & 0xFFFFFFFF) - 1] for p in pairs.tolist()], np.int64)[which]
+        order = np.argsort(first, kind="stable")
+        order = order[: np.searchsorted(first[order], none)]
+        starts = np.flatnonzero(np.diff(first[order], prepend=-1))
+        places = {int(first[part[0]]): part.tolist() for part in np.split(order, starts[1:]) if len(part)}
         waiting = list(places)
         heapify(waiting)
 
@@ -122,29 +135,25 @@ def kernel(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN) ->
             found = sorted(places.pop(r))
             for n, i in enumerate(found):
                 j = after[i]
-                if at[i] < 0 or rank_of(at[i], at[j]) != r:
+                if at[i] < 0 or rank_of[at[i], at[j]] != r:
                     continue
                 at[i], at[j] = r, gone
                 j = after[i] = after[j]
-                before[j] = i
-                left, right = rank_of(at[before[i]], r), rank_of(r, at[j])
-                if left is not None:
-                    stands(left, before[i])
-                if right is not None:
+                before[j], h = i, before[i]
+                left, right = rank_of[at[h], r], rank_of[r, at[j]]
+                if left != none:
+                    stands(left, h)
+                if right != none:
                     stands(right, i)
-                if (left is not None and left < r) or (right is not None and right < r):
+                if left < r or right < r:
                     # The word goes on with the lower rank; the rest of this one waits.
                     for k in found[n + 1 :]:
                         stands(r, k)
                     break
-        out = []
-        for i in firsts:
-            ids = []
-            while at[i] != gap:
-                ids.append(at[i])
-                i = after[i]
-            out.append(ids)
-        return out
+        made = np.array(at, np.int32)
+        ends = np.cumsum(made >= 0)[gaps] * 4
+        ids = made[made >= 0].tobytes()
+        return [ids[i:j] for i, j in zip(ends.tolist(), ends[1:].tolist())]
 
     def encoder():
         """Function from many texts to the bytes of their ids (32 bits each)."""
@@ -169,7 +178,7 @@ def kernel(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN) ->
                 else:
                     kept[piece] = np.int32(whole).tobytes()
             for piece, ids in zip(merged, replay(spelled)):
-                kept[piece] = np.array(ids, np.int32).tobytes()
+                kept[piece] = ids
 
         def encoded(texts: list[str | None]) -> list[bytes]:
             out, held, count = [[] for _ in texts], [], 0
