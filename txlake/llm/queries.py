@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txlake.llm import bpe, chat, decontam, dedup, lm, mixing, near, quality, resample, secrets, sharding, urls
+from txlake.llm import bpe, chat, decontam, dedup, lm, mixing, near, phrases, quality, resample, secrets, sharding, urls
 from txlake.llm.common import tune
 from txlake.plans.registry import Query, portable
 from txlake.session import prepare
@@ -242,3 +242,45 @@ SQL_BUCKETS = r"""
 )
 def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query(
+    "op12_phrase_collocations",
+    rf"""
+    WITH p AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({SQL_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+    ), q AS (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+    ), g AS (
+        SELECT lang, m, w[i:i + m - 1] AS words
+        FROM (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM q, (SELECT unnest(range(1, 5)) AS m) AS lengths)
+    ), f AS (
+        SELECT lang, m, words, count(*) AS f FROM g GROUP BY ALL
+    ), totals AS (
+        SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY 1
+    ), c AS (
+        SELECT * FROM f WHERE m >= 2 AND f >= 30
+    ), cuts AS (
+        SELECT c.lang, c.m, c.words, c.f AS a, k, x.f AS l, y.f AS r,
+               ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM c) AS c
+        JOIN f AS x ON x.lang = c.lang AND x.words = c.words[1:k]
+        JOIN f AS y ON y.lang = c.lang AND y.words = c.words[k + 1:]
+    ), lowest AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+    ), inner_runs AS (
+        SELECT lang, words[i:i + s - 1] AS words, max(f) AS longer
+        FROM (SELECT lang, words, f, m, s, unnest(range(1, m - s + 2)) AS i FROM c, (SELECT unnest(range(2, 4)) AS s) AS t WHERE s < m)
+        GROUP BY ALL
+    ), kept AS (
+        SELECT l.lang, array_to_string(l.words, ' ') AS phrase, a, l, r, score
+        FROM lowest AS l LEFT JOIN inner_runs AS i ON i.lang = l.lang AND i.words = l.words
+        WHERE longer IS NULL OR 100 * longer < 80 * a
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
