@@ -28,11 +28,14 @@ INSIDE_PERCENT = 80
 UNKNOWN = "und"
 
 # Text that one block holds, in bytes. Blocks are the unit that gets word numbers.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+
+# Places of a sequence that are packed at a time.
+SLICE = 1 << 17
 
 # Entries that a filter of one task holds before it is sent off, and that one merge reads on average.
-FILTER_ENTRIES = 1 << 20
-MERGE_ENTRIES = 1 << 20
+FILTER_ENTRIES = 1 << 19
+MERGE_ENTRIES = 1 << 19
 
 # Salts of the top lists: a language's candidates are cut in so many parts first.
 SALTS = 64
@@ -259,23 +262,25 @@ def _filtered(n: int, ranges: int, sieve: dict[int, bytes] | None, entries: int)
                 FILTER.names,
             )
 
+        def slices(column):
+            """Sequences in parts that overlap by n - 1 places."""
+            for sequence in column:
+                s = np.frombuffer(sequence.as_buffer(), np.uint32)
+                for at in range(0, len(s) - n + 1, SLICE):
+                    yield s[at : at + SLICE + n - 1]
+
         held, size = [], 0
         for batch in batches:
-            for sequence in batch.column(0):
-                s = np.frombuffer(sequence.as_py(), np.uint32)
+            for s in slices(batch.column(0)):
                 places = len(s) - n + 1
-                if places <= 0:
-                    continue
                 whole = np.ones(places, bool)
                 for i in range(n):
                     whole &= s[i : places + i] != 0
+                a = np.flatnonzero(whole)
                 if table is not None:
                     # A run can only be frequent if both of its runs one word shorter are.
-                    a = np.flatnonzero(whole)
                     a = a[may_be_frequent([s[a + i] for i in range(n - 1)])]
                     a = a[may_be_frequent([s[a + i + 1] for i in range(n - 1)])]
-                else:
-                    a = np.flatnonzero(whole)
                 if not len(a):
                     continue
                 high, low = turn.forward(*pack([s[a + i] for i in range(n)]))
@@ -419,14 +424,12 @@ def collocations(
     plain = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"))
     blocks = staged(plain.mapInArrow(_blocks(BLOCK_BYTES), LOCAL), "blocks")
     words = blocks.filter("word is not null")
-    counted = staged(words.groupBy("lang", "word").agg(F.sum("count").alias("f")), "words")
-    totals = counted.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = words.groupBy("lang").agg(F.sum("count").alias("n"))
+    counted = words.groupBy("lang", "word").agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
     # Numbers from 1 for the words that can be part of a candidate; others break the run.
+    number = (F.col("place") + 1).alias("number")
     frequent = staged(
-        numbered(counted.filter(F.col("f") >= least), ["lang", "word"], "place").select(
-            "lang", "word", "f", (F.col("place") + 1).alias("number")
-        ),
-        "numbers",
+        numbered(staged(counted, "words"), ["lang", "word"], "place").select("lang", "word", "f", number), "numbers"
     )
     if (frequent.agg(F.max("number")).first()[0] or 0) >= 1 << 32:
         raise OverflowError("more frequent words than 32 bits can number")

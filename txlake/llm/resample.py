@@ -116,13 +116,13 @@ def kernel(low: int = LOW, high: int = HIGH, buckets: int = BUCKETS, slice_words
                 a = np.arange(max(0, old - n + 1), len(home) - n + 1)
                 a = a[home[a] == home[a + n - 1]]
                 size = total[a + n] - total[a] - 1
-                found.append((ends[a + n - 1] ^ shifted(before[a], size)) % u(buckets))
+                found.append((ends[a + n - 1] ^ shifted(before[a], size)).astype(np.int64) % buckets)
                 texts_of.append(home[a])
             if keep:
                 before, ends, lengths, home = before[-keep:], ends[-keep:], lengths[-keep:], home[-keep:]
             else:
                 before, ends, lengths, home = before[:0], ends[:0], lengths[:0], home[:0]
-            return np.concatenate(texts_of), np.concatenate(found).astype(np.int64), new
+            return np.concatenate(texts_of), np.concatenate(found), new
 
         for n, text in enumerate(texts):
             for words in parts(text or ""):
