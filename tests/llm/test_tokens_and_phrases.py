@@ -146,7 +146,8 @@ def test_phrases_of_documents(documents, monkeypatch):
     rows = [(r[0], r[1]) for r in documents.select("text", "lang").collect()]
     check_phrases(documents, rows, 3, 40)
     # Many blocks, small filters and several ranges give the same.
-    monkeypatch.setattr(phrases, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(phrases, "SLICE_BYTES", 2_000)
+    monkeypatch.setattr(phrases, "WORDS_HELD", 300)
     monkeypatch.setattr(phrases, "FILTER_ENTRIES", 500)
     monkeypatch.setattr(phrases, "MERGE_ENTRIES", 10_000)
     check_phrases(documents, rows, 3, 40)
@@ -162,9 +163,26 @@ def test_permutation_is_invertible():
     import numpy as np
 
     turn = phrases.permutation()
-    high, low = np.arange(1000, dtype=np.uint64), np.arange(1000, dtype=np.uint64) ** np.uint64(5)
-    back = turn.backward(*turn.forward(high, low))
-    assert (back[0] == high).all() and (back[1] == low).all()
+    for n in range(1, 5):
+        lanes = [np.arange(1000, dtype=np.uint64) ** np.uint64(i) for i in range(n)]
+        there = turn.forward(lanes)
+        assert all((a == b).all() for a, b in zip(turn.backward(there), lanes))
+        assert len(set(zip(*(x.tolist() for x in there)))) == len(set(zip(*(x.tolist() for x in lanes))))
+
+
+def test_words_that_share_an_id_get_another_seed(ready, monkeypatch):
+    counted = ready.createDataFrame([("en", "one", 5), ("en", "two", 1)], "lang string, word string, f long")
+    usual = phrases._identified
+
+    def identified(seed):
+        return usual(seed) if seed > 1 else lambda batches: (
+            __import__("pyarrow").RecordBatch.from_arrays([*b.columns, __import__("pyarrow").array([7] * b.num_rows, "int64")], [*b.schema.names, "id"])
+            for b in batches
+        )
+
+    monkeypatch.setattr(phrases, "_identified", identified)
+    assert phrases._identify(counted, 2)[0] == 2
+    assert phrases._identify(counted, 9)[0] == 1
 
 
 # Resampling

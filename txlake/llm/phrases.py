@@ -1,10 +1,10 @@
 """Phrases whose words stand together more often than apart.
 
-Words get numbers, runs of two to four numbers are packed into 128 bits, and an
-invertible permutation spreads them evenly. The upper bits of the result are the quotient
-and the rest is the remainder, kept in full: a counting quotient filter that loses
-nothing, held as sorted arrays. A task builds one filter of its texts; the filters of all
-tasks are cut by quotient, and those of the same range of quotients are merged.
+A word's id is a number of 64 bits. The ids of a run of two to four words are permuted
+together, invertibly, so that they spread evenly: the first of them is the quotient and
+the others are the remainder, kept in full. That makes a counting quotient filter that
+loses nothing, held as sorted arrays. A task builds filters of its texts; all filters are
+cut by quotient, and those of one range of quotients are merged.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txlake.llm.common import numbered, staged
+from txlake.llm import words
+from txlake.llm.common import staged
 
 # Fixed values of the registered query.
 LONGEST = 4
@@ -27,324 +28,345 @@ PER_MILLION_PAIR = 2_000_000
 INSIDE_PERCENT = 80
 UNKNOWN = "und"
 
-# Text that one block holds, in bytes. Blocks are the unit that gets word numbers.
-BLOCK_BYTES = 2 << 20
+# Bytes of text that a task numbers at a time, at most one text part more.
+SLICE_BYTES = 1 << 20
 
-# Places of a sequence that are packed at a time.
-SLICE = 1 << 17
+# Different words that a task counts before it sends them off, and rows of one Arrow batch.
+WORDS_HELD = 1 << 17
+BATCH_ROWS = 1 << 14
 
 # Entries that a filter of one task holds before it is sent off, and that one merge reads on average.
 FILTER_ENTRIES = 1 << 19
 MERGE_ENTRIES = 1 << 19
 
+# Ids of words start from this number; with another one if two words shared an id.
+SEEDS = (1, 2, 3, 4)
+
 # Salts of the top lists: a language's candidates are cut in so many parts first.
 SALTS = 64
 
 # Bits of the table that rules out runs whose parts are rare, in units of 32,768.
 SIEVE_UNITS = 4096
 
-LOCAL = T.StructType(
-    [
-        T.StructField("block", T.StringType()),
-        T.StructField("local", T.IntegerType()),
-        T.StructField("lang", T.StringType()),
-        T.StructField("word", T.StringType()),
-        T.StructField("count", T.LongType()),
-        T.StructField("sequence", T.BinaryType()),
-    ]
+COUNTS = T.StructType(
+    [T.StructField("lang", T.StringType()), T.StructField("word", T.StringType()), T.StructField("count", T.LongType())]
 )
-CODED = T.StructType([T.StructField("sequence", T.BinaryType())])
 FILTER = T.StructType(
     [
         T.StructField("range", T.LongType()),
-        T.StructField("entries", T.LongType()),
         T.StructField("keys", T.BinaryType()),
         T.StructField("counts", T.BinaryType()),
     ]
 )
-PACKED = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b", "c", "d", "f")])
+NAMES = ["a", "b", "c", "d"]
+PACKED = T.StructType([T.StructField(c, T.LongType()) for c in (*NAMES, "f")])
 
 
 def permutation() -> SimpleNamespace:
-    """An invertible permutation of 128 bits, as pairs of 64-bit arrays: a Feistel network."""
+    """An invertible permutation of one to four 64-bit numbers, as arrays: each in turn is mixed into the next."""
     import numpy as np
 
     u = np.uint64
-    keys = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93]
+    keys = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
 
     def mix(x):
         x = (x ^ (x >> u(30))) * u(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> u(27))) * u(0x94D049BB133111EB)
         return x ^ (x >> u(31))
 
-    def forward(high, low):
-        for k in keys:
-            high, low = low, high ^ mix(low + u(k))
-        return high, low
+    def turns(n):
+        return [(i, (i + 1) % n, k) for k in keys for i in range(n)] if n > 1 else []
+
+    def forward(lanes):
+        lanes = list(lanes)
+        for i, j, k in turns(len(lanes)):
+            lanes[j] = lanes[j] ^ mix(lanes[i] + u(k))
+        return lanes
+
+    def backward(lanes):
+        lanes = list(lanes)
+        for i, j, k in reversed(turns(len(lanes))):
+            lanes[j] = lanes[j] ^ mix(lanes[i] + u(k))
+        return lanes
 
-    def backward(high, low):
-        for k in reversed(keys):
-            high, low = low ^ mix(high + u(k)), high
-        return high, low
+    def bit(lanes):
+        """Where the sieve notes a run."""
+        lanes = forward(lanes)
+        return (lanes[0] ^ (lanes[-1] >> u(7))) % u(SIEVE_UNITS * 32768)
 
-    return SimpleNamespace(mix=mix, forward=forward, backward=backward)
+    return SimpleNamespace(forward=forward, backward=backward, bit=bit, mix=mix)
 
 
 def filters() -> SimpleNamespace:
     """Counting quotient filters as sorted arrays of (quotient and remainder, count)."""
     import numpy as np
 
-    def sums(high, low, count):
+    def sums(lanes, count):
         """Sort entries and add up the counts of equal ones."""
-        order = np.lexsort((low, high))
-        high, low, count = high[order], low[order], count[order]
-        new = np.ones(len(high), bool)
-        new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+        order = np.lexsort(lanes[::-1])
+        lanes, count = [x[order] for x in lanes], count[order]
+        new = np.ones(len(count), bool)
+        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in lanes])
         first = np.flatnonzero(new)
-        return high[first], low[first], np.add.reduceat(count, first) if len(first) else count
+        return [x[first] for x in lanes], np.add.reduceat(count, first) if len(first) else count
 
-    def packed(high, low, count):
+    def merged(parts):
+        """The filter that holds what all the given ones hold."""
+        return sums([np.concatenate(x) for x in zip(*(lanes for lanes, _ in parts))], np.concatenate([c for _, c in parts]))
+
+    def packed(lanes, count):
         """Bytes of keys and of counts, these as narrow as the largest allows."""
         kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if not len(count) or count.max() <= np.iinfo(k).max)
         width = bytes([np.dtype(kind).itemsize])
-        return np.stack([high, low]).tobytes(), width + count.astype(kind).tobytes()
+        return np.stack(lanes).tobytes(), width + count.astype(kind).tobytes()
 
-    def unpacked(keys, counts):
-        high, low = np.frombuffer(keys, np.uint64).reshape(2, -1)
-        return high, low, np.frombuffer(counts, f"u{counts[0]}", offset=1).astype(np.int64)
+    def unpacked(n, keys, counts):
+        lanes = np.frombuffer(keys, np.uint64).reshape(n, -1)
+        return list(lanes), np.frombuffer(counts, f"u{counts[0]}", offset=1).astype(np.int64)
 
-    return SimpleNamespace(sums=sums, packed=packed, unpacked=unpacked)
+    return SimpleNamespace(sums=sums, merged=merged, packed=packed, unpacked=unpacked)
 
 
-def _blocks(block_bytes: int):
-    """Arrow function: texts to blocks of word numbers of their own.
+def _cutter(part_bytes: int, between: bytes):
+    """Function from a text to its parts in UTF-8, with ``between`` where a piece ends.
 
-    A block's words are numbered from 1 as they come; 0 stands at the end of each piece.
-    Rows are of two kinds: a block's sequence, and one row per word with its count.
+    A-Z are lower-cased and tabs become blanks. A text longer than ``part_bytes`` is cut
+    where a piece ends, if one does.
     """
+    plain = bytearray(range(256))
+    plain[65:91] = plain[97:123]
+    plain[9] = 32
+    for end in b".,;:!?\n\x0b\x0c\r":
+        plain[end] = 0xFF  # never in UTF-8
+    plain = bytes(plain)
+
+    def parts(text: str | None) -> Iterator[bytes]:
+        data, at = (text or "").encode().translate(plain), 0
+        while at < len(data):
+            end = data.find(b"\xff", at + part_bytes) if len(data) - at > part_bytes else -1
+            to = end + 1 if end >= 0 else len(data)
+            yield data[at:to].replace(b"\xff", between)
+            at = to
+
+    return parts
+
+
+def _numbers(seed: int):
+    """Functions that number words: of texts with breaks as 0, and of single words."""
+    import numpy as np
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from array import array
-        from collections import defaultdict
+    k, u = words.kernel(slice_bytes=SLICE_BYTES), np.uint64
+    brk = k.words(np.array([0, 1]), np.frombuffer(b"\xff", np.uint8))[0][0]
 
-        import numpy as np
-        from pyspark import TaskContext
+    def code(langs: list[str]):
+        """One number for each language."""
+        numbers = {}
+        for lang in langs:
+            if lang not in numbers:
+                data = b"lang:" + lang.encode().hex().encode()
+                numbers[lang] = k.words(np.array([0, len(data)]), np.frombuffer(data, np.uint8))[0][0]
+        return np.array([numbers[lang] for lang in langs], u)
+
+    def ids(numbers, langs):
+        out = k.mix((numbers ^ k.mix(langs + u(seed))) + u(0x9E3779B97F4A7C15))
+        out[out == 0] = 1
+        return out
 
-        # A-Z lower-cased, tabs to blanks, what ends a piece to line ends.
-        plain = bytearray(range(256))
-        plain[65:91] = plain[97:123]
-        plain[9] = 32
-        for end in b".,;:!?\n\x0b\x0c\r":
-            plain[end] = 10
-        plain = bytes(plain)
-        part, made = TaskContext.get().partitionId(), 0
+    def texts(parts: list[bytes], langs: list[str]):
+        """Ids of all words, 0 between pieces, in slices that end with texts."""
+        of, at = code(langs), 0
+        for offsets, data in k.slices(pa.array(parts, pa.binary())):
+            numbers, counts = k.words(offsets, data)
+            lang = np.repeat(of[at : at + len(counts)], counts)
+            at += len(counts)
+            out = ids(numbers, lang)
+            out[numbers == brk] = 0
+            yield out
 
-        class Numbers(dict):
-            """Words of one language in this block, numbered as they come."""
+    def single(found: list[bytes], langs: list[str]):
+        """Id of each word."""
+        numbers = [k.words(offsets, data)[0] for offsets, data in k.slices(pa.array(found, pa.binary()))]
+        return ids(np.concatenate(numbers) if numbers else np.zeros(0, u), code(langs))
 
-            def __missing__(self, word):
-                total[0] += 1
-                self[word] = total[0]
-                return total[0]
+    return SimpleNamespace(texts=texts, single=single)
 
-        total, names, sequence, size = [0], defaultdict(Numbers), array("i"), 0
+
+def _counted(part_bytes: int, held: int):
+    """Arrow function: texts to (lang, word, count), added up for some words at a time."""
+    parts = _cutter(part_bytes, b" ")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter, defaultdict
+
+        counts = defaultdict(Counter)
 
         def rows():
-            name = f"{part}-{made}"
-            own = np.frombuffer(sequence, np.int32)
-            counts = np.bincount(own, minlength=total[0] + 1)
-            for lang, known in names.items():
-                of, n = np.fromiter(known.values(), np.int32, len(known)), len(known)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * n, pa.string()), pa.array(of), pa.array([lang] * n, pa.string()),
-                        pa.array(list(known), pa.binary()).cast(pa.string()), pa.array(counts[of]), pa.nulls(n, pa.binary()),
-                    ],
-                    LOCAL.names,
-                )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string()),
-                    pa.nulls(1, pa.int64()), pa.array([own.tobytes()], pa.binary()),
-                ],
-                LOCAL.names,
-            )
-
-        def parts(data):
-            """A long text in parts that end where a piece ends, if one does."""
-            at = 0
-            while at < len(data):
-                end = data.find(b"\n", at + block_bytes // 4)
-                to = end + 1 if end >= 0 else len(data)
-                yield data[at:to]
-                at = to
+            for lang, words in counts.items():
+                found, number = list(words), list(words.values())
+                for at in range(0, len(found), BATCH_ROWS):
+                    some = pa.array(found[at : at + BATCH_ROWS], pa.binary()).cast(pa.string())
+                    n = pa.array(number[at : at + BATCH_ROWS], pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), some, n], COUNTS.names)
+            counts.clear()
 
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
-                lang, text = lang.as_py(), text.as_py()
-                for data in parts((text or "").encode().translate(plain)):
-                    number = names[lang].__getitem__
-                    for piece in data.split(b"\n"):
-                        sequence.extend(map(number, piece.split()))
-                        sequence.append(0)
-                    size += len(data)
-                    if size >= block_bytes:
+                lang = lang.as_py()
+                for data in parts(text.as_py()):
+                    counts[lang].update(data.split())
+                    if len(counts[lang]) >= held:
                         yield from rows()
-                        made += 1
-                        names.clear()
-                        total[0], sequence, size = 0, array("i"), 0
-        if len(sequence):
-            yield from rows()
+        yield from rows()
 
-    return blocks
+    return counted
 
 
-def _coded():
-    """Arrow function: a block's sequence in its own numbers to one in those of all words; rare words become 0."""
+def _identified(seed: int):
+    """Arrow function: adds the id of each word."""
+    number = _numbers(seed)
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            out = []
-            for sequence, local, number in zip(*(batch.column(i) for i in range(3))):
-                own = np.frombuffer(sequence.as_py(), np.int32)
-                place = np.zeros(int(own.max(initial=0)) + 1, np.uint32)
-                if local.is_valid:
-                    place[local.values.to_numpy()] = number.values.to_numpy().astype(np.uint32)
-                all_ = place[own]
-                # Of zeros in a row one is enough.
-                some = np.ones(len(all_), bool)
-                some[1:] = (all_[1:] != 0) | (all_[:-1] != 0)
-                out.append(all_[some].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["sequence"])
+            words = batch.column(batch.schema.names.index("word")).cast(pa.binary()).to_pylist()
+            ids = number.single(words, batch.column(batch.schema.names.index("lang")).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids.view(np.int64))], [*batch.schema.names, "id"])
 
-    return coded
+    return identified
 
 
-def _filtered(n: int, ranges: int, sieve: dict[int, bytes] | None, entries: int):
-    """Arrow function: sequences to the filters of their runs of ``n`` words, cut into ranges of quotients."""
+def _filtered(n: int, seed: int, ranges: int, sieve: dict[int, bytes], part_bytes: int, entries: int):
+    """Arrow function: texts to the filters of their runs of ``n`` words, cut into ranges of quotients."""
+    turn, cqf, number, parts = permutation(), filters(), _numbers(seed), _cutter(part_bytes, b" \xff ")
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        u, turn, cqf = np.uint64, permutation(), filters()
-        table = None
-        if sieve is not None:
-            bits = np.zeros(SIEVE_UNITS * 4096, np.uint8)
-            for unit, data in sieve.items():
-                bits[unit * 4096 : unit * 4096 + len(data)] = np.frombuffer(data, np.uint8)
-            table = bits
-
-        def pack(columns):
-            """Up to four numbers of 32 bits, as two of 64."""
-            z = np.zeros(len(columns[0]), u)
-            c = [x.astype(u) for x in columns] + [z] * (4 - len(columns))
-            return (c[0] << u(32)) | c[1], (c[2] << u(32)) | c[3]
-
-        def may_be_frequent(columns):
-            high, low = turn.forward(*pack(columns))
-            bit = (high ^ low) % u(SIEVE_UNITS * 32768)
+        u = np.uint64
+        table = np.zeros(SIEVE_UNITS * 4096, np.uint8)
+        for unit, data in sieve.items():
+            table[unit * 4096 : unit * 4096 + len(data)] = np.frombuffer(data, np.uint8)
+
+        def may_be_frequent(lanes):
+            bit = turn.bit(lanes)
             return (table[(bit >> u(3)).astype(np.int64)] >> (bit & u(7)).astype(np.uint8)) & 1 == 1
 
-        def sent(high, low, count):
-            if not len(high):
-                return
-            part = (high >> u(32)) * u(ranges) >> u(32)
+        def sent(lanes, count):
+            # The upper 32 bits of the quotient choose the range.
+            part = ((lanes[0] >> u(32)) * u(ranges)) >> u(32)
             starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             ends = np.append(starts[1:], len(part))
-            packs = [cqf.packed(high[a:b], low[a:b], count[a:b]) for a, b in zip(starts, ends)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(part[starts].astype(np.int64)), pa.array((ends - starts).astype(np.int64)),
-                    pa.array([k for k, _ in packs], pa.binary()), pa.array([c for _, c in packs], pa.binary()),
-                ],
-                FILTER.names,
-            )
-
-        def slices(column):
-            """Sequences in parts that overlap by n - 1 places."""
-            for sequence in column:
-                s = np.frombuffer(sequence.as_buffer(), np.uint32)
-                for at in range(0, len(s) - n + 1, SLICE):
-                    yield s[at : at + SLICE + n - 1]
-
-        held, size = [], 0
-        for batch in batches:
-            for s in slices(batch.column(0)):
+            for at in range(0, len(starts), 64):
+                some = list(zip(starts[at : at + 64], ends[at : at + 64]))
+                packs = [cqf.packed([x[a:b] for x in lanes], count[a:b]) for a, b in some]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part[starts[at : at + 64]].astype(np.int64)),
+                        pa.array([k for k, _ in packs], pa.binary()),
+                        pa.array([c for _, c in packs], pa.binary()),
+                    ],
+                    FILTER.names,
+                )
+
+        held, size, waiting, langs, weight = [], 0, [], [], 0
+
+        def add():
+            nonlocal held, size, waiting, langs, weight
+            for s in number.texts(waiting, langs):
                 places = len(s) - n + 1
+                if places <= 0:
+                    continue
                 whole = np.ones(places, bool)
                 for i in range(n):
                     whole &= s[i : places + i] != 0
                 a = np.flatnonzero(whole)
-                if table is not None:
-                    # A run can only be frequent if both of its runs one word shorter are.
-                    a = a[may_be_frequent([s[a + i] for i in range(n - 1)])]
-                    a = a[may_be_frequent([s[a + i + 1] for i in range(n - 1)])]
-                if not len(a):
-                    continue
-                high, low = turn.forward(*pack([s[a + i] for i in range(n)]))
-                entry = cqf.sums(high, low, np.ones(len(a), np.int64))
-                held.append(entry)
-                size += len(entry[0])
+                # A run can only be frequent if both of its runs one word shorter are.
+                a = a[may_be_frequent([s[a + i] for i in range(n - 1)])]
+                a = a[may_be_frequent([s[a + i + 1] for i in range(n - 1)])]
+                if len(a):
+                    held.append(cqf.sums(turn.forward([s[a + i] for i in range(n)]), np.ones(len(a), np.int64)))
+                    size += len(held[-1][1])
                 if size >= entries:
-                    merged = cqf.sums(*(np.concatenate(x) for x in zip(*held)))
-                    held, size = [merged], len(merged[0])
+                    held = [cqf.merged(held)]
+                    size = len(held[0][1])
                     if size >= entries // 2:
-                        yield from sent(*merged)
+                        yield from sent(*held[0])
                         held, size = [], 0
+            waiting, langs, weight = [], [], 0
+
+        for batch in batches:
+            for text, lang in zip(batch.column(0), batch.column(1)):
+                for data in parts(text.as_py()):
+                    # A break after each part keeps texts apart.
+                    waiting.append(data + b" \xff")
+                    langs.append(lang.as_py())
+                    weight += len(data)
+                    if weight >= part_bytes:
+                        yield from add()
+        yield from add()
         if held:
-            yield from sent(*cqf.sums(*(np.concatenate(x) for x in zip(*held))))
+            yield from sent(*cqf.merged(held))
 
     return filtered
 
 
-def _merged(least: int):
+def _merged(n: int, least: int):
     """Arrow function: all filters of one range of quotients to the runs seen often enough."""
+    turn, cqf = permutation(), filters()
 
     def merged(table: pa.Table) -> pa.Table:
         import numpy as np
 
-        u, turn, cqf = np.uint64, permutation(), filters()
-        parts = [
-            cqf.unpacked(k.as_py(), c.as_py()) for k, c in zip(table.column("keys"), table.column("counts"))
-        ]
-        high, low, count = cqf.sums(*(np.concatenate(x) for x in zip(*parts)))
+        found = zip(table.column("keys"), table.column("counts"))
+        lanes, count = cqf.merged([cqf.unpacked(n, k.as_py(), c.as_py()) for k, c in found])
         often = count >= least
-        high, low = turn.backward(high[often], low[often])
-        words = [high >> u(32), high & u(0xFFFFFFFF), low >> u(32), low & u(0xFFFFFFFF)]
-        return pa.table([pa.array(x.astype(np.int64)) for x in [*words, count[often]]], names=PACKED.names)
+        ids = turn.backward([x[often] for x in lanes])
+        ids += [np.zeros(len(ids[0]), np.uint64)] * (len(NAMES) - n)
+        return pa.table([*(pa.array(x.view(np.int64)) for x in ids), pa.array(count[often])], names=PACKED.names)
 
     return merged
 
 
-def run_counts(coded: DataFrame, n: int, positions: int, least: int, sieve: dict[int, bytes] | None) -> DataFrame:
-    """(a, b, c, d, f): runs of ``n`` words by number, 0 where there is none, seen ``least`` times or more."""
-    ranges = max(1, -(-positions // MERGE_ENTRIES))
-    cut = coded.mapInArrow(_filtered(n, ranges, sieve, FILTER_ENTRIES), FILTER)
-    return cut.groupBy("range").applyInArrow(_merged(least), PACKED)
+def run_counts(plain: DataFrame, n: int, seed: int, total: int, least: int, sieve: dict[int, bytes]) -> DataFrame:
+    """(a, b, c, d, f): runs of ``n`` words by id, 0 where there is none, seen ``least`` times or more.
+
+    ``total`` is the number of all words: there are no more runs, so it sets the number of ranges.
+    """
+    ranges = min(max(1, -(-total // MERGE_ENTRIES)), 1 << 31)
+    cut = plain.mapInArrow(_filtered(n, seed, ranges, sieve, SLICE_BYTES, FILTER_ENTRIES), FILTER)
+    return cut.groupBy("range").applyInArrow(_merged(n, least), PACKED)
 
 
-def _sieve(frequent: DataFrame) -> dict[int, bytes]:
-    """Bits of all frequent runs: 4096 rows of 4 KB at most, whatever the table holds."""
+def _sieve(frequent: DataFrame, n: int) -> dict[int, bytes]:
+    """Bits of all frequent runs of ``n`` words: 4096 rows of 4 KB at most, whatever the table holds."""
+    turn = permutation()
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        u, turn = np.uint64, permutation()
         for batch in batches:
-            a, b, c, d = (batch.column(i).to_numpy().astype(u) for i in range(4))
-            high, low = turn.forward((a << u(32)) | b, (c << u(32)) | d)
-            bit = (high ^ low) % u(SIEVE_UNITS * 32768)
-            yield pa.RecordBatch.from_arrays([pa.array(bit.astype(np.int64))], ["bit"])
+            lanes = [batch.column(i).to_numpy().view(np.uint64) for i in range(n)]
+            yield pa.RecordBatch.from_arrays([pa.array(turn.bit(lanes).astype(np.int64))], ["bit"])
 
-    numbers = frequent.select("a", "b", "c", "d").mapInArrow(bits, "bit long")
+    numbers = frequent.select(*NAMES[:n]).mapInArrow(bits, "bit long")
     units = numbers.groupBy(F.floor(F.col("bit") / 32768).alias("unit")).agg(
         F.bitmap_construct_agg((F.col("bit") % 32768)).alias("data")
     )
     return {r["unit"]: bytes(r["data"]) for r in units.collect()}
 
 
+def _identify(counted: DataFrame, least: int, seeds: tuple[int, ...] = SEEDS) -> tuple[int, DataFrame]:
+    """A seed under which no frequent word shares its id with another word, and the frequent words with theirs."""
+    for seed in seeds:
+        schema = T.StructType([*counted.schema.fields, T.StructField("id", T.LongType())])
+        known = counted.mapInArrow(_identified(seed), schema)
+        shared = known.groupBy("id").agg(F.count("*").alias("n"), F.max("f").alias("f"))
+        if shared.filter((F.col("n") > 1) & (F.col("f") >= least)).isEmpty():
+            return seed, staged(counted.filter(F.col("f") >= least).mapInArrow(_identified(seed), schema), "frequent")
+    raise RuntimeError("two words share an id under every seed")
+
+
 def _key(names: list[str]) -> list[Column]:
     """Columns a to d from fewer names, filled up with 0."""
     zero = F.lit(0).cast("long")
@@ -357,7 +379,7 @@ def scored(runs: DataFrame, longest: int = LONGEST) -> DataFrame:
     ``runs`` holds the counts of all frequent runs from one word on, with their length n.
     Parts of a frequent run are frequent, so each cut finds its two counts.
     """
-    names = ["a", "b", "c", "d"]
+    names = NAMES
     sides = []
     for n in range(2, longest + 1):
         of = runs.filter(F.col("n") == n)
@@ -382,7 +404,7 @@ def scored(runs: DataFrame, longest: int = LONGEST) -> DataFrame:
 
 def standing_alone(runs: DataFrame, longest: int = LONGEST, percent: int = INSIDE_PERCENT) -> DataFrame:
     """Runs that no longer run holds most of the time, or all the time."""
-    names = ["a", "b", "c", "d"]
+    names = NAMES
     inner = []
     for n in range(3, longest + 1):
         of = runs.filter(F.col("n") == n)
@@ -417,45 +439,31 @@ def collocations(
 
     Null and empty texts have no words; a null language is ``und``. Repeated rows count
     each time. Equal scores are ranked by a, then by the phrase's bytes. A very long text is
-    cut where a piece ends, into parts of about 1 MB, so a task holds a few of them; one
-    piece without an end is held whole. An empty table, and a language without candidates,
+    cut where a piece ends, into parts of about 1 MB; one piece without an end is held whole.
+    Ids are 64 bits wide; that no frequent word shares its id with any word is counted, with
+    another seed if one does. An empty table, and a language without candidates,
     give no rows. Further columns are not read, whatever their names.
     """
     plain = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"))
-    blocks = staged(plain.mapInArrow(_blocks(BLOCK_BYTES), LOCAL), "blocks")
-    words = blocks.filter("word is not null")
-    totals = words.groupBy("lang").agg(F.sum("count").alias("n"))
-    counted = words.groupBy("lang", "word").agg(F.sum("count").alias("f")).filter(F.col("f") >= least)
-    # Numbers from 1 for the words that can be part of a candidate; others break the run.
-    number = (F.col("place") + 1).alias("number")
-    frequent = staged(
-        numbered(staged(counted, "words"), ["lang", "word"], "place").select("lang", "word", "f", number), "numbers"
-    )
-    if (frequent.agg(F.max("number")).first()[0] or 0) >= 1 << 32:
-        raise OverflowError("more frequent words than 32 bits can number")
-    places = (
-        words.join(frequent, ["lang", "word"])
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("local", "number")).alias("of"))
-        .select("block", F.col("of.local").alias("local"), F.col("of.number").alias("number"))
-    )
-    sequences = blocks.filter("sequence is not null").select("block", "sequence").join(places, "block", "left")
-    coded = staged(sequences.select("sequence", "local", "number").mapInArrow(_coded(), CODED), "coded")
-    positions = coded.agg(F.sum(F.octet_length("sequence") / 4)).first()[0] or 0
+    parts = plain.mapInArrow(_counted(SLICE_BYTES, WORDS_HELD), COUNTS)
+    counted = staged(parts.groupBy("lang", "word").agg(F.sum("count").alias("f")), "words")
+    totals = staged(counted.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    seed, frequent = _identify(counted, least)
     zero = F.lit(0).cast("long")
-    runs = frequent.select(F.col("number").alias("a"), zero.alias("b"), zero.alias("c"), zero.alias("d"), "f", F.lit(1).alias("n"))
-    sieve = None
+    found = frequent.select(F.col("id").alias("a"), zero.alias("b"), zero.alias("c"), zero.alias("d"), "f")
+    runs = found.withColumn("n", F.lit(1))
     for n in range(2, LONGEST + 1):
-        found = staged(run_counts(coded, n, int(positions), least, sieve), f"runs{n}")
+        sieve = _sieve(found, n - 1)
+        found = staged(run_counts(plain, n, seed, total, least, sieve), f"runs{n}")
         runs = runs.unionByName(found.withColumn("n", F.lit(n)))
-        sieve = _sieve(found)
-    alone = standing_alone(runs.filter("n > 1"), percent=percent).select("a", "b", "c", "d")
-    kept = staged(scored(runs).join(alone, ["a", "b", "c", "d"]), "scored")
+    alone = standing_alone(runs.filter("n > 1"), percent=percent).select(*NAMES)
+    kept = staged(scored(runs).join(alone, NAMES), "scored")
     # Words again, in their order.
-    numbers = kept.select("*", F.posexplode(F.array("a", "b", "c", "d")).alias("at", "number")).filter("number > 0")
+    ids = kept.select("*", F.posexplode(F.array(*NAMES)).alias("at", "id")).filter("id <> 0")
     phrases = (
-        numbers.join(frequent.select("number", "word", "lang"), "number")
-        .groupBy("a", "b", "c", "d", F.col("f"), "l", "r", "score", "lang")
+        ids.join(frequent.select("id", "word", "lang"), "id")
+        .groupBy(*NAMES, "f", "l", "r", "score", "lang")
         .agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("w"))
         .select("lang", F.array_join("w.word", " ").alias("phrase"), F.col("f").alias("a"), "l", "r", "score")
     )
