@@ -352,6 +352,47 @@ def late_split_dlq(spark, folder):
     return late.select("event_id", "tx_type", "user_id", "amount", "ts", "late_for")
 
 
+# A topic partition counts as idle after two days without an arrival.
+IDLE = 2 * 86_400 * 1_000_000
+
+SILENT = "topic_partition = 3 AND (day(ts) BETWEEN 8 AND 14 OR day(ts) < 4)"
+
+
+def idle_sql(relation: str) -> str:
+    """Rows with the watermark they met: the largest so far of the least mark of the partitions awake."""
+    last = ", ".join(
+        f"""MAX(CASE WHEN p = {p} THEN ts END) OVER w AS wm{p},
+    COALESCE(MAX(CASE WHEN p = {p} THEN tick END) OVER w, (SELECT MIN(arrival) FROM {relation})) + {IDLE} > tick AS awake{p}"""
+        for p in range(4)
+    )
+    least = "LEAST(" + ", ".join(f"CASE WHEN awake{p} THEN COALESCE(wm{p}, TIMESTAMP '1900-01-01') ELSE TIMESTAMP '2900-01-01' END" for p in range(4)) + ")"
+    return f"""
+ticks AS (SELECT arrival AS tick, topic_partition AS p, ts FROM {relation} UNION ALL SELECT arrival + {IDLE}, NULL, NULL FROM {relation}
+  UNION ALL SELECT MIN(arrival) + {IDLE}, NULL, NULL FROM {relation}),
+states AS (SELECT tick, {last} FROM ticks WINDOW w AS (ORDER BY tick RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+lows AS (SELECT DISTINCT tick, {least} AS low FROM states),
+marks AS (SELECT tick, MAX(CASE WHEN low < TIMESTAMP '2900-01-01' THEN low END) OVER (ORDER BY tick) - INTERVAL 15 SECOND AS passed FROM lows),
+marked AS (SELECT a.*, m.passed FROM {relation} a ASOF LEFT JOIN marks m ON m.tick < a.arrival)"""
+
+
+@query(
+    "late_split_idle",
+    f"""WITH {ARRIVALS_SQL}, heard AS (SELECT * FROM arrivals WHERE NOT ({SILENT})), {idle_sql('heard')}
+SELECT event_id, tx_type, user_id, amount, ts, 'tumbling' AS late_for FROM marked
+WHERE time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND <= passed
+UNION ALL
+SELECT event_id, tx_type, user_id, amount, ts, 'sliding' FROM marked
+WHERE time_bucket(INTERVAL 60 SECOND, ts) + INTERVAL 300 SECOND <= passed""",
+)
+def late_split_idle(spark, folder):
+    """A topic partition that is silent at first and for a week later holds back nothing after two days."""
+    paths = {"tumbling": (300, 300), "sliding": (300, 60)}
+    rows = arrivals(spark, folder)
+    silent = F.col("topic_partition").eqNullSafe(3) & (F.dayofmonth("ts").between(8, 14) | (F.dayofmonth("ts") < 4))
+    marked = lateness.mark_late(rows.filter(~silent), "ts", "arrival", "topic_partition", paths, idle=IDLE)
+    return lateness.dead_letters(marked).select("event_id", "tx_type", "user_id", "amount", "ts", "late_for")
+
+
 def on_time_sql(width: int, slide: int) -> str:
     return f"""WITH {ARRIVALS_SQL}, {closed_sql('arrivals')},
 placed AS (SELECT *, time_bucket(INTERVAL {slide} SECOND, ts)

@@ -4,9 +4,15 @@ Spark drops rows behind the watermark without a trace, so the split happens
 before the windows: each micro-batch is compared with the watermark that all
 earlier batches left behind. That watermark is written per batch (one row per
 topic partition, cumulative); a replayed batch reads the same row and gives the
-same split. A topic partition that has sent nothing for ``idle`` seconds no longer
-holds the watermark back; the time of each batch is written before its work, so a
-replay sees the same idle partitions.
+same split.
+
+A topic partition that falls silent must not hold the watermark back for ever. It
+is idle when the batches that began within the last ``idle`` seconds before the
+previous batch began brought no row of it. Only the starts of batches are compared,
+so a batch that takes long makes nothing idle, and the partitions of the previous
+batch never are. What has been closed stays closed: the watermark never falls, and
+while all partitions are idle it stands still. The time of each batch is written
+before its work, so a replay sees the same idle partitions.
 """
 
 from __future__ import annotations
@@ -66,15 +72,15 @@ class LateSplit:
         spark = batch.sparkSession
         now = self._clock(spark, batch_id)
         part = F.col(self.partition) if self.partition else F.lit(0)
-        ledger_schema = "part STRING, newest BIGINT, seen_at BIGINT"
+        ledger_schema = "part STRING, newest BIGINT, seen_at BIGINT, began BIGINT, mark BIGINT"
         last = previous_batch(spark, f"{self.path}/ledger", batch_id)
         if last:
             before = spark.read.schema(ledger_schema).json(last)
         else:
             before = spark.createDataFrame([], ledger_schema)
-        # One value: the slowest topic partition that isn't idle, or else the fastest.
-        awake = F.lit(True) if self.idle is None else F.col("seen_at") >= now - self.idle
-        slowest = before.agg(F.coalesce(F.min(F.when(awake, F.col("newest"))), F.max("newest"))).first()[0]
+        # One value: the slowest topic partition that isn't idle, or what counted before.
+        awake = F.lit(True) if self.idle is None else F.col("seen_at") >= F.col("began") - self.idle
+        slowest = before.agg(F.greatest(F.min(F.when(awake, F.col("newest"))), F.max("mark"))).first()[0]
         passed = None if slowest is None else slowest - self.rule.closing_delay * SECOND
 
         at = micros(F.col(self.ts))
@@ -97,9 +103,10 @@ class LateSplit:
 
         seen = marked.groupBy(part.cast("string").alias("part")).agg(F.max(at).alias("newest"))
         seen = seen.withColumn("seen_at", F.lit(now).cast("bigint"))
-        known = before.unionByName(seen).groupBy("part").agg(
+        known = before.select("part", "newest", "seen_at").unionByName(seen).groupBy("part").agg(
             F.max("newest").alias("newest"), F.max("seen_at").alias("seen_at")
         )
+        known = known.withColumns({"began": F.lit(now).cast("bigint"), "mark": F.lit(slowest).cast("bigint")})
         known.coalesce(1).write.mode("overwrite").json(f"{self.path}/ledger/batch={batch_id}")
         for name in ("marked", "clock", "ledger"):
             forget(spark, f"{self.path}/{name}", batch_id)

@@ -52,20 +52,29 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return [int(name.split("=")[1]) for name in fs.folders(spark, path, 1)] if fs.exists(spark, path) else []
+
+
 def previous_batch(spark: SparkSession, path: str, batch_id: int) -> str | None:
-    """Folder of the newest batch before ``batch_id``, none for the first one."""
-    if not fs.exists(spark, path):
-        return None
-    known = [int(name.split("=")[1]) for name in fs.folders(spark, path, 1)]
+    """Folder of the newest batch before ``batch_id``, none for the first one.
+
+    Fails if what an older batch left has been deleted: a replay from so far back would
+    take the wrong state for the first one.
+    """
+    known = _numbers(spark, path)
     earlier = [n for n in known if n < batch_id]
+    if not earlier and batch_id > 0 and any(n > batch_id for n in known):
+        raise RuntimeError(f"{path} no longer holds what batch {batch_id} starts from")
     return f"{path}/batch={max(earlier)}" if earlier else None
 
 
 def forget(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Delete the folders that a replay of this batch or a later one does not read."""
-    for name in fs.folders(spark, path, 1):
-        if int(name.split("=")[1]) < batch_id - 1:
-            fs.delete_folder(spark, f"{path}/{name}")
+    """Delete the folders that no replay reads: Spark can go back as many batches as it retains."""
+    retained = int(spark.conf.get("spark.sql.streaming.minBatchesToRetain", "100"))
+    for n in _numbers(spark, path):
+        if n < batch_id - retained - 1:
+            fs.delete_folder(spark, f"{path}/batch={n}")
 
 
 def drain(*queries: StreamingQuery, timeout: int | None = None) -> None:
