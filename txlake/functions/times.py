@@ -43,6 +43,13 @@ def event_time(c: Column, fallback: Column | None = None) -> Column:
     return parsed if fallback is None else F.coalesce(parsed, fallback)
 
 
+def audited_event_time(c: Column, processing: Column) -> Column:
+    """Struct of ``at`` and ``is_fallback``: the event time, or the time of processing where it
+    cannot be read, and a mark that tells the two apart."""
+    parsed = F.try_to_timestamp(c)
+    return F.struct(F.coalesce(parsed, processing).alias("at"), parsed.isNull().alias("is_fallback"))
+
+
 def iso_millis(c: Column) -> Column:
     return F.date_format(c, UTC_MILLIS)
 

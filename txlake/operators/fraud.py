@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from txlake.functions.text import mapping
 from txlake.functions.times import iso_seconds
-from txlake.operators.trailing import trailing_totals
+from txlake.operators.trailing import HOT_ROWS, trailing_totals
 
 
 @dataclass(frozen=True)
@@ -122,10 +122,11 @@ def user_alerts(
     ts: str = "ts",
     row_id: str = "event_id",
     amount: str = "amount",
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Per-user alerts over bounded input; rows without a user are ignored."""
     rows = df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts, row_id, amount)
-    totals = trailing_totals(rows, key, ts, row_id, amount, rules.span_seconds, rules.block_seconds)
+    totals = trailing_totals(rows, key, ts, row_id, amount, rules.span_seconds, rules.block_seconds, hot_rows)
     return explode_alerts(totals, rules, key, ts, row_id, amount)
 
 
@@ -184,6 +185,11 @@ def record_alerts(df: DataFrame, rules: RecordRules = RecordRules()) -> DataFram
     )
 
 
+def record_counters(rules: RecordRules = RecordRules()) -> dict[str, Column]:
+    """Measures of processed and suspicious rows, for an observation of a stream."""
+    return {"processed": F.count(F.lit(1)), "alerts": F.count_if(_is_suspicious(record_conditions(rules)))}
+
+
 def record_rates(df: DataFrame, rules: RecordRules = RecordRules()) -> DataFrame:
     """Processed and suspicious counts with their ratio, one row."""
     hits = F.count_if(_is_suspicious(record_conditions(rules)))

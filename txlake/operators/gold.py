@@ -46,6 +46,25 @@ def daily_summary(tx: DataFrame) -> DataFrame:
     )
 
 
+# Size of a user sketch as a power of two: a relative error of 0.4 % (one standard deviation).
+SKETCH_SIZE = 16
+
+
+def daily_user_sketches(tx: DataFrame) -> DataFrame:
+    """Per day and type a sketch of the different users, to be kept and merged later."""
+    return tx.groupBy(F.col("tx_date").alias("summary_date"), "tx_type").agg(
+        F.hll_sketch_agg("user_id", F.lit(SKETCH_SIZE)).alias("user_sketch")
+    )
+
+
+def unique_users(sketches: DataFrame, *by: Column) -> DataFrame:
+    """Different users of any union of days, from the sketches alone: no row is read again."""
+    return sketches.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("sketches"),
+        F.hll_sketch_estimate(F.hll_union_agg("user_sketch")).alias("unique_users"),
+    )
+
+
 def month_filter(column: Column, first: dt.date, following: dt.date) -> Column:
     """Half-open range on the raw partition column, so that partitions are pruned."""
     return (column >= F.lit(first)) & (column < F.lit(following))

@@ -199,16 +199,18 @@ GOLD_TABLES = ["gold/daily_summary", "gold/customer_stats", "gold/fee_settlement
 def run(
     lake: Lake,
     topic: DataFrame,
-    first: dt.date,
+    first: dt.date | None = None,
     until: dt.date | None = None,
     settings: Settings | None = None,
 ) -> DataFrame:
-    """Run all stages for the ingest days [first, until), one day by default.
+    """Run all stages for the ingest days [first, until): one day by default, and yesterday
+    (in UTC) if none is named.
 
     Returns and appends to the ``runs`` table one row per stage with status and
     duration. A failing stage stops the run and raises after it was recorded.
     """
     settings = settings or Settings()
+    first = first or dt.datetime.now(dt.UTC).date() - dt.timedelta(days=1)
     until = until or first + dt.timedelta(days=1)
     rows, days, failure = [], [], None
 

@@ -452,6 +452,12 @@ def trailing_fraud_alerts(spark, folder):
     return fraud.user_alerts(transactions(spark, folder), EVENT_RULES)
 
 
+@query("trailing_alerts_by_panes", f"WITH {TX_SQL}, {ALERTS_SQL} SELECT * FROM alerts")
+def trailing_alerts_by_panes(spark, folder):
+    """Users with more than two events in two days go the way of very busy ones."""
+    return fraud.user_alerts(transactions(spark, folder), EVENT_RULES, hot_rows=2)
+
+
 @query(
     "alert_text",
     f"""WITH {TX_SQL}, {ALERTS_SQL} SELECT alert_id, '[' || rule_id || '] ' || rule_description || ' | user=' || user_id || ', severity='

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from txlake import schemas
 from txlake.functions.money import exact_sum
 from txlake.operators import cdc, fraud
 from txlake.operators.lateness import Lateness
@@ -17,8 +18,10 @@ from txlake.plans.inputs import TX_SQL, as_transactions, order_changes
 from txlake.plans.medallion import Lake
 from txlake.plans.queries_batch import (
     ALERTS_SQL,
+    EVENT_RECORD_RULES,
     EVENT_RULES,
     IN_WINDOW_TYPES,
+    RISK_SQL,
     SESSION_GAP,
     WINDOW_TYPES,
     sessions_sql,
@@ -27,10 +30,11 @@ from txlake.plans.queries_batch import (
 from txlake.plans.queries_tables import CDC_STATE_SQL
 from txlake.plans.registry import query
 from txlake.session import scratch
+from txlake.sources import kafka
 from txlake.sources.files import table, table_stream
 from txlake.sources.versioned import VersionedTable
 from txlake.streaming import fraud as fraud_stream
-from txlake.streaming import sinks, windows
+from txlake.streaming import events, metrics, sinks, timers, windows
 from txlake.streaming.cdc import ApplyChanges
 from txlake.streaming.late import LateSplit
 from txlake.streaming.serving import ServingViews
@@ -103,12 +107,14 @@ DISORDER_SQL = f"""{TX_SQL}, parted AS (
 )"""
 
 
-def _in_parts(spark, rows, part, count, handler, out):
-    """Part after part is added to a feed, and a stream works off what is new."""
+def _in_parts(spark, rows, part, count, handler, out, then=None):
+    """Part after part is added to a feed, and a stream works off what is new; ``then`` runs after each."""
     for n in range(count):
         rows.filter(F.col(part) == n).drop(part).write.mode("append").parquet(f"{out}/feed")
         feed = spark.readStream.schema(rows.drop(part).schema).parquet(f"{out}/feed")
         sinks.drain(sinks.to_batches(feed, handler, f"{out}/checkpoint", every=None))
+        if then:
+            then()
 
 
 def _judged_in_parts(spark, folder):
@@ -232,6 +238,166 @@ def stream_windows_with_late(spark, folder):
     )
 
 
+@query(
+    "stream_windows_updated",
+    f"""WITH {SLICED_SQL}, kept AS (
+  SELECT *, time_bucket(INTERVAL 300 SECOND, ts) AS start, COALESCE(time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND <= passed, FALSE) AS late FROM marked
+), w AS (SELECT tx_type AS event_type, start AS window_start, start + INTERVAL 300 SECOND AS window_end,
+  COUNT(*) FILTER (WHERE NOT late) AS transaction_count,
+  CAST(ROUND(SUM(CAST(COALESCE(amount, 0) AS DECIMAL(28,8))) FILTER (WHERE NOT late), 6) AS DOUBLE) AS total_amount,
+  MAX(COALESCE(amount, 0)) FILTER (WHERE NOT late) AS max_amount, MIN(COALESCE(amount, 0)) FILTER (WHERE NOT late) AS min_amount,
+  COUNT(DISTINCT slice) FILTER (WHERE NOT late) AS emissions,
+  COUNT(*) FILTER (WHERE late) AS late_count FROM kept GROUP BY tx_type, start)
+SELECT * FROM w WHERE transaction_count > 0""",
+)
+def stream_windows_updated(spark, folder):
+    """Windows that are emitted again whenever a batch changes them, until the lateness has
+    passed; the sink holds the last emission. What comes later is in the dead letters.
+
+    Two streams in a row: the first sets late rows aside, the second reads those on time.
+    """
+    out = scratch(spark, "updated")
+    split = LateSplit(f"{out}/split", "ts", None, 300, 60)
+    rows = _sliced_events(spark, folder, "slices")
+    keys = ["event_type", "window_start", "window_end"]
+    results = sinks.KeyedResults(VersionedTable(spark, f"{out}/windows"), keys)
+
+    def update():
+        schema = spark.read.parquet(f"{split.on_time}/batch=0").schema
+        on_time = spark.readStream.schema(schema).parquet(f"{split.on_time}/batch=*")
+        on_time = on_time.filter(~F.array_contains("late_for", "tumbling")).withColumnRenamed("tx_type", "event_type")
+        found = windows.windowed(windows.watermarked(on_time, "ts"), "ts", ["event_type"], 300, "amount")
+        sinks.drain(sinks.to_batches(found, results, f"{out}/checkpoint-windows", every=None, mode="update"))
+
+    _in_parts(spark, rows, "slice", SLICES, split, out, update)
+    letters = spark.read.parquet(split.dead_letters).filter("late_for = 'tumbling'")
+    start = F.window(F.col("ts").cast("timestamp"), "300 seconds")["start"].cast("timestamp_ntz")
+    late = letters.groupBy(F.col("tx_type").alias("event_type"), start.alias("window_start")).agg(
+        F.count(F.lit(1)).alias("late_count")
+    )
+    measured = [*keys, "transaction_count", "total_amount", "max_amount", "min_amount", "emissions"]
+    joined = results.read().select(*measured).join(late, ["event_type", "window_start"], "left")
+    return joined.withColumn("late_count", F.coalesce("late_count", F.lit(0).cast("bigint"))).select(*measured, "late_count")
+
+
+@query(
+    "stream_serving_expiry",
+    f"""WITH {TX_SQL}, {ALERTS_SQL}, latest AS (SELECT * FROM alerts
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY detected_at DESC, alert_id DESC) = 1)
+SELECT user_id, alert_id, rule_id, trigger_amount, detected_at FROM latest
+WHERE CAST(detected_at AS TIMESTAMP) + INTERVAL {timers.EXPIRY_SECONDS} SECOND > (SELECT MAX(CAST(detected_at AS TIMESTAMP)) FROM alerts)""",
+)
+def stream_serving_expiry(spark, folder):
+    """The latest alert of each user, gone a day after its time."""
+    out = scratch(spark, "expiry")
+    judge = fraud_stream.AlertBatches(f"{out}/judged", EVENT_RULES)
+    rows = _transactions(spark, folder)
+    sinks.drain(sinks.to_batches(rows, judge, f"{out}/checkpoint-judge", every=None))
+    schema = spark.read.parquet(f"{judge.alerts}/batch=0").schema
+    alerts = spark.readStream.schema(schema).parquet(f"{judge.alerts}/batch=*")
+    timed = alerts.withColumn("at_time", F.to_timestamp("detected_at")).withWatermark("at_time", "0 seconds")
+    changes = timers.latest_until_expiry(timed, "user_id", "at_time", "alert_id")
+    view = sinks.KeyedResults(VersionedTable(spark, f"{out}/latest"), ["user_id"], (F.desc("at"), F.desc("expired")))
+    sinks.drain(sinks.to_batches(changes, view, f"{out}/checkpoint", every=None, mode="update"))
+    return timers.body_fields(view.read(), schema).select("user_id", "alert_id", "rule_id", "trigger_amount", "detected_at")
+
+
+# Of the messages one in ten is cut off, one in ten names no number as user, some have no value.
+MESSAGES_SQL = f"""{TX_SQL}, judged AS (SELECT *, CASE WHEN k = 11 THEN 'empty' WHEN k % 10 IN (3, 5) THEN 'malformed' END AS reason FROM tx)"""
+
+
+def event_messages(spark, folder):
+    """Transactions as messages of a topic, some of them broken."""
+    tx = as_transactions(table(spark, folder, "events"))
+    k = F.col("k")
+    event = F.struct(
+        F.col("tx_id").alias("event_id"),
+        F.col("tx_type").alias("event_type"),
+        F.when(k % 10 == 5, F.lit("nobody")).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        "amount",
+        "currency",
+        F.when(k % 20 == 7, F.lit("n/a")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).alias("event_timestamp"),
+        F.lit("more").alias("unknown_property"),
+    )
+    # Numbers stand without quotes, except where there is none.
+    text = F.regexp_replace(F.to_json(event), '"user_id":"([0-9]+)"', '"user_id":$1')
+    value = F.when(k == 11, F.lit(None)).when(k % 10 == 3, F.substring(text, 1, 40)).otherwise(text)
+    return tx.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        value.cast("binary").alias("value"),
+        F.lit("events.ingested").alias("topic"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        (F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("timestamp"),
+    )
+
+
+@query(
+    "stream_decoded_events",
+    f"""WITH {MESSAGES_SQL} SELECT event_id AS "offset", 'event' AS kind, CAST(NULL AS VARCHAR) AS reason, CAST(user_id AS VARCHAR) AS key, tx_id AS event_id, user_id, amount,
+  CASE WHEN k % 20 = 7 THEN date_trunc('day', ts) ELSE ts END AS event_at, k % 20 = 7 AS time_is_fallback FROM judged WHERE reason IS NULL
+UNION ALL SELECT event_id, 'reject', reason, CAST(user_id AS VARCHAR), NULL, NULL, NULL, NULL, NULL FROM judged WHERE reason IS NOT NULL""",
+)
+def stream_decoded_events(spark, folder):
+    """Every message is either an event or a message of the dead-letter topic, with its reason."""
+    out = scratch(spark, "decoded")
+    event_messages(spark, folder).write.parquet(f"{out}/topic")
+    topic = spark.readStream.schema(schemas.TOPIC_ROW).parquet(f"{out}/topic")
+
+    def send(messages, batch_id):
+        kafka.identified(messages, "decode", batch_id).write.mode("append").parquet(f"{out}/dlq")
+
+    handler = events.DecodeBatches(out, send)
+    sinks.drain(sinks.to_batches(topic, handler, f"{out}/checkpoint", every=None))
+    good = spark.read.parquet(handler.events)
+    letters = kafka.without_repeats(spark.read.parquet(f"{out}/dlq"))
+    letters = letters.select("key", F.from_json("value", 'reason STRING, offset BIGINT').alias("v"))
+    shown = good.select(
+        F.col("_offset").alias("offset"), F.lit("event").alias("kind"), F.lit(None).cast("string").alias("reason"),
+        F.col("user_id").cast("string").alias("key"), "event_id", "user_id", "amount", "event_at", "time_is_fallback",
+    )
+    none = {c: F.lit(None).cast(shown.schema[c].dataType) for c in ("event_id", "user_id", "amount", "event_at", "time_is_fallback")}
+    bad = letters.select(F.col("v.offset").alias("offset"), F.lit("reject").alias("kind"), F.col("v.reason").alias("reason"), "key").withColumns(none)
+    return shown.unionByName(bad)
+
+
+@query("stream_alert_messages", f"WITH {TX_SQL}, {ALERTS_SQL} SELECT alert_id, rule_id, user_id FROM alerts")
+def stream_alert_messages(spark, folder):
+    """Alerts sent to a topic, one batch of them twice: a reader sees each of them once."""
+    out = scratch(spark, "messages")
+    judge = fraud_stream.AlertBatches(f"{out}/judged", EVENT_RULES)
+    sinks.drain(sinks.to_batches(_transactions(spark, folder), judge, f"{out}/checkpoint-judge", every=None))
+    schema = spark.read.parquet(f"{judge.alerts}/batch=0").schema
+    frame = lambda alerts: kafka.keyed_messages(alerts, "alerts.fraud", F.col("user_id"))
+    write = lambda messages: messages.write.mode("append").parquet(f"{out}/topic")
+    sender = sinks.TopicBatches("alerts", frame, write)
+    alerts = spark.readStream.schema(schema).parquet(f"{judge.alerts}/batch=*")
+    sinks.drain(sinks.to_batches(alerts, sender, f"{out}/checkpoint", every=None))
+    # The batch is sent again, as after a failure before its commit.
+    sender(spark.read.parquet(f"{judge.alerts}/batch=0"), 0)
+    seen = kafka.without_repeats(spark.read.parquet(f"{out}/topic"))
+    return seen.select(F.from_json("value", "alert_id STRING, rule_id STRING, user_id BIGINT").alias("v")).select("v.*")
+
+
+@query(
+    "stream_alert_rate",
+    f"""WITH {TX_SQL}, {RISK_SQL} SELECT COUNT(*) AS processed, COUNT(*) FILTER (WHERE len(reasons) > 0) AS alerts,
+  ROUND(CAST(COUNT(*) FILTER (WHERE len(reasons) > 0) AS DOUBLE) * 100 / COUNT(*), 2) AS alert_rate FROM judged""",
+)
+def stream_alert_rate(spark, folder):
+    """Processed and suspicious rows, counted by the stream that writes the alerts."""
+    out, counters = scratch(spark, "rate"), metrics.Counters(spark)
+    try:
+        counted = metrics.Counters.observe(_transactions(spark, folder), "records", **fraud.record_counters(EVENT_RECORD_RULES))
+        stream = sinks.to_files(fraud.record_alerts(counted, EVENT_RECORD_RULES), f"{out}/data", f"{out}/checkpoint")
+        sinks.drain(stream)
+        sums = counters.after(stream, "records")
+    finally:
+        counters.close()
+    row = spark.createDataFrame([(sums.get("processed", 0), sums.get("alerts", 0))], "processed BIGINT, alerts BIGINT")
+    return row.withColumn("alert_rate", F.round(F.try_divide(F.col("alerts").cast("double") * 100, F.col("processed")), 2))
+
+
 def _serving(spark, folder, view):
     """Alerts written by one stream feed the views of a second one."""
     lake = Lake(spark, scratch(spark, "serving"))

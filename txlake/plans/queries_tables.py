@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from txlake import schemas
 from txlake.functions.money import money
 from txlake.functions.text import json_value
-from txlake.operators import cdc, profile, reconcile
+from txlake.operators import cdc, gold, profile, reconcile
 from txlake.operators import standardize as std
 from txlake.plans import medallion, migration
 from txlake.plans.inputs import CHANGES_SQL, TX_SQL, order_changes, transactions
@@ -356,6 +356,98 @@ def last_modified_upsert(spark, folder):
     return target.read().select("o_orderkey", "o_orderstatus", "o_totalprice", "updated_at")
 
 
+@query(
+    "incremental_cursor",
+    f"""SELECT o_orderkey, o_orderdate, CASE WHEN {BEFORE} AND (o_orderkey % 2 = 0 OR o_orderdate < (SELECT MAX(o_orderdate) FROM orders WHERE {BEFORE}))
+  THEN 'batch-1' ELSE 'batch-2' END AS _batch_id FROM orders""",
+)
+def incremental_cursor(spark, folder):
+    """The source adds rows with the very stamp of the mark after the first load; none is lost."""
+    target = VersionedTable(spark, scratch(spark, "cursor"))
+    early, rows = _early(spark, folder), _orders(spark, folder)
+    newest = early.agg(F.max("o_orderdate")).first()[0]
+    at_mark = F.col("o_orderdate") == F.lit(newest).cast("timestamp_ntz")
+    first = early.filter(~at_mark | (F.col("o_orderkey") % 2 == 0))
+    cursor = migration.Cursor("o_orderdate", ("o_orderkey",), dt.datetime(1900, 1, 1), dt.timedelta(days=1))
+    for batch, source in [("batch-1", first), ("batch-2", rows), ("batch-3", rows)]:
+        read_from = lambda start, source=source: source.filter(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
+        migration.append_from(target, read_from, cursor, "mysql.shop", batch, _at())
+    return target.read().select("o_orderkey", "o_orderdate", "_batch_id")
+
+
+@query(
+    "upsert_cursor",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'P' ELSE 'O' END AS o_orderstatus, TIMESTAMP '2024-01-01' AS updated_at FROM orders""",
+)
+def upsert_cursor(spark, folder):
+    """All rows carry one stamp; a third of them arrives after the others, with that same stamp."""
+    target = VersionedTable(spark, scratch(spark, "upsert-cursor"))
+    stamp = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    late = F.col("o_orderkey") % 3 == 0
+    rows = _orders(spark, folder).select("o_orderkey", F.when(late, "P").otherwise("O").alias("o_orderstatus"), stamp.alias("updated_at"))
+    cursor = migration.Cursor("updated_at", ("o_orderkey",), dt.datetime(1900, 1, 1))
+    for batch, source in [("batch-1", rows.filter(~late)), ("batch-2", rows)]:
+        read_from = lambda start, source=source: source.filter(F.col("updated_at") >= F.lit(start).cast("timestamp_ntz"))
+        migration.upsert_from(target, read_from, cursor, "mysql.shop", batch, _at())
+    return target.read().select("o_orderkey", "o_orderstatus", "updated_at")
+
+
+@query(
+    "refresh_table",
+    """SELECT table_name, row_count FROM (VALUES ('supplier', (SELECT COUNT(*) FROM supplier)), ('customer', (SELECT COUNT(*) FROM customer WHERE c_acctbal > 0))) v(table_name, row_count)""",
+)
+def refresh_table(spark, folder):
+    """Two tables are exported, then one of them alone is read again."""
+    lake = medallion.Lake(spark, scratch(spark, "refresh"))
+    tables = {n: table(spark, folder, n) for n in ["customer", "supplier"]}
+    migration.full_export(lake, tables, "mysql.shop", "batch-1", _at())
+    migration.refresh_table(lake, "customer", tables["customer"].filter("c_acctbal > 0"), "mysql.shop", "batch-2", _at())
+    return profile.table_counts({n: lake.table(f"migration/{n}").read() for n in tables})
+
+
+PLANTED = "o_orderkey % 997 = 5"
+LOST = "o_orderkey % 1499 = 7"
+ADDED = "o_orderkey % 1999 = 11"
+
+
+@query(
+    "reconcile_tree",
+    f"""SELECT o_orderkey, o_totalprice, 'source' AS side FROM orders WHERE {PLANTED} OR {LOST}
+UNION ALL SELECT o_orderkey, {FRESH_PRICE}, 'target' FROM orders WHERE {PLANTED} AND NOT ({LOST})
+UNION ALL SELECT -o_orderkey, o_totalprice, 'target' FROM orders WHERE {ADDED}""",
+)
+def reconcile_tree(spark, folder):
+    """Changed, lost and added rows, found by going down a tree of checksums."""
+    source = _orders(spark, folder)
+    price = F.when(F.expr(PLANTED), (money("o_totalprice") + F.lit(1)).cast("double")).otherwise(F.col("o_totalprice"))
+    target = source.filter(~F.expr(LOST)).withColumn("o_totalprice", price)
+    target = target.unionByName(source.filter(ADDED).withColumn("o_orderkey", -F.col("o_orderkey")))
+    trees = [scratch(spark, "tree"), scratch(spark, "tree")]
+    tops = [reconcile.write_checksum_tree(df, "o_orderkey", path) for df, path in zip([source, target], trees)]
+    found = reconcile.differing_rows(source, target, "o_orderkey", *trees, min(tops))
+    return found.select("o_orderkey", "o_totalprice", "side")
+
+
+@query(
+    "monthly_users_sketched",
+    f"""WITH {TX_SQL} SELECT strftime(tx_date, '%Y-%m') AS stats_month, tx_type, COUNT(DISTINCT tx_date) AS days,
+  COUNT(DISTINCT user_id) AS exact_users, TRUE AS within_two_percent FROM tx GROUP BY 1, 2""",
+)
+def monthly_users_sketched(spark, folder):
+    """Daily sketches are kept as a table; a month's users come from them, beside the exact number."""
+    tx, path = transactions(spark, folder), scratch(spark, "sketches")
+    gold.daily_user_sketches(tx).write.partitionBy("summary_date").parquet(path)
+    month = F.date_format("summary_date", "yyyy-MM").alias("stats_month")
+    merged = gold.unique_users(spark.read.parquet(path), month, F.col("tx_type"))
+    exact = tx.groupBy(F.date_format("tx_date", "yyyy-MM").alias("stats_month"), "tx_type").agg(
+        F.count_distinct("user_id").alias("exact_users")
+    )
+    close = F.abs(F.col("unique_users") - F.col("exact_users")) <= 0.02 * F.col("exact_users")
+    return merged.join(exact, ["stats_month", "tx_type"]).select(
+        "stats_month", "tx_type", F.col("sketches").alias("days"), "exact_users", close.alias("within_two_percent")
+    )
+
+
 # -- medallion -------------------------------------------------------------------------
 
 LAKE_RULES = [

@@ -26,8 +26,9 @@ def literal(value) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
-def since_query(table: str, column: str, last) -> str:
-    return f"(SELECT * FROM {table} WHERE {column} > {literal(last)}) t"
+def since_query(table: str, column: str, last, inclusive: bool = False) -> str:
+    """Rows beyond a mark; ``inclusive`` takes those at the mark as well."""
+    return f"(SELECT * FROM {table} WHERE {column} {'>=' if inclusive else '>'} {literal(last)}) t"
 
 
 def full_scan(
@@ -58,7 +59,7 @@ def full_scan(
 
 
 def changed_since(
-    spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str, last
+    spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str, last, inclusive: bool = False
 ) -> DataFrame:
-    """Rows whose ``column`` is beyond the high-water mark."""
-    return spark.read.jdbc(url, since_query(table, column, last), properties=properties)
+    """Rows whose ``column`` is beyond the high-water mark; ``inclusive`` for ``migration.Cursor``."""
+    return spark.read.jdbc(url, since_query(table, column, last, inclusive), properties=properties)

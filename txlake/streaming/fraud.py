@@ -234,7 +234,7 @@ class AlertBatches(BehindNewest):
         rows = rows.filter(~self.is_late(newest))
         both = context.withColumn("_fresh", F.lit(False)).unionByName(rows.withColumn("_fresh", F.lit(True)))
         totals = trailing.trailing_totals(
-            both, "user_id", "ts", "event_id", "amount", self.rules.span_seconds, self.rules.block_seconds
+            both, "user_id", "ts", "event_id", "amount", self.rules.span_seconds, self.rules.block_seconds, None
         )
         found = explode_alerts(totals.filter("_fresh"), self.rules, "user_id", "ts", "event_id", "amount")
         found = found.unionByName(alone(late, self.rules, "user_id", "ts", "event_id", "amount"))

@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from txlake.sources import fs
+from txlake.sources import fs, kafka
 from txlake.sources.versioned import VersionedTable
 
 
@@ -146,3 +147,53 @@ class MergedView:
         for name in old:
             fs.delete_folder(spark, f"{self._parts}/{name}")
         return len(old)
+
+
+class KeyedResults:
+    """Batch handler for results that a stream in update mode emits again and again.
+
+    Each emission of a key replaces the one before; the view also counts them. A replayed
+    batch overwrites its own folder, so it counts once. ``last`` says which of several
+    emissions of one batch comes last, as sort columns that put it first.
+    """
+
+    def __init__(self, table: VersionedTable, keys: list[str], last: tuple[Column, ...] = (), fold_every: int = 50):
+        self.keys, self.last = keys, last
+        self.view = MergedView(table, self._newest, fold_every)
+
+    def _newest(self, base: DataFrame | None, parts: DataFrame) -> DataFrame:
+        fresh = parts.withColumns({"_batch": F.col("batch").cast("bigint"), "emissions": F.lit(1).cast("bigint")}).drop("batch")
+        rows = fresh if base is None else base.unionByName(fresh)
+        of_key = Window.partitionBy(*self.keys)
+        return (
+            rows.withColumn("emissions", F.sum("emissions").over(of_key))
+            .withColumn("_rank", F.row_number().over(of_key.orderBy(F.desc("_batch"), *self.last)))
+            .filter("_rank = 1")
+            .drop("_rank")
+        )
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.view.add(batch, batch_id)
+
+    def read(self) -> DataFrame:
+        """The last emission of every key, with the number of its emissions."""
+        return self.view.read().drop("_batch")
+
+
+class TopicBatches:
+    """Batch handler that sends each micro-batch to topics as messages with ids.
+
+    A replayed batch sends the same ids again, so readers see every message once
+    (``kafka.without_repeats``), although the sink itself may write it twice.
+    """
+
+    def __init__(
+        self,
+        stream: str,
+        frame: Callable[[DataFrame], DataFrame],
+        write: Callable[[DataFrame], None],
+    ):
+        self.stream, self.frame, self.write = stream, frame, write
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.write(kafka.identified(self.frame(batch), self.stream, batch_id))
