@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from txlake import schemas
 from txlake.functions.money import exact_sum
+from txlake.functions.times import micros
 from txlake.operators import cdc, fraud
 from txlake.operators.lateness import Lateness
 from txlake.plans.inputs import TX_SQL, as_transactions, order_changes
@@ -238,15 +239,23 @@ def stream_windows_with_late(spark, folder):
     )
 
 
+# Parts of ninety hours cut day-long windows in two; a tenth of the rows comes one part late.
+PART_SECONDS = 90 * 3600
+DAY_SECONDS = 86_400
+TIMED_SQL = f"""{TX_SQL}, parted AS (
+  SELECT *, CAST(LEAST(7, floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / {PART_SECONDS}000000) + CASE WHEN k < 10 THEN 1 ELSE 0 END) AS INTEGER) AS part FROM tx
+), tops AS (SELECT part, MAX(ts) AS top FROM parted GROUP BY part), kept AS (
+  SELECT *, time_bucket(INTERVAL 1 DAY, ts) AS start, COALESCE(time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY
+    <= (SELECT MAX(top) FROM tops WHERE tops.part < p.part) - INTERVAL 15 SECOND, FALSE) AS late FROM parted p)"""
+
+
 @query(
     "stream_windows_updated",
-    f"""WITH {SLICED_SQL}, kept AS (
-  SELECT *, time_bucket(INTERVAL 300 SECOND, ts) AS start, COALESCE(time_bucket(INTERVAL 300 SECOND, ts) + INTERVAL 300 SECOND <= passed, FALSE) AS late FROM marked
-), w AS (SELECT tx_type AS event_type, start AS window_start, start + INTERVAL 300 SECOND AS window_end,
+    f"""WITH {TIMED_SQL}, w AS (SELECT tx_type AS event_type, start AS window_start, start + INTERVAL 1 DAY AS window_end,
   COUNT(*) FILTER (WHERE NOT late) AS transaction_count,
   CAST(ROUND(SUM(CAST(COALESCE(amount, 0) AS DECIMAL(28,8))) FILTER (WHERE NOT late), 6) AS DOUBLE) AS total_amount,
   MAX(COALESCE(amount, 0)) FILTER (WHERE NOT late) AS max_amount, MIN(COALESCE(amount, 0)) FILTER (WHERE NOT late) AS min_amount,
-  COUNT(DISTINCT slice) FILTER (WHERE NOT late) AS emissions,
+  COUNT(DISTINCT part) FILTER (WHERE NOT late) AS emissions,
   COUNT(*) FILTER (WHERE late) AS late_count FROM kept GROUP BY tx_type, start)
 SELECT * FROM w WHERE transaction_count > 0""",
 )
@@ -257,21 +266,22 @@ def stream_windows_updated(spark, folder):
     Two streams in a row: the first sets late rows aside, the second reads those on time.
     """
     out = scratch(spark, "updated")
-    split = LateSplit(f"{out}/split", "ts", None, 300, 60)
-    rows = _sliced_events(spark, folder, "slices")
+    split = LateSplit(f"{out}/split", "ts", None, DAY_SECONDS)
+    rows = as_transactions(table(spark, folder, "events")).select("event_id", "tx_type", "amount", "ts", "k")
+    since = micros(F.col("ts")) - micros(F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
+    part = F.floor(since / (PART_SECONDS * 1_000_000)) + F.when(F.col("k") < 10, 1).otherwise(0)
     keys = ["event_type", "window_start", "window_end"]
     results = sinks.KeyedResults(VersionedTable(spark, f"{out}/windows"), keys)
 
     def update():
         schema = spark.read.parquet(f"{split.on_time}/batch=0").schema
-        on_time = spark.readStream.schema(schema).parquet(f"{split.on_time}/batch=*")
-        on_time = on_time.filter(~F.array_contains("late_for", "tumbling")).withColumnRenamed("tx_type", "event_type")
-        found = windows.windowed(windows.watermarked(on_time, "ts"), "ts", ["event_type"], 300, "amount")
+        on_time = spark.readStream.schema(schema).parquet(f"{split.on_time}/batch=*").withColumnRenamed("tx_type", "event_type")
+        found = windows.windowed(windows.watermarked(on_time, "ts"), "ts", ["event_type"], DAY_SECONDS, "amount")
         sinks.drain(sinks.to_batches(found, results, f"{out}/checkpoint-windows", every=None, mode="update"))
 
-    _in_parts(spark, rows, "slice", SLICES, split, out, update)
-    letters = spark.read.parquet(split.dead_letters).filter("late_for = 'tumbling'")
-    start = F.window(F.col("ts").cast("timestamp"), "300 seconds")["start"].cast("timestamp_ntz")
+    _in_parts(spark, rows.withColumn("part", F.least(part, F.lit(7))), "part", 8, split, out, update)
+    letters = spark.read.parquet(split.dead_letters)
+    start = F.window(F.col("ts").cast("timestamp"), f"{DAY_SECONDS} seconds")["start"].cast("timestamp_ntz")
     late = letters.groupBy(F.col("tx_type").alias("event_type"), start.alias("window_start")).agg(
         F.count(F.lit(1)).alias("late_count")
     )
