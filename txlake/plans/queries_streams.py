@@ -32,6 +32,7 @@ from txlake.plans.queries_tables import CDC_STATE_SQL
 from txlake.plans.registry import query
 from txlake.session import scratch
 from txlake.sources import kafka
+from txlake.sources.buckets import ApplyToBuckets, BucketTable
 from txlake.sources.files import table, table_stream
 from txlake.sources.versioned import VersionedTable
 from txlake.streaming import fraud as fraud_stream
@@ -457,3 +458,15 @@ def stream_cdc(spark, folder):
     handler = ApplyChanges(target, ["settlement_id"], ["__source_ts_ms", "__offset"], at)
     sinks.drain(sinks.to_batches(feed, handler, scratch(spark, "cdc-checkpoint"), every=None))
     return handler.state().select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")
+
+
+@query("stream_cdc_buckets", CDC_STATE_SQL)
+def stream_cdc_buckets(spark, folder):
+    """The change feed in three batches, each rewriting the buckets of its keys."""
+    out = scratch(spark, "bucket-changes")
+    changes = cdc.unwrap(order_changes(spark, folder), position="offset")
+    table_ = BucketTable(spark, f"{out}/table", ["settlement_id"], 16)
+    handler = ApplyToBuckets(table_, ["__source_ts_ms", "__offset"], F.lit(dt.datetime(2024, 1, 1)), ("__offset",))
+    turn = F.when(F.col("__op") == "c", 0).when(F.col("__op") == "u", 1).otherwise(2)
+    _in_parts(spark, changes.withColumn("turn", turn), "turn", 3, handler, out)
+    return table_.read().select("settlement_id", "merchant_id", "total_amount", "status", "__deleted")

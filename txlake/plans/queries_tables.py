@@ -25,6 +25,7 @@ from txlake.plans.queries_batch import (
 from txlake.plans.registry import query
 from txlake.session import scratch
 from txlake.sources import files
+from txlake.sources.buckets import BucketTable
 from txlake.sources.files import table
 from txlake.sources.versioned import VersionedTable
 
@@ -95,6 +96,31 @@ def soft_delete(spark, folder):
     return target.read()
 
 
+@query(
+    "bucketed_upsert",
+    f"SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 50 = 1 OR NOT {BEFORE} THEN {FRESH_PRICE} ELSE o_totalprice END AS o_totalprice, o_orderdate FROM orders",
+)
+def bucketed_upsert(spark, folder):
+    """Newer orders and one in fifty old ones with a new price, merged into the buckets of their keys."""
+    target = BucketTable(spark, scratch(spark, "bucket-upsert"), ["o_orderkey"], 16)
+    target.create(_early(spark, folder))
+    moment = F.lit(SPLIT).cast("timestamp_ntz")
+    target.upsert(_fresh(spark, folder).filter((F.col("o_orderkey") % 50 == 1) | ~(F.col("o_orderdate") < moment)))
+    return target.read()
+
+
+@query(
+    "bucketed_soft_delete",
+    """SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN o_totalprice > 300000 THEN 'true' ELSE 'false' END AS deleted FROM orders""",
+)
+def bucketed_soft_delete(spark, folder):
+    target = BucketTable(spark, scratch(spark, "bucket-delete"), ["o_orderkey"], 16)
+    rows = _orders(spark, folder).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    target.create(rows.withColumn("deleted", F.lit("false")))
+    target.update_matching(rows.filter(F.col("o_totalprice") > 300_000), {"deleted": F.lit("true")})
+    return target.read()
+
+
 @query(
     "overwrite_partitions",
     """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders""",
