@@ -21,12 +21,21 @@ HELD_OUT_OF, HELD_OUT = 7, 2
 LEAST = 2
 DISCOUNT = 0.5
 
-# Documents of a block: what one task scores with the block's own dictionary.
-BLOCK_ROWS = 4096
+# Text of a block in bytes: what one task scores with the block's own dictionary. A longer
+# text is a block of its own.
+BLOCK_BYTES = 8 << 20
 
-# N-grams are counted, and blocks scored, in so many passes (a power of two) one after
-# another: the disk holds the shuffle of one pass.
-PASSES = 4
+# Passes in which the n-grams of each size are counted, and in which blocks are scored, one
+# after another: the disk holds the shuffle of one pass.
+COUNT_PASSES = {1: 1, 2: 2, 3: 1}
+SCORE_PASSES = 2
+
+# Bits of the table that rules out n-grams with rare parts, in units of 32,768 bits (16 MB in
+# all). A larger corpus fills it up and then it rules out less; it never rules out too much.
+SIEVE_UNITS = 4096
+
+# Rows of n-grams that a task counts before it sends them off.
+HELD_GRAMS = 3_000_000
 
 # The key of an n-gram is that of its first words, xor that of its last ones turned by so
 # many bits; the key of a word is its number.
@@ -83,39 +92,76 @@ def _keys():
     return keys
 
 
-def _count_grams(turn: int):
-    """N-grams of one pass, counted for each task: size, key, key of the first words, count."""
-    tokens, keys, passes = _tokens(), _keys(), PASSES
+def _sieve(grams: DataFrame) -> dict[int, bytes]:
+    """Bits of the keys of all given n-grams: ``SIEVE_UNITS`` rows of 4 KB at most, whatever the table holds."""
+    bit = F.pmod(F.col("g"), F.lit(SIEVE_UNITS * 32768))
+    units = grams.groupBy(F.floor(bit / 32768).alias("unit")).agg(F.bitmap_construct_agg(bit % 32768).alias("data"))
+    return {r["unit"]: bytes(r["data"]) for r in units.collect()}
+
+
+def _sifter(sieve: dict[int, bytes]):
+    """Function made inside a task: which keys may be among those of the sieve."""
+    units = SIEVE_UNITS
+
+    def make():
+        import numpy as np
+
+        table = np.zeros(units * 4096, np.uint8)
+        for unit, data in sieve.items():
+            table[unit * 4096 : unit * 4096 + len(data)] = np.frombuffer(data, np.uint8)
+
+        def may_be(g):
+            bit = g % np.uint64(units * 32768)
+            return (table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+        return may_be
+
+    return make
+
+
+def _count_grams(size: int, turn: int, passes: int, sieve: dict[int, bytes] | None):
+    """N-grams of one size and pass, counted for each task: size, key, key of the first words, count.
+
+    Only those whose two parts, one word shorter, may be in the sieve.
+    """
+    tokens, keys, make = _tokens(), _keys(), sieve and _sifter(sieve)
+    most = HELD_GRAMS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        held, rows = {1: [], 2: [], 3: []}, 0
+        may_be = make() if make else None
+        held, rows = [], 0
 
         def flush():
-            for size, parts in held.items():
-                if not parts:
-                    continue
-                g, a = (np.concatenate(x) for x in zip(*parts, strict=True))
-                parts.clear()
-                g, at, c = np.unique(g, return_index=True, return_counts=True)
-                a = a[at]
-                for i in range(0, len(g), 50_000):
-                    part = slice(i, i + 50_000)
-                    n = len(g[part])
-                    columns = [np.full(n, size), g[part].view(np.int64), a[part].view(np.int64), c[part].astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["size", "g", "a", "c"])
+            if not held:
+                return
+            g, a = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            g, at, c = np.unique(g, return_index=True, return_counts=True)
+            a = a[at]
+            for i in range(0, len(g), 50_000):
+                part = slice(i, i + 50_000)
+                n = len(g[part])
+                columns = [np.full(n, size), g[part].view(np.int64), a[part].view(np.int64), c[part].astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["size", "g", "a", "c"])
 
         for batch in batches:
             for numbers, sizes in tokens(batch.column("text")):
                 _, one, two, inside2, three, inside3 = keys(numbers, sizes)
-                for size, g, a, inside in ((1, one, one, None), (2, two, one[:-1], inside2), (3, three, two[:-1], inside3)):
-                    now = g % np.uint64(passes) == turn
-                    if inside is not None:
-                        now &= inside
-                    held[size].append((g[now], a[now]))
-                    rows += int(now.sum())
-                if rows > 6_000_000:
+                whole = {1: one, 2: two, 3: three}[size]
+                now = whole % np.uint64(passes) == turn
+                shorter = whole
+                if size > 1:
+                    now &= inside2 if size == 2 else inside3
+                    shorter = one if size == 2 else two
+                now = np.flatnonzero(now)
+                if may_be is not None:
+                    now = now[may_be(shorter[now])]
+                    now = now[may_be(shorter[now + 1])]
+                held.append((whole[now], shorter[now]))
+                rows += len(now)
+                if rows > most:
                     yield from flush()
                     rows = 0
         yield from flush()
@@ -123,13 +169,33 @@ def _count_grams(turn: int):
     return count
 
 
-def _block_keys():
-    """The keys of each block's n-grams."""
-    tokens, keys = _tokens(), _keys()
+def _block_numbers(block_bytes: int):
+    """Arrow function: the block of each text, by the bytes that a task has met so far."""
+
+    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import numpy as np
+        from pyspark import TaskContext
+
+        part, met = TaskContext.get().partitionId() << 33, 0
+        for sizes in batches:
+            n = sizes.to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = met + np.cumsum(n)
+            # A text belongs where it begins, so a block is a text too long at most.
+            yield pa.array(part + (ends - n) // block_bytes)
+            met = int(ends[-1]) if len(ends) else met
+
+    return F.arrow_udf(number, T.LongType())
+
+
+def _block_keys(sieve: dict[int, bytes]):
+    """The keys of each block's words, and of its pairs and triples that may be in the sieve."""
+    tokens, keys, make = _tokens(), _keys(), _sifter(sieve)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        may_be = make()
+
         def flush(block, parts):
             for size in range(3):
                 g = np.unique(np.concatenate([p[size] for p in parts])).view(np.int64)
@@ -151,7 +217,8 @@ def _block_keys():
                 block = blocks[a]
                 for numbers, sizes in tokens(batch.column("text").slice(a, b - a)):
                     _, one, two, inside2, three, inside3 = keys(numbers, sizes)
-                    parts.append((one, two[inside2], three[inside3]))
+                    two, three = two[inside2], three[inside3]
+                    parts.append((one, two[may_be(two)], three[may_be(three)]))
                     held += len(one)
         if parts:
             yield from flush(block, parts)
@@ -259,36 +326,46 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A caller may leave out pairs and triples that make up less than ``share`` of all
     tokens; by default none is.
 
-    Counts are exact, over all documents, and the automaton is a table. Each block of
-    documents gets the rows of its own n-grams, so no task holds the vocabulary and the
-    driver holds totals only. Null and empty texts have
-    one token, the end. Repeated rows are rows of their own; an empty table gives no rows.
+    Counts are exact, over all documents, and the automaton is a table. A pair can only be
+    seen twice if both of its words are, and a triple if both of its pairs are: a bit table
+    of the shorter ones keeps most of the others from being shuffled. Each block of documents
+    gets the rows of its own n-grams, so no task holds the vocabulary; the driver holds
+    totals and the bit table. Null and empty texts have one token, the end. Repeated rows are
+    rows of their own; an empty table gives no rows. Further columns are not read. A block
+    holds ``BLOCK_BYTES`` of text, or one longer text, which its task holds whole, with
+    some hundred times its bytes.
     """
+    whole = F.coalesce(F.col(text), F.lit(""))
     blocked = staged(
         docs.select(
-            F.floor(F.monotonically_increasing_id() / F.lit(BLOCK_ROWS)).alias("block"),
+            _block_numbers(BLOCK_BYTES)(F.octet_length(whole)).alias("block"),
             F.col(doc_id).alias("doc_id"),
             held_out(F.col(doc_id)).alias("held_out"),
-            F.coalesce(F.col(text), F.lit("")).alias("text"),
+            whole.alias("text"),
         ),
         "blocks",
     )
     learned = blocked.filter(~F.col("held_out")).select("text")
-    passes = [
-        staged(
-            learned.mapInArrow(_count_grams(turn), GRAMS)
-            .groupBy("size", "g", "a")
-            .agg(F.sum("c").alias("c"))
-            .filter((F.col("size") == 1) | (F.col("c") >= LEAST)),
-            "grams",
-        )
-        for turn in range(PASSES)
-    ]
-    counted = reduce(DataFrame.unionByName, passes)
-    vocabulary = counted.filter("size = 1")
+    levels, sieve = {}, None
+    for size, passes in COUNT_PASSES.items():
+        least = 1 if size == 1 else LEAST
+        counts = [
+            staged(
+                learned.mapInArrow(_count_grams(size, turn, passes, sieve), GRAMS)
+                .groupBy("size", "g", "a")
+                .agg(F.sum("c").alias("c"))
+                .filter(F.col("c") >= least),
+                f"grams{size}",
+            )
+            for turn in range(passes)
+        ]
+        levels[size] = reduce(DataFrame.unionByName, counts)
+        sieve = _sieve(levels[size].filter(F.col("c") >= LEAST))
+    vocabulary = levels[1]
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    grams = counted.filter((F.col("size") > 1) & (F.col("c") >= math.ceil(share * total)))
-    automaton = _automaton(vocabulary, grams, total, distinct)
+    arcs = levels[2].unionByName(levels[3]).filter(F.col("c") >= math.ceil(share * total))
+    sieve = _sieve(arcs)
+    automaton = _automaton(vocabulary, arcs, total, distinct)
 
     result = T.StructType(
         [
@@ -299,10 +376,10 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         ]
     )
     done = []
-    for turn in range(PASSES):
-        some = blocked.filter(F.pmod(F.xxhash64("block"), F.lit(PASSES)) == turn)
+    for turn in range(SCORE_PASSES):
+        some = blocked.filter(F.pmod(F.xxhash64("block"), F.lit(SCORE_PASSES)) == turn)
         # Keys of a block found in pieces come more than once, which does no harm.
-        dictionary = some.select("block", "text").mapInArrow(_block_keys(), KEYS).join(automaton, "g").select("block", "g", "weight", "fail")
+        dictionary = some.select("block", "text").mapInArrow(_block_keys(sieve), KEYS).join(automaton, "g").select("block", "g", "weight", "fail")
         scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct), result)
         done.append(staged(scored, "scores"))
     return reduce(DataFrame.unionByName, done)
