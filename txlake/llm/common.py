@@ -30,13 +30,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write a table to the shared folder, or to ``path``, and read it back.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
     """
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = path or scratch(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:

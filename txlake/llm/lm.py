@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from txlake.llm import words
 from txlake.llm.common import staged
+from txlake.session import scratch
+from txlake.sources import fs
 
 HELD_OUT_OF, HELD_OUT = 7, 2
 
@@ -42,7 +44,16 @@ HELD_GRAMS = 3_000_000
 TURNS = {2: 21, 3: 10}
 
 GRAMS = T.StructType([T.StructField(n, T.LongType()) for n in ("size", "g", "a", "c")])
-KEYS = T.StructType([T.StructField(n, T.LongType()) for n in ("block", "g")])
+COUNTED = T.StructType(
+    [T.StructField("range", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "a", "c")]]
+)
+KEYS = T.StructType([T.StructField(n, T.LongType()) for n in ("range", "block")] + [T.StructField("g", T.BinaryType())])
+FOUND = T.StructType(
+    [T.StructField("block", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "weight", "fail")]]
+)
+
+# Text in bytes for which n-grams get one more range of keys, each merged by one task.
+RANGE_BYTES = 4 << 20
 
 
 def _end(k) -> int:
@@ -119,11 +130,31 @@ def _sifter(sieve: dict[int, bytes]):
     return make
 
 
-def _count_grams(size: int, turn: int, passes: int, sieve: dict[int, bytes] | None):
-    """N-grams of one size and pass, counted for each task: size, key, key of the first words, count.
+def _ranged():
+    """Function: (range, from, to) of sorted keys that are cut into equal ranges by their upper bits."""
+
+    def ranged(g, ranges):
+        import numpy as np
+
+        part = ((g >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        starts = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
+        return list(zip(part[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(g)]))
+
+    return ranged
+
+
+def _range_of(ranges: int) -> Column:
+    """The same range of a key column."""
+    return F.shiftright(F.shiftrightunsigned("g", 32) * F.lit(ranges), 32)
+
+
+def _count_grams(size: int, turn: int, passes: int, ranges: int, sieve: dict[int, bytes] | None):
+    """N-grams of one size and pass, counted for each task: sorted arrays of key, key of the
+    first words and count for each range of keys.
 
     Only those whose two parts, one word shorter, may be in the sieve.
     """
+    ranged = _ranged()
     tokens, keys, make = _tokens(), _keys(), sieve and _sifter(sieve)
     most = HELD_GRAMS
 
@@ -140,11 +171,11 @@ def _count_grams(size: int, turn: int, passes: int, sieve: dict[int, bytes] | No
             held.clear()
             g, at, c = np.unique(g, return_index=True, return_counts=True)
             a = a[at]
-            for i in range(0, len(g), 50_000):
-                part = slice(i, i + 50_000)
-                n = len(g[part])
-                columns = [np.full(n, size), g[part].view(np.int64), a[part].view(np.int64), c[part].astype(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["size", "g", "a", "c"])
+            cut = ranged(g, ranges)
+            for i in range(0, len(cut), 64):
+                some = cut[i : i + 64]
+                blobs = [pa.array([x[b:e].tobytes() for _, b, e in some], pa.binary()) for x in (g, a, c)]
+                yield pa.RecordBatch.from_arrays([pa.array([r for r, _, _ in some], pa.int64()), *blobs], names=["range", "g", "a", "c"])
 
         for batch in batches:
             for numbers, sizes in tokens(batch.column("text")):
@@ -169,6 +200,49 @@ def _count_grams(size: int, turn: int, passes: int, sieve: dict[int, bytes] | No
     return count
 
 
+def _merge_grams(size: int, least: int):
+    """Arrow function: the counts of one range from all tasks to the n-grams seen often enough."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        import numpy as np
+
+        whole = lambda name, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
+        g, a, c = whole("g", np.uint64), whole("a", np.int64), whole("c", np.int64)
+        order = np.argsort(g, kind="stable")
+        g = g[order]
+        first = np.flatnonzero(np.diff(g, prepend=g[:1] + np.uint64(1)))
+        total = np.add.reduceat(c[order], first)
+        often = total >= least
+        first = first[often]
+        columns = [np.full(len(first), size), g[first].view(np.int64), a[order][first], total[often]]
+        return pa.table([pa.array(x) for x in columns], names=["size", "g", "a", "c"])
+
+    return merge
+
+
+def _look_up():
+    """Cogrouped function: of one range, the rows of the automaton that each block's keys name."""
+
+    def look_up(keys: pa.Table, automaton: pa.Table) -> pa.Table:
+        import numpy as np
+
+        known = automaton.column("g").to_numpy().view(np.uint64)
+        order = np.argsort(known)
+        known = known[order]
+        values = [automaton.column(n).to_numpy()[order] for n in ("weight", "fail")]
+        out = []
+        for blob in keys.column("g"):
+            g = np.frombuffer(blob.as_py(), np.uint64)
+            place = np.minimum(np.searchsorted(known, g), max(len(known) - 1, 0))
+            has = known[place] == g if len(known) else np.zeros(len(g), bool)
+            place = place[has]
+            out.append((g[has].tobytes(), *(v[place].tobytes() for v in values)))
+        blobs = [pa.array([o[i] for o in out], pa.binary()) for i in range(3)]
+        return pa.table([keys.column("block"), *blobs], names=["block", "g", "weight", "fail"])
+
+    return look_up
+
+
 def _block_numbers(block_bytes: int):
     """Arrow function: the block of each text, by the bytes that a task has met so far."""
 
@@ -187,8 +261,10 @@ def _block_numbers(block_bytes: int):
     return F.arrow_udf(number, T.LongType())
 
 
-def _block_keys(sieve: dict[int, bytes]):
-    """The keys of each block's words, and of its pairs and triples that may be in the sieve."""
+def _block_keys(ranges: int, sieve: dict[int, bytes]):
+    """The keys of each block's words, and of its pairs and triples that may be in the sieve, as
+    one sorted array for each range of keys."""
+    ranged = _ranged()
     tokens, keys, make = _tokens(), _keys(), _sifter(sieve)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,11 +273,18 @@ def _block_keys(sieve: dict[int, bytes]):
         may_be = make()
 
         def flush(block, parts):
-            for size in range(3):
-                g = np.unique(np.concatenate([p[size] for p in parts])).view(np.int64)
-                for i in range(0, len(g), 50_000):
-                    part = g[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part)], names=["block", "g"])
+            g = np.unique(np.concatenate([x for p in parts for x in p]))
+            cut = ranged(g, ranges)
+            for i in range(0, len(cut), 64):
+                some = cut[i : i + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r for r, _, _ in some], pa.int64()),
+                        pa.array([block] * len(some), pa.int64()),
+                        pa.array([g[b:e].tobytes() for _, b, e in some], pa.binary()),
+                    ],
+                    names=["range", "block", "g"],
+                )
 
         block, parts, held = None, [], 0
         for batch in batches:
@@ -232,12 +315,13 @@ def _last(size: int) -> Column:
     return F.shiftrightunsigned(x, r).bitwiseOR(F.shiftleft(x, 64 - r))
 
 
-def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int) -> DataFrame:
+def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int, done_with: list[str]) -> DataFrame:
     """Rows (g, weight, fail) of all words, pairs and triples.
 
     The weight of a word is its count, that of an arc its log10 probability by absolute
     discounting. ``fail`` weighs the step from a state to the next shorter one: it shares
-    what the state's arcs leave (0 where there is no state).
+    what the state's arcs leave (0 where there is no state). ``done_with`` collects the
+    folders that are not needed once the result is written.
     """
     level = words_.select("g", "c", ((F.col("c") + 1) / F.lit(total + distinct + 1.0)).alias("p"))
     weight, out = F.col("c").cast("double"), []
@@ -246,7 +330,8 @@ def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int) -
         first = level.select(F.col("g").alias("a"), F.col("c").alias("of"))
         last = level.select(F.col("g").alias("b"), F.col("p").alias("lower"))
         arcs = grams.filter(F.col("size") == size).withColumn("b", _last(size)).join(first, "a").join(last, "b")
-        arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs")
+        done_with.append(scratch(words_.sparkSession, "arcs"))
+        arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs", done_with[-1])
         fails = arcs.groupBy(F.col("a").alias("g")).agg(F.log10(rest("p") / rest("lower")).alias("fail"))
         found = level.join(fails, "g", "left").select("g", weight.alias("weight"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
         out.append(found)
@@ -262,10 +347,14 @@ def _scorer(total: int, distinct: int):
     def score(docs: pa.Table, dictionary: pa.Table) -> pa.Table:
         import numpy as np
 
-        known = dictionary.column("g").to_numpy().view(np.uint64)
+        def whole(name, kind):
+            parts = [np.frombuffer(x.as_py(), kind) for x in dictionary.column(name)]
+            return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+        known = whole("g", np.uint64)
         order = np.argsort(known)
         known = known[order]
-        weights, fails = (dictionary.column(n).to_numpy()[order] for n in ("weight", "fail"))
+        weights, fails = (whole(n, np.float64)[order] for n in ("weight", "fail"))
 
         def look(wanted, inside, ahead):
             """(found, weight, fail) for each token, of the n-gram that ends there."""
@@ -346,26 +435,26 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "blocks",
     )
     learned = blocked.filter(~F.col("held_out")).select("text")
-    levels, sieve = {}, None
+    spark = docs.sparkSession
+    size_ = blocked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(max(1, -(-size_ // RANGE_BYTES)), 1 << 31)
+    levels, sieve, done_with = {}, None, []
     for size, passes in COUNT_PASSES.items():
-        least = 1 if size == 1 else LEAST
-        counts = [
-            staged(
-                learned.mapInArrow(_count_grams(size, turn, passes, sieve), GRAMS)
-                .groupBy("size", "g", "a")
-                .agg(F.sum("c").alias("c"))
-                .filter(F.col("c") >= least),
-                f"grams{size}",
-            )
-            for turn in range(passes)
-        ]
+        least, counts = 1 if size == 1 else LEAST, []
+        for turn in range(passes):
+            done_with.append(scratch(spark, f"grams{size}"))
+            cut = learned.mapInArrow(_count_grams(size, turn, passes, ranges, sieve), COUNTED)
+            counts.append(staged(cut.groupBy("range").applyInArrow(_merge_grams(size, least), GRAMS), "grams", done_with[-1]))
         levels[size] = reduce(DataFrame.unionByName, counts)
         sieve = _sieve(levels[size].filter(F.col("c") >= LEAST))
     vocabulary = levels[1]
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     arcs = levels[2].unionByName(levels[3]).filter(F.col("c") >= math.ceil(share * total))
     sieve = _sieve(arcs)
-    automaton = _automaton(vocabulary, arcs, total, distinct)
+    automaton = _automaton(vocabulary, arcs, total, distinct, done_with)
+    # The automaton is written; what it was made from is not read again.
+    for path in done_with:
+        fs.delete_folder(spark, path)
 
     result = T.StructType(
         [
@@ -379,7 +468,9 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     for turn in range(SCORE_PASSES):
         some = blocked.filter(F.pmod(F.xxhash64("block"), F.lit(SCORE_PASSES)) == turn)
         # Keys of a block found in pieces come more than once, which does no harm.
-        dictionary = some.select("block", "text").mapInArrow(_block_keys(sieve), KEYS).join(automaton, "g").select("block", "g", "weight", "fail")
+        wanted = some.select("block", "text").mapInArrow(_block_keys(ranges, sieve), KEYS)
+        placed = automaton.select(_range_of(ranges).alias("range"), "g", "weight", "fail")
+        dictionary = wanted.groupBy("range").cogroup(placed.groupBy("range")).applyInArrow(_look_up(), FOUND)
         scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct), result)
         done.append(staged(scored, "scores"))
     return reduce(DataFrame.unionByName, done)
