@@ -29,8 +29,8 @@ BLOCK_BYTES = 8 << 20
 
 # Passes in which the n-grams of each size are counted, and in which blocks are scored, one
 # after another: the disk holds the shuffle of one pass.
-COUNT_PASSES = {1: 1, 2: 2, 3: 1}
-SCORE_PASSES = 2
+COUNT_PASSES = {1: 1, 2: 1, 3: 1}
+SCORE_PASSES = 4
 
 # Bits of the table that rules out n-grams with rare parts, in units of 32,768 bits (16 MB in
 # all). A larger corpus fills it up and then it rules out less; it never rules out too much.
@@ -52,6 +52,10 @@ FOUND = T.StructType(
     [T.StructField("block", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "weight", "fail")]]
 )
 
+RANGES = T.StructType(
+    [T.StructField("range", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "weight", "fail")]]
+)
+
 # Text in bytes for which n-grams get one more range of keys, each merged by one task.
 RANGE_BYTES = 4 << 20
 
@@ -220,16 +224,28 @@ def _merge_grams(size: int, least: int):
     return merge
 
 
+def _packed():
+    """Arrow function: the rows of the automaton of one range as three arrays in the order of keys."""
+
+    def packed(range_: tuple, table: pa.Table) -> pa.Table:
+        import numpy as np
+
+        g = table.column("g").to_numpy().view(np.uint64)
+        order = np.argsort(g)
+        values = [g[order], *(table.column(n).to_numpy()[order] for n in ("weight", "fail"))]
+        return pa.table([pa.array([range_[0].as_py()], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names=["range", "g", "weight", "fail"])
+
+    return packed
+
+
 def _look_up():
-    """Cogrouped function: of one range, the rows of the automaton that each block's keys name."""
+    """Cogrouped function: of one range, the entries of the automaton that each block's keys name."""
 
     def look_up(keys: pa.Table, automaton: pa.Table) -> pa.Table:
         import numpy as np
 
-        known = automaton.column("g").to_numpy().view(np.uint64)
-        order = np.argsort(known)
-        known = known[order]
-        values = [automaton.column(n).to_numpy()[order] for n in ("weight", "fail")]
+        read = lambda name, kind: np.frombuffer(automaton.column(name)[0].as_py(), kind) if automaton.num_rows else np.zeros(0, kind)
+        known, values = read("g", np.uint64), [read(n, np.float64) for n in ("weight", "fail")]
         out = []
         for blob in keys.column("g"):
             g = np.frombuffer(blob.as_py(), np.uint64)
@@ -337,7 +353,8 @@ def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int, d
         out.append(found)
         level, weight = arcs.select("g", "c", "p"), F.log10("p")
     out.append(level.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
-    return staged(reduce(DataFrame.unionByName, out), "automaton")
+    done_with.append(scratch(words_.sparkSession, "automaton"))
+    return staged(reduce(DataFrame.unionByName, out), "automaton", done_with[-1])
 
 
 def _scorer(total: int, distinct: int):
@@ -452,6 +469,8 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     arcs = levels[2].unionByName(levels[3]).filter(F.col("c") >= math.ceil(share * total))
     sieve = _sieve(arcs)
     automaton = _automaton(vocabulary, arcs, total, distinct, done_with)
+    by_range = automaton.groupBy(_range_of(ranges).alias("range"))
+    automaton = staged(by_range.applyInArrow(_packed(), RANGES), "ranges")
     # The automaton is written; what it was made from is not read again.
     for path in done_with:
         fs.delete_folder(spark, path)
@@ -469,8 +488,7 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         some = blocked.filter(F.pmod(F.xxhash64("block"), F.lit(SCORE_PASSES)) == turn)
         # Keys of a block found in pieces come more than once, which does no harm.
         wanted = some.select("block", "text").mapInArrow(_block_keys(ranges, sieve), KEYS)
-        placed = automaton.select(_range_of(ranges).alias("range"), "g", "weight", "fail")
-        dictionary = wanted.groupBy("range").cogroup(placed.groupBy("range")).applyInArrow(_look_up(), FOUND)
+        dictionary = wanted.groupBy("range").cogroup(automaton.groupBy("range")).applyInArrow(_look_up(), FOUND)
         scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct), result)
         done.append(staged(scored, "scores"))
     return reduce(DataFrame.unionByName, done)
