@@ -30,7 +30,7 @@ BLOCK_BYTES = 8 << 20
 # Passes in which the n-grams of each size are counted, and in which blocks are scored, one
 # after another: the disk holds the shuffle of one pass.
 COUNT_PASSES = {1: 1, 2: 1, 3: 1}
-SCORE_PASSES = 4
+SCORE_PASSES = 8
 
 # Bits of the table that rules out n-grams with rare parts, in units of 32,768 bits (16 MB in
 # all). A larger corpus fills it up and then it rules out less; it never rules out too much.
