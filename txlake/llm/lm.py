@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,7 @@ BLOCK_BYTES = 8 << 20
 # Passes in which the n-grams of each size are counted, and in which blocks are scored, one
 # after another: the disk holds the shuffle of one pass.
 COUNT_PASSES = {1: 1, 2: 1, 3: 1}
-SCORE_PASSES = 8
+SCORE_PASSES = 4
 
 # Bits of the table that rules out n-grams with rare parts, in units of 32,768 bits (16 MB in
 # all). A larger corpus fills it up and then it rules out less; it never rules out too much.
@@ -107,23 +109,27 @@ def _keys():
     return keys
 
 
-def _sieve(grams: DataFrame) -> dict[int, bytes]:
-    """Bits of the keys of all given n-grams: ``SIEVE_UNITS`` rows of 4 KB at most, whatever the table holds."""
+def _sieve(grams: DataFrame) -> Broadcast:
+    """Bits of the keys of all given n-grams, compressed: ``SIEVE_UNITS`` rows of 4 KB at most,
+    whatever the table holds. Sent to each executor once; the caller destroys it."""
     bit = F.pmod(F.col("g"), F.lit(SIEVE_UNITS * 32768))
     units = grams.groupBy(F.floor(bit / 32768).alias("unit")).agg(F.bitmap_construct_agg(bit % 32768).alias("data"))
-    return {r["unit"]: bytes(r["data"]) for r in units.collect()}
+    table = np.zeros((SIEVE_UNITS, 4096), np.uint8)
+    for r in units.collect():
+        table[r["unit"], : len(r["data"])] = np.frombuffer(bytes(r["data"]), np.uint8)
+    return grams.sparkSession.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
 
 
-def _sifter(sieve: dict[int, bytes]):
+def _sifter(sieve: Broadcast):
     """Function made inside a task: which keys may be among those of the sieve."""
     units = SIEVE_UNITS
 
     def make():
+        import zlib
+
         import numpy as np
 
-        table = np.zeros(units * 4096, np.uint8)
-        for unit, data in sieve.items():
-            table[unit * 4096 : unit * 4096 + len(data)] = np.frombuffer(data, np.uint8)
+        table = np.frombuffer(zlib.decompress(sieve.value), np.uint8)
 
         def may_be(g):
             bit = g % np.uint64(units * 32768)
@@ -152,7 +158,7 @@ def _range_of(ranges: int) -> Column:
     return F.shiftright(F.shiftrightunsigned("g", 32) * F.lit(ranges), 32)
 
 
-def _count_grams(size: int, turn: int, passes: int, ranges: int, sieve: dict[int, bytes] | None):
+def _count_grams(size: int, turn: int, passes: int, ranges: int, sieve: Broadcast | None):
     """N-grams of one size and pass, counted for each task: sorted arrays of key, key of the
     first words and count for each range of keys.
 
@@ -277,7 +283,7 @@ def _block_numbers(block_bytes: int):
     return F.arrow_udf(number, T.LongType())
 
 
-def _block_keys(ranges: int, sieve: dict[int, bytes]):
+def _block_keys(ranges: int, sieve: Broadcast):
     """The keys of each block's words, and of its pairs and triples that may be in the sieve, as
     one sorted array for each range of keys."""
     ranged = _ranged()
@@ -463,7 +469,9 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             cut = learned.mapInArrow(_count_grams(size, turn, passes, ranges, sieve), COUNTED)
             counts.append(staged(cut.groupBy("range").applyInArrow(_merge_grams(size, least), GRAMS), "grams", done_with[-1]))
         levels[size] = reduce(DataFrame.unionByName, counts)
-        sieve = _sieve(levels[size].filter(F.col("c") >= LEAST))
+        if sieve:
+            sieve.destroy()
+        sieve = _sieve(levels[size].filter(F.col("c") >= LEAST)) if size < max(COUNT_PASSES) else None
     vocabulary = levels[1]
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     arcs = levels[2].unionByName(levels[3]).filter(F.col("c") >= math.ceil(share * total))
@@ -491,4 +499,5 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         dictionary = wanted.groupBy("range").cogroup(automaton.groupBy("range")).applyInArrow(_look_up(), FOUND)
         scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct), result)
         done.append(staged(scored, "scores"))
+    sieve.destroy()
     return reduce(DataFrame.unionByName, done)
