@@ -349,6 +349,10 @@ def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int, d
     weight, out = F.col("c").cast("double"), []
     rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
     for size in TURNS:
+        # What is seen once can be no part of an arc, and so no state.
+        rare, level = level.filter(F.col("c") < LEAST), level.filter(F.col("c") >= LEAST)
+        if size == 2:
+            out.append(rare.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
         first = level.select(F.col("g").alias("a"), F.col("c").alias("of"))
         last = level.select(F.col("g").alias("b"), F.col("p").alias("lower"))
         arcs = grams.filter(F.col("size") == size).withColumn("b", _last(size)).join(first, "a").join(last, "b")
@@ -467,7 +471,8 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for turn in range(passes):
             done_with.append(scratch(spark, f"grams{size}"))
             cut = learned.mapInArrow(_count_grams(size, turn, passes, ranges, sieve), COUNTED)
-            counts.append(staged(cut.groupBy("range").applyInArrow(_merge_grams(size, least), GRAMS), "grams", done_with[-1]))
+            found = cut.groupBy("range").applyInArrow(_merge_grams(size, least), GRAMS)
+            counts.append(staged(found.select("g", "c") if size == 1 else found, "grams", done_with[-1]))
         levels[size] = reduce(DataFrame.unionByName, counts)
         if sieve:
             sieve.destroy()
