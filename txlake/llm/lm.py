@@ -360,11 +360,12 @@ def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int, d
         arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs", done_with[-1])
         fails = arcs.groupBy(F.col("a").alias("g")).agg(F.log10(rest("p") / rest("lower")).alias("fail"))
         found = level.join(fails, "g", "left").select("g", weight.alias("weight"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
-        out.append(found)
+        # Each level is written by itself: the disk holds the shuffle of one.
+        done_with.append(scratch(words_.sparkSession, "automaton"))
+        out.append(staged(found, "automaton", done_with[-1]))
         level, weight = arcs.select("g", "c", "p"), F.log10("p")
     out.append(level.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
-    done_with.append(scratch(words_.sparkSession, "automaton"))
-    return staged(reduce(DataFrame.unionByName, out), "automaton", done_with[-1])
+    return reduce(DataFrame.unionByName, out)
 
 
 def _scorer(total: int, distinct: int):
