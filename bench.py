@@ -38,6 +38,9 @@ HEADLINE = [
     "reconcile_verdict",
     "merge_upsert",
     "version_diff",
+    "full_export",
+    "incremental_append",
+    "bucketed_upsert",
     "cdc_apply_one_batch",
     "compact_zorder",
     "medallion_gold",
