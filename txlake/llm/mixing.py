@@ -71,7 +71,9 @@ def mixture(
 
     Null or empty texts have size 0 and are taken by the same rule (0 words). Documents
     without a source form a source of their own, last in the order. Repeated rows share
-    one coin. Rows without an id take the coin of their text.
+    one coin. Rows without an id take the coin of their text. A very long text is one row
+    like any other: its words are counted where it lies. An empty table gives no rows.
+    Further columns are not read, whatever their names.
     """
     sized = staged(
         docs.select(

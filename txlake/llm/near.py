@@ -232,7 +232,8 @@ def near_duplicates(
 
     ``a`` and ``b`` are the row's identity (see ``row_identity``); repeated rows share
     it. Null texts are empty; null ids never are a component's id unless all are null.
-    An empty table gives no rows.
+    A very long text's shingles are held by one task at a time. An empty table gives no
+    rows. Further columns are not read, whatever their names.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     a, b = row_identity(F.col("doc_id"), F.col("text"))
