@@ -459,6 +459,29 @@ def test_near_on_chains_around_the_threshold(ready):
     assert got == sorted(in_order(rows))
 
 
+@pytest.mark.parametrize(("block", "wide", "piece"), [(2048, 512, 4096), (16, 64, 8), (1, 1, 1000)])
+def test_near_links_are_counted_across_tiles(ready, monkeypatch, block, wide, piece):
+    import random
+
+    for name, value in (("BLOCK", block), ("WIDE", wide), ("PIECE", piece)):
+        monkeypatch.setattr(near, name, value)
+    rng = random.Random(3)
+    texts = []
+    for g, words_of in enumerate((40, 40, 150, 700)):
+        base = [f"b{g}x{j}" for j in range(words_of)]
+        for _ in range(45):
+            w = list(base)
+            for _ in range(rng.randrange(0, max(3, words_of // 25))):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(60)}"
+            texts.append(" ".join(w[: rng.randrange(words_of // 2, words_of + 1)] if rng.random() < 0.3 else w))
+    rows = list(enumerate(texts))
+    sets = {frozenset(brute.shingles(t)) for t in texts}
+    links = {a: sum(a is not b and 100 * len(a & b) >= 75 * len(a | b) for b in sets) for a in sets}
+    found = near.near_duplicates(ready.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_links"] for r in found} == {i: links[frozenset(brute.shingles(t))] for i, t in rows}
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == sorted(in_order(rows))
+
+
 def test_components_of_chains_and_stars(ready):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 4000), (4000, 4500), (7, 7), (-9, -8), (-8, -9)]
     got = {r["node"]: r["root"] for r in components.components(ready.createDataFrame(edges, "x long, y long")).collect()}

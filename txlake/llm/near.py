@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlake.llm import words
-from txlake.llm.common import fresh, row_identity, staged
+from txlake.llm.common import fresh, numbered, row_identity, staged
 from txlake.llm.components import components
 
 # Similarity from which documents link, as a fraction.
@@ -20,11 +20,16 @@ NUMERATOR, DENOMINATOR = 75, 100
 # More of them mean more entries and fewer candidates.
 SHARED = 10
 
-# Rounds in which columns and sets drop out in turn.
-ROUNDS = 2
+# Texts are cut into words in slices of so many bytes.
+SLICE = 1 << 18
 
-# Rounds of pivots at most, before what is left open is compared pair by pair.
-STARS = 8
+# A tile compares two blocks of sets. A block has BLOCK sets of up to WIDE shingles, half as
+# many of up to twice the size, and so on: 16 MB at most, unless one set alone is larger.
+BLOCK = 2048
+WIDE = 512
+
+# Shingles in a row on their way to a tile; longer sets take several rows.
+PIECE = 4096
 
 SIGNATURE = T.StructType(
     [
@@ -42,7 +47,7 @@ def _signature(numerator: int, denominator: int, size: int):
     share at least k of their first n - o + k shingles, for any k: these are kept, with
     k a tenth of n. A set that the same task has met before is a copy, and gets none.
     """
-    k = words.kernel(size)
+    k = words.kernel(size, SLICE)
     part = SHARED
 
     def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -75,29 +80,9 @@ def _signature(numerator: int, denominator: int, size: int):
     return F.arrow_udf(signature, SIGNATURE)
 
 
-def _linked(numerator: int, denominator: int, size: int):
-    """Arrow function: whether two texts' shingle sets reach the similarity."""
-    k = words.kernel(size)
-
-    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
-        import numpy as np
-
-        out = []
-        for a, b in zip(k.sets(left), k.sets(right), strict=True):
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            out.append(denominator * both >= numerator * (len(a) + len(b) - both))
-        return pa.array(out, pa.bool_())
-
-    return F.arrow_udf(linked, T.BooleanType())
-
-
-def _similar_size(a: str, b: str, numerator: int, denominator: int):
-    return F.least(a, b) * denominator >= F.greatest(a, b) * numerator
-
-
 def _shingles(size: int):
     """Arrow function: the distinct shingles of a text."""
-    k = words.kernel(size)
+    k = words.kernel(size, SLICE)
 
     def shingles(texts: pa.Array) -> pa.Array:
         return pa.array([s.view("int64") for s in k.sets(texts)], pa.list_(pa.int64()))
@@ -124,87 +109,190 @@ def _meeting(signatures: DataFrame, numerator: int, denominator: int) -> DataFra
     return entries.join(counts, "h").groupBy("cid", "n").agg(F.count("*").alias("s")).filter(F.col("s") >= need).select("cid", "n")
 
 
-def _candidate_keys(texts: DataFrame, numerator: int, denominator: int, size: int) -> DataFrame:
-    """(h, cid, n, fame): the columns by which sets can meet, given a text of each set.
+def _sets(texts: DataFrame, numerator: int, denominator: int, size: int) -> DataFrame:
+    """(cid, n, set): the shared shingles of each set that can have a link, rarest first.
 
-    Columns that only one set has drop out, then sets whose shared columns are fewer than
-    any link needs, and so on for a few rounds. Of s shared columns of which a link needs
-    o, the s - o + 1 rarest have one in common. ``fame`` is the mean number of sets in a
-    set's columns: the original of many near copies has the highest.
+    The incidence of sets and shingles, without the columns of a single set and then without
+    the sets whose shared columns are fewer than any link needs. What is left out adds
+    nothing to an overlap of two sets that are left.
     """
     split = _shingles(size)
     entries = texts.select("cid", split("text").alias("set")).select("cid", F.size("set").alias("n"), F.explode("set").alias("h"))
-    least = _bound(F.col("n"), numerator, denominator)
-    for _ in range(ROUNDS):
-        counts = staged(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "columns")
-        shared = entries.join(counts, "h")
-        of_set = Window.partitionBy("cid", "n")
-        left = shared.withColumn("s", F.count("*").over(of_set)).filter(F.col("s") >= least)
-        shared = staged(left, "entries")
-        entries = shared.drop("df", "s")
-    ranked = shared.withColumn("rank", F.row_number().over(of_set.orderBy("df", "h")))
-    ranked = ranked.withColumn("fame", F.sum("df").over(of_set) / F.col("s"))
-    return staged(ranked.filter(F.col("rank") <= F.col("s") - least + 1).select("h", "cid", "n", "fame"), "candidate_keys")
+    counts = staged(entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "columns")
+    of_set = Window.partitionBy("cid", "n")
+    shared = entries.join(counts, "h").withColumn("s", F.count("*").over(of_set))
+    shared = shared.filter(F.col("s") >= _bound(F.col("n"), numerator, denominator))
+    ordered = F.sort_array(F.collect_list(F.struct("df", "h")))
+    return staged(shared.groupBy("cid", "n").agg(ordered.getField("h").alias("set")), "sets")
 
 
-def _open(placed: DataFrame) -> DataFrame:
-    """The keys of columns whose sets are not all united."""
-    ends = placed.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
-    return staged(placed.join(ends.filter("r0 < r1").select("h"), "h"), "open_columns")
+def _clumps(sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(cid, n, set, clump): sets that any link can join have the same clump.
 
-
-def _open_pairs(across: DataFrame) -> int:
-    """Pairs that meet in a column and are not united, counted once for each column."""
-    parts = across.groupBy("h", "root").agg(F.count("*").alias("k"))
-    each = parts.groupBy("h").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"))
-    return int(each.agg(F.coalesce(F.sum("pairs") / 2, F.lit(0))).first()[0])
+    Of s shared columns of which a link needs o, linked sets have one of the s - o + 1 rarest
+    in common. These columns join sets into clumps: each set hangs on the smallest set of
+    the column, so a column of k sets makes k - 1 edges and no pairs.
+    """
+    few = F.size("set") - _bound(F.col("n"), numerator, denominator) + 1
+    keys = sets.select("cid", F.explode(F.slice("set", F.lit(1), few.cast("int"))).alias("h"))
+    hubs = keys.groupBy("h").agg(F.min("cid").alias("hub"), F.max("cid").alias("top")).filter("hub < top").select("h", "hub")
+    edges = keys.join(hubs, "h").filter("cid <> hub").select(F.col("cid").alias("x"), F.col("hub").alias("y"))
+    found = staged(components(edges), "clumps")
+    return sets.join(found.select(F.col("node").alias("cid"), F.col("root").alias("clump")), "cid")
 
 
-def _stars(across: DataFrame, turn: int, numerator: int, denominator: int) -> DataFrame:
-    """One pair (x, y) at most for each set: the set and a pivot it isn't united with.
+def _tiles(clumped: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(one, two, side, cid, n, part): the sets of each pair of blocks, in pieces.
 
-    In the first turn the pivot of a column is its most famous set, later on one by chance.
-    Of the pivots of its columns a set takes the most famous, then the one it meets most.
+    The sets of a clump are cut by size into blocks; blocks of one clump meet if their sizes
+    allow a link. ``one`` and ``two`` name the blocks by the number of their first set, and
+    ``side`` says to which of them a set belongs.
     """
-    chance = F.xxhash64("cid", F.lit(turn)) / F.lit(float(1 << 63))
-    across = across.withColumn("weight", F.col("fame") + chance / 1000 if turn == 0 else chance)
-    pivots = across.groupBy("h").agg(
-        F.max("weight").alias("w"), *[F.max_by(c, "weight").alias(f"p_{c}") for c in ("cid", "n", "root")]
+    band = F.greatest(F.floor(F.log2(F.col("n") / F.lit(WIDE))), F.lit(0)).cast("int")
+    rows = numbered(clumped.withColumn("band", band), ["clump", "band", "n", "cid"], "at")
+    starts = rows.groupBy("clump", "band").agg(F.min("at").alias("start"))
+    height = F.greatest(F.expr(f"shiftright({BLOCK}, least(band, 30))"), F.lit(1)).cast("long")
+    place = F.col("at") - F.pmod(F.col("at") - F.col("start"), height)
+    rows = staged(rows.join(starts, ["clump", "band"]).select("clump", "cid", "n", "set", place.alias("block")), "blocks")
+    blocks = rows.groupBy("clump", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    left = blocks.select("clump", F.col("block").alias("one"), "high")
+    right = blocks.select("clump", F.col("block").alias("two"), "low")
+    pairs = left.join(right, "clump").filter((F.col("one") <= F.col("two")) & (F.col("high") * denominator >= F.col("low") * numerator))
+    pairs = staged(pairs.select("one", "two"), "tiles")
+    sides = pairs.select("one", "two", F.col("one").alias("block"), F.lit(0).alias("side")).unionByName(
+        pairs.filter("one < two").select("one", "two", F.col("two").alias("block"), F.lit(1).alias("side"))
     )
-    met = (
-        across.join(pivots, "h")
-        .filter((F.col("root") != F.col("p_root")) & _similar_size("n", "p_n", numerator, denominator))
-        .groupBy(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("p_cid").alias("b"), F.col("p_n").alias("nb"))
-        .agg(F.count("*").alias("columns"), F.max("w").alias("w"))
-    )
-    order = [F.desc("w"), F.desc("columns")] if turn == 0 else [F.desc("columns"), F.desc("w")]
-    best = met.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(*order, "b"))).filter("rank = 1")
-    return _ordered(best, numerator, denominator)
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int, size: int) -> DataFrame:
-    """The pairs (x, y) that link."""
-    left = texts.select(F.col("cid").alias("x"), F.col("text").alias("left"))
-    right = texts.select(F.col("cid").alias("y"), F.col("text").alias("right"))
-    check = _linked(numerator, denominator, size)
-    return pairs.join(left, "x").join(right, "y").filter(check("left", "right")).select("x", "y")
-
-
-def _ordered(pairs: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Distinct pairs of sets whose sizes allow a link, the smaller key first."""
-    return (
-        pairs.filter(F.col("a") != F.col("b"))
-        .filter(_similar_size("na", "nb", numerator, denominator))
-        .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        .distinct()
+    dealt = rows.join(sides, "block")
+    starts_of = F.sequence(F.lit(1), F.size("set"), F.lit(PIECE))
+    return dealt.select("one", "two", "side", "cid", "n", "set", F.explode(starts_of).alias("from")).select(
+        "one", "two", "side", "cid", "n", F.slice("set", F.col("from"), F.lit(PIECE)).alias("part")
     )
 
 
-def _all(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for more in tables[1:]:
-        out = out.unionByName(more)
-    return out
+def _product(numerator: int, denominator: int):
+    """Function over batches sorted by tile: the links within each tile.
+
+    A tile is the product of two blocks of the incidence of sets and shingles. Columns that
+    many sets have are multiplied as dense matrices, the others add one for each pair of
+    sets that they hold. Pairs whose overlap is below the bound of their sizes are discarded.
+    For each set that links there is one row (cid, hub, links): the smallest set that it
+    is connected with in the tile, and the number of its links in the tile.
+    """
+    columns, budget = 2048, 1 << 20
+    schema = pa.schema([("cid", pa.int64()), ("hub", pa.int64()), ("links", pa.int64())])
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def overlaps(a, b):
+            """Shared columns of each set of a with each of b, given (set, column) of their entries."""
+            (rows_a, of_a, high), (rows_b, of_b, wide) = a, b
+            names, at = np.unique(np.concatenate([of_a, of_b]), return_inverse=True)
+            at_a, at_b = at[: len(of_a)], at[len(of_a) :]
+            df_a, df_b = np.bincount(at_a, minlength=len(names)), np.bincount(at_b, minlength=len(names))
+            both = np.zeros((high, wide), np.int32)
+            meet = df_a * df_b
+            hot = meet * 64 > high * wide
+            number = np.cumsum(hot) - 1
+            for first in range(0, int(hot.sum()), columns):
+                sides = []
+                for rows, cols, height in ((rows_a, at_a, high), (rows_b, at_b, wide)):
+                    here = hot[cols] & (number[cols] >= first) & (number[cols] < first + columns)
+                    side = np.zeros((height, min(columns, int(hot.sum()) - first)), np.float32)
+                    side[rows[here], number[cols[here]] - first] = 1
+                    sides.append(side)
+                both += (sides[0] @ sides[1].T).astype(np.int32)
+            # The other columns: each entry of a with the run of its column in b.
+            order = np.argsort(at_b, kind="stable")
+            runs = np.cumsum(df_b) - df_b
+            cold = ~hot[at_a] & (df_b[at_a] > 0)
+            rows, cols = rows_a[cold], at_a[cold]
+            ends = np.cumsum(df_b[cols])
+            done = 0
+            while done < len(rows):
+                before = ends[done - 1] if done else 0
+                to = max(done + 1, int(np.searchsorted(ends, before + budget, "right")))
+                count = df_b[cols[done:to]]
+                inside = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                partner = rows_b[order[np.repeat(runs[cols[done:to]], count) + inside]]
+                np.add.at(both.reshape(-1), np.repeat(rows[done:to], count) * wide + partner, 1)
+                done = to
+            return both
+
+        def block(rows):
+            """(cids, sizes, entries) of the rows of a block."""
+            cid = np.concatenate([r[0] for r in rows])
+            n = np.concatenate([r[1] for r in rows])
+            lengths = np.concatenate([r[2] for r in rows])
+            names, first, of = np.unique(cid, return_index=True, return_inverse=True)
+            return names, n[first], (np.repeat(of, lengths), np.concatenate([r[3] for r in rows]), len(names))
+
+        def linked(tile):
+            one = block(tile[0])
+            same = not tile[1]
+            two = one if same else block(tile[1])
+            both = overlaps(one[2], two[2])
+            link = np.empty(both.shape, bool)
+            for at in range(0, len(both), 256):
+                total = one[1][at : at + 256, None] + two[1][None]
+                link[at : at + 256] = both[at : at + 256].astype(np.int64) * (numerator + denominator) >= numerator * total
+            del both
+            if same:
+                np.fill_diagonal(link, False)
+            links = [link.sum(1), link.sum(0)]
+            hubs = [one[0].copy(), two[0].copy()]
+            if same:
+                hubs[1] = hubs[0]
+            most = np.iinfo(np.int64).max
+            while True:
+                was = [h.copy() for h in hubs]
+                for at in range(0, len(link), 256):
+                    part = link[at : at + 256]
+                    hubs[0][at : at + 256] = np.minimum(
+                        hubs[0][at : at + 256], np.where(part, hubs[1][None], most).min(1)
+                    )
+                    hubs[1][:] = np.minimum(
+                        hubs[1], np.where(part, hubs[0][at : at + 256, None], most).min(0)
+                    )
+                if all((h == w).all() for h, w in zip(hubs, was, strict=True)):
+                    break
+            out = [(one[0], hubs[0], links[0])] if same else [(one[0], hubs[0], links[0]), (two[0], hubs[1], links[1])]
+            keep = [k > 0 for _, _, k in out]
+            return [np.concatenate([o[i][k] for o, k in zip(out, keep, strict=True)]).astype(np.int64) for i in range(3)]
+
+        def results():
+            now, tile = None, ([], [])
+            for batch in batches:
+                one, two, side = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+                cid, n = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (3, 4))
+                parts = batch.column(5)
+                offsets = parts.offsets.to_numpy()
+                values = parts.values.to_numpy(zero_copy_only=False)
+                turns = np.flatnonzero((one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (side[1:] != side[:-1])) + 1
+                for at, to in zip([0, *turns], [*turns, len(one)], strict=True):
+                    if at == to:
+                        continue
+                    if now != (one[at], two[at]):
+                        if now is not None:
+                            yield linked(tile)
+                        now, tile = (one[at], two[at]), ([], [])
+                    flat = values[offsets[at] : offsets[to]].copy()
+                    tile[int(side[at])].append((cid[at:to].copy(), n[at:to].copy(), np.diff(offsets[at : to + 1]), flat))
+            if now is not None:
+                yield linked(tile)
+
+        # Results of many small tiles go out together.
+        held, rows = [], 0
+        for found in results():
+            held.append(found)
+            rows += len(found[0])
+            if rows >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], schema=schema)
+                held, rows = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], schema=schema)
+
+    return product
 
 
 def near_duplicates(
@@ -215,20 +303,20 @@ def near_duplicates(
     denominator: int = DENOMINATOR,
     size: int = words.SHINGLE,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_id, a and b.
+    """One row per document: doc_id, n_shingles, component_id, class_id, n_links, root, a and b.
 
     A document's set is that of its distinct shingles of ``size`` words (A-Z lower-cased);
     with fewer words it is the whole sequence, without words it is empty and links with
     nothing. Documents link when the Jaccard similarity of their sets is at least
     ``numerator / denominator``; component_id is the smallest doc_id reachable by links.
 
-    Documents with equal sets are one class, and only classes are joined, as a sparse
-    product of classes by shingles: sizes bound the overlap, so that few entries suffice
-    to find every pair (see ``_meeting`` and ``_candidate_keys``). In turns, each class
-    meets a pivot of its columns, and what links is united. Then classes of a column that
-    are not united yet meet each other. So a large group of near copies takes a few pairs
-    for each member, and no link between components is missed. Pairs are checked on their
-    texts.
+    Documents with equal sets are one class, and only classes are joined, as a blocked sparse
+    product of classes by shingles. Sizes bound the overlap of a link, so the rarest columns
+    of each class part the classes into clumps (see ``_meeting``, ``_sets`` and ``_clumps``);
+    the classes of a clump are cut into blocks, and each pair of blocks is a tile, in which
+    one task accumulates the overlaps of all its pairs and discards those below the bound.
+    Out of a tile comes one row per class: no list of pairs is made, and no link is missed.
+    ``n_links`` is the number of other classes that the document's class links with.
 
     ``a`` and ``b`` are the row's identity (see ``row_identity``); repeated rows share
     it. Null texts are empty; null ids never are a component's id unless all are null.
@@ -252,40 +340,18 @@ def near_duplicates(
     texts = staged(docs.select("a", "b", "text").join(reps, ["a", "b"]).select("cid", "text"), "candidate_texts")
     if texts.count() > reps.count():  # repeated rows
         texts = staged(texts.dropDuplicates(["cid"]), "candidate_texts")
-    keys = _candidate_keys(texts, numerator, denominator, size)
-    texts = staged(texts.join(keys.select("cid").distinct(), "cid", "left_semi"), "texts_to_compare")
-
-    # Every class is a component of its own at first.
-    total = keys.count()
-    links, tried = [], []
-    across = _open(keys.withColumn("root", F.col("cid")))
-    for turn in range(STARS):
-        # As soon as there are no more open pairs than keys, they can be compared directly.
-        if _open_pairs(across) <= total:
-            break
-        tried.append(staged(_stars(across, turn, numerator, denominator), "star_pairs"))
-        links.append(staged(_verified(tried[-1], texts, numerator, denominator, size), "star_links"))
-        if links[-1].isEmpty():
-            continue
-        united = staged(components(_all(links)), "star_components").withColumnRenamed("node", "cid")
-        # Columns that are united stay so; only the open ones go on.
-        placed = across.drop("root").join(united, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-        across = _open(staged(placed, "placed_keys"))
-
-    left = across.select("h", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = across.select("h", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    fits = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _similar_size("na", "nb", numerator, denominator)
-    cross = left.join(right, (left["h"] == right["h"]) & fits).select("a", "b", "na", "nb")
-    cross = _ordered(cross, numerator, denominator)
-    if tried:
-        cross = cross.join(_all(tried), ["x", "y"], "left_anti")
-    links.append(staged(_verified(staged(cross, "cross_pairs"), texts, numerator, denominator, size), "cross_links"))
-    roots = components(_all(links)).withColumnRenamed("node", "cid")
+    sets = _sets(texts, numerator, denominator, size)
+    tiles = _tiles(_clumps(sets, numerator, denominator), numerator, denominator)
+    tiles = tiles.repartition("one", "two").sortWithinPartitions("one", "two", "side")
+    links = staged(tiles.mapInArrow(_product(numerator, denominator), "cid long, hub long, links long"), "links")
+    roots = components(links.select(F.col("cid").alias("x"), F.col("hub").alias("y"))).withColumnRenamed("node", "cid")
+    roots = roots.join(links.groupBy("cid").agg(F.sum("links").alias("n_links")), "cid")
 
     members = staged(
         signatures.drop("first")
         .join(roots, "cid", "left")
-        .withColumn("root", F.coalesce("root", "cid")),
+        .withColumn("root", F.coalesce("root", "cid"))
+        .withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))),
         "members",
     )
     least = staged(members.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least_ids")
@@ -294,6 +360,7 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
         F.col("cid").alias("class_id"),
+        "n_links",
         "root",
         "a",
         "b",
