@@ -144,14 +144,25 @@ def check_shards(found, rows, count, slack):
     return got
 
 
+def check_togetherness(got, count):
+    """Groups of equal texts up to 1/8 of a shard lie in one shard."""
+    weight, places = collections.Counter(), collections.defaultdict(set)
+    for r in got:
+        weight[r["mark"]] += r["size"]
+        places[r["mark"]].add(r["shard"])
+    bar = sum(weight.values()) / count / 8
+    assert all(len(places[m]) == 1 for m in weight if weight[m] <= bar)
+
+
 def test_shards_on_edges(edges, nothing):
     check_shards(sharding.shards(edges, 3), ROWS, 3, 1.0)
     assert sharding.shards(nothing).count() == 0
 
 
 def test_shards_have_near_equal_bytes_and_keep_equal_texts_together(documents, rows):
-    check_shards(sharding.shards(documents), rows, 16, 0.1)
-    check_shards(sharding.shards(documents, 5), rows, 5, 0.1)
+    for count in (16, 5):
+        got = check_shards(sharding.shards(documents, count), rows, count, 0.1)
+        check_togetherness(got, count)
 
 
 def test_shards_of_a_heavy_group_and_target_bytes(ready):
@@ -163,6 +174,23 @@ def test_shards_of_a_heavy_group_and_target_bytes(ready):
     check_shards(sharding.shards(docs, None, target_bytes=total // 7 + 1), rows, 7, 0.05)
 
 
+def test_groups_of_middling_weight_stay_whole(ready):
+    # 40 groups of 1/40 to 1/9 of a shard each, among texts of their own.
+    rows = [(i, f"group {i % 40} " * 20 if i % 4 == 0 else f"text {i} " * (i % 60 + 1)) for i in range(4000)]
+    docs = ready.createDataFrame([(*r, f"l{r[0] % 3}", f"s{r[0] % 7}") for r in rows], "doc_id long, text string, lang string, source string")
+    check_togetherness(check_shards(sharding.shards(docs, 8), rows, 8, 0.1), 8)
+
+
+def test_many_leaves_are_rows_and_not_literals(ready):
+    rows = [(i, f"text {i} " * 5) for i in range(6000)]
+    docs = ready.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    total = sum(len(t) + 1 for _, t in rows)
+    found = sharding.shards(docs, None, target_bytes=-(-total // 2000))
+    plan = found._jdf.queryExecution().logical().toString()
+    got = check_shards(found, rows, 2000, 1.0)
+    assert len({r["shard"] for r in got}) >= 1990 and len(plan) < 20_000
+
+
 def test_documents_keep_their_columns_beside_shards(edges):
     out = sharding.with_shards(edges, 2)
     assert out.columns == [*edges.columns, "_shard", "_slot"]

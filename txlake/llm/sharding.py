@@ -16,9 +16,12 @@ SHARDS = 16
 VALUE_BITS, TIE_BITS = 24, 38
 STEP_BITS = 16
 
-# Groups above this part of a shard are dealt out in pieces, and a cut is exact enough
-# when no more than this part of a shard lies in its last bin.
+# Groups of equal texts above this part of a shard are dealt out in pieces ...
+TORN_FROM = 1 / 8
+# ... of this part of a shard. A cut is exact enough when no more than this lies in its last bin.
 PIECE = 1 / 256
+# The table of torn groups is broadcast up to so many shards, each of which has room for 8.
+BROADCAST_LEAVES = 1 << 14
 
 # Metadata dimensions, each scaled to [0, 1): size on a logarithmic scale, language, source.
 DIMENSIONS = ("d_size", "d_lang", "d_source")
@@ -34,11 +37,6 @@ def _points(rows: DataFrame) -> DataFrame:
     )
 
 
-def _pick(values: list, node):
-    """The node's entry of a list that has one value per node."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), node + 1)
-
-
 def _crossings(points: DataFrame, keys: list[str], shift: int, goals) -> DataFrame:
     """The first bin of each histogram at which its sum reaches the goal, with its bounds.
 
@@ -57,47 +55,53 @@ def _crossings(points: DataFrame, keys: list[str], shift: int, goals) -> DataFra
     )
 
 
-def _cuts(points: DataFrame, wanted: dict[int, int], limit: float) -> dict[int, tuple[int, int]]:
+def _cuts(points: DataFrame, limit: float) -> DataFrame:
     """For each open node its widest dimension and the coordinate where its weight divides.
 
-    ``wanted`` has the number of leaves below each node; a node with n leaves divides at
-    the fraction (n // 2) / n of its weight. Histograms of 65,536 bins, of all nodes and
-    dimensions at once, give the widths and the bin with the weighted quantile; where that
-    bin is still heavy, a histogram of the bin follows. What reaches the driver is one row
-    per node and dimension.
+    A node with n leaves divides at the fraction (n // 2) / n of its weight. Histograms of
+    65,536 bins, of all nodes and dimensions at once, give the widths and the bin with the
+    weighted quantile; where that bin is still heavy, a histogram of the bin follows.
+    Result: (node, dim, at), one row per open node.
     """
-    node, top = F.col("node"), max(wanted) + 1
-    here = points.filter(node.isin(list(wanted)))
-    part = _pick([(wanted.get(k, 2) // 2) / wanted.get(k, 2) for k in range(top)], node)
+    here = points.filter("leaves > 1")
     shift = VALUE_BITS + TIE_BITS - STEP_BITS
     each = here.withColumn("dim", F.explode(F.array(*[F.lit(d) for d in range(len(DIMENSIONS))])))
     each = each.withColumn("at", coordinate(F.col("dim")))
-    widest, found = {}, {}
-    for r in _crossings(each, ["node", "dim"], shift, F.col("all") * part).collect():
-        k, width = r["node"], r["highest"] - r["lowest"]
-        if k not in widest or (width, -r["dim"]) > widest[k]:
-            widest[k], found[k] = (width, -r["dim"]), r
-    dims = {k: -d for k, (_, d) in widest.items()}
-    goal = {k: r["all"] * (wanted[k] // 2) / wanted[k] for k, r in found.items()}
-    low, before, open_ = dict.fromkeys(dims, 0), dict.fromkeys(dims, 0), set(dims)
-    while True:
-        for k, r in found.items():
-            low[k] += r["bin"] << shift
-            before[k] += r["sum"] - r["weight"]
-            if r["weight"] <= limit or shift == 0:
-                # Cut on the nearer side of the bin.
-                if goal[k] - before[k] > r["weight"] / 2:
-                    low[k] += 1 << shift
-                open_.discard(k)
-        open_ &= set(found)
-        if not open_ or shift == 0:
-            return {k: (dims[k], low[k]) for k in dims}
-        step, span = min(STEP_BITS, shift), 1 << shift
+    goal = F.col("all") * F.floor(F.col("leaves") / 2) / F.col("leaves")
+    row = F.struct(
+        "dim",
+        F.shiftleft("bin", shift).alias("low"),
+        (F.col("sum") - F.col("weight")).alias("before"),
+        "weight",
+        goal.cast("double").alias("goal"),
+        F.lit(shift).alias("shift"),
+    )
+    width = F.struct(F.col("highest") - F.col("lowest"), -F.col("dim"))
+    crossings = _crossings(each, ["node", "leaves", "dim"], shift, goal)
+    found = staged(crossings.groupBy("node").agg(F.max_by(row, width).alias("c")).select("node", "c.*"), "cuts")
+    while shift > 0:
+        heavy = found.filter(F.col("weight") > F.lit(limit)).filter(F.col("shift") == shift)
+        if heavy.isEmpty():
+            break
+        span, step = 1 << shift, min(STEP_BITS, shift)
         shift -= step
-        at = coordinate(_pick([dims.get(k, 0) for k in range(top)], node)) - _pick([low.get(k, 0) for k in range(top)], node)
-        inside = here.filter(node.isin(list(open_))).withColumn("at", at).filter(F.col("at").between(0, span - 1))
-        goals = _pick([float(goal.get(k, 0) - before.get(k, 0)) for k in range(top)], node)
-        found = {r["node"]: r for r in _crossings(inside, ["node"], shift, goals).collect()}
+        open_ = heavy.drop("weight", "shift")
+        inside = here.join(open_, "node").withColumn("at", coordinate(F.col("dim")) - F.col("low"))
+        inside = inside.filter(F.col("at").between(0, span - 1))
+        closer = _crossings(inside, open_.columns, shift, F.col("goal") - F.col("before")).select(
+            "node",
+            "dim",
+            (F.col("low") + F.shiftleft("bin", shift)).alias("low"),
+            (F.col("before") + F.col("sum") - F.col("weight")).alias("before"),
+            "weight",
+            "goal",
+            F.lit(shift).alias("shift"),
+        )
+        found = staged(found.join(heavy.select("node"), "node", "left_anti").unionByName(closer), "cuts")
+    # Cut on the nearer side of the bin.
+    beyond = F.col("goal") - F.col("before") > F.col("weight") / 2
+    bin_width = F.pow(F.lit(2.0), F.col("shift")).cast("long")
+    return found.select("node", "dim", F.when(beyond, F.col("low") + bin_width).otherwise(F.col("low")).alias("at"))
 
 
 def coordinate(dimension):
@@ -122,12 +126,15 @@ def shards(
     A k-d tree over the metadata (size, language, source) halves the bytes at weighted
     medians along the widest dimension, until ``count`` leaves are reached, or enough
     leaves of ``target_bytes``. Equal texts are one point of the tree and stay together;
-    only groups heavier than 1/256 of a shard are dealt out in pieces. The widths are
-    those of the values within [0, 1); ties along a dimension are cut by hash.
+    only groups heavier than 1/8 of a shard are dealt out, in pieces of 1/256. The widths are
+    those of the values within [0, 1); ties along a dimension are cut by hash. Cuts are
+    rows of a table, one per node, so that the plan doesn't grow with the leaves.
 
     Columns: all that identify the row (``doc_id``, ``size``, ``text_crc32``), then
-    ``shard`` and ``slot`` (from 0 without gaps). Null texts are empty: size 1. Null
-    language, source or id are values of their own. Repeated rows keep their own slots.
+    ``shard`` and ``slot`` (from 0 without gaps). Null texts are empty: size 1; a very long
+    text is one point, and makes its shard that much larger. Null language, source or id
+    are values of their own. Repeated rows keep their own slots. Further columns are not
+    read, whatever their names.
     An empty table gives no rows; shards may be empty when there are few documents.
     """
     words = F.coalesce(F.col(text), F.lit(""))
@@ -149,46 +156,41 @@ def shards(
     leaves = count or max(1, math.ceil(total / target_bytes))
     limit = max(1.0, total / leaves * PIECE)
 
-    # At most leaves / PIECE groups can be as heavy as that: a small table.
+    # At most leaves / TORN_FROM groups can be as heavy as that.
     heavy = (
         rows.groupBy("size", "text_crc32", "mark")
         .agg(F.sum("size").alias("all"), F.count("*").alias("copies"))
-        .filter((F.col("all") > limit) & (F.col("copies") > 1))
+        .filter((F.col("all") > F.lit(total / leaves * TORN_FROM)) & (F.col("copies") > 1))
         .withColumn("pieces", F.ceil(F.col("all") / F.lit(limit)))
         .drop("all", "copies")
     )
+    heavy = F.broadcast(heavy) if leaves <= BROADCAST_LEAVES else heavy
     keys = ["size", "text_crc32", "mark"]
     # The row's own hash deals it to a piece; rows that repeat whole share one.
     spread = F.pmod(F.xxhash64("doc_id", "lang_value", "source_value"), F.col("pieces"))
     rows = staged(
-        rows.join(F.broadcast(heavy), keys, "left").withColumn("piece", F.coalesce(spread, F.lit(0).cast("long"))).drop("pieces"),
+        rows.join(heavy, keys, "left").withColumn("piece", F.coalesce(spread, F.lit(0).cast("long"))).drop("pieces"),
         "shard_pieces",
     )
-    points = staged(_points(rows).withColumn("node", F.lit(0)), "shard_points")
-
     # Nodes are named by their first leaf.
-    node, wanted = F.col("node"), {0: leaves}
-    while any(n > 1 for n in wanted.values()):
-        open_ = {k: n for k, n in wanted.items() if n > 1}
-        cuts = _cuts(points, open_, limit)
-        top = max(wanted) + 1
-        dims = [cuts.get(k, (0, 0))[0] for k in range(top)]
-        at = [cuts[k][1] if k in cuts else 1 << 62 for k in range(top)]
-        half = [open_.get(k, 0) // 2 for k in range(top)]
-        right = coordinate(_pick(dims, node)) >= _pick(at, node)
-        points = staged(
-            points.withColumn("node", F.when(right, node + _pick(half, node)).otherwise(node)), "shard_nodes"
+    points = _points(rows).withColumn("node", F.lit(0)).withColumn("leaves", F.lit(leaves))
+    points = staged(points, "shard_points")
+    half = F.floor(F.col("leaves") / 2).cast("int")
+    for _ in range((leaves - 1).bit_length()):
+        right = F.coalesce(coordinate(F.col("dim")) >= F.col("at"), F.lit(False))
+        divided = points.join(_cuts(points, limit), "node", "left").select(
+            *[c for c in points.columns if c not in ("node", "leaves")],
+            F.when(right, F.col("node") + half).otherwise(F.col("node")).alias("node"),
+            F.when(F.col("leaves") <= 1, F.col("leaves")).when(right, F.col("leaves") - half).otherwise(half).alias("leaves"),
         )
-        wanted = {k: n for k, n in wanted.items() if n <= 1} | {
-            j: m for k, n in open_.items() for j, m in ((k, n // 2), (k + n // 2, n - n // 2))
-        }
-    placed = points.withColumn("shard", node.cast("int")).select(*keys, "piece", "shard")
+        points = staged(divided, "shard_nodes")
+    placed = points.withColumnRenamed("node", "shard").select(*keys, "piece", "shard")
     out = rows.join(placed, [*keys, "piece"]).select("doc_id", "size", "text_crc32", "mark", "shard")
     ranked = numbered(out, ["shard", "text_crc32", "mark", "doc_id"], "__rank")
     ranked = staged(ranked, "shard_ranks")
-    first = {r["shard"]: r["first"] for r in ranked.groupBy("shard").agg(F.min("__rank").alias("first")).collect()}
-    start = _pick([first.get(k, 0) for k in range(leaves)], F.col("shard"))
-    return ranked.withColumn("slot", F.col("__rank") - start).select("doc_id", "size", "text_crc32", "shard", "slot", "mark")
+    first = ranked.groupBy("shard").agg(F.min("__rank").alias("__first"))
+    slot = (F.col("__rank") - F.col("__first")).alias("slot")
+    return ranked.join(first, "shard").select("doc_id", "size", "text_crc32", "shard", slot, "mark")
 
 
 def with_shards(docs: DataFrame, count: int = SHARDS, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
