@@ -385,7 +385,82 @@ def plain_rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
+def plain_tree(rows):
+    """Template and impurity by walking each host's tree branch by branch."""
+    smoothed = lambda bad, n, prior: (bad + urls.PRIOR_WEIGHT * prior) / (n + urls.PRIOR_WEIGHT)
+    pages, labels = collections.Counter(), collections.defaultdict(lambda: [0, 0])
+    for _, u in rows:
+        key = plain_url(u)
+        verdict = plain_rule(*key)[1]
+        pages[key] += 1
+        labels[key][0] += verdict is not None
+        labels[key][1] += verdict == "block"
+    names = {
+        key: [urls.WILD if re.search("[0-9]", x) else "=" + x if x[0] in "*={" else x for x in key[1].split("/") if x] for key in pages
+    }
+    elsewhere = collections.defaultdict(lambda: [0, 0])
+    for key, path in names.items():
+        for depth, name in enumerate(path):
+            if labels[key][0] and name != urls.WILD:
+                elsewhere[depth, name][0] += labels[key][0]
+                elsewhere[depth, name][1] += labels[key][1]
+    out, prior = {}, dict.fromkeys(pages, urls.PRIOR)
+    nodes = collections.defaultdict(list)
+    for key in pages:
+        nodes[key[0], "", 0].append(key)
+    while nodes:
+        (host, template, depth), keys = nodes.popitem()
+        branches = collections.defaultdict(list)
+        for key in keys:
+            branches[names[key][depth] if depth < len(names[key]) else urls.END].append(key)
+        stats = {}
+        for name, members in branches.items():
+            n, labelled, blocked = sum(pages[k] for k in members), sum(labels[k][0] for k in members), sum(labels[k][1] for k in members)
+            others, bad = elsewhere.get((depth, name), (labelled, blocked))
+            others, bad = others - labelled, bad - blocked
+            for k in members:
+                prior[k] = smoothed(bad, others, prior[k])
+            stats[name] = n, labelled + others, blocked + sum((pages[k] - labels[k][0]) * prior[k] for k in members)
+        n_pages, n_bad = sum(x[0] for x in stats.values()), sum(x[2] for x in stats.values())
+
+        def rate(bad, n):
+            mean = (bad + 1) / (n + 2)
+            return mean, mean * (1 - mean) / (n + 3)
+
+        kept = []
+        for name, (n, known, bad) in stats.items():
+            (a, va), (b, vb) = rate(bad, n), rate(n_bad - bad, n_pages - n)
+            common = name != urls.WILD and urls.BRANCH_SHARE * n_pages <= n < n_pages
+            if common and known and abs(a - b) >= urls.BRANCH_SIGMAS * math.sqrt(va + vb):
+                kept.append((a, name, va))
+        child, groups = dict.fromkeys(stats, urls.WILD), []
+        for a, name, va in sorted(kept):
+            if not groups or a - groups[-1][-1][0] >= urls.BRANCH_SIGMAS * math.sqrt(va + groups[-1][-1][2]):
+                groups.append([])
+            groups[-1].append((a, name, va))
+        for group in groups:
+            members = sorted(g[1] for g in group)
+            label = members[0] if len(members) == 1 else "{" + "|".join(m.replace("=", "==").replace("|", "=|") for m in members) + "}"
+            child.update(dict.fromkeys(members, label))
+        sums = collections.defaultdict(lambda: [0, 0])
+        for name, members in branches.items():
+            for k in members:
+                sums[child[name]][0] += labels[k][0]
+                sums[child[name]][1] += labels[k][1]
+        for name, members in branches.items():
+            for k in members:
+                if name == urls.END:
+                    out[k] = template, smoothed(sums[child[name]][1], sums[child[name]][0], prior[k])
+                else:
+                    nodes[host, f"{template}/{child[name]}", depth + 1].append(k)
+    return out
+
+
 def check_urls(found, rows):
+    tree = plain_tree(rows)
+    for r in found:
+        template, impurity = tree[r["host"], r["path"]]
+        assert r["template"] == template and math.isclose(r["impurity"], impurity, rel_tol=1e-9), (r, template, impurity)
     got = collections.Counter((r["page_id"], r["host"], r["path"], r["rule"]) for r in found)
     want = collections.Counter((i, *plain_url(u), plain_rule(*plain_url(u))[0]) for i, u in rows)
     assert got == want
@@ -428,12 +503,25 @@ def test_unlabelled_branches_do_not_take_the_purity_of_blocked_ones(ready):
     found = urls.judged(ready.createDataFrame(rows, "page_id long, url string")).collect()
     check_urls(found, rows)
     got = {(r["host"], r["path"].split("/")[1]): (r["verdict"], r["template"]) for r in found}
-    assert got["one.net", "es"] == ("block", "/es/*") and got["one.net", "fr"] == ("block", "/fr/*")
+    assert got["one.net", "es"] == got["one.net", "fr"] == ("block", "/{es|fr}/*")
     assert got["one.net", "en"][0] == got["one.net", "de"][0] == "allow"
     assert got["two.org", "es"][0] == "block" and got["two.org", "en"][0] == "allow"
     assert got["deep.org", "a"][1] == "/*" * 12
 
 
+def test_paths_are_read_to_their_end(ready):
+    # What decides lies below the tenth segment; the beginning is shared, and long.
+    start = "/".join("abcdefghij") + "/" + "/".join(["same"] * 300)
+    rows = [(i, f"http://q.{('net', 'com')[i % 2]}/es/{'/'.join('bcdefghij')}/{('bad', 'good')[i % 2]}") for i in range(100)]
+    rows += [(1000 + i, f"http://open.org/es/{'/'.join('bcdefghij')}/{('bad', 'good')[i % 2]}") for i in range(2)]
+    rows += [(2000 + i, f"http://long.org/{start}/{'xyz'[i % 3]}/{i}") for i in range(9)]
+    found = urls.judged(ready.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, names string, prior string")).collect()
+    check_urls(found, rows)
+    got = {r["page_id"]: r for r in found}
+    assert got[1000]["verdict"] == "block" and got[1001]["verdict"] == "allow"
+    assert got[2000]["template"].count("/") == 312
+
+
 # Near duplicates
 
 
