@@ -365,6 +365,22 @@ def test_chat_perspectives(ready):
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
+def test_chat_names_and_long_texts(ready):
+    import urllib.parse
+
+    names = ["a b", "a_b", "a+b", "a%20b", "A*b", "~a", "é", "\U0001f600", "", "a\nb"]
+    long = "word " * 400_000
+    turns = [(1, i, n, long if i == 1 else f"text {i}") for i, n in enumerate(names)]
+    df = ready.createDataFrame([(*t, "x", "y", "z") for t in turns], "conv_id long, turn long, role string, text string, head string, participant string, m string")
+    got = {r["participant"]: r for r in chat.perspectives(df).collect()}
+    assert set(got) == set(names)
+    for who, r in got.items():
+        heads = ["assistant" if n == who else "user name=" + urllib.parse.quote(n, safe="") for n in names]
+        assert len(set(heads)) == len(names)
+        assert r["rendered"] == "".join(f"<|im_start|>{h}\n{t[3]}<|im_end|>\n" for h, t in zip(heads, turns, strict=True))
+        assert [r["rendered"][a:b] for a, b in r["spans"]] == [turns[names.index(who)][3] + "<|im_end|>\n"]
+
+
 # Urls
 
 

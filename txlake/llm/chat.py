@@ -19,6 +19,14 @@ def _escaped(text: Column) -> Column:
     return F.replace(clean, F.lit("<|im_end|>"), F.lit("< im_end >"))
 
 
+def _encoded(name: Column) -> Column:
+    """A name in letters, digits and ``-._~``, all else as %XX of its UTF-8 bytes: no two names agree."""
+    out = F.url_encode(name)
+    for given, wanted in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        out = F.replace(out, F.lit(given), F.lit(wanted))
+    return out
+
+
 def perspectives(
     turns: DataFrame,
     conv_id: str = "conv_id",
@@ -39,8 +47,11 @@ def perspectives(
 
     Messages go by turn, then role, then text; null turns come first, null texts are
     empty, a null role is the participant ``unknown``, rows without a conversation id
-    form one conversation. Repeated rows are messages of their own. A dialogue with only
-    a narrator has no participant and gives no row; neither does an empty table.
+    form one conversation. Names are written with %XX for all but letters, digits and
+    ``-._~``, so different speakers stay different. Repeated rows are messages of their
+    own. A very long text is one message, and its part that long. Further columns are not
+    read, whatever their names. A dialogue with only a narrator has no participant and
+    gives no row; neither does an empty table.
     """
     said = turns.select(
         F.col(conv_id).alias("conv_id"),
@@ -57,7 +68,7 @@ def perspectives(
     placed = ranked.join(starts, F.col("conv_id").eqNullSafe(F.col("of"))).select(
         "conv_id", "turn", "role", "text", (F.col("rank") - F.col("first")).alias("seq")
     )
-    name = F.regexp_replace("role", r"[^A-Za-z0-9_.-]", "_")
+    name = _encoded(F.col("role"))
     mine = F.col("role") == F.col("participant")
     head = (
         F.when(mine, F.lit("assistant"))

@@ -101,7 +101,7 @@ def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
         SELECT t.conv_id, p.participant, t.seq // 256 AS part, t.seq,
                t.role = p.participant AS mine,
                '<|im_start|>' || CASE WHEN t.role = p.participant THEN 'assistant' WHEN t.role = 'system' THEN 'system'
-                    ELSE 'user name=' || regexp_replace(t.role, '[^A-Za-z0-9_.-]', '_', 'g') END || chr(10) AS head,
+                    ELSE 'user name=' || url_encode(t.role) END || chr(10) AS head,
                t.text || '<|im_end|>' || chr(10) AS body
         FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
     ), o AS (
