@@ -252,6 +252,25 @@ def test_contamination_finds_changed_passages(ready):
     check_contamination(decontam.contamination(docs, ready.createDataFrame(items, "item_id long, text string")), rows, items)
 
 
+def test_contamination_keeps_text_ids(ready, edges):
+    items = [(f"item-{i}" if i else None, t) for i, t in ITEMS]
+    bench = ready.createDataFrame(items, "item_id string, text string")
+    for most in (1 << 20, 60):
+        found = decontam.contamination(edges, bench, chunk_bytes=most)
+        assert dict(found.dtypes)["_items"] == "array<string>"
+        check_contamination(found, ROWS, items)
+
+
+def test_contamination_of_a_large_benchmark_in_bounded_tables(ready, monkeypatch):
+    # Many items of one length that share a beginning, and one long text that holds some of them.
+    monkeypatch.setattr(decontam, "TABLE", 4096)
+    items = [(i, f"all items share these seven opening words {' '.join(f'w{i * 31 + j}' for j in range(12))}") for i in range(700)]
+    texts = [(1, " filler ".join(t for i, t in items if i % 50 == 7)), (2, items[3][1]), (3, "all items share these seven opening words only")]
+    bench = ready.createDataFrame(items, "item_id long, text string")
+    docs = ready.createDataFrame([(*t, "x", "x") for t in texts], "doc_id long, text string, items string, similarity string")
+    check_contamination(decontam.contamination(docs, bench), texts, items)
+
+
 def test_contamination_of_documents(ready, documents, rows):
     benchmark = ready.read.parquet(f"{brute.FOLDER}/benchmark.parquet")
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
