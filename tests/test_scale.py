@@ -177,6 +177,23 @@ def test_stream_alerts_over_batches(spark, skewed, root):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_stream_alerts_gather_users(spark, root):
+    """The processor is called up for groups of users, not for every single one."""
+    schema = "event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, amount DOUBLE"
+    events = [(2 * u + i, u, T0 + dt.timedelta(seconds=9 * i), 600.0) for u in range(400) for i in range(2)]
+    rows = spark.createDataFrame(events, schema)
+    rows.coalesce(1).write.parquet(f"{root}/in")
+    rules = AlertRules(high_amount=1e9, burst_count=2, sum_amount=1000.0)
+    s = stream_windows.watermarked(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), "ts")
+    stream = sinks.to_files(fraud_stream.user_alerts(s, rules), f"{root}/out", f"{root}/cp")
+    sinks.drain(stream)
+    want = {r.alert_id for r in user_alerts(rows, rules).collect()}
+    assert len(want) == 800
+    assert {r.alert_id for r in spark.read.parquet(f"{root}/out").collect()} == want
+    states = [o["numRowsUpdated"] for p in stream.recentProgress for o in p["stateOperators"]]
+    assert 0 < max(states) < 400
+
+
 def test_stream_late_split_replay(spark, root):
     """Rows behind the closed windows go to the dead letters; a replay changes nothing."""
     schema = "event_id BIGINT, part INT, ts TIMESTAMP_NTZ"

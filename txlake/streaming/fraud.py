@@ -1,8 +1,9 @@
 """Per-user fraud rules over an unbounded stream.
 
-State is keyed by user and time block instead of user alone: rows near the end of
-a block are sent to the next block too, as context. A very busy user then spreads
-over several keys, and a block's state can go once the watermark has left it.
+State is keyed by group of users and time block instead of user alone: rows near the end
+of a block are sent to the next block too, as context. A very busy user then spreads over
+several keys, a block's state can go once the watermark has left it, and a key that is
+called up has the rows of many users to work off at once.
 Rules and alert records are column expressions on the result of the processor.
 
 ``AlertBatches`` gives the same alerts from a batch handler without any Python in
@@ -29,51 +30,73 @@ from txlake.operators.lateness import Lateness
 from txlake.streaming.sinks import forget, previous_batch, write_batch
 
 SECOND = 1_000_000
-EVENT = T.StructType(
-    [
-        T.StructField("at", T.LongType()),
-        T.StructField("id", T.LongType()),
-        T.StructField("amount", T.DoubleType()),
-    ]
-)
+
+# Users are dealt over so many keys, and a block lasts so many spans: one call of the processor
+# costs much the same for one row and for thousands, so a key gathers the rows of many users.
+USER_GROUPS = 64
+BLOCK_SPANS = 30
+
+# Events of one entry of the state.
+PACKED_ROWS = 1 << 17
+
+COLUMNS = {"user": "int64", "at": "int64", "id": "int64", "amount": "float64"}
+EVENTS = T.StructType([T.StructField(n, T.BinaryType()) for n in COLUMNS])
 TOTALS_SCHEMA = (
     "user_id BIGINT, id BIGINT, at BIGINT, amount DOUBLE, trailing_count BIGINT, trailing_total DOUBLE"
 )
 
 
 class TrailingTotals(StatefulProcessor):
-    """Keeps the events of the last ``span`` seconds of one (user, block) key."""
+    """Keeps the events of the last ``span`` seconds of one (group of users, block) key."""
 
     def __init__(self, span: int, width: int):
         self.span, self.width = span * SECOND, width
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.recent = handle.getListState("recent", EVENT)
+        self.recent = handle.getListState("recent", EVENTS)
+
+    def _known(self) -> list[pd.DataFrame]:
+        return [
+            pd.DataFrame({n: np.frombuffer(data, kind) for (n, kind), data in zip(COLUMNS.items(), entry)})
+            for entry in self.recent.get()
+        ]
+
+    def _keep(self, events: pd.DataFrame) -> None:
+        arrays = [events[n].to_numpy(kind) for n, kind in COLUMNS.items()]
+        starts = range(0, len(events), PACKED_ROWS)
+        self.recent.put([tuple(a[i : i + PACKED_ROWS].tobytes() for a in arrays) for i in starts])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = list(self.recent.get())
+        known = self._known()
         if not known:
             # One clean-up timer per key, two spans after the block has ended.
             self.handle.registerTimer((key[1] + self.width + 2 * self.span) // 1000)
-        names = ["at", "id", "amount", "home"]
-        old = pd.DataFrame([(*e, -1) for e in known], columns=names)
-        events = pd.concat([old, *(r[names] for r in rows)]) if known else pd.concat([r[names] for r in rows])
-        events = events.sort_values(["at", "id"], kind="stable")
+        old = [k.assign(home=-1) for k in known]
+        events = pd.concat([*old, *(r[[*COLUMNS, "home"]] for r in rows)])
+        events = events.sort_values(["user", "at", "id"], kind="stable")
 
-        at, home = events["at"].to_numpy("int64"), events["home"].to_numpy("int64")
+        user, at, home = (events[n].to_numpy("int64") for n in ("user", "at", "home"))
         amount = events["amount"].to_numpy("float64")
         # Extended precision: a running sum of the block loses nothing that shows.
         money = np.where(np.isfinite(amount), amount, 0.0).astype("longdouble")
-        running = np.concatenate([np.zeros(1, "longdouble"), np.cumsum(money)])
-        here = np.arange(1, len(events) + 1)
-        oldest = np.searchsorted(at, at - self.span, side="left")
-        totals = np.round((running[here] - running[oldest]).astype("float64"), 6)
+        counts, sums = np.ones(len(events), "int64"), money.copy()
+        firsts = np.flatnonzero(np.diff(user, prepend=user[:1] - 1))
+        lasts = np.append(firsts[1:], len(user))
+        # Each user's sums run by themselves; a single row is its own total.
+        several = lasts - firsts > 1
+        for a, b in zip(firsts[several].tolist(), lasts[several].tolist()):
+            running = np.concatenate([np.zeros(1, "longdouble"), np.cumsum(money[a:b])])
+            here = np.arange(1, b - a + 1)
+            oldest = np.searchsorted(at[a:b], at[a:b] - self.span, side="left")
+            counts[a:b] = here - oldest
+            sums[a:b] = running[here] - running[oldest]
+        totals = np.round(sums.astype("float64"), 6)
 
         # Rows behind the watermark no longer arrive, so older context is not needed.
         needed = at >= timerValues.getCurrentWatermarkInMs() * 1000 - self.span
         if needed.any():
-            self.recent.put(list(events.loc[needed, names[:3]].itertuples(index=False, name=None)))
+            self._keep(events[needed])
         elif known:
             self.recent.clear()
 
@@ -81,11 +104,11 @@ class TrailingTotals(StatefulProcessor):
         if out.any():
             yield pd.DataFrame(
                 {
-                    "user_id": np.full(out.sum(), key[0], dtype="int64"),
+                    "user_id": user[out],
                     "id": events["id"].to_numpy("int64")[out],
                     "at": at[out],
                     "amount": amount[out],
-                    "trailing_count": (here - oldest)[out],
+                    "trailing_count": counts[out],
                     "trailing_total": totals[out],
                 }
             )
@@ -108,21 +131,23 @@ def trailing_totals(
 ) -> DataFrame:
     """Streaming form of ``operators.trailing.trailing_totals``; ``df`` carries a
     watermark on ``ts``."""
-    width = (block or 10 * span) * SECOND
+    width = (block or BLOCK_SPANS * span) * SECOND
     at = micros(F.col(ts))
+    user = F.col(key).cast("bigint")
     home = floor_to(at, width)
     near_end = at >= home + (width - span * SECOND)
     blocks = F.when(near_end, F.array(home, home + width)).otherwise(F.array(home))
     placed = df.filter(F.col(key).isNotNull()).select(
-        F.col(key).cast("bigint").alias("user_id"),
+        F.pmod(F.xxhash64(user), F.lit(USER_GROUPS)).alias("users"),
         F.explode(blocks).alias("block"),
+        user.alias("user"),
         F.col(ts),
         at.alias("at"),
         F.col(row_id).cast("bigint").alias("id"),
         F.coalesce(F.col(amount), F.lit(0.0)).alias("amount"),
     )
     placed = placed.withColumn("home", (F.col("block") == floor_to(F.col("at"), width)).cast("int"))
-    return placed.groupBy("user_id", "block").transformWithStateInPandas(
+    return placed.groupBy("users", "block").transformWithStateInPandas(
         TrailingTotals(span, width), TOTALS_SCHEMA, "Append", "EventTime"
     )
 
