@@ -137,6 +137,13 @@ def check_phrases(df, rows, least, top):
     assert sorted(map(tuple, found)) == sorted(plain_collocations(rows, least, top))
 
 
+def test_phrase_jobs_are_small():
+    """What travels to the tasks holds no tables of the numbering."""
+    from pyspark import cloudpickle
+
+    assert len(cloudpickle.dumps(phrases._identified(1))) < 1 << 20
+
+
 def test_phrases_on_edges(edges, nothing):
     check_phrases(edges, [(r[1], r[2]) for r in EDGES], 2, 50)
     assert phrases.collocations(nothing).count() == 0

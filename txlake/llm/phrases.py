@@ -9,10 +9,13 @@ cut by quotient, and those of one range of quotients are merged.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from types import SimpleNamespace
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,7 +159,9 @@ def _numbers(seed: int):
     import numpy as np
 
     k, u = words.kernel(slice_bytes=SLICE_BYTES), np.uint64
-    brk = k.words(np.array([0, 1]), np.frombuffer(b"\xff", np.uint8))[0][0]
+    # By a kernel of its own: one that has numbered words holds tables of some 30 MB, which
+    # would travel with the job.
+    brk = words.kernel(slice_bytes=1).words(np.array([0, 1]), np.frombuffer(b"\xff", np.uint8))[0][0]
 
     def code(langs: list[str]):
         """One number for each language."""
@@ -236,17 +241,17 @@ def _identified(seed: int):
     return identified
 
 
-def _filtered(n: int, seed: int, ranges: int, sieve: dict[int, bytes], part_bytes: int, entries: int):
+def _filtered(n: int, seed: int, ranges: int, sieve: Broadcast, part_bytes: int, entries: int):
     """Arrow function: texts to the filters of their runs of ``n`` words, cut into ranges of quotients."""
     turn, cqf, number, parts = permutation(), filters(), _numbers(seed), _cutter(part_bytes, b" \xff ")
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
         import numpy as np
 
         u = np.uint64
-        table = np.zeros(SIEVE_UNITS * 4096, np.uint8)
-        for unit, data in sieve.items():
-            table[unit * 4096 : unit * 4096 + len(data)] = np.frombuffer(data, np.uint8)
+        table = np.frombuffer(zlib.decompress(sieve.value), np.uint8)
 
         def may_be_frequent(lanes):
             bit = turn.bit(lanes)
@@ -328,7 +333,7 @@ def _merged(n: int, least: int):
     return merged
 
 
-def run_counts(plain: DataFrame, n: int, seed: int, total: int, least: int, sieve: dict[int, bytes]) -> DataFrame:
+def run_counts(plain: DataFrame, n: int, seed: int, total: int, least: int, sieve: Broadcast) -> DataFrame:
     """(a, b, c, d, f): runs of ``n`` words by id, 0 where there is none, seen ``least`` times or more.
 
     ``total`` is the number of all words: there are no more runs, so it sets the number of ranges.
@@ -338,8 +343,9 @@ def run_counts(plain: DataFrame, n: int, seed: int, total: int, least: int, siev
     return cut.groupBy("range").applyInArrow(_merged(n, least), PACKED)
 
 
-def _sieve(frequent: DataFrame, n: int) -> dict[int, bytes]:
-    """Bits of all frequent runs of ``n`` words: 4096 rows of 4 KB at most, whatever the table holds."""
+def _sieve(frequent: DataFrame, n: int) -> Broadcast:
+    """Bits of all frequent runs of ``n`` words, compressed: 4096 rows of 4 KB at most, whatever
+    the table holds. Sent to each executor once; the caller destroys it."""
     turn = permutation()
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +359,10 @@ def _sieve(frequent: DataFrame, n: int) -> dict[int, bytes]:
     units = numbers.groupBy(F.floor(F.col("bit") / 32768).alias("unit")).agg(
         F.bitmap_construct_agg((F.col("bit") % 32768)).alias("data")
     )
-    return {r["unit"]: bytes(r["data"]) for r in units.collect()}
+    table = np.zeros((SIEVE_UNITS, 4096), np.uint8)
+    for r in units.collect():
+        table[r["unit"], : len(r["data"])] = np.frombuffer(bytes(r["data"]), np.uint8)
+    return frequent.sparkSession.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
 
 
 def _identify(counted: DataFrame, least: int, seeds: tuple[int, ...] = SEEDS) -> tuple[int, DataFrame]:
@@ -456,6 +465,7 @@ def collocations(
     for n in range(2, LONGEST + 1):
         sieve = _sieve(found, n - 1)
         found = staged(run_counts(plain, n, seed, total, least, sieve), f"runs{n}")
+        sieve.destroy()
         runs = runs.unionByName(found.withColumn("n", F.lit(n)))
     alone = standing_alone(runs.filter("n > 1"), percent=percent).select(*NAMES)
     kept = staged(scored(runs).join(alone, NAMES), "scored")
