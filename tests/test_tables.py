@@ -11,6 +11,7 @@ from txlake.plans import medallion, migration
 from txlake.plans.medallion import Lake, Settings
 from txlake.session import scratch, shared_root
 from txlake.sources import fs
+from txlake.sources import versioned
 from txlake.sources.versioned import VersionedTable
 from txlake.streaming import sinks
 from txlake.streaming.cdc import ApplyChanges, decode_changes
@@ -47,6 +48,16 @@ def test_versions(spark, root):
     assert t.read().columns == ["other"]
 
 
+def test_compact_bounds_rows_of_a_task(spark, root, monkeypatch):
+    """Files are cut by rows too: few bytes may be very many rows."""
+    monkeypatch.setattr(versioned, "SORTED_ROWS", 1000)
+    t = VersionedTable(spark, f"{root}/t")
+    t.overwrite(spark.range(5000).select("id", (F.col("id") % 7).alias("v")))
+    t.compact(order_by=["id", "v"])
+    assert len(t.read().inputFiles()) >= 4
+    assert t.read().count() == 5000 and t.read().select("id").distinct().count() == 5000
+
+
 def test_odd_partition_values(spark, root):
     t = VersionedTable(spark, f"{root}/t")
     values = [(1, "a/b"), (2, "x=y"), (3, None), (4, "50% off + more"), (5, "plain")]

@@ -28,6 +28,10 @@ from pyspark.sql import types as T
 from txlake.operators.clustering import z_value
 from txlake.sources import fs
 
+# Rows that one task of a clustering rewrite sorts on average; narrow rows compress well, so
+# the bytes of the files alone do not bound what a task holds.
+SORTED_ROWS = 1 << 21
+
 HISTORY_SCHEMA = "version BIGINT, timestamp_ms BIGINT, operation STRING, metrics MAP<STRING, BIGINT>"
 
 
@@ -414,7 +418,8 @@ class VersionedTable:
         """Rewrite into few, clustered files; content stays the same.
 
         With ``order_by`` rows are range-partitioned on a Z-order value of those
-        columns plus a hash, so a very frequent value still spreads over files.
+        columns plus a hash, so a very frequent value still spreads over files. Unless
+        ``files`` says how many, a file holds ``file_bytes`` or ``SORTED_ROWS`` rows.
         """
         base = self._load()
         df = self._frame(base)
@@ -424,7 +429,7 @@ class VersionedTable:
             keys = [F.col(c) for c in base.partition_by] + [F.col("_z"), F.col("_spread")]
             if files is None:
                 size = sum(fs.size(self.spark, p) for p in self._paths(base))
-                files = max(1, -(-size // file_bytes))
+                files = max(1, -(-size // file_bytes), -(-df.count() // SORTED_ROWS))
             df = ranged.repartitionByRange(files, *keys).sortWithinPartitions(*keys).drop("_z", "_spread")
         elif not base.partition_by:
             df = df.hint("rebalance")
