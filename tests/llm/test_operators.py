@@ -13,6 +13,7 @@ from tests import oracle
 from tests.llm import brute
 from tests.llm.conftest import EDGES
 from txlake.llm import chat, components, decontam, dedup, lm, load_queries, mixing, near, quality, secrets, sharding, urls
+from txlake.sources import fs
 
 ROWS = [(r[0], r[1]) for r in EDGES]
 QUERIES = load_queries()
@@ -314,6 +315,24 @@ def test_quality_on_edges(ready, edges, nothing):
 # Language model
 
 
+def test_counts_go_before_the_automaton_is_packed(ready, monkeypatch):
+    """What the automaton was made from is off the disk once its arcs are written."""
+    staged, counted, left = lm.staged, [], []
+
+    def watched(df, name, path=None):
+        if name == "grams":
+            counted.append(path)
+        if name == "ranges":
+            left.extend(p for p in counted if fs.exists(ready, p))
+        return staged(df, name, path)
+
+    monkeypatch.setattr(lm, "staged", watched)
+    docs = ready.createDataFrame([(i, "a b c d a b c") for i in range(8)], "doc_id long, text string")
+    assert lm.language_scores(docs).count() == 8
+    # Those of single words are read once more.
+    assert len(counted) == 3 and len(left) == 1
+
+
 @pytest.mark.parametrize("share", [1e-5, 0.003])
 def test_scores_as_by_walking_the_automaton(documents, rows, share):
     rows = rows[:120]

@@ -10,7 +10,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -337,16 +337,17 @@ def _last(size: int) -> Column:
     return F.shiftrightunsigned(x, r).bitwiseOR(F.shiftleft(x, 64 - r))
 
 
-def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int, done_with: list[str]) -> DataFrame:
+def _automaton(words_: DataFrame, grams: dict[int, DataFrame], total: int, distinct: int, folders: dict[int, list[str]]) -> DataFrame:
     """Rows (g, weight, fail) of all words, pairs and triples.
 
     The weight of a word is its count, that of an arc its log10 probability by absolute
     discounting. ``fail`` weighs the step from a state to the next shorter one: it shares
-    what the state's arcs leave (0 where there is no state). ``done_with`` collects the
-    folders that are not needed once the result is written.
+    what the state's arcs leave (0 where there is no state). ``folders`` names those of the
+    n-grams of each size: a size's folders go as soon as its arcs are written, the folders
+    that the result reads are left in it.
     """
     level = words_.select("g", "c", ((F.col("c") + 1) / F.lit(total + distinct + 1.0)).alias("p"))
-    weight, out = F.col("c").cast("double"), []
+    weight, out, spark = F.col("c").cast("double"), [], words_.sparkSession
     rest = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
     for size in TURNS:
         # What is seen once can be no part of an arc, and so no state.
@@ -355,19 +356,30 @@ def _automaton(words_: DataFrame, grams: DataFrame, total: int, distinct: int, d
             out.append(rare.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
         first = level.select(F.col("g").alias("a"), F.col("c").alias("of"))
         last = level.select(F.col("g").alias("b"), F.col("p").alias("lower"))
-        arcs = grams.filter(F.col("size") == size).withColumn("b", _last(size)).join(first, "a").join(last, "b")
-        done_with.append(scratch(words_.sparkSession, "arcs"))
-        arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs", done_with[-1])
+        arcs = grams[size].withColumn("b", _last(size)).join(first, "a").join(last, "b")
+        path = scratch(spark, "arcs")
+        arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs", path)
+        _delete(spark, folders[size])
         fails = arcs.groupBy(F.col("a").alias("g")).agg(F.log10(rest("p") / rest("lower")).alias("fail"))
         found = level.join(fails, "g", "left").select("g", weight.alias("weight"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
         # Each level is written by itself: the disk holds the shuffle of one.
-        done_with.append(scratch(words_.sparkSession, "automaton"))
-        out.append(staged(found, "automaton", done_with[-1]))
+        kept = scratch(spark, "automaton")
+        out.append(staged(found, "automaton", kept))
+        if size > 2:
+            # The arcs of the size before are in the automaton now.
+            _delete(spark, folders[size - 1])
+        folders[size] = [path]
+        folders.setdefault(0, []).append(kept)
         level, weight = arcs.select("g", "c", "p"), F.log10("p")
     out.append(level.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
     return reduce(DataFrame.unionByName, out)
 
 
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    while paths:
+        fs.delete_folder(spark, paths.pop())
+
+
 def _scorer(total: int, distinct: int):
     """Cogrouped function: scores of a block's documents with the block's part of the automaton."""
     tokens, keys = _tokens(), _keys()
@@ -466,28 +478,29 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     size_ = blocked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = min(max(1, -(-size_ // RANGE_BYTES)), 1 << 31)
-    levels, sieve, done_with = {}, None, []
+    levels, sieve, folders = {}, None, {}
     for size, passes in COUNT_PASSES.items():
         least, counts = 1 if size == 1 else LEAST, []
         for turn in range(passes):
-            done_with.append(scratch(spark, f"grams{size}"))
+            path = scratch(spark, f"grams{size}")
+            folders.setdefault(size, []).append(path)
             cut = learned.mapInArrow(_count_grams(size, turn, passes, ranges, sieve), COUNTED)
             found = cut.groupBy("range").applyInArrow(_merge_grams(size, least), GRAMS)
-            counts.append(staged(found.select("g", "c") if size == 1 else found, "grams", done_with[-1]))
+            counts.append(staged(found.select("g", "c") if size == 1 else found, "grams", path))
         levels[size] = reduce(DataFrame.unionByName, counts)
         if sieve:
             sieve.destroy()
         sieve = _sieve(levels[size].filter(F.col("c") >= LEAST)) if size < max(COUNT_PASSES) else None
     vocabulary = levels[1]
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    arcs = levels[2].unionByName(levels[3]).filter(F.col("c") >= math.ceil(share * total))
-    sieve = _sieve(arcs)
-    automaton = _automaton(vocabulary, arcs, total, distinct, done_with)
+    arcs = {n: levels[n].filter(F.col("c") >= math.ceil(share * total)) for n in TURNS}
+    sieve = _sieve(reduce(DataFrame.unionByName, arcs.values()))
+    automaton = _automaton(vocabulary, arcs, total, distinct, folders)
     by_range = automaton.groupBy(_range_of(ranges).alias("range"))
     automaton = staged(by_range.applyInArrow(_packed(), RANGES), "ranges")
     # The automaton is written; what it was made from is not read again.
-    for path in done_with:
-        fs.delete_folder(spark, path)
+    for paths in folders.values():
+        _delete(spark, paths)
 
     result = T.StructType(
         [
