@@ -6,6 +6,8 @@ import math
 import re
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -346,6 +348,47 @@ def test_scores_as_by_walking_the_automaton(documents, rows, share):
         assert math.isclose(r["score"], score, rel_tol=1e-9)
 
 
+def test_scores_by_many_blocks_and_ranges(documents, rows, monkeypatch):
+    """Blocks go through the disk an eighth at a time, and each gets what its own n-grams weigh."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(lm, "RANGE_BYTES", 3000)
+    staged, passes = lm.staged, []
+
+    def watched(df, name, path=None):
+        out = staged(df, name, path)
+        if name == "scores":
+            passes.append(out.count())
+        return out
+
+    monkeypatch.setattr(lm, "staged", watched)
+    rows = rows[:120]
+    few = documents.filter(F.col("doc_id").isin([i for i, _ in rows])).coalesce(1)
+    got = {r["doc_id"]: r for r in lm.language_scores(few).collect()}
+    for (i, _), want, score in zip(rows, brute.base_scores(rows), brute.backoff_scores(rows, 0.0), strict=True):
+        r = got[i]
+        assert [r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]] == list(want[:4])
+        assert math.isclose(r["base_score"], want[4], rel_tol=1e-9)
+        assert math.isclose(r["score"], score, rel_tol=1e-9)
+    assert sum(passes) == len(rows) and max(passes) < len(rows) / 4
+
+
+def test_values_come_back_without_their_keys():
+    n = 20_000
+    known = np.sort(np.random.default_rng(1).choice(1 << 62, n, replace=False))
+    weight, fail = np.log10(1 / (2.0 + np.arange(n) % 90)), np.where(np.arange(n) % 3, 0.0, -0.5)
+    table = pa.table({"g": known, "weight": weight, "fail": fail})
+    automaton = lm._packed()((pa.scalar(7),), table)
+    wanted = np.sort(np.append(known[::2], known[::5] + 1))
+    keys = pa.table({"range": [7], "block": [3], "g": [wanted.tobytes()]})
+    out = lm._look_up()(keys, automaton)
+    # A key and its two numbers are 24 bytes.
+    assert sum(c.nbytes for c in out.columns) < 8 * len(wanted)
+    got, fails = lm._values()[1](out.column("values")[0].as_py(), len(wanted))
+    by = {int(g): (w, f) for g, w, f in zip(known, weight, fail, strict=True)}
+    for g, w, f in zip(wanted, got, fails, strict=True):
+        assert (w, f) == by[int(g)] if int(g) in by else math.isnan(w) and f == 0
+
+
 def test_scores_on_edges(edges, nothing):
     got = lm.language_scores(edges).collect()
     want = brute.base_scores(ROWS)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txlake.llm import words
-from txlake.llm.common import staged
+from txlake.llm.common import compressed, staged
 from txlake.session import scratch
 from txlake.sources import fs
 
@@ -32,7 +32,10 @@ BLOCK_BYTES = 8 << 20
 # Passes in which the n-grams of each size are counted, and in which blocks are scored, one
 # after another: the disk holds the shuffle of one pass.
 COUNT_PASSES = {1: 1, 2: 1, 3: 1}
-SCORE_PASSES = 4
+SCORE_PASSES = 8
+
+# Passes, by the key of the first words, in which the arcs of each size are joined together.
+ARC_PASSES = {2: 1, 3: 2}
 
 # Bits of the table that rules out n-grams with rare parts, in units of 32,768 bits (16 MB in
 # all). A larger corpus fills it up and then it rules out less; it never rules out too much.
@@ -50,18 +53,19 @@ COUNTED = T.StructType(
     [T.StructField("range", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "a", "c")]]
 )
 KEYS = T.StructType([T.StructField(n, T.LongType()) for n in ("range", "block")] + [T.StructField("g", T.BinaryType())])
-FOUND = T.StructType(
-    [T.StructField("block", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "weight", "fail")]]
-)
-
-RANGES = T.StructType(
-    [T.StructField("range", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "weight", "fail")]]
-)
+# The values are the weights and then the fails of the keys in their order, compressed.
+FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("block", "range")] + [T.StructField("values", T.BinaryType())])
+RANGES = T.StructType([T.StructField("range", T.LongType()), *[T.StructField(n, T.BinaryType()) for n in ("g", "values")]])
 
 # Text in bytes for which n-grams get one more range of keys, each merged by one task.
 RANGE_BYTES = 4 << 20
 
 
+def _staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    with compressed(df.sparkSession):
+        return staged(df, name, path)
+
+
 def _end(k) -> int:
     """The number of the end token, which is no word's text."""
     return int(k.mix(np.array([0x5EED], np.uint64))[0].astype(np.int64))
@@ -140,6 +144,37 @@ def _sifter(sieve: Broadcast):
     return make
 
 
+def _firsts():
+    """Function: where each key of a sorted array stands first."""
+
+    def firsts(g):
+        import numpy as np
+
+        new = np.ones(len(g), bool)
+        np.not_equal(g[1:], g[:-1], out=new[1:])
+        return new
+
+    return firsts
+
+
+def _values():
+    """Functions: weights and fails to compressed bytes, and those of some keys back."""
+
+    def pack(weight, fail):
+        import numpy as np
+        import pyarrow as pa
+
+        return pa.compress(np.concatenate([weight, fail]).tobytes(), codec="zstd", asbytes=True)
+
+    def unpack(blob, keys):
+        import numpy as np
+        import pyarrow as pa
+
+        return np.frombuffer(pa.decompress(blob, decompressed_size=16 * keys, codec="zstd"), np.float64).reshape(2, keys)
+
+    return pack, unpack
+
+
 def _ranged():
     """Function: (range, from, to) of sorted keys that are cut into equal ranges by their upper bits."""
 
@@ -164,7 +199,7 @@ def _count_grams(size: int, turn: int, passes: int, ranges: int, sieve: Broadcas
 
     Only those whose two parts, one word shorter, may be in the sieve.
     """
-    ranged = _ranged()
+    ranged, firsts = _ranged(), _firsts()
     tokens, keys, make = _tokens(), _keys(), sieve and _sifter(sieve)
     most = HELD_GRAMS
 
@@ -179,8 +214,10 @@ def _count_grams(size: int, turn: int, passes: int, ranges: int, sieve: Broadcas
                 return
             g, a = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            g, at, c = np.unique(g, return_index=True, return_counts=True)
-            a = a[at]
+            order = np.argsort(g)
+            g = g[order]
+            first = np.flatnonzero(firsts(g))
+            g, a, c = g[first], a[order[first]], np.diff(first, append=len(g))
             cut = ranged(g, ranges)
             for i in range(0, len(cut), 64):
                 some = cut[i : i + 64]
@@ -231,36 +268,40 @@ def _merge_grams(size: int, least: int):
 
 
 def _packed():
-    """Arrow function: the rows of the automaton of one range as three arrays in the order of keys."""
+    """Arrow function: the rows of the automaton of one range as arrays in the order of keys."""
+    pack, _ = _values()
 
     def packed(range_: tuple, table: pa.Table) -> pa.Table:
         import numpy as np
 
         g = table.column("g").to_numpy().view(np.uint64)
         order = np.argsort(g)
-        values = [g[order], *(table.column(n).to_numpy()[order] for n in ("weight", "fail"))]
-        return pa.table([pa.array([range_[0].as_py()], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names=["range", "g", "weight", "fail"])
+        values = pack(*(table.column(n).to_numpy()[order] for n in ("weight", "fail")))
+        return pa.table([pa.array([range_[0].as_py()], pa.int64()), *(pa.array([v], pa.binary()) for v in (g[order].tobytes(), values))], names=["range", "g", "values"])
 
     return packed
 
 
 def _look_up():
-    """Cogrouped function: of one range, the entries of the automaton that each block's keys name."""
+    """Cogrouped function: of one range, what the automaton holds for each block's keys, in their
+    order. The weight of a key that it lacks is not a number."""
+    pack, unpack = _values()
 
     def look_up(keys: pa.Table, automaton: pa.Table) -> pa.Table:
         import numpy as np
 
-        read = lambda name, kind: np.frombuffer(automaton.column(name)[0].as_py(), kind) if automaton.num_rows else np.zeros(0, kind)
-        known, values = read("g", np.uint64), [read(n, np.float64) for n in ("weight", "fail")]
+        known = np.frombuffer(automaton.column("g")[0].as_py(), np.uint64) if automaton.num_rows else np.zeros(0, np.uint64)
+        weights, fails = unpack(automaton.column("values")[0].as_py(), len(known)) if automaton.num_rows else np.zeros((2, 0))
         out = []
         for blob in keys.column("g"):
             g = np.frombuffer(blob.as_py(), np.uint64)
-            place = np.minimum(np.searchsorted(known, g), max(len(known) - 1, 0))
-            has = known[place] == g if len(known) else np.zeros(len(g), bool)
-            place = place[has]
-            out.append((g[has].tobytes(), *(v[place].tobytes() for v in values)))
-        blobs = [pa.array([o[i] for o in out], pa.binary()) for i in range(3)]
-        return pa.table([keys.column("block"), *blobs], names=["block", "g", "weight", "fail"])
+            place = np.searchsorted(known, g)
+            has = place < len(known)
+            has[has] = known[place[has]] == g[has]
+            weight, fail = np.full(len(g), np.nan), np.zeros(len(g))
+            weight[has], fail[has] = weights[place[has]], fails[place[has]]
+            out.append(pack(weight, fail))
+        return pa.table([keys.column("block"), keys.column("range"), pa.array(out, pa.binary())], names=["block", "range", "values"])
 
     return look_up
 
@@ -283,19 +324,55 @@ def _block_numbers(block_bytes: int):
     return F.arrow_udf(number, T.LongType())
 
 
+def _wanted(sieve: Broadcast):
+    """Function made inside a task: for each slice of some texts, tokens of each text, where the
+    pairs and triples stand that may be in the sieve, the sorted distinct keys of the words and
+    of these, and the place of each one's key among them."""
+    firsts = _firsts()
+    tokens, keys, make = _tokens(), _keys(), _sifter(sieve)
+
+    def ready():
+        import numpy as np
+
+        may_be = make()
+
+        def wanted(texts):
+            for numbers, sizes in tokens(texts):
+                _, one, two, inside2, three, inside3 = keys(numbers, sizes)
+                at2, at3 = np.flatnonzero(inside2), np.flatnonzero(inside3)
+                at2, at3 = at2[may_be(two[at2])], at3[may_be(three[at3])]
+                every = np.concatenate([one, two[at2], three[at3]])
+                order = np.argsort(every)
+                g = every[order]
+                new = firsts(g)
+                place = np.empty(len(g), np.int32 if len(g) < 1 << 31 else np.int64)
+                place[order] = np.cumsum(new) - 1
+                yield sizes, at2, at3, g[new], place
+
+        return wanted
+
+    return ready
+
+
+def _pass_of(block: str, passes: int) -> Column:
+    """The pass of a block: the blocks of a task follow each other, and so go to all passes alike."""
+    task, inside = F.shiftright(block, 33), F.col(block).bitwiseAND(F.lit((1 << 33) - 1))
+    return F.pmod(task + inside, F.lit(passes))
+
+
 def _block_keys(ranges: int, sieve: Broadcast):
     """The keys of each block's words, and of its pairs and triples that may be in the sieve, as
     one sorted array for each range of keys."""
-    ranged = _ranged()
-    tokens, keys, make = _tokens(), _keys(), _sifter(sieve)
+    ranged, firsts, ready = _ranged(), _firsts(), _wanted(sieve)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        may_be = make()
+        wanted = ready()
 
         def flush(block, parts):
-            g = np.unique(np.concatenate([x for p in parts for x in p]))
+            g = np.sort(np.concatenate(parts))
+            g = g[firsts(g)]
             cut = ranged(g, ranges)
             for i in range(0, len(cut), 64):
                 some = cut[i : i + 64]
@@ -308,23 +385,18 @@ def _block_keys(ranges: int, sieve: Broadcast):
                     names=["range", "block", "g"],
                 )
 
-        block, parts, held = None, [], 0
+        block, parts = None, []
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             cuts = np.flatnonzero(np.diff(blocks)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
                 if a == b:
                     continue
-                # The keys of a block that is long in words are found in pieces.
-                if block is not None and (blocks[a] != block or held > 3_000_000):
+                if block is not None and blocks[a] != block:
                     yield from flush(block, parts)
-                    parts, held = [], 0
+                    parts = []
                 block = blocks[a]
-                for numbers, sizes in tokens(batch.column("text").slice(a, b - a)):
-                    _, one, two, inside2, three, inside3 = keys(numbers, sizes)
-                    two, three = two[inside2], three[inside3]
-                    parts.append((one, two[may_be(two)], three[may_be(three)]))
-                    held += len(one)
+                parts += [g for *_, g, _ in wanted(batch.column("text").slice(a, b - a))]
         if parts:
             yield from flush(block, parts)
 
@@ -357,18 +429,22 @@ def _automaton(words_: DataFrame, grams: dict[int, DataFrame], total: int, disti
         first = level.select(F.col("g").alias("a"), F.col("c").alias("of"))
         last = level.select(F.col("g").alias("b"), F.col("p").alias("lower"))
         arcs = grams[size].withColumn("b", _last(size)).join(first, "a").join(last, "b")
-        path = scratch(spark, "arcs")
-        arcs = staged(arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower"), "arcs", path)
+        arcs = arcs.select("g", "a", "c", ((F.col("c") - F.lit(DISCOUNT)) / F.col("of")).alias("p"), "lower")
+        paths, passes = [], ARC_PASSES[size]
+        for turn in range(passes):
+            paths.append(scratch(spark, "arcs"))
+            _staged(arcs.filter(F.pmod("a", F.lit(passes)) == turn), "arcs", paths[-1])
+        arcs = spark.read.schema(arcs.schema).parquet(*paths)
         _delete(spark, folders[size])
         fails = arcs.groupBy(F.col("a").alias("g")).agg(F.log10(rest("p") / rest("lower")).alias("fail"))
         found = level.join(fails, "g", "left").select("g", weight.alias("weight"), F.coalesce("fail", F.lit(0.0)).alias("fail"))
         # Each level is written by itself: the disk holds the shuffle of one.
         kept = scratch(spark, "automaton")
-        out.append(staged(found, "automaton", kept))
+        out.append(_staged(found, "automaton", kept))
         if size > 2:
             # The arcs of the size before are in the automaton now.
             _delete(spark, folders[size - 1])
-        folders[size] = [path]
+        folders[size] = paths
         folders.setdefault(0, []).append(kept)
         level, weight = arcs.select("g", "c", "p"), F.log10("p")
     out.append(level.select("g", weight.alias("weight"), F.lit(0.0).alias("fail")))
@@ -380,42 +456,53 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         fs.delete_folder(spark, paths.pop())
 
 
-def _scorer(total: int, distinct: int):
-    """Cogrouped function: scores of a block's documents with the block's part of the automaton."""
-    tokens, keys = _tokens(), _keys()
+def _scorer(total: int, distinct: int, ranges: int, sieve: Broadcast):
+    """Cogrouped function: scores of a block's documents with the block's part of the automaton.
+
+    The keys of the block are found once more; the values came in their order.
+    """
+    ranged, firsts, ready, (_, unpack) = _ranged(), _firsts(), _wanted(sieve), _values()
+    made = []
 
     def score(docs: pa.Table, dictionary: pa.Table) -> pa.Table:
         import numpy as np
 
-        def whole(name, kind):
-            parts = [np.frombuffer(x.as_py(), kind) for x in dictionary.column(name)]
-            return np.concatenate(parts) if parts else np.zeros(0, kind)
-
-        known = whole("g", np.uint64)
-        order = np.argsort(known)
-        known = known[order]
-        weights, fails = (whole(n, np.float64)[order] for n in ("weight", "fail"))
-
-        def look(wanted, inside, ahead):
-            """(found, weight, fail) for each token, of the n-gram that ends there."""
-            found, weight, fail = np.zeros(len(wanted) + ahead, bool), np.zeros(len(wanted) + ahead), np.zeros(len(wanted) + ahead)
-            if len(known):
-                place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-                has = (known[place] == wanted) & inside
-                found[ahead:] = has
-                weight[ahead:] = np.where(has, weights[place], 0.0)
-                fail[ahead:] = np.where(has, fails[place], 0.0)
-            return found, weight, fail
+        if not made:
+            made.append(ready())
+        slices = list(made[0](docs.column("text")))
+        known = np.sort(np.concatenate([g for *_, g, _ in slices]))
+        known = known[firsts(known)]
+        cut = ranged(known, ranges)
+        order = np.argsort(dictionary.column("range").to_numpy())
+        if dictionary.column("range").to_numpy()[order].tolist() != [r for r, _, _ in cut]:
+            raise ValueError("the ranges looked up are not those of the block's keys")
+        weights, fails = np.empty(len(known)), np.empty(len(known))
+        for (_, b, e), i in zip(cut, order.tolist(), strict=True):
+            weights[b:e], fails[b:e] = unpack(dictionary.column("values")[i].as_py(), e - b)
 
         n_tokens, n_known, base, full = [], [], [], []
-        for numbers, sizes in tokens(docs.column("text")):
-            text, one, two, inside2, three, inside3 = keys(numbers, sizes)
-            has1, count, fail1 = look(one, True, 0)
-            has2, weight2, fail2 = look(two, inside2, 1)
-            has3, weight3, _ = look(three, inside3, min(2, len(one)))
+        for sizes, at2, at3, g, place in slices:
+            of_slice = np.searchsorted(known, g)
+            weight, fail = weights[of_slice][place], fails[of_slice][place]
+            has = ~np.isnan(weight)
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            inside2 = text[1:] == text[:-1]
+            one, two = len(text), len(text) + len(at2)
+
+            def look(part, ends):
+                """(found, weight, fail) for each token, of the n-gram that ends there."""
+                found, weight_, fail_ = np.zeros(len(text), bool), np.zeros(len(text)), np.zeros(len(text))
+                found[ends] = has[part]
+                weight_[ends] = np.where(has[part], weight[part], 0.0)
+                fail_[ends] = fail[part]
+                return found, weight_, fail_
+
+            has1, count, fail1 = look(slice(0, one), slice(None))
+            has2, weight2, fail2 = look(slice(one, two), at2 + 1)
+            has3, weight3, _ = look(slice(two, None), at3 + 2)
             single = np.log10((count + 1.0) / (total + distinct + 1.0))
             # Follow the arc of the longest state; where there is none, fail to the next.
-            after1, after2 = np.zeros(len(one)), np.zeros(len(one))
+            after1, after2 = np.zeros(len(text)), np.zeros(len(text))
             after1[1:] = np.where(inside2, fail1[:-1], 0.0)
             after2[1:] = np.where(inside2, fail2[:-1], 0.0)
             weight = np.where(has2, weight2, after1 + single)
@@ -458,14 +545,14 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Counts are exact, over all documents, and the automaton is a table. A pair can only be
     seen twice if both of its words are, and a triple if both of its pairs are: a bit table
     of the shorter ones keeps most of the others from being shuffled. Each block of documents
-    gets the rows of its own n-grams, so no task holds the vocabulary; the driver holds
-    totals and the bit table. Null and empty texts have one token, the end. Repeated rows are
+    gets the values of its own n-grams, without their keys, which it finds again in the same
+    order, so no task holds the vocabulary; the driver holds totals and the bit table. Null and empty texts have one token, the end. Repeated rows are
     rows of their own; an empty table gives no rows. Further columns are not read. A block
     holds ``BLOCK_BYTES`` of text, or one longer text, which its task holds whole, with
     some hundred times its bytes.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    blocked = staged(
+    blocked = _staged(
         docs.select(
             _block_numbers(BLOCK_BYTES)(F.octet_length(whole)).alias("block"),
             F.col(doc_id).alias("doc_id"),
@@ -486,7 +573,7 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             folders.setdefault(size, []).append(path)
             cut = learned.mapInArrow(_count_grams(size, turn, passes, ranges, sieve), COUNTED)
             found = cut.groupBy("range").applyInArrow(_merge_grams(size, least), GRAMS)
-            counts.append(staged(found.select("g", "c") if size == 1 else found, "grams", path))
+            counts.append(_staged(found.select("g", "c") if size == 1 else found, "grams", path))
         levels[size] = reduce(DataFrame.unionByName, counts)
         if sieve:
             sieve.destroy()
@@ -497,7 +584,7 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sieve = _sieve(reduce(DataFrame.unionByName, arcs.values()))
     automaton = _automaton(vocabulary, arcs, total, distinct, folders)
     by_range = automaton.groupBy(_range_of(ranges).alias("range"))
-    automaton = staged(by_range.applyInArrow(_packed(), RANGES), "ranges")
+    automaton = _staged(by_range.applyInArrow(_packed(), RANGES), "ranges")
     # The automaton is written; what it was made from is not read again.
     for paths in folders.values():
         _delete(spark, paths)
@@ -512,11 +599,10 @@ def language_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     done = []
     for turn in range(SCORE_PASSES):
-        some = blocked.filter(F.pmod(F.xxhash64("block"), F.lit(SCORE_PASSES)) == turn)
-        # Keys of a block found in pieces come more than once, which does no harm.
+        some = blocked.filter(_pass_of("block", SCORE_PASSES) == turn)
         wanted = some.select("block", "text").mapInArrow(_block_keys(ranges, sieve), KEYS)
         dictionary = wanted.groupBy("range").cogroup(automaton.groupBy("range")).applyInArrow(_look_up(), FOUND)
-        scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct), result)
-        done.append(staged(scored, "scores"))
+        scored = some.groupBy("block").cogroup(dictionary.groupBy("block")).applyInArrow(_scorer(total, distinct, ranges, sieve), result)
+        done.append(_staged(scored, "scores"))
     sieve.destroy()
     return reduce(DataFrame.unionByName, done)
