@@ -349,7 +349,7 @@ def test_scores_as_by_walking_the_automaton(documents, rows, share):
 
 
 def test_scores_by_many_blocks_and_ranges(documents, rows, monkeypatch):
-    """Blocks go through the disk an eighth at a time, and each gets what its own n-grams weigh."""
+    """Blocks go through the disk a sixth at a time, and each gets what its own n-grams weigh."""
     monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
     monkeypatch.setattr(lm, "RANGE_BYTES", 3000)
     staged, passes = lm.staged, []

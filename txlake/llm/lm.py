@@ -32,7 +32,7 @@ BLOCK_BYTES = 8 << 20
 # Passes in which the n-grams of each size are counted, and in which blocks are scored, one
 # after another: the disk holds the shuffle of one pass.
 COUNT_PASSES = {1: 1, 2: 1, 3: 1}
-SCORE_PASSES = 8
+SCORE_PASSES = 6
 
 # Passes, by the key of the first words, in which the arcs of each size are joined together.
 ARC_PASSES = {2: 1, 3: 2}
@@ -214,10 +214,12 @@ def _count_grams(size: int, turn: int, passes: int, ranges: int, sieve: Broadcas
                 return
             g, a = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            order = np.argsort(g)
-            g = g[order]
+            # A word is its own first part.
+            order = np.argsort(g) if size > 1 else None
+            g = g[order] if size > 1 else np.sort(g)
             first = np.flatnonzero(firsts(g))
-            g, a, c = g[first], a[order[first]], np.diff(first, append=len(g))
+            c = np.diff(first, append=len(g))
+            g, a = g[first], a[order[first]] if size > 1 else g[first]
             cut = ranged(g, ranges)
             for i in range(0, len(cut), 64):
                 some = cut[i : i + 64]
@@ -327,7 +329,7 @@ def _block_numbers(block_bytes: int):
 def _wanted(sieve: Broadcast):
     """Function made inside a task: for each slice of some texts, tokens of each text, where the
     pairs and triples stand that may be in the sieve, the sorted distinct keys of the words and
-    of these, and the place of each one's key among them."""
+    of these, and, if ``places``, the place of each one's key among them."""
     firsts = _firsts()
     tokens, keys, make = _tokens(), _keys(), _sifter(sieve)
 
@@ -336,12 +338,16 @@ def _wanted(sieve: Broadcast):
 
         may_be = make()
 
-        def wanted(texts):
+        def wanted(texts, places):
             for numbers, sizes in tokens(texts):
                 _, one, two, inside2, three, inside3 = keys(numbers, sizes)
                 at2, at3 = np.flatnonzero(inside2), np.flatnonzero(inside3)
                 at2, at3 = at2[may_be(two[at2])], at3[may_be(three[at3])]
                 every = np.concatenate([one, two[at2], three[at3]])
+                if not places:
+                    g = np.sort(every)
+                    yield sizes, at2, at3, g[firsts(g)], None
+                    continue
                 order = np.argsort(every)
                 g = every[order]
                 new = firsts(g)
@@ -396,7 +402,7 @@ def _block_keys(ranges: int, sieve: Broadcast):
                     yield from flush(block, parts)
                     parts = []
                 block = blocks[a]
-                parts += [g for *_, g, _ in wanted(batch.column("text").slice(a, b - a))]
+                parts += [g for *_, g, _ in wanted(batch.column("text").slice(a, b - a), False)]
         if parts:
             yield from flush(block, parts)
 
@@ -469,7 +475,7 @@ def _scorer(total: int, distinct: int, ranges: int, sieve: Broadcast):
 
         if not made:
             made.append(ready())
-        slices = list(made[0](docs.column("text")))
+        slices = list(made[0](docs.column("text"), True))
         known = np.sort(np.concatenate([g for *_, g, _ in slices]))
         known = known[firsts(known)]
         cut = ranged(known, ranges)
